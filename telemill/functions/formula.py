@@ -8,10 +8,16 @@ stands between them, and the X counts as written before that number; with an ope
 from __future__ import annotations
 
 import re
+import sys
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Executors get the functions of this module with the task, without an installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 VARIABLE = "X"
 PRECEDENCE = {"+": 1, "-": 1, "*": 2, "/": 2}
 POSTFIX = "array<struct<op:string,num:double>>"
@@ -101,15 +107,17 @@ def to_column(formula: str, x: Column) -> Column:
     return stack.pop()
 
 
-@F.pandas_udf(POSTFIX)
-def postfix_column(formulas):
-    """Compiles the formulas of a rule table; null where one does not compile."""
-
+def _compile_all(formulas: pd.Series) -> pd.Series:
     def steps(formula):
         compiled = to_postfix(formula) if formula is not None else None
         return None if compiled is None else [{"op": op, "num": num} for op, num in compiled]
 
-    return formulas.map(steps, na_action=None)
+    return pd.Series([steps(formula) for formula in formulas], dtype=object)
+
+
+def postfix_column(formula: Column) -> Column:
+    """Compiles the formulas of a rule table; null where one does not compile."""
+    return F.pandas_udf(_compile_all, POSTFIX)(formula)
 
 
 def evaluate_postfix(steps: Column, x: Column) -> Column:

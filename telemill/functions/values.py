@@ -73,9 +73,14 @@ def fun(x: Column, function: Callable[[Column], Column]) -> Column:
 
 
 def with_sql_action(df: DataFrame, text: str, source: str, target: str) -> DataFrame:
-    """A SQL expression over `X` as an action; `X` is the value of column `source`."""
-    bound = df.select("*", F.col(source).alias("X"))
-    return bound.select(*[F.col(c) for c in df.columns], F.expr(text).alias(target))
+    """A SQL expression over `X` as an action; `X` is the value of column `source`, and the only
+    name the expression can use."""
+    hidden = {name: f"_column_{i}" for i, name in enumerate(df.columns)}
+    bound = df.select(
+        *[F.col(name).alias(h) for name, h in hidden.items()], F.col(source).alias("X")
+    )
+    kept = [F.col(h).alias(name) for name, h in hidden.items() if name != target]
+    return bound.select(*kept, F.expr(text).alias(target))
 
 
 def apply_command(op: Column, arg: Column, x: Column, formula: Column) -> Column:

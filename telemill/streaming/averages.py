@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Executors get the functions of this module with the task, without an installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEY = ["did", "pidx", "interval"]
 
 RECORD = (
