@@ -71,14 +71,15 @@ def m1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_returnflag", "l_linestatus",
     )
     per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(line)).alias("lines")
+        F.sort_array(F.collect_list(line)).alias("lines")
     )
     ports = F.transform(
         "lines",
         lambda x: _port(x["l_extendedprice"], x["l_returnflag"] != "R", x["l_linestatus"]),
     )
     ms = _ms(F.col("o_orderdate"))
-    joined = table(spark, sf_dir, "orders").join(per_order, "o_orderkey", "left")
+    # Both sides grow with the data, and the lines are already partitioned by order.
+    joined = table(spark, sf_dir, "orders").join(per_order.hint("merge"), "o_orderkey", "left")
     return joined.select(
         F.col("o_orderstatus").alias("app"),
         F.concat(F.lit("cust"), F.col("o_custkey").cast("string")).alias("id"),

@@ -28,19 +28,22 @@ def _interval(name: Column) -> Column:
     )
 
 
+def _first_of_length(entries: Column) -> Column:
+    lengths = F.transform(entries, lambda entry: entry["ms"])
+    return F.filter(
+        entries, lambda entry, i: F.array_position(lengths, entry["ms"]) == i + F.lit(1)
+    )
+
+
 def parse_intervals(spec: Column) -> Column:
     """`MIN&HOUR&300000` as (name, length) pairs; unknown parts are skipped, null gives none.
 
     One entry is kept for each length, the first one written.
     """
-    parsed = F.filter(
-        F.transform(F.split(spec, "&"), _interval), lambda entry: entry["ms"].isNotNull()
-    )
-    lengths = F.transform(parsed, lambda entry: entry["ms"])
-    first = F.filter(
-        parsed, lambda entry, i: F.array_position(lengths, entry["ms"]) == i + F.lit(1)
-    )
-    return F.coalesce(first, F.array().cast(INTERVALS))
+    entries = F.transform(F.split(F.coalesce(spec, F.lit("")), "&"), _interval)
+    # Bound by a one-element array, so that the text is parsed once.
+    bound = F.array(F.filter(entries, lambda entry: entry["ms"].isNotNull()))
+    return F.element_at(F.transform(bound, _first_of_length), 1)
 
 
 def has_bad_interval(intervals: Column) -> Column:

@@ -15,7 +15,11 @@ from telemill.operators.rules import ANY_PORT, RuleBook
 def explode_ports(messages: DataFrame) -> DataFrame:
     """One row per port: `pidx`, the port columns, and `active`, whether it is below `portnum`."""
     others = [c for c in messages.columns if c != "values"]
-    ports = messages.select(*others, F.posexplode("values").alias("pidx", "port"))
+    # An outer explode: the plain one would also filter on the size of `values` below it, and
+    # compute a cleaned `values` twice.
+    ports = messages.select(*others, F.posexplode_outer("values").alias("pidx", "port")).filter(
+        F.col("pidx").isNotNull()
+    )
     return ports.select(
         *others,
         "pidx",
@@ -108,7 +112,7 @@ def _clean_by_port(
     )
     whole = entries.groupBy(*identity).agg(
         *[F.first(c).alias(c) for c in others],
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.when(F.col("pidx").isNotNull(), F.col("entry")))
         ).alias("entries"),
     )

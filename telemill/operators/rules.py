@@ -67,25 +67,22 @@ def parse_rules(rules: DataFrame) -> DataFrame:
         F.get(words, F.lit(1))
     )
     number = word.try_cast("double")
-    intervals = times.parse_intervals(F.col("avg"))
-    return (
-        rules.withColumn("op", op)
-        .withColumn("arg", F.when(op.isin(*COMMANDS_WITH_NUMBER), number))
-        .withColumn("formula", F.when(op == "EXPR1", word))
-        .withColumn("intervals", intervals)
-        .withColumn("supported", op.isin(*COMMANDS))
-        .withColumn(
-            "reject",
-            F.when(F.col("cmd").rlike("^:+$"), F.lit("no_command"))
-            .when(
-                op.isin("EXPR1", *COMMANDS_WITH_NUMBER) & word.isNull(), F.lit("missing_argument")
-            )
-            .when(op.isin(*COMMANDS_WITH_NUMBER) & number.isNull(), F.lit("bad_number"))
-            .when(
-                F.col("supported") & times.has_bad_interval(F.col("intervals")),
-                F.lit("bad_interval"),
-            ),
-        )
+    parsed = F.struct(
+        op.alias("op"),
+        F.when(op.isin(*COMMANDS_WITH_NUMBER), number).alias("arg"),
+        F.when(op == "EXPR1", word).alias("formula"),
+        times.parse_intervals(F.col("avg")).alias("intervals"),
+        op.isin(*COMMANDS).alias("supported"),
+        F.when(F.col("cmd").rlike("^:+$"), F.lit("no_command"))
+        .when(op.isin("EXPR1", *COMMANDS_WITH_NUMBER) & word.isNull(), F.lit("missing_argument"))
+        .when(op.isin(*COMMANDS_WITH_NUMBER) & number.isNull(), F.lit("bad_number"))
+        .alias("reject"),
+    )
+    # The generator keeps filters on parsed columns above it, so that each rule is parsed once.
+    rows = rules.select("*", F.inline(F.array(parsed)))
+    bad_interval = F.col("supported") & times.has_bad_interval(F.col("intervals"))
+    return rows.withColumn(
+        "reject", F.coalesce("reject", F.when(bad_interval, F.lit("bad_interval")))
     )
 
 
@@ -193,19 +190,23 @@ class RuleBook:
             + 48 * F.coalesce(F.length("formula"), F.lit(0))
             + 40 * F.size("intervals")
         )
-        per_device = effective.groupBy(*key).agg(
-            F.count(F.lit(1)).alias("ports"), F.sum(row_bytes).alias("bytes")
-        )
-        size = per_device.agg(F.sum("bytes").alias("bytes"), F.max("ports").alias("ports")).first()
-        distinct = (
-            effective.filter(F.col("formula").isNotNull())
-            .select("formula")
-            .distinct()
-            .limit(NATIVE_FORMULAS + 1)
+        # One row per formula; more rows than formulas may be compiled stand for a longer list.
+        measured = (
+            effective.groupBy("formula")
+            .agg(F.sum(row_bytes).alias("bytes"), F.max("pidx").alias("pidx"))
+            .limit(NATIVE_FORMULAS + 2)
             .collect()
         )
-        few = len(distinct) <= NATIVE_FORMULAS
-        texts = tuple(sorted(row.formula for row in distinct)) if few else None
+        few = len(measured) <= NATIVE_FORMULAS + 1
+        if few:
+            total = sum(row.bytes for row in measured)
+            last_port = max((row.pidx for row in measured), default=ANY_PORT)
+        else:
+            row = effective.agg(F.sum(row_bytes).alias("bytes"), F.max("pidx").alias("pidx")).first()
+            total, last_port = row.bytes, row.pidx
+        # A device has at most one rule per port and one for any port.
+        narrow = last_port + 2 <= PORT_RULES_PER_DEVICE or not RuleBook._has_wide(effective, key)
+        texts = tuple(sorted(r.formula for r in measured if r.formula is not None)) if few else None
         if few:
             known = F.array(*[F.lit(t) for t in texts]) if texts else F.array().cast("array<string>")
             formula_id = (F.array_position(known, F.col("formula")) - 1).cast("int")
@@ -219,11 +220,16 @@ class RuleBook:
         return RuleBook(
             rules=effective.select(*key, "pidx", rule.alias("rule")),
             key=key,
-            small=(size.bytes or 0) <= BROADCAST_BYTES,
-            narrow=(size.ports or 0) <= PORT_RULES_PER_DEVICE,
+            small=total <= BROADCAST_BYTES,
+            narrow=narrow,
             formulas=texts,
         )
 
+    @staticmethod
+    def _has_wide(effective: DataFrame, key: tuple[str, ...]) -> bool:
+        ports = effective.groupBy(*key).agg(F.count(F.lit(1)).alias("ports"))
+        return not ports.filter(F.col("ports") > PORT_RULES_PER_DEVICE).isEmpty()
+
     def formula_value(self, rule: Column, x: Column) -> Column:
         """The value of an EXPR1 rule at `x`."""
         if self.formulas is None:
