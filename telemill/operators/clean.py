@@ -112,8 +112,9 @@ def _clean_by_port(
     )
     whole = entries.groupBy(*identity).agg(
         *[F.first(c).alias(c) for c in others],
-        F.sort_array(
-            F.collect_list(F.when(F.col("pidx").isNotNull(), F.col("entry")))
+        F.array_sort(
+            F.collect_list(F.when(F.col("pidx").isNotNull(), F.col("entry"))),
+            lambda a, b: a["pidx"] - b["pidx"],
         ).alias("entries"),
     )
     return whole.withColumn("values", F.transform("entries", lambda e: e["port"])).select(

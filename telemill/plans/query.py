@@ -47,7 +47,7 @@ def run_sql(messages: DataFrame, query: str, port: int = -1, view: str = VIEW) -
     name = f"device_value_{uuid.uuid4().hex}"
     # Text literals are matched first and kept, so only the table name itself is replaced.
     pattern = rf"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|\b{re.escape(view)}\b"
-    text = re.sub(pattern, lambda m: m.group(1) or name, query)
+    text = re.sub(pattern, lambda m: m.group(1) or name, query, flags=re.IGNORECASE)
     device_value(messages, port).createOrReplaceTempView(name)
     try:
         return spark.sql(text)

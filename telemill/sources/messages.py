@@ -32,64 +32,106 @@ def read_text_stream(spark: SparkSession, path: str, **options: str) -> DataFram
     return spark.readStream.options(**options).text(path)
 
 
+# Most messages have the expected types and are read by one typed parse. What that parse cannot
+# take as it is (text numbers, odd ports, broken JSON) leaves its text in `_odd` and is read again
+# as a variant.
+_TYPED = (
+    ", ".join(f"`{key}` {kind}" for key, kind in KEY_TYPES.items())
+    + ", `values` array<map<string,variant>>, `_odd` string"
+)
+_TEXT_MAP = "map<string,variant>"
+
+
 def _map(body: Column) -> Column:
-    return F.try_variant_get(body, "$", "map<string,variant>")
+    return F.try_variant_get(body, "$", _TEXT_MAP)
 
 
-def _unknown_keys(body: Column, known: tuple[str, ...]) -> Column:
+def _rest(entries: Column, known: tuple[str, ...]) -> Column:
     """JSON text of the other keys of an object, null if there are none."""
-    rest = F.map_filter(_map(body), lambda key, _: ~key.isin(*known))
+    rest = F.map_filter(entries, lambda key, _: ~key.isin(*known))
     return F.when(F.size(rest) > 0, F.to_json(rest))
 
 
-def _port(body: Column) -> Column:
+def _has_others(size: Column, known: list[Column]) -> Column:
+    """An object has more keys than known ones with a value; only then `_rest` has to look."""
+    return size > sum((c.isNotNull().cast("int") for c in known), F.lit(0))
+
+
+def _is_object(body: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
+
+
+def _typed_port(entries: Column) -> Column:
+    value, valid, unit = [F.try_element_at(entries, F.lit(key)) for key in PORT_KEYS]
+    return F.struct(
+        value.alias("value"),
+        F.try_variant_get(valid, "$", "boolean").alias("valid"),
+        F.try_variant_get(unit, "$", "string").alias("unit"),
+        F.when(entries.isNull(), F.lit("null"))
+        .when(_has_others(F.size(entries), [value, valid, unit]), _rest(entries, PORT_KEYS))
+        .alias("extra"),
+    )
+
+
+def _odd_port(body: Column) -> Column:
     """One element of `values`; what is no object is kept as text in `extra`."""
     return F.struct(
         F.try_variant_get(body, "$.value", "variant").alias("value"),
         F.try_variant_get(body, "$.valid", "boolean").alias("valid"),
         F.try_variant_get(body, "$.unit", "string").alias("unit"),
-        F.when(_is_object(body), _unknown_keys(body, PORT_KEYS))
+        F.when(_is_object(body), _rest(_map(body), PORT_KEYS))
         .otherwise(F.to_json(body))
         .alias("extra"),
     )
 
 
-def _parsed(df: DataFrame, column: str) -> DataFrame:
-    # The generators keep filters above them, so that no filter parses a text a second time.
-    elements = F.try_variant_get("_body", "$.values", "array<variant>")
-    return (
-        df.withColumnRenamed(column, "raw")
-        .select("*", F.explode(F.array(F.try_parse_json("raw"))).alias("_body"))
-        .select("*", F.explode(F.array(elements)).alias("_elements"))
-    )
-
-
-def _is_object(body: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
-
-
 def decode(df: DataFrame, column: str = "value") -> DataFrame:
     """JSON text as message columns, `raw` and `reject`, the reason of a message to set aside."""
-    parsed = _parsed(df, column)
-    columns = {key: F.try_variant_get("_body", f"$.{key}", kind) for key, kind in KEY_TYPES.items()}
-    reject = _reject_reason(columns)
-    columns["values"] = F.transform("_elements", _port)
-    columns["extra"] = _unknown_keys(F.col("_body"), REQUIRED_KEYS + OPTIONAL_KEYS)
-    helpers = ("raw", "_body", "_elements")
-    kept = [c for c in parsed.columns if c not in (*helpers, *MESSAGE_COLUMNS)]
+    kept = [c for c in df.columns if c not in (column, *MESSAGE_COLUMNS)]
+    typed = F.from_json("raw", _TYPED, {"columnNameOfCorruptRecord": "_odd"})
+    is_odd = F.col("_odd").isNotNull() | (F.trim(F.coalesce("raw", F.lit(""))) == "")
+    # The generators keep filters above them, so that no filter parses a text a second time.
+    parsed = (
+        df.select(*kept, F.col(column).alias("raw"))
+        .select("*", F.inline_outer(F.array(typed)))
+        .select("*", F.explode(F.array(F.when(is_odd, F.try_parse_json("raw")))).alias("_body"))
+    )
+    body, known = F.col("_body"), REQUIRED_KEYS + OPTIONAL_KEYS
+    elements = F.try_variant_get(body, "$.values", "array<variant>")
+    columns = {
+        key: F.when(is_odd, F.try_variant_get(body, f"$.{key}", kind)).otherwise(F.col(key))
+        for key, kind in KEY_TYPES.items()
+    }
+    reject = _reject_reason(columns, is_odd, elements)
+    columns["values"] = F.when(is_odd, F.transform(elements, _odd_port)).otherwise(
+        F.transform("values", _typed_port)
+    )
+    has_others = _has_others(F.size(F.json_object_keys("raw")), [F.col(k) for k in known])
+    columns["extra"] = F.when(is_odd, _rest(_map(body), known)).when(
+        has_others, _rest(F.from_json("raw", _TEXT_MAP), known)
+    )
     return parsed.select(
         *kept, *[columns[c].alias(c) for c in MESSAGE_COLUMNS], "raw", reject.alias("reject")
     )
 
 
-def _reject_reason(columns: dict[str, Column]) -> Column:
-    elements, portnum = F.col("_elements"), columns["portnum"]
-    reason = F.when(~_is_object(F.col("_body")), F.lit("not_json"))
+def _reject_reason(columns: dict[str, Column], is_odd: Column, elements: Column) -> Column:
+    ports, portnum = F.col("values"), columns["portnum"]
+    no_values = F.when(is_odd, elements.isNull()).otherwise(ports.isNull())
+    reason = F.when(is_odd & ~_is_object(F.col("_body")), F.lit("not_json"))
     for key in REQUIRED_KEYS:
-        reason = reason.when(columns.get(key, elements).isNull(), F.lit(f"missing_{key}"))
-    ports = F.slice(elements, F.lit(1), F.greatest(portnum, F.lit(0)))
-    return reason.when(portnum > F.size(elements), F.lit("portnum_exceeds_values")).when(
-        F.exists(ports, lambda port: ~_is_object(port)), F.lit("port_not_object")
+        missing = no_values if key == "values" else columns[key].isNull()
+        reason = reason.when(missing, F.lit(f"missing_{key}"))
+
+    def used(array: Column) -> Column:
+        return F.slice(array, F.lit(1), F.greatest(portnum, F.lit(0)))
+
+    not_object = F.when(is_odd, F.exists(used(elements), lambda e: ~_is_object(e))).otherwise(
+        F.exists(used(ports), lambda entries: entries.isNull())
+    )
+    size = F.when(is_odd, F.size(elements)).otherwise(F.size(ports))
+    return reason.when(portnum > size, F.lit("portnum_exceeds_values")).when(
+        not_object, F.lit("port_not_object")
     )
 
 
@@ -104,23 +146,19 @@ def quarantined(decoded: DataFrame) -> DataFrame:
 
 
 def _as_map(text: Column) -> Column:
-    return F.coalesce(
-        _map(F.try_parse_json(text)), F.create_map().cast("map<string,variant>")
-    )
+    return F.coalesce(F.from_json(text, _TEXT_MAP), F.create_map().cast(_TEXT_MAP))
 
 
-def _wire_port(port: Column) -> Column:
-    known = F.to_variant_object(F.struct(*[port[k].alias(k) for k in PORT_KEYS]))
-    filled = F.map_filter(_map(known), lambda _, v: ~F.is_variant_null(v) & v.isNotNull())
-    # A JSON null of the sender stays one.
-    sent_null = F.is_variant_null(port["value"])
-    value = F.when(
-        sent_null, F.create_map(F.lit("value"), port["value"])
-    ).otherwise(F.create_map().cast("map<string,variant>"))
-    whole = F.to_variant_object(F.map_concat(filled, value, _as_map(port["extra"])))
-    return F.when(
-        port["extra"].isNotNull() & ~port["extra"].startswith("{"), F.parse_json(port["extra"])
-    ).otherwise(whole)
+def _plain_port(port: Column) -> Column:
+    return F.struct(*[port[k].alias(k) for k in PORT_KEYS])
+
+
+def _whole_port(port: Column) -> Column:
+    """A port with the keys of `extra` merged in, as a variant."""
+    known = F.from_json(F.to_json(_plain_port(port)), _TEXT_MAP)
+    whole = F.to_variant_object(F.map_concat(known, _as_map(port["extra"])))
+    is_object = F.coalesce(port["extra"].startswith("{"), F.lit(True))
+    return F.when(is_object, whole).otherwise(F.parse_json(port["extra"]))
 
 
 def to_wire(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -129,18 +167,17 @@ def to_wire(messages: DataFrame, column: str = "value") -> DataFrame:
     Other columns of the input stay beside the text.
     """
     names = [c for c in MESSAGE_COLUMNS if c in messages.columns and c != "extra"]
-    ports = F.to_variant_object(F.transform("values", _wire_port))
-    known = F.struct(
-        *[(ports if c == "values" else F.col(c)).alias(c) for c in names]
+    extra = F.col("extra") if "extra" in messages.columns else F.lit(None).cast("string")
+
+    def known(ports: Column) -> Column:
+        return F.struct(*[(ports if c == "values" else F.col(c)).alias(c) for c in names])
+
+    plain = F.to_json(known(F.transform("values", _plain_port)))
+    # Only messages with further keys pay for the merge.
+    merged_ports = F.to_json(known(F.transform("values", _whole_port)))
+    whole = F.to_json(F.map_concat(F.from_json(merged_ports, _TEXT_MAP), _as_map(extra)))
+    has_more = extra.isNotNull() | F.coalesce(
+        F.exists("values", lambda port: port["extra"].isNotNull()), F.lit(False)
     )
-    if "extra" in messages.columns:
-        filled = F.map_filter(
-            _map(F.to_variant_object(known)), lambda _, v: ~F.is_variant_null(v)
-        )
-        text = F.when(F.col("extra").isNull(), F.to_json(known)).otherwise(
-            F.to_json(F.map_concat(filled, _as_map(F.col("extra"))))
-        )
-    else:
-        text = F.to_json(known)
     others = [F.col(c) for c in messages.columns if c not in MESSAGE_COLUMNS]
-    return messages.select(*others, text.alias(column))
+    return messages.select(*others, F.when(has_more, whole).otherwise(plain).alias(column))
