@@ -70,8 +70,12 @@ def m1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus",
     )
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sort_array(F.collect_list(line)).alias("lines")
+    # Partitioned first: lists do not shrink by being collected before the shuffle.
+    per_order = (
+        lines.select(F.col("l_orderkey").alias("o_orderkey"), line.alias("line"))
+        .repartition("o_orderkey")
+        .groupBy("o_orderkey")
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
     ports = F.transform(
         "lines",

@@ -201,11 +201,8 @@ _sql(
 _sql("sql_distinct", "SELECT DISTINCT did, valid FROM deviceValue")
 _sql(
     "sql_rollup_cube",
-    f"SELECT day, valid, count(*) AS n, grouping(day) AS all_days, grouping(valid) AS all_flags "
-    f"FROM (SELECT ptimestamp - ptimestamp % {DAY} AS day, valid FROM deviceValue) AS d "
-    "GROUP BY CUBE (day, valid)",
-    f"SELECT day, valid, count(*) AS n, CAST(grouping(day) AS TINYINT) AS all_days, "
-    f"CAST(grouping(valid) AS TINYINT) AS all_flags "
+    "SELECT day, valid, count(*) AS n, CAST(grouping(day) AS INTEGER) AS all_days, "
+    "CAST(grouping(valid) AS INTEGER) AS all_flags "
     f"FROM (SELECT ptimestamp - ptimestamp % {DAY} AS day, valid FROM deviceValue) AS d "
     "GROUP BY CUBE (day, valid)",
 )

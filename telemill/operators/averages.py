@@ -52,30 +52,31 @@ def tumbling(rows: DataFrame) -> DataFrame:
     )
 
 
-def rollover_in_order(rows: DataFrame, arrival: str) -> DataFrame:
+def rollover_in_order(
+    rows: DataFrame, arrival: str, slice_buckets: int = 100_000, carry: Sequence[str] = ()
+) -> DataFrame:
     """`rollover` for readings whose buckets never go back along `arrival`, a numeric column.
 
     Then a run is a bucket, so readings are summed before they are shuffled, and only buckets are
-    put in order. Readings that break the order end the job.
+    put in order, `slice_buckets` of a key at a time. Readings that break the order end the job.
     """
     order = F.col(arrival)
-    runs = rows.groupBy(*KEY, "bucket").agg(
+    trigger = ("dtimestamp", "ptimestamp", *carry)
+    buckets = rows.groupBy(*KEY, "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
-        F.min(order).alias("_first"),
+        F.min(order).alias("_own__first"),
         F.max(order).alias("_last"),
-        F.min_by("dtimestamp", order).alias("_dts"),
-        F.min_by("ptimestamp", order).alias("_pts"),
-    )
-    along = Window.partitionBy(*KEY).orderBy("bucket")
-    following = F.lead("_first").over(along)
-    return runs.withColumn(
-        "dtimestamp",
-        F.when(following < F.col("_last"), F.raise_error(F.lit("readings are not in order")))
-        .otherwise(F.lead("_dts").over(along)),
-    ).select(
-        *KEY, "bucket", "sum", "num", "dtimestamp", F.lead("_pts").over(along).alias("ptimestamp")
+        *[F.min_by(c, order).alias(f"_own_{c}") for c in trigger],
     )
+    slices = F.floor(F.col("bucket") / F.col("interval") / F.lit(slice_buckets))
+    in_slice = Window.partitionBy(*KEY, "_slice").orderBy("bucket")
+    runs = buckets.withColumn("_slice", slices).withColumn("_run", F.row_number().over(in_slice))
+    checked = F.when(
+        F.col("_first") < F.col("_last"), F.raise_error(F.lit("readings are not in order"))
+    ).otherwise(F.col("dtimestamp"))
+    closed = _stitch(runs, ("_first", *trigger), F.max("_last").alias("_last"))
+    return closed.withColumn("dtimestamp", checked).drop("_first", "_last")
 
 
 def rollover(
@@ -106,7 +107,12 @@ def rollover(
     return _stitch(runs, trigger)
 
 
-def _stitch(runs: DataFrame, trigger: Sequence[str]) -> DataFrame:
+def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame:
+    """Joins the runs of neighbouring slices and finds the reading that closed each.
+
+    `runs` has `_slice`, `_run` (from 1 in each slice) and the `_own_` columns of the first reading
+    of a run. `more` holds further aggregates over the parts of a run.
+    """
     by_run = Window.partitionBy(*KEY, "_slice").orderBy("_run")
     whole_slice = Window.partitionBy(*KEY, "_slice")
     own = F.struct(*[F.col(f"_own_{c}").alias(c) for c in trigger])
@@ -115,9 +121,9 @@ def _stitch(runs: DataFrame, trigger: Sequence[str]) -> DataFrame:
         .withColumn("_next", F.lead("_own").over(by_run))
         .withColumn("_runs", F.max("_run").over(whole_slice))
     )
-    columns = [*KEY, "bucket", "sum", "num"]
+    kept = [c for c in runs.columns if not c.startswith("_own_") and c not in ("_slice", "_run")]
     is_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
-    inner = numbered.filter(~is_edge).select(*columns, "_next")
+    inner = numbered.filter(~is_edge).select(*kept, "_next")
 
     # A run that reaches over the end of a slice continues as the first run of the next slice.
     along = Window.partitionBy(*KEY).orderBy("_slice", "_run")
@@ -133,12 +139,10 @@ def _stitch(runs: DataFrame, trigger: Sequence[str]) -> DataFrame:
     merged = edges.groupBy(*KEY, "_joined", "bucket").agg(
         F.sum("sum").alias("sum"),
         F.sum("num").alias("num"),
+        *more,
         F.max_by("_closer", F.struct("_slice", "_run")).alias("_next"),
     )
-    return (
-        inner.unionByName(merged.select(*columns, "_next"))
-        .select(*columns, "_next.*")
-    )
+    return inner.unionByName(merged.select(*kept, "_next")).select(*kept, "_next.*")
 
 
 def emitted(runs: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def write_backup(
 ) -> None:
     """Appends a batch as JSON lines by day and hour of writing; without a path nothing happens.
 
-    A batch of messages is written in wire format; other records (averages) as they are.
+    A batch of messages is written in wire format; average records without the app that files them.
     """
     if path is None:
         return
@@ -109,7 +109,7 @@ def write_backup(
     if "values" in batch.columns:
         lines = to_wire(filed)
     else:
-        lines = filed.withColumn("value", F.to_json(F.struct(*batch.drop(at).columns)))
+        lines = filed.withColumn("value", F.to_json(F.struct(*batch.drop(at, "app").columns)))
     lines = lines.filter(F.col("value").isNotNull()).select("value", *folder)
     (
         _balanced(lines, "day", "hour")

@@ -10,7 +10,10 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from telemill.sources import stores
+from telemill.streaming.clean import TRIGGER, Sinks
 
 # Executors get the functions of this module with the task, without an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -180,3 +183,35 @@ def window_stream(rows: DataFrame, interval: int, delay: str = "0 seconds") -> D
         .agg(F.sum("x").alias("sum"), F.count("x").alias("num"))
         .select("did", "pidx", "avg", "interval", bucket, "sum", "num")
     )
+
+
+def store_records(
+    records: DataFrame,
+    sinks: Sinks,
+    checkpoint: str,
+    name: str = "averages",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Starts a query that forwards average records as JSON and files them by app and day."""
+    stamped = stores.stamp(records)
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch_id = f"{name}-{number}"
+        batch = batch.persist()
+        try:
+            if sinks.forward is not None:
+                fields = batch.drop("app", "stored_at").columns
+                sinks.forward(batch.select(F.to_json(F.struct(*fields)).alias("value")), batch_id)
+            if sinks.main is not None or sinks.backup is not None:
+                stores.store_batch(batch, batch_id, sinks.main, sinks.backup, sinks.level)
+        finally:
+            batch.unpersist()
+
+    return (
+        stamped.writeStream.queryName(name)
+        .foreachBatch(each)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": TRIGGER}))
+        .start()
+    )

@@ -98,3 +98,16 @@ def test_readings(spark):
     found = A.readings(sent, book, ["app"]).collect()
     assert sorted((r.app, r.did, r.pidx, r.avg, r.interval, r.bucket, r.x) for r in found) == [
         ("app1", "d1", 0, "HOUR", 3600000, 0, 4.0), ("app1", "d1", 0, "MIN", 60000, 60000, 4.0)]
+
+
+def test_rollover_in_order_over_many_slices(spark):
+    random.seed(2)
+    items = [(i, i * 40, random.randrange(9)) for i in range(200)]
+    frame = rows(spark, items, 100)
+    for width in (1, 3, 7, 1000):
+        runs = A.rollover_in_order(frame, "seq", width)
+        expected, still = reference(items, 100)
+        assert closed(runs) == expected
+        assert tuple(A.still_open(runs).first())[4:] == still
+        with pytest.raises(Exception, match="not in order"):
+            A.rollover_in_order(rows(spark, CASE), "seq", width).collect()

@@ -114,3 +114,30 @@ def test_idle_buckets_are_evicted(spark, tmp_path):
     finally:
         query.stop()
     assert [(r.id, r["sum"], r.num) for r in found] == [("d", 3.0, 1)]
+
+
+def test_average_records_are_forwarded_and_stored(spark, tmp_path):
+    SA.use_state_store(spark)
+    folder = str(tmp_path / "in")
+    frame = rows(spark, CASE).withColumn("app", F.lit("a"))
+    frame.coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema(frame.schema).parquet(folder)
+
+    def broken(batch, number):
+        raise OSError("main store is down")
+
+    sinks = Sinks(forward=parquet_batches(str(tmp_path / "out")), main=broken,
+                  backup=backup_store(str(tmp_path / "backup")))
+    SA.store_records(SA.rollover_stream(stream, "seq"), sinks, str(tmp_path / "c"),
+                     trigger=ONCE).awaitTermination()
+    expected = {"id": "d", "portid": 0, "avg": "MIN", "dtimestamp": 60005, "ptimestamp": 60000,
+                "sum": 3.0, "num": 2}
+    for path in ("out", "backup"):
+        reader = spark.read.schema("value string")
+        table = reader.parquet if path == "out" else reader.text
+        found = [json.loads(r.value) for r in table(str(tmp_path / path)).collect()]
+        assert len(found) == 3 and expected in found
+    SA.store_records(
+        SA.rollover_stream(stream, "seq"), Sinks(main=main_store(str(tmp_path / "main"))),
+        str(tmp_path / "c2"), trigger=ONCE).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "main")).filter("app = 'a'").count() == 3
