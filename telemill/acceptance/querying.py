@@ -167,10 +167,18 @@ def sample_messages(spark, sf_dir):
     )
 
 
-@query("sample_messages_json")
+@query(
+    "sample_messages_json",
+    f"""WITH {M2_SQL}
+    SELECT '{{"app":"' || app || '","id":"' || id || '","portnum":1,"dtimestamp":' || dtimestamp
+           || ',"ptimestamp":' || ptimestamp || ',"values":[{{"value":' || value || ',"valid":'
+           || valid || '}}],"dtype":"' || dtype || '","desc":"' || replace("desc", '"', '\\"')
+           || '"}}' AS value
+    FROM m2 WHERE {SAMPLE_WHERE}""",
+)
 def sample_messages_json(spark, sf_dir):
     found = Q.sample_messages(m2(spark, sf_dir), **SAMPLE, properties={"dtype": "view"})
-    return Q.as_json(found)
+    return Q.as_json(found.drop("seq"))
 
 
 def _sql(name, text, oracle=None):

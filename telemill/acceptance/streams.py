@@ -13,7 +13,7 @@ from telemill.functions import times
 from telemill.functions import values as V
 from telemill.operators.clean import explode_ports
 from telemill.session import shared_folder
-from telemill.sources.messages import to_wire
+from telemill.sources.messages import accepted, decode, to_wire
 from telemill.streaming import averages as SA
 from telemill.streaming.clean import Sinks, clean_stream, parquet_batches
 from telemill.streaming.progress import progress_rows
@@ -71,8 +71,6 @@ def readings_stream(spark, path):
     FROM ruled2""",
 )
 def stream_clean(spark, sf_dir):
-    from telemill.sources.messages import accepted, decode
-
     _, cleaned, _ = run_clean(spark, sf_dir)
     ports = explode_ports(accepted(decode(spark.read.parquet(cleaned))))
     return ports.select(
@@ -103,7 +101,15 @@ def stream_window_avg(spark, sf_dir):
     return rounded(run_to_table(spark, windows, "windows"))
 
 
-@query("stream_progress")
+@query(
+    "stream_progress",
+    """SELECT count(*) AS num_records, count(*) AS valid_num,
+              CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS invalid_num,
+              true AS timed
+       FROM events""",
+)
 def stream_progress(spark, sf_dir):
     running, _, _ = run_clean(spark, sf_dir)
-    return progress_rows(spark, running)
+    batches = progress_rows(spark, running).filter("num_records > 0")
+    timed = (F.col("processing_ms") > 0) & (F.col("total_ms") >= F.col("processing_ms"))
+    return batches.select("num_records", "valid_num", "invalid_num", timed.alias("timed"))

@@ -29,20 +29,20 @@ def readings(
     ruled = rule_lookup(slim, book).filter(
         (F.size("rule.intervals") > 0) & V.is_present(F.col("value"))
     )
-    x, _ = transform_value(book, F.col("rule"), F.col("value"), strict)
-    single = ruled.select(
-        F.col("id").alias("did"),
-        "pidx",
-        "dtimestamp",
-        "ptimestamp",
-        *keep,
-        x.alias("x"),
-        F.col("rule.intervals").alias("intervals"),
-    ).filter(F.col("x").isNotNull())
-    each = single.select("*", F.inline("intervals")).withColumnRenamed("ms", "interval")
-    return each.drop("intervals").withColumn(
-        "bucket", times.bucket(F.col("ptimestamp"), F.col("interval"))
+    others = ("pidx", "dtimestamp", "ptimestamp", *keep)
+    coerced = ruled.select(
+        F.col("id").alias("did"), *others, "rule", V.to_double(F.col("value")).alias("_value")
+    )
+    x, _ = transform_value(book, F.col("rule"), F.col("_value"), strict)
+    single = coerced.select("did", *others, x.alias("x"), F.col("rule.intervals").alias("_list"))
+    # An outer generator drops failed readings without a filter that would compute `x` again.
+    fed = F.when(F.col("x").isNotNull(), F.col("_list"))
+    each = (
+        single.select("did", *others, "x", F.inline_outer(fed))
+        .withColumnRenamed("ms", "interval")
+        .filter(F.col("interval").isNotNull())
     )
+    return each.withColumn("bucket", times.bucket(F.col("ptimestamp"), F.col("interval")))
 
 
 def tumbling(rows: DataFrame) -> DataFrame:

@@ -37,10 +37,10 @@ def has_invalid_port(values: Column, portnum: Column) -> Column:
 
 
 def transform_value(
-    book: RuleBook, rule: Column, value: Column, strict: bool = False
+    book: RuleBook, rule: Column, x: Column, strict: bool = False
 ) -> tuple[Column, Column]:
-    """The new double value of a present port value under `rule`, and the error if there is none."""
-    x = V.to_double(value)
+    """The new value under `rule` of a present port value, and the error if there is none; `x` is
+    that value as a double."""
     error = V.action_error(rule["op"], x)
     result = V.apply_command(rule["op"], rule["arg"], x, book.formula_value(rule, x))
     return (V.strictly(result, error) if strict else result), error
@@ -64,7 +64,7 @@ def rule_lookup(messages: DataFrame, book: RuleBook) -> DataFrame:
 
 def _cleaned_port(book: RuleBook, item: Column, strict: bool) -> Column:
     port, rule = item["port"], item["rule"]
-    result, error = transform_value(book, rule, port["value"], strict)
+    result, error = transform_value(book, rule, item["x"], strict)
     replaced = rule.isNotNull() & V.is_present(port["value"])
     return F.struct(
         F.when(replaced, result.cast("variant")).otherwise(port["value"]).alias("value"),
@@ -86,7 +86,9 @@ def _clean_in_place(messages: DataFrame, book: RuleBook, strict: bool) -> DataFr
             F.try_element_at(rules, pidx), F.try_element_at(rules, F.lit(ANY_PORT))
         )
         return F.struct(
-            port.alias("port"), F.when(pidx < F.col("portnum"), rule).alias("rule")
+            port.alias("port"),
+            F.when(pidx < F.col("portnum"), rule).alias("rule"),
+            V.to_double(port["value"]).alias("x"),
         )
 
     # Bound first, so that a port looks its rule up once.
@@ -106,7 +108,11 @@ def _clean_by_port(
         *identity, *others, F.posexplode_outer("values").alias("pidx", "port")
     ).withColumnRenamed("id", "did")
     found = book.lookup(ports, book.key).withColumnRenamed("did", "id")
-    item = F.struct("port", F.when(F.col("pidx") < F.col("portnum"), F.col("rule")).alias("rule"))
+    item = F.struct(
+        "port",
+        F.when(F.col("pidx") < F.col("portnum"), F.col("rule")).alias("rule"),
+        V.to_double(F.col("port.value")).alias("x"),
+    )
     entries = found.withColumn(
         "entry", F.struct("pidx", _cleaned_port(book, item, strict).alias("port"))
     )
