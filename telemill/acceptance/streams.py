@@ -40,6 +40,7 @@ def run_clean(spark, sf_dir):
         Sinks(forward=parquet_batches(cleaned), readings=parquet_batches(readings)),
         os.path.join(folder, "checkpoint"),
         keep=("seq",),
+        arrival="seq",
         trigger=ONCE,
     )
     running.awaitTermination()
@@ -82,7 +83,7 @@ def stream_clean(spark, sf_dir):
 def stream_rollover(spark, sf_dir):
     SA.use_state_store(spark)
     _, _, path = run_clean(spark, sf_dir)
-    records = SA.rollover_stream(readings_stream(spark, path), "seq")
+    records = SA.rollover_stream(readings_stream(spark, path))
     return rounded(run_to_table(spark, records, "rollover")).drop("app")
 
 

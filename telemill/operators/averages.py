@@ -90,8 +90,15 @@ def rollover(
     number; it cuts the readings of a key into slices of `slice_width`, so that a hot device is
     put in order slice by slice. Only the first and last runs of slices meet per key.
     """
-    slices = F.floor(F.col(arrival[0]) / F.lit(slice_width))
     trigger = ("dtimestamp", "ptimestamp", *carry)
+    return _stitch(_slice_runs(rows, arrival, slice_width, trigger), trigger)
+
+
+def _slice_runs(
+    rows: DataFrame, arrival: Sequence[str], slice_width: int, own: Sequence[str]
+) -> DataFrame:
+    """Runs of one bucket within slices of arrival, with the `own` columns of the first reading."""
+    slices = F.floor(F.col(arrival[0]) / F.lit(slice_width))
     in_slice = Window.partitionBy(*KEY, "_slice").orderBy(*arrival)
     previous = F.lag("bucket").over(in_slice)
     marked = (
@@ -99,12 +106,27 @@ def rollover(
         .withColumn("_starts", previous.isNull() | (previous != F.col("bucket")))
         .withColumn("_run", F.sum(F.col("_starts").cast("int")).over(in_slice))
     )
-    runs = marked.groupBy(*KEY, "_slice", "_run", "bucket").agg(
+    return marked.groupBy(*KEY, "_slice", "_run", "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
-        *[F.max(F.when(F.col("_starts"), F.col(c))).alias(f"_own_{c}") for c in trigger],
+        *[F.max(F.when(F.col("_starts"), F.col(c))).alias(f"_own_{c}") for c in own],
+    )
+
+
+def partial_runs(
+    rows: DataFrame, arrival: str, slice_width: int = 100_000, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Readings of a micro-batch summed as runs of one bucket, in place of single readings.
+
+    Each run has `sum`, `num`, and `arrival`, `dtimestamp`, `ptimestamp` and the `carry` columns of
+    its first reading. A hot device so sends few rows to the state that holds its open bucket.
+    """
+    own = ("dtimestamp", "ptimestamp", *carry)
+    runs = _slice_runs(
+        rows.withColumn("arrival", F.col(arrival)), [arrival], slice_width, (*own, "arrival")
     )
-    return _stitch(runs, trigger)
+    first = [F.col(f"_own_{c}").alias(c) for c in (*own, "arrival")]
+    return runs.select(*KEY, "bucket", "sum", "num", *first)
 
 
 def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame:

@@ -11,17 +11,24 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 
 
-def lookup_join(left: DataFrame, table: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
+def lookup_join(
+    left: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    small: bool,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """`left` joined with at most one row of `table` per key.
 
     `small` says that the size of `table` was measured and is fit for a broadcast. Otherwise the
     table is shuffled, and the rows of hot keys are kept out of that shuffle: their table rows are
-    few by the definition of hot, so these are broadcast.
+    few by the definition of hot, so these are broadcast. Keys are counted in `counted`, a frame
+    with the keys of `left` that is cheaper to read.
     """
     on = list(on)
     if small:
         return left.join(F.broadcast(table), on, "left")
-    hot = hot_keys(left, on)
+    hot = hot_keys(left if counted is None else counted, on)
     if hot is None:
         return left.join(table, on, "left")
     hot_table = table.join(F.broadcast(hot), on, "left_semi")

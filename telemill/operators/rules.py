@@ -258,7 +258,7 @@ class RuleBook:
             self.rules.filter(F.col("pidx") == ANY_PORT).drop("pidx"), key
         ).withColumnRenamed("rule", "any_rule")
         found = lookup_join(ports, exact, [*key, "pidx"], self.small)
-        found = lookup_join(found, wildcard, key, self.small)
+        found = lookup_join(found, wildcard, key, self.small, counted=ports)
         return found.withColumn("rule", F.coalesce("exact_rule", "any_rule"))
 
     def by_device(self, key: tuple[str, ...] = ("did",)) -> DataFrame:

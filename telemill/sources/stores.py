@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import enum
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,20 +122,53 @@ def write_backup(
     )
 
 
+@dataclass(frozen=True)
+class MainStore:
+    """Writes batches to the main store at `path`."""
+
+    path: str
+
+    def __call__(self, batch: DataFrame, batch_id: str) -> None:
+        write_main(batch, self.path, batch_id)
+
+
+@dataclass(frozen=True)
+class BackupStore:
+    """Writes batches to the backup store at `path`."""
+
+    path: str
+
+    def __call__(self, batch: DataFrame, batch_id: str) -> None:
+        write_backup(batch, self.path, batch_id)
+
+    def holds(self, spark: SparkSession, batch_id: str) -> bool:
+        """Some rows of the batch are in the store."""
+        try:
+            return not spark.read.text(f"{self.path}/day=*/hour=*/batch={batch_id}").isEmpty()
+        except AnalysisException:
+            return False
+
+
 def store_batch(
     batch: DataFrame,
     batch_id: str,
     main: Callable[[DataFrame, str], None] | None,
     backup: Callable[[DataFrame, str], None] | None,
     level: Level = Level.BOTH,
+    replayed: bool = False,
 ) -> list[str]:
     """Writes a batch by its level and says where it went.
 
     The backup is written if main is off or failed, or always with BOTH_FORCE. A failure nobody
     catches ends the micro-batch, which is then replayed. No main store at all counts as failed.
+    With `replayed`, a batch that an earlier run left in the backup goes there again, so that it
+    does not end up in both stores.
     """
     written = []
-    if level.main and main is not None:
+    to_main = level.main and main is not None
+    if replayed and level is Level.BOTH and isinstance(backup, BackupStore):
+        to_main = to_main and not backup.holds(batch.sparkSession, batch_id)
+    if to_main:
         try:
             main(batch, batch_id)
             written.append("main")

@@ -1,4 +1,4 @@
-"""Averages over a stream of readings (see `telemill.operators.averages.readings`)."""
+"""Averages over a stream of readings, or of the runs that the cleaning stream makes of them."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from telemill.sources import stores
-from telemill.streaming.clean import TRIGGER, Sinks
+from telemill.streaming.clean import TRIGGER, Sinks, first_of_run
 
 # Executors get the functions of this module with the task, without an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,11 +24,6 @@ RECORD = (
     "app string, id string, portid int, avg string, dtimestamp bigint, ptimestamp bigint, "
     "sum double, num int"
 )
-_PARTIAL = (
-    "app string, did string, pidx int, avg string, interval bigint, bucket bigint, "
-    "dtimestamp bigint, ptimestamp bigint, arrival bigint, sum double, num bigint"
-)
-
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -37,32 +32,14 @@ def use_state_store(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _collapse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums neighbouring readings of one bucket within a batch of rows, per key."""
-    for rows in batches:
-        if rows.empty:
-            continue
-        rows = rows.sort_values([*KEY, "arrival"], kind="stable", ignore_index=True)
-        spans = rows[[*KEY, "bucket"]]
-        starts = (spans != spans.shift()).any(axis=1)
-        run = starts.cumsum()
-        partial = rows[starts].reset_index(drop=True)
-        totals = rows.groupby(run, sort=True)["x"].agg(["sum", "count"])
-        partial["sum"] = totals["sum"].to_numpy()
-        partial["num"] = totals["count"].to_numpy()
-        yield partial.drop(columns="x")
-
-
-def partial_runs(rows: DataFrame, arrival: str, combine: bool) -> DataFrame:
-    """Readings as runs of one bucket. `combine` sums neighbours before the shuffle, so that a hot
-    device sends few rows; it takes each device to arrive through one input partition in order."""
-    slim = rows.select(
-        "app", "did", "pidx", "avg", "interval", "bucket", "dtimestamp", "ptimestamp",
-        F.col(arrival).cast("bigint").alias("arrival"), "x",
+def _as_runs(rows: DataFrame, arrival: str) -> DataFrame:
+    """Runs as they are, or single readings as runs of one."""
+    if "num" not in rows.columns:
+        rows = rows.withColumnRenamed("x", "sum").withColumn("num", F.lit(1).cast("bigint"))
+    return rows.select(
+        "app", *KEY, "avg", "bucket", "dtimestamp", "ptimestamp",
+        F.col(arrival).cast("bigint").alias("arrival"), "sum", "num",
     )
-    if combine:
-        return slim.mapInPandas(_collapse, _PARTIAL)
-    return slim.withColumnRenamed("x", "sum").withColumn("num", F.lit(1).cast("bigint"))
 
 
 class Rollover(StatefulProcessor):
@@ -145,19 +122,16 @@ class Rollover(StatefulProcessor):
 
 
 def rollover_stream(
-    rows: DataFrame,
-    arrival: str,
-    combine: bool = True,
-    evict: bool = False,
-    emit_on_evict: bool = False,
+    rows: DataFrame, arrival: str = "arrival", evict: bool = False, emit_on_evict: bool = False
 ) -> DataFrame:
-    """Average records of a stream of readings, each sent when a reading closes its bucket.
+    """Average records of a stream of runs or readings, each sent when its bucket is closed.
 
+    `rows` come from `partial_runs` or `readings` with the column `app`; `arrival` orders them.
     `evict` drops buckets idle for two intervals of wall-clock time, unsent unless
     `emit_on_evict`. Needs `use_state_store`.
     """
     return (
-        partial_runs(rows, arrival, combine)
+        _as_runs(rows, arrival)
         .groupBy(*KEY)
         .transformWithStateInPandas(
             statefulProcessor=Rollover(evict, emit_on_evict),
@@ -175,12 +149,16 @@ def window_stream(rows: DataFrame, interval: int, delay: str = "0 seconds") -> D
     before the shuffle, so a hot device stays balanced.
     """
     bucket = F.unix_millis("window.start").alias("bucket")
+    if "num" in rows.columns:
+        totals = [F.sum("sum").alias("sum"), F.sum("num").alias("num")]
+    else:
+        totals = [F.sum("x").alias("sum"), F.count("x").alias("num")]
     return (
         rows.filter(F.col("interval") == interval)
         .withColumn("event_time", F.timestamp_millis("ptimestamp"))
         .withWatermark("event_time", delay)
         .groupBy("did", "pidx", "avg", "interval", F.window("event_time", f"{interval} milliseconds"))
-        .agg(F.sum("x").alias("sum"), F.count("x").alias("num"))
+        .agg(*totals)
         .select("did", "pidx", "avg", "interval", bucket, "sum", "num")
     )
 
@@ -193,7 +171,7 @@ def store_records(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Starts a query that forwards average records as JSON and files them by app and day."""
-    stamped = stores.stamp(records)
+    stamped, is_first = stores.stamp(records), first_of_run()
 
     def each(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}-{number}"
@@ -203,7 +181,9 @@ def store_records(
                 fields = batch.drop("app", "stored_at").columns
                 sinks.forward(batch.select(F.to_json(F.struct(*fields)).alias("value")), batch_id)
             if sinks.main is not None or sinks.backup is not None:
-                stores.store_batch(batch, batch_id, sinks.main, sinks.backup, sinks.level)
+                stores.store_batch(
+                    batch, batch_id, sinks.main, sinks.backup, sinks.level, is_first()
+                )
         finally:
             batch.unpersist()
 

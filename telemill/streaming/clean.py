@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemill.operators.averages import readings
+from telemill.operators.averages import partial_runs, readings
 from telemill.operators.clean import clean_messages
 from telemill.operators.metrics import observed
 from telemill.operators.rules import RuleBook
@@ -53,14 +53,6 @@ def topic(servers: str, name: str) -> Writer:
     return write
 
 
-def main_store(path: str) -> Writer:
-    return lambda batch, batch_id: stores.write_main(batch, path, batch_id)
-
-
-def backup_store(path: str) -> Writer:
-    return lambda batch, batch_id: stores.write_backup(batch, path, batch_id)
-
-
 @dataclass(frozen=True)
 class Sinks:
     """Where a cleaning stream writes; an output without a writer is left out."""
@@ -73,6 +65,12 @@ class Sinks:
     quarantine: Writer | None = None
 
 
+def first_of_run() -> Callable[[], bool]:
+    """True on the first call: only the first micro-batch of a run can be a replay."""
+    calls = iter([True])
+    return lambda: next(calls, False)
+
+
 def process_batch(
     decoded: DataFrame,
     batch_id: str,
@@ -80,7 +78,9 @@ def process_batch(
     sinks: Sinks,
     key: tuple[str, ...] = ("did",),
     keep: tuple[str, ...] = (),
+    arrival: str | None = None,
     strict: bool = False,
+    replayed: bool = False,
 ) -> None:
     """One micro-batch. The rules are read here, so a change applies to all later messages."""
     book = RuleBook.of(rules(), key)
@@ -92,9 +92,14 @@ def process_batch(
         if sinks.forward is not None:
             sinks.forward(to_wire(cleaned), batch_id)
         if sinks.main is not None or sinks.backup is not None:
-            stores.store_batch(cleaned, batch_id, sinks.main, sinks.backup, sinks.level)
+            stores.store_batch(
+                cleaned, batch_id, sinks.main, sinks.backup, sinks.level, replayed
+            )
         if sinks.readings is not None:
-            sinks.readings(readings(messages, book, ("app", *keep), strict), batch_id)
+            fed = readings(messages, book, ("app", *keep), strict)
+            if arrival is not None:
+                fed = partial_runs(fed, arrival, carry=["app"])
+            sinks.readings(fed, batch_id)
         if sinks.quarantine is not None:
             sinks.quarantine(quarantined(decoded), batch_id)
     finally:
@@ -110,18 +115,24 @@ def clean_stream(
     column: str = "value",
     key: tuple[str, ...] = ("did",),
     keep: tuple[str, ...] = (),
+    arrival: str | None = None,
     strict: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Starts the stream. `source` is any streaming DataFrame with message text in `column`;
-    `keep` names further source columns that identify a message and travel with it.
+    `keep` names further source columns that identify a message and travel with it. With `arrival`,
+    the numeric one of them that orders messages, readings are written as runs of one bucket.
 
     The progress of the query carries the message counters (see `telemill.streaming.progress`).
     """
     decoded = observed(stores.stamp(decode(source, column)), "messages")
 
+    is_first = first_of_run()
+
     def each(batch: DataFrame, number: int) -> None:
-        process_batch(batch, f"{name}-{number}", rules, sinks, key, keep, strict)
+        process_batch(
+            batch, f"{name}-{number}", rules, sinks, key, keep, arrival, strict, is_first()
+        )
 
     return (
         decoded.writeStream.queryName(name)

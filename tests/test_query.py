@@ -158,6 +158,20 @@ def test_stores_round_trip_and_replay(spark, tmp_path):
     assert [json.loads(r.value) for r in lines] == [sent[1]]
 
 
+def test_replayed_batch_stays_in_the_backup(spark, tmp_path):
+    main, backup = stores.MainStore(str(tmp_path / "main")), stores.BackupStore(str(tmp_path / "backup"))
+    batch = messages(spark, message([{"value": 1}])).withColumn("stored_at", F.col("ptimestamp"))
+
+    def broken(_, batch_id):
+        raise OSError("down")
+
+    assert stores.store_batch(batch, "7", broken, backup, replayed=True) == ["backup"]
+    assert stores.store_batch(batch, "7", main, backup, replayed=True) == ["backup"]
+    assert stores.store_batch(batch, "8", main, backup, replayed=True) == ["main"]
+    assert stores.scan_backup(spark, backup.path).count() == 1
+    assert stores.scan_main(spark, main.path).count() == 1
+
+
 def test_day_folders_are_pruned(spark, tmp_path):
     main, backup, _, _ = store(spark, tmp_path)
     for frame in (stores.scan_main(spark, main, first="19700102"),

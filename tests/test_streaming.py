@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from telemill.acceptance.streams import run_to_table
 from telemill.operators import averages as A
 from telemill.streaming import averages as SA
-from telemill.streaming.clean import Sinks, backup_store, clean_stream, main_store, parquet_batches
+from telemill.streaming.clean import Sinks, clean_stream, parquet_batches
 from telemill.streaming.progress import progress_rows
 from telemill.sources import stores
+from telemill.sources.stores import BackupStore, MainStore
 from telemill.sources.messages import read_text_stream
 from tests.helpers import message, rules
 from tests.test_averages import CASE, reference, rows
@@ -26,8 +27,8 @@ def test_rules_are_read_again_and_batches_stored(spark, tmp_path):
     table, inbox = str(tmp_path / "rules"), tmp_path / "in"
     rules(spark, (1, "d1", 0, "ADD:10", "MIN", 1)).write.parquet(table)
     sinks = Sinks(
-        forward=parquet_batches(str(tmp_path / "out")), main=main_store(str(tmp_path / "main")),
-        backup=backup_store(str(tmp_path / "backup")), readings=parquet_batches(str(tmp_path / "readings")),
+        forward=parquet_batches(str(tmp_path / "out")), main=MainStore(str(tmp_path / "main")),
+        backup=BackupStore(str(tmp_path / "backup")), readings=parquet_batches(str(tmp_path / "readings")),
         quarantine=parquet_batches(str(tmp_path / "bad")))
 
     def run():
@@ -54,25 +55,29 @@ def test_rules_are_read_again_and_batches_stored(spark, tmp_path):
     assert not (tmp_path / "backup").exists()
 
 
-def write_slices(frame, folder, size):
-    """Files of `size` readings in order of arrival, oldest first."""
-    last = frame.agg(F.max("seq")).first()[0]
+def write_slices(frame, folder, size, arrival):
+    """Files of `size` steps of arrival, oldest first."""
+    last = frame.agg(F.max(arrival)).first()[0]
     for begin in range(0, last + 1, size):
-        part = frame.filter((F.col("seq") >= begin) & (F.col("seq") < begin + size))
-        part.coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(folder)
+        part = frame.filter((F.col(arrival) >= begin) & (F.col(arrival) < begin + size))
+        part.coalesce(1).write.mode("append").parquet(folder)
         time.sleep(1.1)
 
 
-@pytest.mark.parametrize("combine", [True, False])
-def test_rollover_stream_equals_batch(spark, tmp_path, combine):
+@pytest.mark.parametrize("as_runs", [True, False])
+def test_rollover_stream_equals_batch(spark, tmp_path, as_runs):
     SA.use_state_store(spark)
     frame = rows(spark, CASE).withColumn("app", F.lit("a"))
     other = [(i, (i * 37) % 90, i) for i in range(1, 12)]
     frame = frame.unionByName(rows(spark, other, 30, "e").withColumn("app", F.lit("b")))
     folder = str(tmp_path / "in")
-    write_slices(frame, folder, 4)
+    if as_runs:
+        frame = A.partial_runs(frame, "seq", 3, carry=["app"])
+        assert frame.count() < 16
+    arrival = "arrival" if as_runs else "seq"
+    write_slices(frame, folder, 4, arrival)
     stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    found = run_to_table(spark, SA.rollover_stream(stream, "seq", combine), "rollover").collect()
+    found = run_to_table(spark, SA.rollover_stream(stream, arrival), "rollover").collect()
     got = sorted((r.id, r["sum"], r.num, r.ptimestamp, r.dtimestamp) for r in found)
     expected = [("d", *e[1:], e[3] + 5) for e in reference(CASE, 60000)[0]]
     expected += [("e", *e[1:], e[3] + 5) for e in reference(other, 30)[0]]
@@ -127,7 +132,7 @@ def test_average_records_are_forwarded_and_stored(spark, tmp_path):
         raise OSError("main store is down")
 
     sinks = Sinks(forward=parquet_batches(str(tmp_path / "out")), main=broken,
-                  backup=backup_store(str(tmp_path / "backup")))
+                  backup=BackupStore(str(tmp_path / "backup")))
     SA.store_records(SA.rollover_stream(stream, "seq"), sinks, str(tmp_path / "c"),
                      trigger=ONCE).awaitTermination()
     expected = {"id": "d", "portid": 0, "avg": "MIN", "dtimestamp": 60005, "ptimestamp": 60000,
@@ -138,6 +143,6 @@ def test_average_records_are_forwarded_and_stored(spark, tmp_path):
         found = [json.loads(r.value) for r in table(str(tmp_path / path)).collect()]
         assert len(found) == 3 and expected in found
     SA.store_records(
-        SA.rollover_stream(stream, "seq"), Sinks(main=main_store(str(tmp_path / "main"))),
+        SA.rollover_stream(stream, "seq"), Sinks(main=MainStore(str(tmp_path / "main"))),
         str(tmp_path / "c2"), trigger=ONCE).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "main")).filter("app = 'a'").count() == 3
