@@ -138,33 +138,35 @@ def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame
     by_run = Window.partitionBy(*KEY, "_slice").orderBy("_run")
     whole_slice = Window.partitionBy(*KEY, "_slice")
     own = F.struct(*[F.col(f"_own_{c}").alias(c) for c in trigger])
+    is_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
+    # The edges of all slices of a key meet; inner runs stay with their slice.
     numbered = (
         runs.withColumn("_own", own)
         .withColumn("_next", F.lead("_own").over(by_run))
         .withColumn("_runs", F.max("_run").over(whole_slice))
+        .withColumn("_part", F.when(~is_edge, F.col("_slice")))
     )
-    kept = [c for c in runs.columns if not c.startswith("_own_") and c not in ("_slice", "_run")]
-    is_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
-    inner = numbered.filter(~is_edge).select(*kept, "_next")
-
     # A run that reaches over the end of a slice continues as the first run of the next slice.
-    along = Window.partitionBy(*KEY).orderBy("_slice", "_run")
+    along = Window.partitionBy(*KEY, "_part").orderBy("_slice", "_run")
     continues = (F.lag("_slice").over(along) != F.col("_slice")) & (
         F.lag("bucket").over(along) == F.col("bucket")
     )
-    edges = (
-        numbered.filter(is_edge)
-        .withColumn("_continues", F.coalesce(continues, F.lit(False)))
+    joined = (
+        numbered.withColumn("_continues", F.coalesce(continues, F.lit(False)))
         .withColumn("_closer", F.coalesce("_next", F.lead("_own").over(along)))
         .withColumn("_joined", F.sum((~F.col("_continues")).cast("int")).over(along))
+        .withColumn("_is_last", ~F.coalesce(F.lead("_continues").over(along), F.lit(False)))
     )
-    merged = edges.groupBy(*KEY, "_joined", "bucket").agg(
-        F.sum("sum").alias("sum"),
-        F.sum("num").alias("num"),
-        *more,
-        F.max_by("_closer", F.struct("_slice", "_run")).alias("_next"),
+    return (
+        joined.groupBy(*KEY, "_part", "_joined", "bucket")
+        .agg(
+            F.sum("sum").alias("sum"),
+            F.sum("num").alias("num"),
+            *more,
+            *[F.max(F.when(F.col("_is_last"), F.col(f"_closer.{c}"))).alias(c) for c in trigger],
+        )
+        .drop("_part", "_joined")
     )
-    return inner.unionByName(merged.select(*kept, "_next")).select(*kept, "_next.*")
 
 
 def emitted(runs: DataFrame) -> DataFrame:
