@@ -219,11 +219,14 @@ _sql(
     f"SELECT a.did, a.day, a.n, b.n AS n_next FROM {_DAILY} AS a JOIN {_DAILY} AS b "
     f"ON a.did = b.did AND b.day = a.day + {DAY}",
 )
+# Devices are made distinct before they are joined, so that a hot one is one row.
 _sql(
     "sql_semi_anti",
-    "SELECT DISTINCT did FROM deviceValue WHERE did IN (SELECT did FROM deviceValue "
-    "WHERE value > 150) AND did NOT IN (SELECT did FROM deviceValue "
-    f"WHERE NOT valid AND ptimestamp < {BEGIN})",
+    "SELECT did FROM (SELECT DISTINCT did FROM deviceValue) AS d "
+    "WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT did FROM deviceValue WHERE value > 150) AS h "
+    "WHERE h.did = d.did) "
+    "AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT did FROM deviceValue "
+    f"WHERE NOT valid AND ptimestamp < {BEGIN}) AS b WHERE b.did = d.did)",
 )
 _sql(
     "sql_window",
@@ -237,8 +240,9 @@ _sql(
 )
 _sql(
     "sql_set_ops",
-    "SELECT did FROM deviceValue WHERE value > 120 INTERSECT SELECT did FROM deviceValue "
-    f"WHERE ptimestamp < {SECOND} EXCEPT SELECT did FROM deviceValue WHERE value < 1",
+    "SELECT DISTINCT did FROM deviceValue WHERE value > 120 "
+    f"INTERSECT SELECT DISTINCT did FROM deviceValue WHERE ptimestamp < {SECOND} "
+    "EXCEPT SELECT DISTINCT did FROM deviceValue WHERE value < 1",
 )
 _sql(
     "sql_scalar_functions",

@@ -97,13 +97,17 @@ def _port(pidx: Column) -> Column:
     return F.greatest(F.coalesce(pidx, F.lit(0)), F.lit(ANY_PORT)).cast("int")
 
 
+def _usable_rules(rules: DataFrame) -> DataFrame:
+    return parse_rules(rules_after(rules)).filter(F.col("reject").isNull())
+
+
 def effective_rules(rules: DataFrame, key: tuple[str, ...] = ("did",)) -> DataFrame:
     """The rule in force per device and port; port -1 stands for any port.
 
     The highest id wins. An unsupported command that wins hides the older rule and is no rule
     itself. `key=("app", "did")` keeps the devices of different apps apart.
     """
-    parsed = parse_rules(rules_after(rules)).filter(F.col("reject").isNull())
+    parsed = _usable_rules(rules)
     columns = ("id", "op", "arg", "formula", "intervals", "supported")
     latest = (
         parsed.withColumn("pidx", _port(F.col("pidx")))
@@ -184,29 +188,13 @@ class RuleBook:
     def of(rules: DataFrame, key: tuple[str, ...] = ("did",)) -> RuleBook:
         """Builds the book from a rule table; measures it with a job over that table."""
         effective = effective_rules(rules, key)
-        row_bytes = (
-            F.lit(96)
-            + sum((F.coalesce(F.length(k), F.lit(0)) for k in key), F.lit(0))
-            + 48 * F.coalesce(F.length("formula"), F.lit(0))
-            + 40 * F.size("intervals")
-        )
-        # One row per formula; more rows than formulas may be compiled stand for a longer list.
-        measured = (
-            effective.groupBy("formula")
-            .agg(F.sum(row_bytes).alias("bytes"), F.max("pidx").alias("pidx"))
-            .limit(NATIVE_FORMULAS + 2)
-            .collect()
-        )
-        few = len(measured) <= NATIVE_FORMULAS + 1
-        if few:
-            total = sum(row.bytes for row in measured)
-            last_port = max((row.pidx for row in measured), default=ANY_PORT)
-        else:
-            row = effective.agg(F.sum(row_bytes).alias("bytes"), F.max("pidx").alias("pidx")).first()
-            total, last_port = row.bytes, row.pidx
+        # All usable rows bound the rules in force; only a bound that is too high is made exact.
+        texts, total, last_port = RuleBook._measure(_usable_rules(rules), key)
+        if texts is None or total > BROADCAST_BYTES:
+            texts, total, last_port = RuleBook._measure(effective, key)
+        few = texts is not None
         # A device has at most one rule per port and one for any port.
         narrow = last_port + 2 <= PORT_RULES_PER_DEVICE or not RuleBook._has_wide(effective, key)
-        texts = tuple(sorted(r.formula for r in measured if r.formula is not None)) if few else None
         if few:
             known = F.array(*[F.lit(t) for t in texts]) if texts else F.array().cast("array<string>")
             formula_id = (F.array_position(known, F.col("formula")) - 1).cast("int")
@@ -225,6 +213,27 @@ class RuleBook:
             formulas=texts,
         )
 
+    @staticmethod
+    def _measure(
+        rules: DataFrame, key: tuple[str, ...]
+    ) -> tuple[tuple[str, ...] | None, int, int]:
+        """The distinct formulas (None if too many), the estimated size and the highest port."""
+        row_bytes = (
+            F.lit(96)
+            + sum((F.coalesce(F.length(k), F.lit(0)) for k in key), F.lit(0))
+            + 48 * F.coalesce(F.length("formula"), F.lit(0))
+            + 40 * F.size("intervals")
+        )
+        totals = (F.sum(row_bytes).alias("bytes"), F.max(_port(F.col("pidx"))).alias("port"))
+        # One row per formula, and one for the rules without; more rows than that are cut off.
+        groups = rules.groupBy("formula").agg(*totals).limit(NATIVE_FORMULAS + 2).collect()
+        if len(groups) > NATIVE_FORMULAS + 1:
+            row = rules.agg(*totals).first()
+            return None, row.bytes, row.port
+        texts = tuple(sorted(row.formula for row in groups if row.formula is not None))
+        total = sum(row.bytes for row in groups)
+        return texts, total, max((row.port for row in groups), default=ANY_PORT)
+
     @staticmethod
     def _has_wide(effective: DataFrame, key: tuple[str, ...]) -> bool:
         ports = effective.groupBy(*key).agg(F.count(F.lit(1)).alias("ports"))

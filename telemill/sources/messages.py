@@ -87,7 +87,8 @@ def _odd_port(body: Column) -> Column:
 
 def decode(df: DataFrame, column: str = "value") -> DataFrame:
     """JSON text as message columns, `raw` and `reject`, the reason of a message to set aside."""
-    kept = [c for c in df.columns if c not in (column, *MESSAGE_COLUMNS)]
+    own = (column, "raw", "reject", "_odd", "_body", *MESSAGE_COLUMNS)
+    kept = [c for c in df.columns if c not in own]
     typed = F.from_json("raw", _TYPED, {"columnNameOfCorruptRecord": "_odd"})
     is_odd = F.col("_odd").isNotNull() | (F.trim(F.coalesce("raw", F.lit(""))) == "")
     # The generators keep filters above them, so that no filter parses a text a second time.
