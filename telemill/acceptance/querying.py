@@ -226,7 +226,7 @@ _sql(
     "WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT did FROM deviceValue WHERE value > 150) AS h "
     "WHERE h.did = d.did) "
     "AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT did FROM deviceValue "
-    f"WHERE NOT valid AND ptimestamp < {BEGIN}) AS b WHERE b.did = d.did)",
+    f"WHERE NOT valid AND ptimestamp < {BEGIN - 7 * DAY}) AS b WHERE b.did = d.did)",
 )
 _sql(
     "sql_window",
