@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from telemill.acceptance.averaging import _rollover_sql, rounded
-from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2_of, r1, table
+from telemill.acceptance.inputs import READ2_SQL, m2_of, r1, table
 from telemill.acceptance.registry import query
 from telemill.functions import times
 from telemill.functions import values as V

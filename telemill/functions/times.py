@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 NAMED_INTERVALS = {"MIN": 60000, "HOUR": 3600000, "DAY": 86400000}
 DAY_MS = 86400000
 
-INTERVALS = "array<struct<avg:string,ms:bigint>>"
-
 
 def bucket(ts: Column, interval: Column) -> Column:
     """Begin of the interval that holds `ts`, cut toward zero; days are UTC days."""

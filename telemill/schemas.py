@@ -38,9 +38,3 @@ MESSAGE = ", ".join(
     f"`{name}` array<{PORT}>" if name == "values" else f"`{name}` {KEY_TYPES.get(name, 'string')}"
     for name in MESSAGE_COLUMNS
 )
-
-RULES = "app string, id bigint, did string, pidx int, cmd string, avg string, used int"
-
-AVG = (
-    "id string, portid int, avg string, dtimestamp bigint, ptimestamp bigint, sum double, num int"
-)
