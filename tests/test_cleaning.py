@@ -168,3 +168,18 @@ def test_odd_messages_come_through_whole(spark):
     sent = {**GOOD, "portnum": "1", "values": [{"value": 1, "q": 2}, 5], "site": 3}
     back = json.loads(to_wire(accepted(decode(text(spark, sent)))).first().value)
     assert back == {**sent, "portnum": 1}
+
+
+@pytest.mark.parametrize("share", [0.0001, 0.3, 2.0])
+def test_lookup_with_shuffled_rules(spark, monkeypatch, share):
+    from telemill.operators import joins
+
+    monkeypatch.setattr(R, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_SHARE", share)
+    book = R.RuleBook.of(rules(spark, *RULE_TABLE))
+    rows = rule_lookup(lookup_messages(spark), book).collect()
+    assert len(rows) == sum(pidx + 1 for _, pidx, _, _, _ in LOOKUPS)
+    ops = {(r.dtimestamp, r.pidx): r.rule and r.rule.op for r in rows}
+    for i, (_, pidx, _, _, op) in enumerate(LOOKUPS):
+        assert ops[i, pidx] == op
+    check_cleaned(clean_messages(lookup_messages(spark), book))
