@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from telemill.session import shared_folder
 
@@ -27,5 +31,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def extended(schema: StructType, **more: DataType) -> StructType:
+    """The schema with further fields."""
+    return StructType([*schema.fields, *(StructField(name, kind) for name, kind in more.items())])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def in_bytes(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices with up to `limit` bytes of a text column each, or one longer row."""
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telemill.llm import exact_dedup, quality
+from telemill.llm import exact_dedup, packing, pieces, quality, url_filter
 from telemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,41 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# The rules of the query, as host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+OP1_SQL = """
+WITH rules(rhost, rpath, rverdict) AS (VALUES ('com', '/', 'allow'),
+  ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+tails AS (SELECT page_id, substr(url, nullif(strpos(url, '://'), 0) + 3) AS rest FROM pages),
+split AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM tails),
+fits AS (
+  SELECT page_id, host, path, rhost || rpath AS rule, rverdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC,
+                            length(rhost) DESC) AS place
+  FROM split LEFT JOIN rules
+       ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fits WHERE place = 1"""
+
+
+@query("op1_url_filter", OP1_SQL)
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -70,3 +107,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_decode(table(spark, sf_dir, "documents"), model)
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(written, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
