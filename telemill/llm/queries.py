@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import exact_dedup, packing, pieces, quality, url_filter
+from telemill.llm import (
+    exact_dedup,
+    html_text,
+    language,
+    licenses,
+    packing,
+    pieces,
+    quality,
+    url_filter,
+)
 from telemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +118,45 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+OP6_SQL = f"""
+WITH templates(template, license, body) AS (VALUES {", ".join(
+    f"({i}, {_quoted(name)}, {_quoted(body)})"
+    for i, (name, body) in enumerate(licenses.TEMPLATES)
+)}),
+units AS (
+  SELECT doc_id AS owner, unnest(list_distinct(
+    [text] || string_split_regex(text, '\\n[ \\t]*\\n') || string_split(text, chr(10)))) AS body
+  FROM documents WHERE text IS NOT NULL),
+worded AS (
+  SELECT kind, owner, body, list_filter(
+    string_split_regex(lower(body), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM (SELECT 'unit' AS kind, owner, body FROM units
+        UNION ALL SELECT 'template', template, body FROM templates)),
+paired AS (
+  SELECT kind, owner, body, pair, count(*) OVER (PARTITION BY kind, owner, body) AS n
+  FROM (SELECT DISTINCT kind, owner, body, w[i] || ' ' || w[i + 1] AS pair
+        FROM (SELECT *, unnest(range(1, len(w))) AS i FROM worded))),
+alike AS (
+  SELECT u.owner AS doc_id, u.body, license, 2.0::DOUBLE * count(*) / (u.n + t.n) AS dice
+  FROM paired u JOIN paired t ON u.pair = t.pair AND u.kind = 'unit' AND t.kind = 'template'
+  JOIN templates ON template = t.owner
+  GROUP BY u.owner, u.body, u.n, t.owner, t.n, license)
+SELECT doc_id, license, dice, coalesce(n_units, 0) AS n_units
+FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN (
+  SELECT doc_id, arg_min(license, (-dice, license)) AS license, max(dice) AS dice,
+         count(DISTINCT body) AS n_units
+  FROM alike WHERE dice >= 0.8 GROUP BY doc_id) USING (doc_id)"""
+
+
+@query("op6_license_scan", OP6_SQL)
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -126,3 +174,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language.train(docs.filter(~held_out).select("text", "lang"))
+    return language.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
