@@ -16,6 +16,7 @@ from telemill.llm import (
     packing,
     pieces,
     quality,
+    repeats,
     url_filter,
 )
 from telemill.llm.common import table
@@ -106,6 +107,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query(
     "op5_exact_dedup",
     """
