@@ -173,7 +173,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    names = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+    return packing.packed_documents(docs, *map(public_tokenizers.path, names))
 
 
 @query("op10_sentencepiece")

@@ -18,7 +18,9 @@ from telemill.llm.queries import QUERIES
 from tests.oracle import DATA
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+ENCODERS = packing._encoders(BYTES, RANKS)
 ODD = [
     "", " ", "  ", "   ", "a", " a", "a ", "a  b", "a\nb", "a \n b", "▁", "▁ a", "a▁ b", "é  x",
     "<|endoftext|>", "a <|endoftext|> b", "<s> </s>", "\x00 a", "\t", "don't stop", "x\r\n y",
@@ -98,6 +100,21 @@ def check_packing(rows, texts, capacity=2048):
     return len(by_sequence)
 
 
+def test_ranks_give_what_the_tokenizer_gives():
+    whole, plain = ENCODERS
+    characters = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2028), 0x20AC)]
+    texts = [f"a{c}b {c} {c}{c}1\n{c}'s{c} \t{c}" for c in characters]
+    texts += [a + b for a in " \n\t\xa0\x85a1!'" for b in characters]
+    for text, a, b in zip(texts, whole(texts), plain(texts)):
+        assert (a == b).all(), repr(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F), max_size=40))
+def test_ranks_on_plain_texts(text):
+    assert [list(x) for x in ENCODERS[0]([text])] == [list(x) for x in ENCODERS[1]([text])]
+
+
 def test_packing_query(spark):
     docs = pq.read_table(f"{DATA}/documents.parquet").to_pylist()
     rows = QUERIES["op7_best_fit_packing"](spark, DATA).collect()
@@ -108,8 +125,9 @@ def test_packing_query(spark):
 
 def test_packing_of_odd_texts(spark):
     texts = [*ODD, None, "word " * 5_000, "a  b " * 3_000, ODD[3], ODD[3]]
-    rows = packing.packed_documents(documents(spark, texts), BYTES).collect()
-    check_packing(rows, dict(enumerate(texts)))
+    for ranks in (RANKS, None):
+        rows = packing.packed_documents(documents(spark, texts), BYTES, ranks).collect()
+        check_packing(rows, dict(enumerate(texts)))
     assert packing.packed_documents(documents(spark, []), BYTES).count() == 0
 
 
