@@ -13,6 +13,7 @@ from telemill.llm import (
     html_text,
     language,
     licenses,
+    ngram_join,
     packing,
     pieces,
     quality,
@@ -107,6 +108,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.cut_repeats(table(spark, sf_dir, "documents"))

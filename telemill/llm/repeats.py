@@ -290,33 +290,50 @@ def _spans(starts: np.ndarray, counts: np.ndarray, length: int) -> list[tuple[in
     return list(zip(turns[::2].tolist(), turns[1::2].tolist()))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in in_bytes(batch, "packed", 1 << 20):
-            found, kept, sizes = [], [], []
-            for packed, runs in zip(part["packed"].to_pylist(), part["runs"].to_pylist()):
-                data = zstandard.decompress(packed)
-                spans = []
-                if runs:
-                    most = np.array([run["most"] for run in runs], dtype=np.int64)
-                    least = np.array([run["least"] for run in runs], dtype=np.int64)
-                    seeds = np.array([run["seed"] for run in runs], dtype=np.int64)
-                    spans = _spans(seeds - most, most - least + 1, len(data))
-                sizes.append(len(data))
-                found.append([{"begin": a, "end": b} for a, b in spans])
-                at = [0, *(x for span in spans for x in span), len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(at[::2], at[1::2])))
-            span_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("id"),
-                    part.column("tag"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(found, span_type),
-                    pa.array(kept, pa.binary()),
-                ],
-                ["id", "tag", "n_bytes", "spans", "kept"],
-            )
+def _on_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without the parts of characters at their ends."""
+    whole = []
+    for begin, end in spans:
+        while begin < end and data[begin] & 0xC0 == 0x80:
+            begin += 1
+        while begin < end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        if begin < end:
+            whole.append((begin, end))
+    return whole
+
+
+def _cut(characters: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_bytes(batch, "packed", 1 << 20):
+                found, kept, sizes = [], [], []
+                for packed, runs in zip(part["packed"].to_pylist(), part["runs"].to_pylist()):
+                    data = zstandard.decompress(packed)
+                    spans = []
+                    if runs:
+                        columns = ([run[name] for run in runs] for name in ("seed", "least", "most"))
+                        seed, least, most = (np.array(c, dtype=np.int64) for c in columns)
+                        spans = _spans(seed - most, most - least + 1, len(data))
+                    if characters:
+                        spans = _on_characters(data, spans)
+                    sizes.append(len(data))
+                    found.append([{"begin": a, "end": b} for a, b in spans])
+                    at = [0, *(x for span in spans for x in span), len(data)]
+                    kept.append(b"".join(data[a:b] for a, b in zip(at[::2], at[1::2])))
+                span_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"),
+                        part.column("tag"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(found, span_type),
+                        pa.array(kept, pa.binary()),
+                    ],
+                    ["id", "tag", "n_bytes", "spans", "kept"],
+                )
+
+    return run
 
 
 def tag_of(text: Column) -> Column:
@@ -328,13 +345,18 @@ def id_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("bigint"), F.lit(-(2**63)))
 
 
-def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def cut_repeats(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    characters: bool = False,
+) -> DataFrame:
     """One row per row of `docs`: id, tag, n_bytes, spans and kept.
 
     `spans` are the maximal runs of bytes (of the text in UTF-8) that lie in a window of `DEPTH` bytes
     which also starts earlier: in a document with a smaller id, or before in the same one. `kept` has
-    the bytes outside of them. A null text counts as empty; an empty text, or one shorter than a
-    window, keeps all. Ids are integers, a null id counts as the smallest. Rows with the same id and
+    the bytes outside of them; with `characters`, a character that is only partly in a span is kept.
+    A null text counts as empty; an empty text, or one shorter than a window, keeps all. Ids are integers, a null id counts as the smallest. Rows with the same id and
     text are one document given more than once, and judged alike; rows with the same id and different
     texts are different documents, told apart by `tag` and in its order. An empty table gives no rows.
     Other columns are not read.
@@ -365,4 +387,30 @@ def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "id bigint, tag int, n_bytes bigint, spans array<struct<begin: bigint, end: bigint>>, "
         "kept binary"
     )
-    return ended.mapInArrow(_cut, schema)
+    return ended.mapInArrow(_cut(characters), schema)
+
+
+def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`docs` with what `cut_repeats` keeps as texts, and n_chars, if there, as their new lengths. Rows
+    without anything left go. Of rows with the same id and text, one's other columns count for all."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    others = docs.select(
+        id_of(id_column).alias("__id"),
+        tag_of(text).alias("__tag"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("__others"),
+    ).dropDuplicates(["__id", "__tag"])
+    cut = cut_repeats(docs, id_column, text_column, characters=True).select(
+        F.col("id").alias("__id"),
+        F.col("tag").alias("__tag"),
+        F.decode("kept", "UTF-8").alias("__text"),
+    )
+    joined = cut.filter(F.length("__text") > 0).join(others.hint("merge"), ["__id", "__tag"])
+
+    def column(name: str) -> Column:
+        if name == text_column:
+            return F.col("__text").alias(name)
+        if name == "n_chars":
+            return F.length("__text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("__others")[name].alias(name)
+
+    return joined.select(*[column(name) for name in docs.columns])
