@@ -119,3 +119,18 @@ def avg_out_of_order(spark, sf_dir):
 def avg_evict_idle(spark, sf_dir):
     runs = A.rollover_in_order(readings2(spark, sf_dir, "seq"), "seq")
     return rounded(A.evict_idle(A.still_open(runs), F.lit(EVICTION)))
+
+
+@query(
+    "avg_by_app",
+    f"""WITH {READ2_SQL}
+    SELECT app, did, avg, "interval", bucket, round(sum(x), 4) AS sum, count(x) AS num
+    FROM read2 WHERE app IN ('click', 'view') GROUP BY ALL""",
+)
+def avg_by_app(spark, sf_dir):
+    """Rules and averages of two apps that have the same devices."""
+    rules = r1(spark, sf_dir).drop("app")
+    apps = F.explode(F.array(F.lit("click"), F.lit("view"))).alias("app")
+    book = RuleBook.of(rules.select("*", apps), ("app", "did"))
+    rows = A.readings(m2(spark, sf_dir), book)
+    return rounded(A.tumbling(rows, A.key_of(book.key))).drop("pidx")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemill.acceptance.inputs import (
-    EDIT, M1_SQL, M2_SQL, R1_EDITED_SQL, R1_SQL, R2_SQL, m1, m2, r1, r1_edited, r1_edits, r2,
-    table,
+    EDIT, M1_SQL, M2_SQL, R1_EDITED_SQL, R1_SQL, R2_SQL, m1, m2, m2_of, r1, r1_edited, r1_edits,
+    r2, table,
 )
 from telemill.acceptance.registry import query
 from telemill.functions import times
@@ -14,6 +14,8 @@ from telemill.functions import values as V
 from telemill.functions.formula import to_column
 from telemill.operators import rules as R
 from telemill.operators.clean import clean_messages, explode_ports, rule_lookup
+from telemill.plans.query import device_value
+from telemill.sources.messages import accepted, decode, to_wire
 
 # A rule id of R1, as a high-water mark.
 MARK = 8
@@ -188,6 +190,105 @@ def cleaned_messages(spark, sf_dir):
     )
 
 
+# Every user has 5,000 ports with a rule of their own and one rule for the others.
+WIDE = 5000
+
+
+@query(
+    "cleaned_wide_device",
+    f"""WITH {M2_SQL}
+    SELECT seq, value + (CASE WHEN user_id % 3 = 0 THEN 1 ELSE 7 END)::DOUBLE AS value FROM m2
+    WHERE user_id < 5""",
+)
+def cleaned_wide_device(spark, sf_dir):
+    """The devices of five users; the port of their messages has a rule for two thirds of them."""
+    devices = table(spark, sf_dir, "events").filter("user_id < 5").select("user_id").distinct()
+    user = F.col("user_id")
+    ports = F.when(user % 3 == 0, F.sequence(F.lit(0), F.lit(WIDE))).otherwise(
+        F.sequence(F.lit(1), F.lit(WIDE))
+    )
+    every = F.concat(F.array(F.lit(R.ANY_PORT)), ports)
+    rules = devices.select("user_id", F.explode(every).alias("pidx")).select(
+        F.lit("all").alias("app"),
+        (user * 10_000 + F.col("pidx") + 2).alias("id"),
+        F.concat(F.lit("dev"), user.cast("string")).alias("did"),
+        "pidx",
+        F.when(F.col("pidx") == R.ANY_PORT, F.lit("ADD:7")).otherwise(F.lit("ADD:1")).alias("cmd"),
+        F.lit(None).cast("string").alias("avg"),
+        F.lit(1).alias("used"),
+    )
+    messages = m2(spark, sf_dir)
+    wanted = messages.join(rules.select(F.col("did").alias("id")).distinct(), "id", "left_semi")
+    cleaned = clean_messages(wanted, R.RuleBook.of(rules))
+    return explode_ports(cleaned).select("seq", V.to_double(F.col("value")).alias("value"))
+
+
+@query(
+    "cleaned_by_formula",
+    f"""WITH {M2_SQL}
+    SELECT seq, CASE WHEN user_id % 7 = 6 THEN value
+                ELSE (value + user_id::DOUBLE) * 2.0::DOUBLE - value / 4.0::DOUBLE END AS value
+    FROM m2""",
+)
+def cleaned_by_formula(spark, sf_dir):
+    """A formula of its own for each user; one in seven does not compile."""
+    user = F.col("user_id").cast("string")
+    text = F.when(
+        F.col("user_id") % 7 == 6, F.concat(F.lit("EXPR1:(X+"), user)
+    ).otherwise(F.concat(F.lit("EXPR1:(X+"), user, F.lit(")*2-X/4")))
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    rules = users.select(
+        F.lit("all").alias("app"),
+        F.col("user_id").alias("id"),
+        F.concat(F.lit("dev"), user).alias("did"),
+        F.lit(0).alias("pidx"),
+        text.alias("cmd"),
+        F.lit(None).cast("string").alias("avg"),
+        F.lit(1).alias("used"),
+    )
+    cleaned = clean_messages(m2(spark, sf_dir), R.RuleBook.of(rules))
+    return explode_ports(cleaned).select("seq", V.to_double(F.col("value")).alias("value"))
+
+
+@query(
+    "cleaned_wire_errors",
+    f"""WITH {M2_SQL},
+    small AS (SELECT *, CAST(floor(value) AS BIGINT) % 5 AS v FROM m2)
+    SELECT seq, CASE WHEN v <> 0 THEN 100.0::DOUBLE / v::DOUBLE END AS value,
+           CASE WHEN v = 0 THEN 'division_by_zero' END AS error,
+           CASE WHEN v = 0 THEN 0.0::DOUBLE END AS original,
+           CASE WHEN v <> 0 THEN 100.0::DOUBLE / v::DOUBLE END AS shown, valid AS shown_valid
+    FROM small""",
+)
+def cleaned_wire_errors(spark, sf_dir):
+    """A division of small numbers, over the wire and back, and as the query view shows it."""
+    events = table(spark, sf_dir, "events")
+    messages = m2_of(events, _small(F.col("value")))
+    rules = events.select("user_id").distinct().select(
+        F.lit("all").alias("app"),
+        F.col("user_id").alias("id"),
+        F.concat(F.lit("dev"), F.col("user_id").cast("string")).alias("did"),
+        F.lit(R.ANY_PORT).alias("pidx"),
+        F.lit("DIV:100").alias("cmd"),
+        F.lit(None).cast("string").alias("avg"),
+        F.lit(1).alias("used"),
+    )
+    sent = to_wire(clean_messages(messages, R.RuleBook.of(rules)))
+    back = accepted(decode(sent))
+    port = F.get("values", F.lit(0))
+    shown = device_value(back.withColumn("desc", F.col("seq").cast("string")), 0).select(
+        F.col("desc").cast("bigint").alias("seq"),
+        F.col("value").alias("shown"),
+        F.col("valid").alias("shown_valid"),
+    )
+    return back.select(
+        "seq",
+        V.to_double(port["value"]).alias("value"),
+        F.get_json_object(port["extra"], "$.action_error").alias("error"),
+        F.get_json_object(port["extra"], "$.original").cast("double").alias("original"),
+    ).join(shown, "seq")
+
+
 # The actions one by one, on the value of every M2 message. DIV and RVS act on small whole
 # numbers, so that division by zero occurs.
 

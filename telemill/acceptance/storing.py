@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from telemill.acceptance.inputs import M2_SQL, m2
@@ -84,14 +85,49 @@ def backup_by_hour(spark, sf_dir):
     FROM batches, levels""",
 )
 def persist_levels(spark, sf_dir):
-    batches = m2(spark, sf_dir).groupBy("app").agg(F.count(F.lit(1)).alias("n"))
-    levels = F.explode(F.array(*[F.lit(each.name) for each in stores.Level])).alias("level")
-    kept = stores.destinations(F.col("level"), F.col("app") != "error")
-    return batches.select("app", "n", levels).select(
-        "level", "app", "n",
-        F.array_contains(kept, "main").alias("in_main"),
-        F.array_contains(kept, "backup").alias("in_backup"),
-    )
+    """Each level writes two batches, one while the main store is down; what the stores then hold."""
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.col("ptimestamp"))
+    down = F.col("app") == "error"
+
+    def broken(batch, number):
+        raise OSError("main store is down")
+
+    rows = None
+    for level in stores.Level:
+        main, backup = shared_folder(spark, "level-main"), shared_folder(spark, "level-backup")
+        to_main, to_backup = stores.MainStore(main), stores.BackupStore(backup)
+        for batch_id, wanted, writer in (("up", ~down, to_main), ("down", down, broken)):
+            try:
+                stores.store_batch(messages.filter(wanted), batch_id, writer, to_backup, level)
+            except OSError:
+                assert not level.backup
+        held = messages.select("app", F.lit(False).alias("in_main"), F.lit(False).alias("in_backup"))
+        held = held.distinct()
+        if _is_there(spark, main):
+            apps = stores.scan_main(spark, main, narrow=False).select("app")
+            held = held.unionByName(_held(apps.distinct(), True, False))
+        if _is_there(spark, backup):
+            apps = stores.scan_backup(spark, backup).select("app")
+            held = held.unionByName(_held(apps.distinct(), False, True))
+        found = held.groupBy("app").agg(
+            F.bool_or("in_main").alias("in_main"), F.bool_or("in_backup").alias("in_backup")
+        ).withColumn("level", F.lit(level.name))
+        rows = found if rows is None else rows.unionByName(found)
+    counts = messages.groupBy("app").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(rows, "app").select("level", "app", "n", "in_main", "in_backup")
+
+
+def _is_there(spark, path):
+    try:
+        return not spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+            path
+        ).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def _held(apps, in_main, in_backup):
+    return apps.withColumns({"in_main": F.lit(in_main), "in_backup": F.lit(in_backup)})
 
 
 @query(
@@ -177,3 +213,22 @@ def job_rdd(spark, sf_dir):
     main, backup = stored2(spark, sf_dir)
     request = {"type": "rdd", **SAMPLE, "app": "signup"}
     return _port_zero(Q.run_job(spark, request, main, backup))
+
+
+LATE = 7_200_000
+
+
+@query(
+    "job_late_messages",
+    f"""WITH {M2_SQL}
+    SELECT id, ptimestamp, dtype, "desc", value, valid FROM m2
+    WHERE ptimestamp // {DAY} = {BEGIN} // {DAY}""",
+)
+def job_late_messages(spark, sf_dir):
+    """A day's messages, all written two hours after they were sent."""
+    main = shared_folder(spark, "late")
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.col("ptimestamp") + LATE)
+    stores.write_main(messages, main, "late")
+    begin = BEGIN // DAY * DAY
+    request = {"type": "rdd", "btime": begin, "etime": begin + DAY - 1}
+    return _port_zero(Q.run_job(spark, request, main))

@@ -48,13 +48,20 @@ def has_bad_interval(intervals: Column) -> Column:
     return F.exists(intervals, lambda entry: entry["ms"] <= 0)
 
 
+def _utc_date(ms: Column) -> Column:
+    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int"))
+
+
 def day_key(ms: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """`yyyy-MM-dd` names folders of the backup store, `yyyyMMdd` the tables of the main store."""
-    return F.date_format(F.timestamp_millis(ms), pattern)
+    """The UTC day, whatever the zone of the session: `yyyy-MM-dd` names folders of the backup store,
+    `yyyyMMdd` the tables of the main store."""
+    return F.date_format(_utc_date(ms), pattern)
 
 
-def hour_key(ms: Column, pattern: str = "yyyy-MM-dd_HH") -> Column:
-    return F.date_format(F.timestamp_millis(ms), pattern)
+def hour_key(ms: Column, day_pattern: str = "yyyy-MM-dd") -> Column:
+    """The UTC hour, as the day and `_HH`."""
+    hour = F.floor(F.pmod(ms, F.lit(DAY_MS)) / F.lit(NAMED_INTERVALS["HOUR"]))
+    return F.concat(day_key(ms, day_pattern), F.lit("_"), F.lpad(hour.cast("string"), 2, "0"))
 
 
 def select_day(btime: Column, etime: Column, now: Column) -> Column:

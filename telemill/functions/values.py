@@ -22,10 +22,6 @@ def to_double(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def text_to_double(text: Column) -> Column:
-    return text.try_cast("double")
-
-
 def coerce_error(value: Column) -> Column:
     return F.when(is_present(value) & to_double(value).isNull(), F.lit(COERCE_ERROR))
 

@@ -8,52 +8,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemill.functions import times
-from telemill.functions import values as V
-from telemill.operators.clean import rule_lookup, transform_value
+from telemill.operators.clean import apply_rules
 from telemill.operators.rules import RuleBook
 
 KEY = ("did", "pidx", "avg", "interval")
 
 
+def key_of(book_key: Sequence[str]) -> tuple[str, ...]:
+    """What tells averages apart: the key of the rules, the port and the interval."""
+    return (*book_key, "pidx", "avg", "interval")
+
+
 def readings(
     messages: DataFrame, book: RuleBook, keep: Sequence[str] = (), strict: bool = False
 ) -> DataFrame:
-    """The values that feed averages, once per interval of their rule.
+    """The values that feed averages, once per interval of their rule (see `readings_of`)."""
+    wanted = ["id", "portnum", "dtimestamp", "ptimestamp", "values", "app", *keep]
+    slim = messages.select(*[c for c in messages.columns if c in wanted])
+    return readings_of(apply_rules(slim, book, strict), keep, book.key)
+
+
+def readings_of(
+    ruled: DataFrame, keep: Sequence[str] = (), key: Sequence[str] = ("did",)
+) -> DataFrame:
+    """Readings from messages with `ruled_ports` (see `apply_rules`).
 
-    Columns `did, pidx, avg, interval, bucket, x, dtimestamp, ptimestamp` and those in `keep`. A
+    Columns: those of `key_of(key)`, `bucket, x, dtimestamp, ptimestamp` and those in `keep`. A
     reading needs a rule with intervals and a value; whether it is valid does not matter. A failed
     action feeds nothing.
     """
-    wanted = ["id", "portnum", "dtimestamp", "ptimestamp", "values", "app", *keep]
-    slim = messages.select(*[c for c in messages.columns if c in wanted])
-    ruled = rule_lookup(slim, book).filter(
-        (F.size("rule.intervals") > 0) & V.is_present(F.col("value"))
+    carried = [c for c in keep if c not in key]
+    names = [F.col("id").alias("did") if c == "did" else F.col(c) for c in key]
+    each = ruled.select(
+        *names,
+        "dtimestamp",
+        "ptimestamp",
+        *carried,
+        # An outer generator: the plain one would also filter on the ports below it, and apply the
+        # rules twice.
+        F.posexplode_outer("ruled_ports").alias("pidx", "port"),
     )
-    others = ("pidx", "dtimestamp", "ptimestamp", *keep)
-    coerced = ruled.select(
-        F.col("id").alias("did"), *others, "rule", V.to_double(F.col("value")).alias("_value")
+    fed = each.filter(F.col("port.result").isNotNull()).select(
+        *key,
+        "pidx",
+        "dtimestamp",
+        "ptimestamp",
+        *carried,
+        F.col("port.result").alias("x"),
+        F.inline("port.intervals"),
     )
-    x, _ = transform_value(book, F.col("rule"), F.col("_value"), strict)
-    single = coerced.select("did", *others, x.alias("x"), F.col("rule.intervals").alias("_list"))
-    # An outer generator drops failed readings without a filter that would compute `x` again.
-    fed = F.when(F.col("x").isNotNull(), F.col("_list"))
-    each = (
-        single.select("did", *others, "x", F.inline_outer(fed))
-        .withColumnRenamed("ms", "interval")
-        .filter(F.col("interval").isNotNull())
+    return fed.withColumnRenamed("ms", "interval").withColumn(
+        "bucket", times.bucket(F.col("ptimestamp"), F.col("interval"))
     )
-    return each.withColumn("bucket", times.bucket(F.col("ptimestamp"), F.col("interval")))
 
 
-def tumbling(rows: DataFrame) -> DataFrame:
+def tumbling(rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """The whole sum and count of every bucket; partial sums keep a hot device balanced."""
-    return rows.groupBy(*KEY, "bucket").agg(
+    return rows.groupBy(*key, "bucket").agg(
         F.sum("x").alias("sum"), F.count("x").alias("num")
     )
 
 
 def rollover_in_order(
-    rows: DataFrame, arrival: str, slice_buckets: int = 100_000, carry: Sequence[str] = ()
+    rows: DataFrame,
+    arrival: str,
+    slice_buckets: int = 100_000,
+    carry: Sequence[str] = (),
+    key: Sequence[str] = KEY,
 ) -> DataFrame:
     """`rollover` for readings whose buckets never go back along `arrival`, a numeric column.
 
@@ -62,7 +83,7 @@ def rollover_in_order(
     """
     order = F.col(arrival)
     trigger = ("dtimestamp", "ptimestamp", *carry)
-    buckets = rows.groupBy(*KEY, "bucket").agg(
+    buckets = rows.groupBy(*key, "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
         F.min(order).alias("_own__first"),
@@ -70,17 +91,21 @@ def rollover_in_order(
         *[F.min_by(c, order).alias(f"_own_{c}") for c in trigger],
     )
     slices = F.floor(F.col("bucket") / F.col("interval") / F.lit(slice_buckets))
-    in_slice = Window.partitionBy(*KEY, "_slice").orderBy("bucket")
+    in_slice = Window.partitionBy(*key, "_slice").orderBy("bucket")
     runs = buckets.withColumn("_slice", slices).withColumn("_run", F.row_number().over(in_slice))
     checked = F.when(
         F.col("_first") < F.col("_last"), F.raise_error(F.lit("readings are not in order"))
     ).otherwise(F.col("dtimestamp"))
-    closed = _stitch(runs, ("_first", *trigger), F.max("_last").alias("_last"))
+    closed = _stitch(runs, ("_first", *trigger), F.max("_last").alias("_last"), key=key)
     return closed.withColumn("dtimestamp", checked).drop("_first", "_last")
 
 
 def rollover(
-    rows: DataFrame, arrival: Sequence[str], slice_width: int = 100_000, carry: Sequence[str] = ()
+    rows: DataFrame,
+    arrival: Sequence[str],
+    slice_width: int = 100_000,
+    carry: Sequence[str] = (),
+    key: Sequence[str] = KEY,
 ) -> DataFrame:
     """One open bucket per key: a reading of another bucket closes it, whether later or earlier.
 
@@ -91,22 +116,26 @@ def rollover(
     put in order slice by slice. Only the first and last runs of slices meet per key.
     """
     trigger = ("dtimestamp", "ptimestamp", *carry)
-    return _stitch(_slice_runs(rows, arrival, slice_width, trigger), trigger)
+    return _stitch(_slice_runs(rows, arrival, slice_width, trigger, key), trigger, key=key)
 
 
 def _slice_runs(
-    rows: DataFrame, arrival: Sequence[str], slice_width: int, own: Sequence[str]
+    rows: DataFrame,
+    arrival: Sequence[str],
+    slice_width: int,
+    own: Sequence[str],
+    key: Sequence[str],
 ) -> DataFrame:
     """Runs of one bucket within slices of arrival, with the `own` columns of the first reading."""
     slices = F.floor(F.col(arrival[0]) / F.lit(slice_width))
-    in_slice = Window.partitionBy(*KEY, "_slice").orderBy(*arrival)
+    in_slice = Window.partitionBy(*key, "_slice").orderBy(*arrival)
     previous = F.lag("bucket").over(in_slice)
     marked = (
         rows.withColumn("_slice", slices)
         .withColumn("_starts", previous.isNull() | (previous != F.col("bucket")))
         .withColumn("_run", F.sum(F.col("_starts").cast("int")).over(in_slice))
     )
-    return marked.groupBy(*KEY, "_slice", "_run", "bucket").agg(
+    return marked.groupBy(*key, "_slice", "_run", "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
         *[F.max(F.when(F.col("_starts"), F.col(c))).alias(f"_own_{c}") for c in own],
@@ -114,7 +143,11 @@ def _slice_runs(
 
 
 def partial_runs(
-    rows: DataFrame, arrival: str, slice_width: int = 100_000, carry: Sequence[str] = ()
+    rows: DataFrame,
+    arrival: str,
+    slice_width: int = 100_000,
+    carry: Sequence[str] = (),
+    key: Sequence[str] = KEY,
 ) -> DataFrame:
     """Readings of a micro-batch summed as runs of one bucket, in place of single readings.
 
@@ -123,20 +156,22 @@ def partial_runs(
     """
     own = ("dtimestamp", "ptimestamp", *carry)
     runs = _slice_runs(
-        rows.withColumn("arrival", F.col(arrival)), [arrival], slice_width, (*own, "arrival")
+        rows.withColumn("arrival", F.col(arrival)), [arrival], slice_width, (*own, "arrival"), key
     )
     first = [F.col(f"_own_{c}").alias(c) for c in (*own, "arrival")]
-    return runs.select(*KEY, "bucket", "sum", "num", *first)
+    return runs.select(*key, "bucket", "sum", "num", *first)
 
 
-def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame:
+def _stitch(
+    runs: DataFrame, trigger: Sequence[str], *more: Column, key: Sequence[str] = KEY
+) -> DataFrame:
     """Joins the runs of neighbouring slices and finds the reading that closed each.
 
     `runs` has `_slice`, `_run` (from 1 in each slice) and the `_own_` columns of the first reading
     of a run. `more` holds further aggregates over the parts of a run.
     """
-    by_run = Window.partitionBy(*KEY, "_slice").orderBy("_run")
-    whole_slice = Window.partitionBy(*KEY, "_slice")
+    by_run = Window.partitionBy(*key, "_slice").orderBy("_run")
+    whole_slice = Window.partitionBy(*key, "_slice")
     own = F.struct(*[F.col(f"_own_{c}").alias(c) for c in trigger])
     is_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
     # The edges of all slices of a key meet; inner runs stay with their slice.
@@ -147,7 +182,7 @@ def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame
         .withColumn("_part", F.when(~is_edge, F.col("_slice")))
     )
     # A run that reaches over the end of a slice continues as the first run of the next slice.
-    along = Window.partitionBy(*KEY, "_part").orderBy("_slice", "_run")
+    along = Window.partitionBy(*key, "_part").orderBy("_slice", "_run")
     continues = (F.lag("_slice").over(along) != F.col("_slice")) & (
         F.lag("bucket").over(along) == F.col("bucket")
     )
@@ -158,7 +193,7 @@ def _stitch(runs: DataFrame, trigger: Sequence[str], *more: Column) -> DataFrame
         .withColumn("_is_last", ~F.coalesce(F.lead("_continues").over(along), F.lit(False)))
     )
     return (
-        joined.groupBy(*KEY, "_part", "_joined", "bucket")
+        joined.groupBy(*key, "_part", "_joined", "bucket")
         .agg(
             F.sum("sum").alias("sum"),
             F.sum("num").alias("num"),
@@ -173,9 +208,9 @@ def emitted(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("ptimestamp").isNotNull())
 
 
-def still_open(runs: DataFrame) -> DataFrame:
+def still_open(runs: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """The last bucket of each key, which no reading has closed."""
-    return runs.filter(F.col("ptimestamp").isNull()).select(*KEY, "bucket", "sum", "num")
+    return runs.filter(F.col("ptimestamp").isNull()).select(*key, "bucket", "sum", "num")
 
 
 def avg_records(runs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

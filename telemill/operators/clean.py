@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemill.functions import values as V
-from telemill.operators.joins import lookup_join
 from telemill.operators.rules import ANY_PORT, RuleBook
+from telemill.sources.messages import as_map
 
 
 def explode_ports(messages: DataFrame) -> DataFrame:
@@ -37,111 +37,107 @@ def has_invalid_port(values: Column, portnum: Column) -> Column:
 
 
 def transform_value(
-    book: RuleBook, rule: Column, x: Column, strict: bool = False
+    rule: Column, x: Column, strict: bool = False
 ) -> tuple[Column, Column]:
     """The new value under `rule` of a present port value, and the error if there is none; `x` is
-    that value as a double."""
+    that value as a double. A failed action has no value, whatever its formula."""
     error = V.action_error(rule["op"], x)
-    result = V.apply_command(rule["op"], rule["arg"], x, book.formula_value(rule, x))
-    return (V.strictly(result, error) if strict else result), error
+    result = V.apply_command(rule["op"], rule["arg"], x, RuleBook.formula_value(rule, x))
+    checked = V.strictly(result, error) if strict else F.when(error.isNull(), result)
+    return checked, error
+
+
+def _with_rule(port: Column, pidx: Column) -> Column:
+    own = RuleBook.port_rule(pidx)
+    active = pidx < F.col("portnum")
+    found = F.coalesce(own, F.col("any_rule"))
+    return F.struct(
+        port.alias("port"),
+        F.when(active, found).alias("rule"),
+        F.when(active & own.isNotNull(), pidx)
+        .when(active & F.col("any_rule").isNotNull(), F.lit(ANY_PORT))
+        .alias("rule_port"),
+        V.to_double(port["value"]).alias("x"),
+    )
+
+
+def _ruled_ports() -> Column:
+    """Each port with its rule, of messages joined with the rules of their device."""
+    return F.transform("values", _with_rule)
 
 
 def rule_lookup(messages: DataFrame, book: RuleBook) -> DataFrame:
     """Active ports with `rule` and `rule_port`, the port number the rule was written for."""
-    ports = explode_ports(messages).filter("active").withColumnRenamed("id", "did")
-    return (
-        book.lookup(ports, book.key)
-        .withColumnRenamed("did", "id")
-        .withColumn(
-            "rule_port",
-            F.when(F.col("exact_rule").isNotNull(), F.col("pidx")).when(
-                F.col("any_rule").isNotNull(), F.lit(ANY_PORT)
-            ),
-        )
-        .drop("exact_rule", "any_rule")
+    others = [c for c in messages.columns if c != "values"]
+    # Rules are looked up in the message, so that only a port's own rule goes with the port.
+    ports = book.join(messages).select(*others, F.posexplode_outer(_ruled_ports()).alias("pidx", "r"))
+    return ports.filter(F.col("pidx") < F.col("portnum")).select(
+        *others,
+        "pidx",
+        *[F.col(f"r.port.{c}").alias(c) for c in ("value", "valid", "unit")],
+        "r.rule",
+        "r.rule_port",
     )
 
 
-def _cleaned_port(book: RuleBook, item: Column, strict: bool) -> Column:
+def _applied(item: Column, strict: bool) -> Column:
     port, rule = item["port"], item["rule"]
-    result, error = transform_value(book, rule, item["x"], strict)
-    replaced = rule.isNotNull() & V.is_present(port["value"])
+    result, error = transform_value(rule, item["x"], strict)
+    ruled = rule.isNotNull() & V.is_present(port["value"])
     return F.struct(
-        F.when(replaced, result.cast("variant")).otherwise(port["value"]).alias("value"),
-        port["valid"].alias("valid"),
-        port["unit"].alias("unit"),
-        port["extra"].alias("extra"),
-        F.when(replaced, error).alias("action_error"),
+        *[port[c].alias(c) for c in ("value", "valid", "unit", "extra")],
+        ruled.alias("ruled"),
+        F.when(ruled, result).alias("result"),
+        F.when(ruled, error).alias("action_error"),
+        F.when(ruled, rule["intervals"]).alias("intervals"),
     )
 
 
-def _clean_in_place(messages: DataFrame, book: RuleBook, strict: bool) -> DataFrame:
-    """Each message with the folded rules of its device: one lookup join, no shuffle of messages."""
-    key = tuple("id" if k == "did" else k for k in book.key)
-    joined = lookup_join(messages, book.by_device(key), key, book.small)
-    rules = F.col("device_rules")
-
-    def with_rule(port: Column, pidx: Column) -> Column:
-        rule = F.coalesce(
-            F.try_element_at(rules, pidx), F.try_element_at(rules, F.lit(ANY_PORT))
-        )
-        return F.struct(
-            port.alias("port"),
-            F.when(pidx < F.col("portnum"), rule).alias("rule"),
-            V.to_double(port["value"]).alias("x"),
-        )
-
-    # Bound first, so that a port looks its rule up once.
-    bound = F.transform("values", with_rule)
-    cleaned = F.transform(bound, lambda item: _cleaned_port(book, item, strict))
-    return joined.select(
-        *[cleaned.alias(c) if c == "values" else F.col(c) for c in messages.columns]
-    )
+def apply_rules(messages: DataFrame, book: RuleBook, strict: bool = False) -> DataFrame:
+    """Messages with `ruled_ports` in place of `values`: each port as it came, with the result of its
+    rule. Both cleaned messages and readings are made of these.
 
+    One join by device; messages are not put together again, so they need no identity.
+    """
+    applied = F.transform(_ruled_ports(), lambda item: _applied(item, strict))
+    others = [c for c in messages.columns if c != "values"]
+    return book.join(messages).select(*others, applied.alias("ruled_ports"))
 
-def _clean_by_port(
-    messages: DataFrame, book: RuleBook, strict: bool, identity: Sequence[str]
-) -> DataFrame:
-    """For devices with very many port rules: ports are joined one by one and put together again."""
-    others = [c for c in messages.columns if c not in ("values", *identity)]
-    ports = messages.select(
-        *identity, *others, F.posexplode_outer("values").alias("pidx", "port")
-    ).withColumnRenamed("id", "did")
-    found = book.lookup(ports, book.key).withColumnRenamed("did", "id")
-    item = F.struct(
-        "port",
-        F.when(F.col("pidx") < F.col("portnum"), F.col("rule")).alias("rule"),
-        V.to_double(F.col("port.value")).alias("x"),
-    )
-    entries = found.withColumn(
-        "entry", F.struct("pidx", _cleaned_port(book, item, strict).alias("port"))
+
+def _kept_error(port: Column) -> Column:
+    """The further keys of a port whose action failed, with the error and the original value."""
+    failure = F.to_json(
+        F.struct(port["action_error"].alias("action_error"), port["value"].alias("original"))
     )
-    whole = entries.groupBy(*identity).agg(
-        *[F.first(c).alias(c) for c in others],
-        F.array_sort(
-            F.collect_list(F.when(F.col("pidx").isNotNull(), F.col("entry"))),
-            lambda a, b: a["pidx"] - b["pidx"],
-        ).alias("entries"),
+    merged = F.map_concat(
+        F.map_filter(as_map(port["extra"]), lambda key, _: ~key.isin("action_error", "original")),
+        as_map(failure),
     )
-    return whole.withColumn("values", F.transform("entries", lambda e: e["port"])).select(
-        *messages.columns
+    return F.when(port["extra"].isNull(), failure).otherwise(F.to_json(merged))
+
+
+def _cleaned_port(port: Column) -> Column:
+    failed = port["action_error"].isNotNull()
+    return F.struct(
+        F.when(port["ruled"], port["result"].cast("variant")).otherwise(port["value"]).alias("value"),
+        port["valid"].alias("valid"),
+        port["unit"].alias("unit"),
+        F.when(failed, _kept_error(port)).otherwise(port["extra"]).alias("extra"),
+        port["action_error"].alias("action_error"),
     )
 
 
-def clean_messages(
-    messages: DataFrame,
-    book: RuleBook,
-    strict: bool = False,
-    identity: Sequence[str] | None = None,
-) -> DataFrame:
+def cleaned(ruled: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What `apply_rules` gives as cleaned messages with these columns."""
+    values = F.transform("ruled_ports", _cleaned_port)
+    return ruled.select(*[values.alias(c) if c == "values" else F.col(c) for c in columns])
+
+
+def clean_messages(messages: DataFrame, book: RuleBook, strict: bool = False) -> DataFrame:
     """Messages with the values of ruled ports replaced; all other values keep their JSON type.
 
-    Ports get the column `action_error`; a failed action leaves null there, or ends the job if
-    `strict`. `identity` names columns that tell messages apart; it is only needed when some
-    device has more port rules than fit a row.
+    A failed action leaves null, the reason in the port column `action_error`, and the reason and
+    the original value among the further keys (`extra`), which the wire format and the stores keep.
+    With `strict` it ends the job.
     """
-    if book.narrow:
-        return _clean_in_place(messages, book, strict)
-    if identity is None:
-        raise ValueError("a device has very many port rules: name the identity columns")
-    return _clean_by_port(messages, book, strict, identity)
+    return cleaned(apply_rules(messages, book, strict), messages.columns)

@@ -1,4 +1,4 @@
-"""Left joins with a lookup table that stay balanced whatever the key distribution."""
+"""Left joins with a lookup table."""
 
 from __future__ import annotations
 
@@ -7,43 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this share of the rows is joined apart; there are at most 1 / share such keys.
-HOT_SHARE = 0.001
 
-
-def lookup_join(
-    left: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    small: bool,
-    counted: DataFrame | None = None,
-) -> DataFrame:
+def lookup_join(left: DataFrame, table: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
     """`left` joined with at most one row of `table` per key.
 
-    `small` says that the size of `table` was measured and is fit for a broadcast. Otherwise the
-    table is shuffled, and the rows of hot keys are kept out of that shuffle: their table rows are
-    few by the definition of hot, so these are broadcast. Keys are counted in `counted`, a frame
-    with the keys of `left` that is cheaper to read.
+    `small` says that the size of `table` was measured and is fit for a broadcast. Otherwise both
+    sides are shuffled, and adaptive execution splits the rows of a hot key, which all meet one row.
     """
-    on = list(on)
-    if small:
-        return left.join(F.broadcast(table), on, "left")
-    hot = hot_keys(left if counted is None else counted, on)
-    if hot is None:
-        return left.join(table, on, "left")
-    hot_table = table.join(F.broadcast(hot), on, "left_semi")
-    hot_rows = left.join(F.broadcast(hot), on, "left_semi").join(
-        F.broadcast(hot_table), on, "left"
-    )
-    other_rows = left.join(F.broadcast(hot), on, "left_anti").join(table, on, "left")
-    return other_rows.unionByName(hot_rows)
-
-
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """The keys that hold at least `HOT_SHARE` of the rows, as a local table; None if none does."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.count()
-    rows = counts.filter(F.col("rows") >= F.lit(total * HOT_SHARE)).select(*on).collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
+    return left.join(F.broadcast(table) if small else table.hint("merge"), list(on), "left")

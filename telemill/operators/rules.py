@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from telemill.functions import formula as formulas
 from telemill.functions import times
 from telemill.operators.joins import lookup_join
+from telemill.session import shared_folder
 
 # The commands a rule can hold.
 COMMANDS_WITH_NUMBER = ("ADD", "SUB", "MUL", "DIV")
@@ -17,15 +19,19 @@ COMMANDS = ("NEG", "RVS", "EXPR1") + COMMANDS_WITH_NUMBER
 
 ANY_PORT = -1
 
-# Rules are broadcast up to this estimated size, and formulas compiled to Columns up to this number.
+# Rules are broadcast up to this size, estimated from the snapshot that is joined.
 BROADCAST_BYTES = 128 * 1024 * 1024
-NATIVE_FORMULAS = 100
-# Devices with more port rules than this are cleaned port by port.
-PORT_RULES_PER_DEVICE = 4096
+# Ports of a device whose rules are in one inner map.
+PAGE_BITS = 6
 
 
 def read_rules_jdbc(spark: SparkSession, url: str, apps: list[str], **options: str) -> DataFrame:
-    """The rule tables `dc_<app>` of a database, with the app as a column."""
+    """The rule tables `dc_<app>` of a database, with the app as a column.
+
+    `options` reach the reader; `partitionColumn` with its bounds reads a table in several tasks.
+    """
+    if not apps:
+        raise ValueError("name at least one app")
     tables = [
         spark.read.format("jdbc")
         .options(url=url, dbtable=f"dc_{app}", **options)
@@ -153,11 +159,11 @@ def merge_keeping(current: DataFrame, new: DataFrame, keep: DataFrame) -> DataFr
 
     With no current rule at all the new rules are taken as they are.
     """
-    if current.isEmpty():
-        return new
     kept = current.join(keep, "did", "left_semi")
-    taken = new.join(keep, "did", "left_anti")
-    return taken.unionByName(kept)
+    # One row if there is a current rule, none otherwise.
+    some = current.select(F.lit(1).alias("_some")).limit(1)
+    held = keep.withColumn("_some", F.lit(1)).join(F.broadcast(some), "_some", "left_semi")
+    return new.join(held, "did", "left_anti").unionByName(kept)
 
 
 def remove_devices(rules: DataFrame, devices: DataFrame) -> DataFrame:
@@ -169,114 +175,100 @@ def clear_rules(rules: DataFrame) -> DataFrame:
     return rules.limit(0)
 
 
+def folded_rules(effective: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """One row per device: `any_rule`, that of any port, `pages`, a map from `pidx div 64` to a map
+    from port to rule, and `bytes`, their estimated size.
+
+    A device has one rule per port, so its row is no larger than a message with all its ports.
+    """
+    rule = F.struct(
+        "op", "arg", formulas.postfix_column(F.col("formula")).alias("postfix"), "intervals"
+    )
+    # Partitioned by device first, which serves both foldings.
+    rows = effective.repartition(*key).select(*key, "pidx", rule.alias("rule"))
+    size = (
+        F.lit(160)
+        + 24 * F.coalesce(F.size("rule.postfix"), F.lit(0))
+        + 40 * F.size("rule.intervals")
+        + sum((F.octet_length(k) for k in key), F.lit(0))
+    )
+    pages = rows.groupBy(*key, F.shiftright("pidx", PAGE_BITS).alias("page")).agg(
+        F.map_from_entries(F.collect_list(F.struct("pidx", "rule"))).alias("rules"),
+        F.sum(size).alias("bytes"),
+    )
+    of_ports = F.when(F.col("page") >= 0, F.struct("page", "rules"))
+    of_any = F.try_element_at("rules", F.lit(ANY_PORT))
+    return pages.groupBy(*key).agg(
+        F.first(of_any, ignorenulls=True).alias("any_rule"),
+        F.map_from_entries(F.collect_list(of_ports)).alias("pages"),
+        F.sum("bytes").alias("bytes"),
+    )
+
+
 @dataclass(frozen=True)
 class RuleBook:
-    """Effective rules in lookup form, with what was measured about them.
+    """A snapshot of the rules in force, one row per device (see `folded_rules`).
 
-    `rules` has the key columns, `pidx` and `rule`, a struct of `op, arg, formula_id, postfix,
-    intervals`. `formulas` lists the distinct formulas, or is None where they are too many to
-    compile to Columns; then `postfix` holds them as data.
+    What is measured, looked up and applied is this snapshot, whatever becomes of the rule table.
     """
 
-    rules: DataFrame
+    devices: DataFrame
     key: tuple[str, ...]
     small: bool
-    narrow: bool
-    formulas: tuple[str, ...] | None
 
     @staticmethod
     def of(rules: DataFrame, key: tuple[str, ...] = ("did",)) -> RuleBook:
-        """Builds the book from a rule table; measures it with a job over that table."""
-        effective = effective_rules(rules, key)
-        # All usable rows bound the rules in force; only a bound that is too high is made exact.
-        texts, total, last_port = RuleBook._measure(_usable_rules(rules), key)
-        if texts is None or total > BROADCAST_BYTES:
-            texts, total, last_port = RuleBook._measure(effective, key)
-        few = texts is not None
-        # A device has at most one rule per port and one for any port.
-        narrow = last_port + 2 <= PORT_RULES_PER_DEVICE or not RuleBook._has_wide(effective, key)
-        if few:
-            known = F.array(*[F.lit(t) for t in texts]) if texts else F.array().cast("array<string>")
-            formula_id = (F.array_position(known, F.col("formula")) - 1).cast("int")
-            postfix = F.lit(None).cast(formulas.POSTFIX)
-        else:
-            formula_id = F.lit(None).cast("int")
-            postfix = formulas.postfix_column(F.col("formula"))
-        rule = F.struct(
-            "op", "arg", formula_id.alias("formula_id"), postfix.alias("postfix"), "intervals"
-        )
-        return RuleBook(
-            rules=effective.select(*key, "pidx", rule.alias("rule")),
-            key=key,
-            small=total <= BROADCAST_BYTES,
-            narrow=narrow,
-            formulas=texts,
-        )
+        """Takes the snapshot of a rule table, as a table in the shared folder, and measures it."""
+        folded = folded_rules(effective_rules(rules, key), key)
+        spark = rules.sparkSession
+        path = shared_folder(spark, "rules")
+        folded.write.parquet(path)
+        devices = spark.read.schema(folded.schema).parquet(path)
+        total = devices.agg(F.sum("bytes").alias("bytes")).first().bytes or 0
+        return RuleBook(devices.drop("bytes"), key, total <= BROADCAST_BYTES)
+
+    def join(self, messages: DataFrame) -> DataFrame:
+        """Messages with `any_rule` and `pages` of their device, null where it has no rules."""
+        names = {k: "id" for k in self.key if k == "did"}
+        key = [names.get(k, k) for k in self.key]
+        return lookup_join(messages, self.devices.withColumnsRenamed(names), key, self.small)
 
     @staticmethod
-    def _measure(
-        rules: DataFrame, key: tuple[str, ...]
-    ) -> tuple[tuple[str, ...] | None, int, int]:
-        """The distinct formulas (None if too many), the estimated size and the highest port."""
-        row_bytes = (
-            F.lit(96)
-            + sum((F.coalesce(F.length(k), F.lit(0)) for k in key), F.lit(0))
-            + 48 * F.coalesce(F.length("formula"), F.lit(0))
-            + 40 * F.size("intervals")
+    def port_rule(pidx: Column) -> Column:
+        """The rule written for this port, of the device joined."""
+        return F.try_element_at(
+            F.try_element_at(F.col("pages"), F.shiftright(pidx, PAGE_BITS)), pidx
         )
-        totals = (F.sum(row_bytes).alias("bytes"), F.max(_port(F.col("pidx"))).alias("port"))
-        # One row per formula, and one for the rules without; more rows than that are cut off.
-        groups = rules.groupBy("formula").agg(*totals).limit(NATIVE_FORMULAS + 2).collect()
-        if len(groups) > NATIVE_FORMULAS + 1:
-            row = rules.agg(*totals).first()
-            return None, row.bytes, row.port
-        texts = tuple(sorted(row.formula for row in groups if row.formula is not None))
-        total = sum(row.bytes for row in groups)
-        return texts, total, max((row.port for row in groups), default=ANY_PORT)
 
     @staticmethod
-    def _has_wide(effective: DataFrame, key: tuple[str, ...]) -> bool:
-        ports = effective.groupBy(*key).agg(F.count(F.lit(1)).alias("ports"))
-        return not ports.filter(F.col("ports") > PORT_RULES_PER_DEVICE).isEmpty()
-
-    def formula_value(self, rule: Column, x: Column) -> Column:
+    def formula_value(rule: Column, x: Column) -> Column:
         """The value of an EXPR1 rule at `x`."""
-        if self.formulas is None:
-            return formulas.evaluate_postfix(rule["postfix"], x)
-        value = x
-        for number, text in enumerate(self.formulas):
-            if formulas.to_postfix(text) is not None:
-                value = F.when(
-                    rule["formula_id"] == number, formulas.to_column(text, x)
-                ).otherwise(value)
-        return value
-
-    def _named(self, df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        for key, name in zip(self.key, names):
-            if key != name:
-                df = df.withColumnRenamed(key, name)
-        return df
-
-    def lookup(self, ports: DataFrame, key: tuple[str, ...] = ("did",)) -> DataFrame:
-        """Port rows (key columns and `pidx`) with the column `rule`: that of the port if there
-        is one, else that of any port of the device, else null."""
-        exact = self._named(self.rules.filter(F.col("pidx") >= 0), key).withColumnRenamed(
-            "rule", "exact_rule"
-        )
-        wildcard = self._named(
-            self.rules.filter(F.col("pidx") == ANY_PORT).drop("pidx"), key
-        ).withColumnRenamed("rule", "any_rule")
-        found = lookup_join(ports, exact, [*key, "pidx"], self.small)
-        found = lookup_join(found, wildcard, key, self.small, counted=ports)
-        return found.withColumn("rule", F.coalesce("exact_rule", "any_rule"))
-
-    def by_device(self, key: tuple[str, ...] = ("did",)) -> DataFrame:
-        """One row per device with `device_rules`, a map from port to rule.
-
-        A device has one rule per port, so a map is no larger than a message of the device; only
-        used while `narrow`.
-        """
-        folded = self.rules.groupBy(*self.key).agg(
-            F.map_from_entries(F.collect_list(F.struct("pidx", "rule"))).alias("device_rules")
-        )
-        return self._named(folded, key)
+        return formulas.evaluate_postfix(rule["postfix"], x)
+
+
+class RuleFeed:
+    """The rule book for the micro-batches of a stream, taken anew when the rules have changed.
+
+    Changes show in the number, the highest id and a hash of the usable rules, so edits and deletions
+    show as well as new rules.
+    """
+
+    def __init__(self, rules: Callable[[], DataFrame], key: tuple[str, ...] = ("did",)) -> None:
+        self._rules = rules
+        self._key = key
+        self._seen: tuple | None = None
+        self._book: RuleBook | None = None
+
+    def current(self) -> RuleBook:
+        rules = self._rules()
+        usable = rules_after(rules)
+        columns = ("app", "id", "did", "pidx", "cmd", "avg")
+        row = usable.agg(
+            F.count(F.lit(1)),
+            F.max("id"),
+            F.sum(F.xxhash64(*columns).cast("decimal(38,0)")),
+            F.sum(F.xxhash64(F.lit("again"), *columns).cast("decimal(38,0)")),
+        ).first()
+        if self._book is None or tuple(row) != self._seen:
+            self._book, self._seen = RuleBook.of(rules, self._key), tuple(row)
+        return self._book

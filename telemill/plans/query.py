@@ -22,11 +22,13 @@ VIEW = "deviceValue"
 
 
 def device_value(messages: DataFrame, port: int = -1) -> DataFrame:
-    """One row per message for one port. A missing port, value or flag gives 0.0 and false."""
+    """One row per message for one port. A missing port, value or flag gives 0.0 and false; a value
+    that its action could not give is null."""
     if port >= 0:
         entry = F.get("values", F.lit(port))
         present = V.is_present(entry["value"])
-        value = F.when(present, V.to_double(entry["value"])).otherwise(F.lit(0.0))
+        error = F.get_json_object(entry["extra"], "$.action_error")
+        value = F.when(present, V.to_double(entry["value"])).when(error.isNull(), F.lit(0.0))
         valid = F.coalesce(entry["valid"], F.lit(False))
     else:
         value, valid = F.lit(0.0), F.lit(False)
@@ -141,9 +143,14 @@ def run_job(
     days: str = "range",
     narrow: bool = False,
     apps: Sequence[str] | None = None,
+    late_days: int = 1,
 ) -> DataFrame:
     """A job request: `type: sql` with `query, port, dtime`, or a sample request with `btime, etime,
-    interval, delta` and any other keys as properties."""
+    interval, delta` and any other keys as properties.
+
+    Messages are filed by the day they are written. A sample request over a range of days also reads
+    `late_days` further days for messages of the range that were written after it.
+    """
     now = int(time.time() * 1000) if now is None else now
     rest = dict(request)
     if rest.pop("type", None) == "sql":
@@ -154,6 +161,8 @@ def run_job(
     interval = int(rest.pop("interval", -1))
     delta = int(rest.pop("delta", filters.DEFAULT_DELTA))
     first, last = days_to_read(btime, etime, now, days)
+    if days == "range":
+        last += late_days
     messages = read_days(spark, main, backup, first, last, narrow, apps)
     return sample_messages(messages, btime, etime, interval, delta, rest)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,14 +31,8 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder of the cluster (`spark.checkpoint.dir`).
-
-    Only a local master falls back to a temporary folder of this machine.
-    """
+    """A new folder name below the shared folder of the cluster, `spark.checkpoint.dir`."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="telemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

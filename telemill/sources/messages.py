@@ -11,7 +11,8 @@ from telemill.schemas import KEY_TYPES, MESSAGE_COLUMNS, OPTIONAL_KEYS, PORT_KEY
 def read_topic(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options: str
 ) -> DataFrame:
-    """The message topic as a stream with a string column `value`; keys are not used.
+    """The message topic as a stream with the text in `value`, and `partition`, `offset`, `sent_at`
+    and `arrival` beside it; keys are not used.
 
     Needs the Kafka connector on the class path. Topic partitions set the parallelism;
     `maxOffsetsPerTrigger` bounds a micro-batch.
@@ -23,7 +24,23 @@ def read_topic(
         .option("startingOffsets", starting)
         .options(**options)
         .load()
-        .select(F.col("value").cast("string").alias("value"))
+        .transform(topic_rows)
+    )
+
+
+def topic_rows(records: DataFrame) -> DataFrame:
+    """Records of a topic (binary `value`, `partition`, `offset`, `timestamp`) as `value`, `partition`,
+    `offset`, `sent_at` (epoch ms) and `arrival`, which orders the messages of a device.
+
+    A device's messages keep to one partition, where offsets give their order; so `arrival` is the
+    offset.
+    """
+    return records.select(
+        F.col("value").cast("string").alias("value"),
+        "partition",
+        "offset",
+        F.unix_millis("timestamp").alias("sent_at"),
+        F.col("offset").alias("arrival"),
     )
 
 
@@ -146,7 +163,8 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reject").isNotNull()).select(*others, "reject", "raw")
 
 
-def _as_map(text: Column) -> Column:
+def as_map(text: Column) -> Column:
+    """JSON text of an object as a map; other text gives an empty one."""
     return F.coalesce(F.from_json(text, _TEXT_MAP), F.create_map().cast(_TEXT_MAP))
 
 
@@ -157,7 +175,7 @@ def _plain_port(port: Column) -> Column:
 def _whole_port(port: Column) -> Column:
     """A port with the keys of `extra` merged in, as a variant."""
     known = F.from_json(F.to_json(_plain_port(port)), _TEXT_MAP)
-    whole = F.to_variant_object(F.map_concat(known, _as_map(port["extra"])))
+    whole = F.to_variant_object(F.map_concat(known, as_map(port["extra"])))
     is_object = F.coalesce(port["extra"].startswith("{"), F.lit(True))
     return F.when(is_object, whole).otherwise(F.parse_json(port["extra"]))
 
@@ -176,7 +194,7 @@ def to_wire(messages: DataFrame, column: str = "value") -> DataFrame:
     plain = F.to_json(known(F.transform("values", _plain_port)))
     # Only messages with further keys pay for the merge.
     merged_ports = F.to_json(known(F.transform("values", _whole_port)))
-    whole = F.to_json(F.map_concat(F.from_json(merged_ports, _TEXT_MAP), _as_map(extra)))
+    whole = F.to_json(F.map_concat(F.from_json(merged_ports, _TEXT_MAP), as_map(extra)))
     has_more = extra.isNotNull() | F.coalesce(
         F.exists("values", lambda port: port["extra"].isNotNull()), F.lit(False)
     )

@@ -1,7 +1,8 @@
 """The main store and the backup store: layout, writing, failover and day scans.
 
-Main store: Parquet below `app=<app>/day=<yyyyMMdd>/batch=<id>`. Backup store: JSON lines below
-`day=<yyyy-MM-dd>/hour=<yyyy-MM-dd_HH>/batch=<id>`. A batch replaces its own folders when it is
+Main store: Parquet below `day=<yyyyMMdd>/app=<app>/batch=<id>`. Backup store: JSON lines below
+`day=<yyyy-MM-dd>/hour=<yyyy-MM-dd_HH>/batch=<id>`, all by UTC. A scan opens only the folders of the
+days it wants. A batch replaces its own folders when it is
 written again, so a replayed batch leaves no second copy.
 """
 
@@ -10,9 +11,10 @@ from __future__ import annotations
 import enum
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,20 +45,6 @@ class Level(enum.Enum):
         return self.value[2]
 
 
-def destinations(level: Column, main_ok: Column) -> Column:
-    """The stores that hold a batch, as an array of `main` and `backup`; both may be missing."""
-
-    def any_of(wanted: Callable[[Level], bool]) -> Column:
-        return level.isin(*[each.name for each in Level if wanted(each)])
-
-    to_main = any_of(lambda each: each.main) & main_ok
-    to_backup = any_of(lambda each: each.always_backup) | (
-        any_of(lambda each: each.backup) & ~to_main
-    )
-    stores = F.array(F.when(to_main, F.lit("main")), F.when(to_backup, F.lit("backup")))
-    return F.filter(stores, lambda store: store.isNotNull())
-
-
 def route(messages: DataFrame, stores: DataFrame, default: str) -> DataFrame:
     """Adds `store`: that of the app in `stores` (columns `app, store`), else the default."""
     known = stores.withColumnRenamed("store", "_store")
@@ -79,15 +67,15 @@ def _balanced(df: DataFrame, *folder: str) -> DataFrame:
 
 
 def write_main(batch: DataFrame, path: str, batch_id: str, at: str = "stored_at") -> None:
-    """Files a batch by app and day of writing."""
+    """Files a batch by day of writing and app."""
     filed = batch.withColumn("day", times.day_key(F.col(at), "yyyyMMdd")).withColumn(
         "batch", F.lit(batch_id)
     )
     (
-        _balanced(filed, "app", "day")
+        _balanced(filed, "day", "app")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("app", "day", "batch")
+        .partitionBy("day", "app", "batch")
         .parquet(path)
     )
 
@@ -97,7 +85,7 @@ def write_backup(
     path: str | None,
     batch_id: str,
     at: str = "stored_at",
-    hour_pattern: str = "yyyy-MM-dd_HH",
+    day_pattern: str = "yyyy-MM-dd",
 ) -> None:
     """Appends a batch as JSON lines by day and hour of writing; without a path nothing happens.
 
@@ -105,7 +93,7 @@ def write_backup(
     """
     if path is None:
         return
-    day, hour = times.day_key(F.col(at)), times.hour_key(F.col(at), hour_pattern)
+    day, hour = times.day_key(F.col(at)), times.hour_key(F.col(at), day_pattern)
     filed = batch.withColumns({"day": day, "hour": hour, "batch": F.lit(batch_id)})
     folder = ["day", "hour", "batch"]
     if "values" in batch.columns:
@@ -182,15 +170,38 @@ def store_batch(
     return written
 
 
-def _day_condition(days: Sequence[str] | None, first: str | None, last: str | None) -> Column:
-    condition = F.lit(True)
+def _open_days(
+    reader: DataFrameReader,
+    kind: str,
+    path: str,
+    pattern: str,
+    days: Sequence[str] | None,
+    first: str | None,
+    last: str | None,
+) -> DataFrame:
+    """The store with only the folders of the wanted days listed; none of them is an empty table."""
+    path = path.rstrip("/")
+    if days is None and first is not None and last is not None:
+        begin, end = (datetime.strptime(day, pattern) for day in (first, last))
+        days = [
+            (begin + timedelta(days=n)).strftime(pattern) for n in range((end - begin).days + 1)
+        ]
+    reader = reader.option("basePath", path).format(kind)
     if days is not None:
-        condition = condition & F.col("day").isin(*days)
+        try:
+            return reader.load(f"{path}/day={{{','.join(days)}}}") if days else _none(reader, path)
+        except AnalysisException:
+            return _none(reader, path)
+    table = reader.load(path)
     if first is not None:
-        condition = condition & (F.col("day") >= first)
+        table = table.filter(F.col("day") >= first)
     if last is not None:
-        condition = condition & (F.col("day") <= last)
-    return condition
+        table = table.filter(F.col("day") <= last)
+    return table
+
+
+def _none(reader: DataFrameReader, path: str) -> DataFrame:
+    return reader.load(path).limit(0)
 
 
 def scan_main(
@@ -203,9 +214,10 @@ def scan_main(
     narrow: bool = True,
 ) -> DataFrame:
     """Messages of the given days (`yyyyMMdd`), or from `first` to `last`; other folders are not
-    read. `narrow` gives the eight fields of the query side, else the whole row."""
+    opened. `narrow` gives the eight fields of the query side, else the whole row."""
     layout = T.StructType.fromDDL(MESSAGE + ", day string, batch string")
-    table = spark.read.schema(layout).parquet(path).filter(_day_condition(days, first, last))
+    reader = spark.read.schema(layout)
+    table = _open_days(reader, "parquet", path, "%Y%m%d", days, first, last)
     if apps is not None:
         table = table.filter(F.col("app").isin(*apps))
     return table.select(*MAIN_STORE_FIELDS) if narrow else table.drop("day", "batch")
@@ -220,8 +232,8 @@ def scan_backup(
     min_partitions: int | None = None,
 ) -> DataFrame:
     """Messages of the given days (`yyyy-MM-dd`), or from `first` to `last`, of the backup store."""
-    layout = "value string, day string, hour string, batch string"
-    lines = spark.read.schema(layout).text(path).filter(_day_condition(days, first, last))
+    reader = spark.read.schema("value string, day string, hour string, batch string")
+    lines = _open_days(reader, "text", path, "%Y-%m-%d", days, first, last)
     return _read_lines(lines, min_partitions)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from telemill.operators.averages import KEY
 from telemill.sources import stores
 from telemill.streaming.clean import TRIGGER, Sinks, first_of_run
 
 # Executors get the functions of this module with the task, without an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-KEY = ["did", "pidx", "interval"]
-
 RECORD = (
     "app string, id string, portid int, avg string, dtimestamp bigint, ptimestamp bigint, "
     "sum double, num int"
@@ -32,22 +31,26 @@ def use_state_store(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _as_runs(rows: DataFrame, arrival: str) -> DataFrame:
+def _as_runs(rows: DataFrame, arrival: str, key: Sequence[str]) -> DataFrame:
     """Runs as they are, or single readings as runs of one."""
     if "num" not in rows.columns:
         rows = rows.withColumnRenamed("x", "sum").withColumn("num", F.lit(1).cast("bigint"))
+    app = [] if "app" in key else ["app"]
     return rows.select(
-        "app", *KEY, "avg", "bucket", "dtimestamp", "ptimestamp",
+        *app, *key, "bucket", "dtimestamp", "ptimestamp",
         F.col(arrival).cast("bigint").alias("arrival"), "sum", "num",
     )
 
 
 class Rollover(StatefulProcessor):
-    """Holds the open bucket of one device, port and interval."""
+    """Holds the open bucket of one device, port and interval; `key` names the parts of its key."""
 
-    def __init__(self, evict: bool = False, emit_on_evict: bool = False) -> None:
+    def __init__(
+        self, evict: bool = False, emit_on_evict: bool = False, key: Sequence[str] = KEY
+    ) -> None:
         self.evict = evict
         self.emit_on_evict = emit_on_evict
+        self.names = list(key)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -58,9 +61,13 @@ class Rollover(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        named = dict(zip(self.names, key))
         parts = pd.concat(list(rows), ignore_index=True).sort_values(
             "arrival", kind="stable", ignore_index=True
         )
+        if "app" in named:
+            parts["app"] = named["app"]
+        parts["avg"] = named["avg"]
         first_time = not self.open.exists()
         if not first_time:
             begin, total, count, app, avg, dts, pts = self.open.get()
@@ -79,14 +86,15 @@ class Rollover(StatefulProcessor):
              int(last["dtimestamp"]), int(last["ptimestamp"]))
         )
         if first_time and self.evict:
-            self._set_timer(int(key[2]), timerValues)
+            self._set_timer(int(named["interval"]), timerValues)
         if len(heads) > 1:
-            yield self._records(key, heads["sum"][:-1], heads["num"][:-1], heads[1:])
+            yield self._records(named, heads["sum"][:-1], heads["num"][:-1], heads[1:])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.open.exists():
             return
-        interval = int(key[2])
+        named = dict(zip(self.names, key))
+        interval = int(named["interval"])
         now = timerValues.getCurrentProcessingTimeInMs()
         begin, total, count, app, avg, dts, pts = self.open.get()
         if begin >= now - 2 * interval:
@@ -97,18 +105,18 @@ class Rollover(StatefulProcessor):
             closer = pd.DataFrame(
                 {"app": [app], "avg": [avg], "dtimestamp": [dts], "ptimestamp": [pts]}
             )
-            yield self._records(key, pd.Series([total]), pd.Series([count]), closer)
+            yield self._records(named, pd.Series([total]), pd.Series([count]), closer)
 
     def _set_timer(self, interval: int, timer_values) -> None:
         self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + 2 * interval)
 
     @staticmethod
-    def _records(key, sums, counts, closers: pd.DataFrame) -> pd.DataFrame:
+    def _records(named, sums, counts, closers: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
             {
                 "app": closers["app"].to_numpy(),
-                "id": key[0],
-                "portid": np.int32(key[1]),
+                "id": named["did"],
+                "portid": np.int32(named["pidx"]),
                 "avg": closers["avg"].to_numpy(),
                 "dtimestamp": closers["dtimestamp"].to_numpy(dtype="int64"),
                 "ptimestamp": closers["ptimestamp"].to_numpy(dtype="int64"),
@@ -122,19 +130,24 @@ class Rollover(StatefulProcessor):
 
 
 def rollover_stream(
-    rows: DataFrame, arrival: str = "arrival", evict: bool = False, emit_on_evict: bool = False
+    rows: DataFrame,
+    arrival: str = "arrival",
+    evict: bool = False,
+    emit_on_evict: bool = False,
+    key: Sequence[str] = KEY,
 ) -> DataFrame:
     """Average records of a stream of runs or readings, each sent when its bucket is closed.
 
-    `rows` come from `partial_runs` or `readings` with the column `app`; `arrival` orders them.
+    `rows` come from `partial_runs` or `readings` with the column `app`; `arrival` orders them, and
+    `key` tells averages apart, as there (`key_of` the rule book's).
     `evict` drops buckets idle for two intervals of wall-clock time, unsent unless
     `emit_on_evict`. Needs `use_state_store`.
     """
     return (
-        _as_runs(rows, arrival)
-        .groupBy(*KEY)
+        _as_runs(rows, arrival, key)
+        .groupBy(*key)
         .transformWithStateInPandas(
-            statefulProcessor=Rollover(evict, emit_on_evict),
+            statefulProcessor=Rollover(evict, emit_on_evict, key),
             outputStructType=RECORD,
             outputMode="Append",
             timeMode="ProcessingTime" if evict else "None",

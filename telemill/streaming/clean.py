@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemill.operators.averages import partial_runs, readings
-from telemill.operators.clean import clean_messages
+from telemill.operators.averages import key_of, partial_runs, readings_of
+from telemill.operators.clean import apply_rules, cleaned
 from telemill.operators.metrics import observed
-from telemill.operators.rules import RuleBook
+from telemill.operators.rules import RuleBook, RuleFeed
 from telemill.sources import stores
 from telemill.sources.messages import accepted, decode, quarantined, to_wire
 from telemill.sources.stores import Level
@@ -24,9 +25,16 @@ Writer = Callable[[DataFrame, str], None]
 
 
 def parquet_batches(path: str) -> Writer:
-    """A table with one folder per micro-batch; a replayed batch replaces its folder."""
+    """A table with one folder per micro-batch.
+
+    A batch is staged and its folder then renamed, so the folder is there as a whole or not at all. If
+    it is there, a replay leaves it as it is: a stream that reads the table would take rewritten files
+    for new ones.
+    """
 
     def write(batch: DataFrame, batch_id: str) -> None:
+        if _is_there(batch.sparkSession, f"{path}/batch={batch_id}"):
+            return
         (
             batch.withColumn("batch", F.lit(batch_id))
             .write.mode("overwrite")
@@ -38,6 +46,14 @@ def parquet_batches(path: str) -> Writer:
     return write
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def topic(servers: str, name: str) -> Writer:
     """A Kafka topic; takes rows with a column `value`. Delivery is at least once."""
 
@@ -74,35 +90,33 @@ def first_of_run() -> Callable[[], bool]:
 def process_batch(
     decoded: DataFrame,
     batch_id: str,
-    rules: Callable[[], DataFrame],
+    book: RuleBook,
     sinks: Sinks,
-    key: tuple[str, ...] = ("did",),
     keep: tuple[str, ...] = (),
     arrival: str | None = None,
     strict: bool = False,
     replayed: bool = False,
 ) -> None:
-    """One micro-batch. The rules are read here, so a change applies to all later messages."""
-    book = RuleBook.of(rules(), key)
+    """One micro-batch: the rules of the book are applied once, and all outputs are made of that."""
     decoded = decoded.persist()
+    messages = accepted(decoded)
+    ruled = apply_rules(messages, book, strict).persist()
     try:
-        messages = accepted(decoded)
-        identity = [c for c in messages.columns if c in keep] or None
-        cleaned = clean_messages(messages, book, strict, identity)
+        clean = cleaned(ruled, messages.columns)
         if sinks.forward is not None:
-            sinks.forward(to_wire(cleaned), batch_id)
+            sinks.forward(to_wire(clean), batch_id)
         if sinks.main is not None or sinks.backup is not None:
-            stores.store_batch(
-                cleaned, batch_id, sinks.main, sinks.backup, sinks.level, replayed
-            )
+            stores.store_batch(clean, batch_id, sinks.main, sinks.backup, sinks.level, replayed)
         if sinks.readings is not None:
-            fed = readings(messages, book, ("app", *keep), strict)
+            fed = readings_of(ruled, ("app", *keep), book.key)
             if arrival is not None:
-                fed = partial_runs(fed, arrival, carry=["app"])
+                carry = [] if "app" in book.key else ["app"]
+                fed = partial_runs(fed, arrival, carry=carry, key=key_of(book.key))
             sinks.readings(fed, batch_id)
         if sinks.quarantine is not None:
             sinks.quarantine(quarantined(decoded), batch_id)
     finally:
+        ruled.unpersist()
         decoded.unpersist()
 
 
@@ -119,20 +133,20 @@ def clean_stream(
     strict: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Starts the stream. `source` is any streaming DataFrame with message text in `column`;
-    `keep` names further source columns that identify a message and travel with it. With `arrival`,
+    """Starts the stream. `source` is any streaming DataFrame with message text in `column`; `rules`
+    reads the rule table, which is looked at for each micro-batch, so that a change applies to all
+    later messages. `keep` names further source columns that identify a message and travel with it. With `arrival`,
     the numeric one of them that orders messages, readings are written as runs of one bucket.
 
     The progress of the query carries the message counters (see `telemill.streaming.progress`).
     """
     decoded = observed(stores.stamp(decode(source, column)), "messages")
 
-    is_first = first_of_run()
+    is_first, feed = first_of_run(), RuleFeed(rules, key)
 
     def each(batch: DataFrame, number: int) -> None:
-        process_batch(
-            batch, f"{name}-{number}", rules, sinks, key, keep, arrival, strict, is_first()
-        )
+        batch_id = f"{name}-{number}"
+        process_batch(batch, batch_id, feed.current(), sinks, keep, arrival, strict, is_first())
 
     return (
         decoded.writeStream.queryName(name)

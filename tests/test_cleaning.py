@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from telemill.functions import values as V
 from telemill.operators import rules as R
+from telemill.operators.averages import readings
 from telemill.operators.clean import clean_messages, explode_ports, has_invalid_port, rule_lookup
+from telemill.plans.query import device_value
 from telemill.sources.messages import accepted, decode, quarantined, to_wire
 from tests.helpers import RULE_TABLE, message, messages, rules, text
 
@@ -51,23 +53,51 @@ def test_cleaned_values(spark, book):
     check_cleaned(clean_messages(lookup_messages(spark), book))
 
 
-def test_cleaned_values_with_formulas_as_data(spark, monkeypatch):
-    monkeypatch.setattr(R, "NATIVE_FORMULAS", 1)
-    book = R.RuleBook.of(rules(spark, *RULE_TABLE))
-    assert book.formulas is None
+def test_many_ports_and_formulas(spark):
+    """More port rules than 4096 in a device, over 100 formulas, and messages that are alike."""
+    wide = [(100 + p, "w", p, f"EXPR1:X+{p}", "MIN", 1) for p in range(4200)]
+    book = R.RuleBook.of(rules(spark, *RULE_TABLE, *wide, (9, "w", -1, "NEG", None, 1)))
+    twice = message([{"value": 1}] * 4201, id="w")
+    found = clean_messages(messages(spark, twice, twice, message([], dts=99)), book).collect()
+    assert sorted(len(r["values"]) for r in found) == [0, 4201, 4201]
+    ports = explode_ports(clean_messages(messages(spark, twice), book)).select(
+        "pidx", V.to_double(F.col("value")).alias("y")).collect()
+    assert {r.pidx: r.y for r in ports} == {p: 1.0 + p for p in range(4200)} | {4200: -1.0}
     check_cleaned(clean_messages(lookup_messages(spark), book))
 
 
-def test_cleaned_values_port_by_port(spark, monkeypatch):
-    monkeypatch.setattr(R, "PORT_RULES_PER_DEVICE", 1)
-    book = R.RuleBook.of(rules(spark, *RULE_TABLE))
-    assert not book.narrow
-    rows = lookup_messages(spark).unionByName(messages(spark, message([], dts=99)))
-    with pytest.raises(ValueError):
-        clean_messages(rows, book)
-    cleaned = clean_messages(rows, book, identity=["dtimestamp"])
-    check_cleaned(cleaned)
-    assert cleaned.filter("dtimestamp = 99").first()["values"] == []
+def test_the_book_is_a_snapshot(spark, tmp_path):
+    table = str(tmp_path / "rules")
+    rules(spark, (1, "d1", 0, "EXPR1:X+1", "MIN", 1)).write.parquet(table)
+    feed = R.RuleFeed(lambda: spark.read.parquet(table))
+    book = feed.current()
+    assert feed.current() is book
+    rules(spark, (1, "d1", 0, "EXPR1:X*10", "MIN", 1)).write.mode("overwrite").parquet(table)
+    rows = messages(spark, message([{"value": 7}]))
+
+    def value(book):
+        port = F.get("values", F.lit(0))
+        return clean_messages(rows, book).select(V.to_double(port["value"])).first()[0]
+
+    assert value(book) == 8.0
+    assert value(feed.current()) == 70.0
+
+
+def test_failed_actions_keep_the_original(spark):
+    book = R.RuleBook.of(rules(
+        spark, (1, "d1", 0, "DIV:8", "MIN", 1), (2, "d1", 1, "EXPR1:5", "MIN", 1)))
+    sent = message([{"value": 0, "valid": True, "z": 1}, {"value": "abc"}])
+    rows = messages(spark, sent)
+    wire = json.loads(to_wire(clean_messages(rows, book)).first().value)
+    assert wire["values"] == [
+        {"valid": True, "z": 1, "action_error": "division_by_zero", "original": 0},
+        {"action_error": "not_a_number", "original": "abc"}]
+    back = accepted(decode(to_wire(clean_messages(rows, book))))
+    for port, valid in ((0, True), (1, False)):
+        row = device_value(back, port).first()
+        assert (row.value, row.valid) == (None, valid)
+    assert device_value(back, 2).first().value == 0.0
+    assert readings(rows, book).count() == 0
 
 
 def test_cleaned_values_with_shuffled_rules(spark, monkeypatch):
@@ -77,21 +107,6 @@ def test_cleaned_values_with_shuffled_rules(spark, monkeypatch):
     check_cleaned(clean_messages(lookup_messages(spark), book))
 
 
-def test_hot_keys_are_joined_apart(spark, monkeypatch):
-    from telemill.operators import joins
-
-    monkeypatch.setattr(joins, "HOT_SHARE", 0.3)
-    left = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id"
-    )
-    table = spark.range(300).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")).union(
-        spark.createDataFrame([("hot", -1)], "k string, v bigint"))
-    assert [r.k for r in joins.hot_keys(left, ["k"]).collect()] == ["hot"]
-    joined = joins.lookup_join(left, table, ["k"], small=False)
-    plain = left.join(table, "k", "left")
-    assert sorted(joined.collect()) == sorted(plain.select(joined.columns).collect())
-
-
 def test_strict_ends_the_job(spark, book):
     rows = messages(spark, message([{"value": 0}], id="d2"))
     with pytest.raises(Exception, match="division_by_zero"):
@@ -170,12 +185,8 @@ def test_odd_messages_come_through_whole(spark):
     assert back == {**sent, "portnum": 1}
 
 
-@pytest.mark.parametrize("share", [0.0001, 0.3, 2.0])
-def test_lookup_with_shuffled_rules(spark, monkeypatch, share):
-    from telemill.operators import joins
-
+def test_lookup_with_shuffled_rules(spark, monkeypatch):
     monkeypatch.setattr(R, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_SHARE", share)
     book = R.RuleBook.of(rules(spark, *RULE_TABLE))
     rows = rule_lookup(lookup_messages(spark), book).collect()
     assert len(rows) == sum(pidx + 1 for _, pidx, _, _, _ in LOOKUPS)
