@@ -11,6 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from telemill.acceptance.registry import with_shared_folder
 from telemill.llm import exact_dedup, ngram_join, packing, quality, repeats
 from telemill.llm.common import stored, table
 
@@ -56,6 +57,7 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+@with_shared_folder
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     *first, (_, last) = STAGES

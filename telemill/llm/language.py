@@ -157,13 +157,13 @@ def identify(
     A null text, or one without a letter, is `und` with score 0, as is any text where the model has
     no language. Equal texts give equal rows, an empty table none. Other columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.priors))
     id_type = docs.schema[id_column].dataType.simpleString()
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), _lettered(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Model(*sent.value)
         for batch in batches:
             for part in in_bytes(batch, "text"):
                 if own.languages:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemill.acceptance.registry import with_shared_folder
 from telemill.llm import (
     exact_dedup,
     html_text,
@@ -30,7 +31,7 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        QUERIES[name] = with_shared_folder(function)
         if sql is not None:
             SQL[name] = sql
         return function
