@@ -99,9 +99,7 @@ def avg_rollover(spark, sf_dir):
 
 @query("avg_out_of_order", _rollover_sql("ptimestamp + (seq % 13) * 3600000"))
 def avg_out_of_order(spark, sf_dir):
-    rows = delayed(readings2(spark, sf_dir, "seq"))
-    # Slices of six hours of arrival.
-    runs = A.rollover(rows, ["arrival", "seq"], slice_width=6 * 3600000)
+    runs = A.rollover(delayed(readings2(spark, sf_dir, "seq")), ["arrival", "seq"])
     return rounded(A.avg_records(runs))
 
 

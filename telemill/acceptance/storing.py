@@ -18,34 +18,20 @@ STORED_DAY = "strftime(make_timestamp(ptimestamp * 1000), '%Y%m%d')"
 # Apps whose main store is down, so that their messages are in the backup store.
 FAILING = ("error", "signup")
 
-_written: dict[tuple[str, str], tuple[str, str]] = {}
-
 
 def stored2(spark, sf_dir) -> tuple[str, str]:
-    """M2 written to a main and a backup store, by the time of the message; once per session."""
-    session = spark.sparkContext.applicationId
-    if (session, sf_dir) not in _written:
-        main, backup = shared_folder(spark, "main"), shared_folder(spark, "backup")
-        messages = m2(spark, sf_dir).withColumn("stored_at", F.col("ptimestamp"))
-        fails = F.col("app").isin(*FAILING)
-        stores.store_batch(
-            messages.filter(~fails),
-            "good",
-            lambda batch, number: stores.write_main(batch, main, number),
-            lambda batch, number: stores.write_backup(batch, backup, number),
-        )
+    """M2 written to a main and a backup store, by the time of the message."""
+    main, backup = shared_folder(spark, "main"), shared_folder(spark, "backup")
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.col("ptimestamp"))
+    fails = F.col("app").isin(*FAILING)
+    to_backup = stores.BackupStore(backup)
 
-        def broken(batch, number):
-            raise OSError("main store is down")
+    def broken(batch, number):
+        raise OSError("main store is down")
 
-        stores.store_batch(
-            messages.filter(fails),
-            "failed",
-            broken,
-            lambda batch, number: stores.write_backup(batch, backup, number),
-        )
-        _written[session, sf_dir] = (main, backup)
-    return _written[session, sf_dir]
+    stores.store_batch(messages.filter(~fails), "good", stores.MainStore(main), to_backup)
+    stores.store_batch(messages.filter(fails), "failed", broken, to_backup)
+    return main, backup
 
 
 @query(

@@ -3,48 +3,85 @@
 from __future__ import annotations
 
 import os
+import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from telemill.acceptance.averaging import _rollover_sql, rounded
-from telemill.acceptance.inputs import READ2_SQL, m2_of, r1, table
+from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2_of, r1, table
 from telemill.acceptance.registry import query
-from telemill.functions import times
 from telemill.functions import values as V
 from telemill.operators.clean import explode_ports
 from telemill.session import shared_folder
 from telemill.sources.messages import accepted, decode, to_wire
+from telemill.sources.stores import MainStore
 from telemill.streaming import averages as SA
 from telemill.streaming.clean import Sinks, clean_stream, parquet_batches
-from telemill.streaming.progress import progress_rows
+from telemill.streaming.progress import ProgressLog, progress_rows
 
 ONCE = {"availableNow": True}
+RECORDS = SA.RECORD.replace("num bigint", "num int")
+WINDOWS = (
+    "did string, pidx int, avg string, interval bigint, bucket bigint, sum double, num bigint"
+)
 
 
-def wire_stream(spark, sf_dir):
-    """The events table as a stream of message text (`value`), with `seq` beside it."""
-    schema = table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return to_wire(m2_of(events))
-
-
-def run_clean(spark, sf_dir):
-    """Runs the cleaning stream; gives its query, the folder of forwarded text and of readings."""
-    folder = shared_folder(spark, "stream")
-    cleaned, readings = os.path.join(folder, "cleaned"), os.path.join(folder, "readings")
-    running = clean_stream(
-        wire_stream(spark, sf_dir),
-        lambda: r1(spark, sf_dir),
-        Sinks(forward=parquet_batches(cleaned), readings=parquet_batches(readings)),
-        os.path.join(folder, "checkpoint"),
-        keep=("seq",),
-        arrival="seq",
-        trigger=ONCE,
-    )
-    running.awaitTermination()
-    return running, cleaned, readings
+# The events are streamed in so many parts, each in micro-batches of its own.
+TURNS = 3
+
+
+def turn_of(event_id, last):
+    return F.floor(event_id * TURNS / (last + 1))
+
+
+TURN_SQL = f"seq * {TURNS} // (SELECT max(event_id) + 1 FROM events)"
+
+
+class Streamed:
+    """The events table as messages, put into a folder part by part and cleaned by a stream."""
+
+    def __init__(self, spark, sf_dir, rules=None):
+        self.spark = spark
+        self.folder = shared_folder(spark, "stream")
+        self.inbox, self.cleaned, self.readings = (
+            os.path.join(self.folder, name) for name in ("inbox", "cleaned", "readings")
+        )
+        self.rules = rules or (lambda: r1(spark, sf_dir))
+        events = table(spark, sf_dir, "events")
+        last = F.lit(events.agg(F.max("event_id")).first()[0])
+        self.parts = to_wire(m2_of(events)).withColumn("turn", turn_of(F.col("seq"), last))
+
+    def turns(self):
+        """Cleans one part more each time."""
+        for turn in range(TURNS):
+            part = self.parts.filter(F.col("turn") == turn).drop("turn")
+            part.coalesce(1).write.mode("append").parquet(self.inbox)
+            running = clean_stream(
+                self.spark.readStream.schema(part.schema).parquet(self.inbox),
+                self.rules,
+                Sinks(
+                    forward=parquet_batches(self.cleaned), readings=parquet_batches(self.readings)
+                ),
+                os.path.join(self.folder, "checkpoint"),
+                keep=("seq",),
+                arrival="seq",
+                trigger=ONCE,
+            )
+            running.awaitTermination()
+            yield turn
+
+    def run(self):
+        for _ in self.turns():
+            pass
+        return self
+
+    def average(self, make, write):
+        """Runs an average stream over the readings after each part, with one checkpoint."""
+        for _ in self.turns():
+            schema = self.spark.read.parquet(self.readings).schema
+            rows = self.spark.readStream.schema(schema).parquet(self.readings)
+            write(make(rows), os.path.join(self.folder, "average-checkpoint")).awaitTermination()
 
 
 def run_to_table(spark, stream, folder_name):
@@ -60,9 +97,28 @@ def run_to_table(spark, stream, folder_name):
     return spark.read.schema(stream.schema).parquet(os.path.join(folder, "rows"))
 
 
-def readings_stream(spark, path):
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+def to_parquet(path):
+    def write(stream, checkpoint):
+        return (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint).option("path", path).trigger(**ONCE).start()
+        )
+
+    return write
+
+
+def averaged(spark, sf_dir, make, schema):
+    """The rows that an average stream has written after all parts."""
+    path = shared_folder(spark, "averages")
+    Streamed(spark, sf_dir).average(make, to_parquet(path))
+    return spark.read.schema(schema).parquet(path)
+
+
+def values_of(spark, path):
+    ports = explode_ports(accepted(decode(spark.read.parquet(path))))
+    return ports.select(
+        "seq", "app", "id", "pidx", "valid", V.to_double(F.col("value")).alias("value")
+    )
 
 
 @query(
@@ -72,34 +128,70 @@ def readings_stream(spark, path):
     FROM ruled2""",
 )
 def stream_clean(spark, sf_dir):
-    _, cleaned, _ = run_clean(spark, sf_dir)
-    ports = explode_ports(accepted(decode(spark.read.parquet(cleaned))))
-    return ports.select(
-        "seq", "app", "id", "pidx", "valid", V.to_double(F.col("value")).alias("value")
-    )
+    return values_of(spark, Streamed(spark, sf_dir).run().cleaned)
+
+
+@query(
+    "stream_rule_refresh",
+    f"""WITH {M2_SQL}
+    SELECT seq, app, id, 0 AS pidx, valid, (1 + {TURN_SQL})::DOUBLE + value AS value
+    FROM m2""",
+)
+def stream_rule_refresh(spark, sf_dir):
+    """All rules are edited before each part: ADD:1, ADD:2, ADD:3."""
+    added = iter(range(1, TURNS + 2))
+    current = {"n": 0}
+
+    def rules():
+        users = table(spark, sf_dir, "events").select("user_id").distinct()
+        return users.select(
+            F.lit("all").alias("app"),
+            F.col("user_id").alias("id"),
+            F.concat(F.lit("dev"), F.col("user_id").cast("string")).alias("did"),
+            F.lit(0).alias("pidx"),
+            F.lit(f"ADD:{current['n']}").alias("cmd"),
+            F.lit(None).cast("string").alias("avg"),
+            F.lit(1).alias("used"),
+        )
+
+    streamed = Streamed(spark, sf_dir, rules)
+    current["n"] = next(added)
+    for _ in streamed.turns():
+        current["n"] = next(added)
+    return values_of(spark, streamed.cleaned)
 
 
 @query("stream_rollover", _rollover_sql("ptimestamp"))
 def stream_rollover(spark, sf_dir):
     SA.use_state_store(spark)
-    _, _, path = run_clean(spark, sf_dir)
-    records = SA.rollover_stream(readings_stream(spark, path))
-    return rounded(run_to_table(spark, records, "rollover")).drop("app")
+    return rounded(averaged(spark, sf_dir, SA.rollover_stream, RECORDS)).drop("app")
+
+
+@query("stream_average_records", _rollover_sql("ptimestamp"))
+def stream_average_records(spark, sf_dir):
+    """The records as the main store has them."""
+    SA.use_state_store(spark)
+    main = shared_folder(spark, "records")
+
+    def store(records, checkpoint):
+        sinks = Sinks(main=MainStore(main))
+        return SA.store_records(records, sinks, checkpoint, trigger=ONCE)
+
+    Streamed(spark, sf_dir).average(SA.rollover_stream, store)
+    return rounded(spark.read.schema(RECORDS).parquet(main)).drop("app", "day", "batch")
 
 
 @query(
     "stream_window_avg",
     f"""WITH {READ2_SQL}
     SELECT did, pidx, avg, "interval", bucket, round(sum(x), 4) AS sum, count(x) AS num
-    FROM read2 WHERE "interval" = 86400000
-    GROUP BY did, pidx, avg, "interval", bucket
-    HAVING bucket + "interval" <= (SELECT max(ptimestamp) FROM read2 WHERE "interval" = 86400000)""",
+    FROM read2 GROUP BY did, pidx, avg, "interval", bucket
+    HAVING bucket + "interval" <= (SELECT max(ptimestamp) FROM read2)""",
 )
 def stream_window_avg(spark, sf_dir):
+    """Buckets of all intervals that have ended; messages may be a part of the table late."""
     SA.use_state_store(spark)
-    _, _, path = run_clean(spark, sf_dir)
-    windows = SA.window_stream(readings_stream(spark, path), times.NAMED_INTERVALS["DAY"])
-    return rounded(run_to_table(spark, windows, "windows"))
+    return rounded(averaged(spark, sf_dir, SA.window_stream, WINDOWS))
 
 
 @query(
@@ -110,7 +202,29 @@ def stream_window_avg(spark, sf_dir):
        FROM events""",
 )
 def stream_progress(spark, sf_dir):
-    running, _, _ = run_clean(spark, sf_dir)
-    batches = progress_rows(spark, running).filter("num_records > 0")
+    """The totals after the last micro-batch."""
+    path = shared_folder(spark, "progress")
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        Streamed(spark, sf_dir).run()
+        deadline = time.time() + 60  # reports come in on a thread of their own
+        while time.time() < deadline and _reports(spark, path) < TURNS:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    batches = progress_rows(spark, path).filter("num_records > 0")
     timed = (F.col("processing_ms") > 0) & (F.col("total_ms") >= F.col("processing_ms"))
-    return batches.select("num_records", "valid_num", "invalid_num", timed.alias("timed"))
+    return batches.agg(
+        F.max("records_so_far").alias("num_records"),
+        F.max("valid_so_far").alias("valid_num"),
+        F.max("invalid_so_far").alias("invalid_num"),
+        F.bool_and(timed).alias("timed"),
+    )
+
+
+def _reports(spark, path):
+    try:
+        return progress_rows(spark, path).filter("num_records > 0").count()
+    except AnalysisException:
+        return 0

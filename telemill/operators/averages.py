@@ -14,6 +14,10 @@ from telemill.operators.rules import RuleBook
 KEY = ("did", "pidx", "avg", "interval")
 
 
+# Readings of all keys together in a slice of arrival.
+SLICE_ROWS = 1_000_000
+
+
 def key_of(book_key: Sequence[str]) -> tuple[str, ...]:
     """What tells averages apart: the key of the rules, the port and the interval."""
     return (*book_key, "pidx", "avg", "interval")
@@ -103,7 +107,7 @@ def rollover_in_order(
 def rollover(
     rows: DataFrame,
     arrival: Sequence[str],
-    slice_width: int = 100_000,
+    slice_width: float | None = None,
     carry: Sequence[str] = (),
     key: Sequence[str] = KEY,
 ) -> DataFrame:
@@ -112,21 +116,31 @@ def rollover(
     Gives every run of readings of one bucket in arrival order with `sum` and `num`, and with
     `dtimestamp`, `ptimestamp` and the `carry` columns of the reading that closed it; these are
     null for the run still open at the end. `arrival` names the order columns. The first is a
-    number; it cuts the readings of a key into slices of `slice_width`, so that a hot device is
-    put in order slice by slice. Only the first and last runs of slices meet per key.
+    number; it cuts the readings of a key into slices, so that a hot device is put in order slice by
+    slice. Only the first and last runs of slices meet per key. Without a `slice_width` in the unit
+    of `arrival`, a job measures the one that gives slices of about `SLICE_ROWS` readings.
     """
     trigger = ("dtimestamp", "ptimestamp", *carry)
     return _stitch(_slice_runs(rows, arrival, slice_width, trigger, key), trigger, key=key)
 
 
+def measured_width(rows: DataFrame, arrival: str) -> float:
+    """How much of `arrival` holds about `SLICE_ROWS` readings, whatever its unit."""
+    order = F.col(arrival).cast("double")
+    n, first, last = rows.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
+    return max(1.0, (last - first + 1) * SLICE_ROWS / n) if n and first is not None else 1.0
+
+
 def _slice_runs(
     rows: DataFrame,
     arrival: Sequence[str],
-    slice_width: int,
+    slice_width: float | None,
     own: Sequence[str],
     key: Sequence[str],
 ) -> DataFrame:
     """Runs of one bucket within slices of arrival, with the `own` columns of the first reading."""
+    if slice_width is None:
+        slice_width = measured_width(rows, arrival[0])
     slices = F.floor(F.col(arrival[0]) / F.lit(slice_width))
     in_slice = Window.partitionBy(*key, "_slice").orderBy(*arrival)
     previous = F.lag("bucket").over(in_slice)
@@ -145,7 +159,7 @@ def _slice_runs(
 def partial_runs(
     rows: DataFrame,
     arrival: str,
-    slice_width: int = 100_000,
+    slice_width: float | None = None,
     carry: Sequence[str] = (),
     key: Sequence[str] = KEY,
 ) -> DataFrame:

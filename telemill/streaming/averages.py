@@ -5,10 +5,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -21,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RECORD = (
     "app string, id string, portid int, avg string, dtimestamp bigint, ptimestamp bigint, "
-    "sum double, num int"
+    "sum double, num bigint"
 )
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -55,80 +53,84 @@ class Rollover(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState(
-            "open",
-            "bucket bigint, sum double, num bigint, app string, avg string, "
-            "dtimestamp bigint, ptimestamp bigint",
+            "open", "bucket bigint, sum double, num bigint, app string, dtimestamp bigint, ptimestamp bigint"
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = dict(zip(self.names, key))
-        parts = pd.concat(list(rows), ignore_index=True).sort_values(
-            "arrival", kind="stable", ignore_index=True
-        )
-        if "app" in named:
-            parts["app"] = named["app"]
-        parts["avg"] = named["avg"]
-        first_time = not self.open.exists()
-        if not first_time:
-            begin, total, count, app, avg, dts, pts = self.open.get()
-            kept = pd.DataFrame(
-                {"bucket": [begin], "sum": [total], "num": [count], "app": [app], "avg": [avg],
-                 "dtimestamp": [dts], "ptimestamp": [pts]}
-            )
-            parts = pd.concat([kept, parts], ignore_index=True)
-        starts = parts["bucket"].ne(parts["bucket"].shift())
-        heads = parts[starts].reset_index(drop=True)
-        totals = parts.groupby(starts.cumsum(), sort=True)[["sum", "num"]].sum()
-        heads[["sum", "num"]] = totals[["sum", "num"]].to_numpy()
-        last = heads.iloc[-1]
-        self.open.update(
-            (int(last["bucket"]), float(last["sum"]), int(last["num"]), last["app"], last["avg"],
-             int(last["dtimestamp"]), int(last["ptimestamp"]))
-        )
-        if first_time and self.evict:
-            self._set_timer(int(named["interval"]), timerValues)
-        if len(heads) > 1:
-            yield self._records(named, heads["sum"][:-1], heads["num"][:-1], heads[1:])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = tuple(self.open.get()) if self.open.exists() else None
+        if held is None and self.evict:
+            self._set_timer(named["interval"], timerValues)
+        # A micro-batch has one row per run of a bucket, so the rows of a device are few.
+        for row in sorted(rows, key=lambda row: row.arrival):
+            app = named.get("app") or row.app
+            if held is not None and row.bucket == held[0]:
+                held = (held[0], held[1] + row["sum"], held[2] + row.num, *held[3:])
+                continue
+            if held is not None:
+                yield self._record(named, held, app, row.dtimestamp, row.ptimestamp)
+            held = (row.bucket, row["sum"], row.num, app, row.dtimestamp, row.ptimestamp)
+        if held is not None:
+            self.open.update(held)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.open.exists():
             return
         named = dict(zip(self.names, key))
-        interval = int(named["interval"])
-        now = timerValues.getCurrentProcessingTimeInMs()
-        begin, total, count, app, avg, dts, pts = self.open.get()
-        if begin >= now - 2 * interval:
-            self._set_timer(interval, timerValues)
+        held = tuple(self.open.get())
+        if held[0] >= timerValues.getCurrentProcessingTimeInMs() - 2 * named["interval"]:
+            self._set_timer(named["interval"], timerValues)
             return
         self.open.clear()
         if self.emit_on_evict:
-            closer = pd.DataFrame(
-                {"app": [app], "avg": [avg], "dtimestamp": [dts], "ptimestamp": [pts]}
-            )
-            yield self._records(named, pd.Series([total]), pd.Series([count]), closer)
+            yield self._record(named, held, *held[3:])
 
     def _set_timer(self, interval: int, timer_values) -> None:
         self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + 2 * interval)
 
     @staticmethod
-    def _records(named, sums, counts, closers: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "app": closers["app"].to_numpy(),
-                "id": named["did"],
-                "portid": np.int32(named["pidx"]),
-                "avg": closers["avg"].to_numpy(),
-                "dtimestamp": closers["dtimestamp"].to_numpy(dtype="int64"),
-                "ptimestamp": closers["ptimestamp"].to_numpy(dtype="int64"),
-                "sum": np.asarray(sums, dtype="float64"),
-                "num": np.asarray(counts, dtype="int32"),
-            }
+    def _record(named: dict, held: tuple, app: str, dtimestamp: int, ptimestamp: int) -> Row:
+        return Row(
+            app=app, id=named["did"], portid=named["pidx"], avg=named["avg"],
+            dtimestamp=dtimestamp, ptimestamp=ptimestamp, sum=held[1], num=held[2],
         )
 
     def close(self) -> None:
         pass
 
 
+class Bucket(StatefulProcessor):
+    """Sums one bucket of one key and sends it when the watermark has passed its end."""
+
+    def __init__(self, key: Sequence[str]) -> None:
+        self.names = [*key, "bucket"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.total = handle.getValueState("total", "sum double, num bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        named = dict(zip(self.names, key))
+        if self.total.exists():
+            total, count = self.total.get()
+        else:
+            total, count = 0.0, 0
+            self.handle.registerTimer(named["bucket"] + named["interval"])
+        for row in rows:
+            total, count = total + row["sum"], count + row.num
+        self.total.update((total, count))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.total.exists():
+            total, count = self.total.get()
+            self.total.clear()
+            yield Row(**dict(zip(self.names, key)), sum=total, num=count)
+
+    def close(self) -> None:
+        pass
+
+
 def rollover_stream(
     rows: DataFrame,
     arrival: str = "arrival",
@@ -146,33 +148,39 @@ def rollover_stream(
     return (
         _as_runs(rows, arrival, key)
         .groupBy(*key)
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=Rollover(evict, emit_on_evict, key),
             outputStructType=RECORD,
             outputMode="Append",
             timeMode="ProcessingTime" if evict else "None",
         )
+        .withColumn("num", F.col("num").cast("int"))
     )
 
 
-def window_stream(rows: DataFrame, interval: int, delay: str = "0 seconds") -> DataFrame:
-    """Complete buckets of one interval by event time, each once the watermark has passed its end.
+def window_stream(
+    rows: DataFrame, delay: str = "0 seconds", key: Sequence[str] = KEY
+) -> DataFrame:
+    """Complete buckets of all intervals by event time, each once the watermark has passed its end.
 
-    Readings later than `delay` behind the newest are dropped by the watermark. Partial sums go
-    before the shuffle, so a hot device stays balanced.
+    `rows` come from `partial_runs` or `readings`. Readings later than `delay` behind the newest are
+    dropped by the watermark. Needs `use_state_store`.
     """
-    bucket = F.unix_millis("window.start").alias("bucket")
-    if "num" in rows.columns:
-        totals = [F.sum("sum").alias("sum"), F.sum("num").alias("num")]
-    else:
-        totals = [F.sum("x").alias("sum"), F.count("x").alias("num")]
+    runs = rows if "num" in rows.columns else rows.withColumnRenamed("x", "sum").withColumn(
+        "num", F.lit(1).cast("bigint")
+    )
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*key, "bucket")) + ", sum double, num bigint"
     return (
-        rows.filter(F.col("interval") == interval)
-        .withColumn("event_time", F.timestamp_millis("ptimestamp"))
+        runs.select(*key, "bucket", "sum", "num", F.timestamp_millis("ptimestamp").alias("event_time"))
         .withWatermark("event_time", delay)
-        .groupBy("did", "pidx", "avg", "interval", F.window("event_time", f"{interval} milliseconds"))
-        .agg(*totals)
-        .select("did", "pidx", "avg", "interval", bucket, "sum", "num")
+        .groupBy(*key, "bucket")
+        .transformWithState(
+            statefulProcessor=Bucket(key),
+            outputStructType=schema,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
     )
 
 

@@ -1,33 +1,64 @@
-"""Counters and timings of a streaming query."""
+"""Counters and timings of streaming queries."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS = (
-    "batch_id bigint, num_records bigint, scheduling_ms bigint, processing_ms bigint, "
+    "query string, batch_id bigint, num_records bigint, scheduling_ms bigint, processing_ms bigint, "
     "total_ms bigint, valid_num bigint, invalid_num bigint"
 )
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch: its records, delays in ms and message counters.
+class ProgressLog(StreamingQueryListener):
+    """Appends the report of every micro-batch to a table of JSON lines, so that none is forgotten.
 
-    Spark keeps the last `spark.sql.streaming.numRecentProgressUpdates` micro-batches.
+    Register it with `spark.streams.addListener`.
     """
-    rows = []
-    for update in query.recentProgress:
-        report = json.loads(update.json) if hasattr(update, "json") else update
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark = spark
+        self._path = path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = json.loads(event.progress.json)
         took = report["durationMs"]
         total, processing = took.get("triggerExecution", 0), took.get("addBatch", 0)
         counted = report.get("observedMetrics", {}).get("messages", {})
-        rows.append(
-            (
-                report["batchId"], report["numInputRows"], total - processing, processing, total,
-                counted.get("valid_num"), counted.get("invalid_num"),
-            )
+        row = (
+            report.get("name"), report["batchId"], report["numInputRows"], total - processing,
+            processing, total, counted.get("valid_num"), counted.get("invalid_num"),
         )
-    return spark.createDataFrame(rows, PROGRESS)
+        self._spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self._path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch that a `ProgressLog` has seen: its records, delays in ms and message
+    counters, and `records_so_far`, `valid_so_far` and `invalid_so_far`, those of its query up to it."""
+    so_far = Window.partitionBy("query").orderBy("batch_id")
+    batches = spark.read.schema(PROGRESS).json(path)
+    # A micro-batch that was run again counts once.
+    latest = batches.groupBy("query", "batch_id").agg(
+        *[F.max(c).alias(c) for c in batches.columns if c not in ("query", "batch_id")]
+    )
+    return latest.withColumns(
+        {
+            f"{name}_so_far": F.sum(column).over(so_far)
+            for name, column in (
+                ("records", "num_records"), ("valid", "valid_num"), ("invalid", "invalid_num")
+            )
+        }
+    )

@@ -8,7 +8,7 @@ from telemill.acceptance.streams import run_to_table
 from telemill.operators import averages as A
 from telemill.streaming import averages as SA
 from telemill.streaming.clean import Sinks, clean_stream, parquet_batches
-from telemill.streaming.progress import progress_rows
+from telemill.streaming.progress import ProgressLog, progress_rows
 from telemill.sources import stores
 from telemill.sources.stores import BackupStore, MainStore
 from telemill.sources.messages import read_text_stream
@@ -36,16 +36,21 @@ def test_rules_are_read_again_and_batches_stored(spark, tmp_path):
             read_text_stream(spark, str(inbox)), lambda: spark.read.parquet(table), sinks,
             str(tmp_path / "checkpoint"), trigger=ONCE)
         query.awaitTermination()
-        return query
 
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
     put(inbox, 1, message([{"value": 1, "valid": False}]), {"app": "x"})
-    first = run()
-    report = progress_rows(spark, first).filter("num_records > 0").first()
-    assert (report.num_records, report.valid_num, report.invalid_num) == (2, 2, 1)
-    assert report.total_ms >= report.processing_ms > 0
+    run()
     rules(spark, (2, "d1", 0, "MUL:5", "HOUR", 1)).write.mode("overwrite").parquet(table)
     put(inbox, 2, message([{"value": 1}]))
     run()
+    time.sleep(3)  # reports come in on a thread of their own
+    spark.streams.removeListener(log)
+    reports = progress_rows(spark, str(tmp_path / "progress")).filter("num_records > 0")
+    first, second = reports.orderBy("batch_id").collect()
+    assert (first.num_records, first.valid_num, first.invalid_num) == (2, 2, 1)
+    assert (second.records_so_far, second.valid_so_far, second.invalid_so_far) == (3, 3, 1)
+    assert first.total_ms >= first.processing_ms > 0
     out = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted(json.loads(r.value)["values"][0]["value"] for r in out) == [5.0, 11.0]
     assert sorted((r.avg, r.x) for r in spark.read.parquet(str(tmp_path / "readings")).collect()) == [
@@ -87,14 +92,17 @@ def test_rollover_stream_equals_batch(spark, tmp_path, as_runs):
 
 def test_window_stream_equals_batch_on_closed_windows(spark, tmp_path):
     SA.use_state_store(spark)
-    items = [(i, i * 11000, i) for i in range(30)]
+    # The watermark begins at 0, and what is not after it counts as late.
+    items = [(i, 60000 + i * 11000, i) for i in range(30)]
     frame = rows(spark, items)
+    frame = frame.unionByName(rows(spark, items, 70000, "e"))
     folder = str(tmp_path / "in")
     frame.write.parquet(folder)
     stream = spark.readStream.schema(frame.schema).parquet(folder)
-    found = run_to_table(spark, SA.window_stream(stream, 60000), "windows").collect()
-    batch = A.tumbling(frame).filter(F.col("bucket") + 60000 <= 29 * 11000).collect()
-    key = lambda r: (r.bucket, r["sum"], r.num)
+    found = run_to_table(spark, SA.window_stream(stream), "windows").collect()
+    ended = F.col("bucket") + F.col("interval") <= 60000 + 29 * 11000
+    batch = A.tumbling(frame).filter(ended).collect()
+    key = lambda r: (r.did, r.interval, r.bucket, r["sum"], r.num)
     assert sorted(map(key, found)) == sorted(map(key, batch))
 
 
@@ -146,3 +154,36 @@ def test_average_records_are_forwarded_and_stored(spark, tmp_path):
         SA.rollover_stream(stream, "seq"), Sinks(main=MainStore(str(tmp_path / "main"))),
         str(tmp_path / "c2"), trigger=ONCE).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "main")).filter("app = 'a'").count() == 3
+
+
+def test_a_replayed_batch_is_averaged_once(spark, tmp_path):
+    """A batch written, its commit lost: it is written again, and the reader sees it once."""
+    path = str(tmp_path / "readings")
+    frame = rows(spark, CASE).withColumn("app", F.lit("a"))
+    write = parquet_batches(path)
+
+    def read():
+        stream = spark.readStream.schema(frame.schema).parquet(path)
+        (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start().awaitTermination())
+
+    write(frame, "b-0")
+    read()
+    write(frame.withColumn("x", F.col("x") + 1), "b-0")
+    read()
+    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 4, 8, 16]
+
+
+def test_averages_of_two_apps(spark, tmp_path):
+    SA.use_state_store(spark)
+    key = ("app", *A.KEY)
+    one = rows(spark, CASE).withColumn("app", F.lit("a"))
+    frame = one.unionByName(one.withColumns({"app": F.lit("b"), "x": F.col("x") * 2}))
+    assert sorted((r.app, r["sum"]) for r in A.tumbling(frame, key).collect()) == [
+        ("a", 11.0), ("a", 20.0), ("b", 22.0), ("b", 40.0)]
+    folder = str(tmp_path / "in")
+    frame.write.parquet(folder)
+    stream = spark.readStream.schema(frame.schema).parquet(folder)
+    found = run_to_table(spark, SA.rollover_stream(stream, "seq", key=key), "apps").collect()
+    assert sorted((r.app, r["sum"]) for r in found) == [
+        ("a", 3.0), ("a", 4.0), ("a", 8.0), ("b", 6.0), ("b", 8.0), ("b", 16.0)]
