@@ -106,29 +106,6 @@ def filter_missing_pts(spark, sf_dir):
     return gaps.select(F.explode(passes).alias("bounds"), "*").filter("bounds IS NOT NULL")
 
 
-@query(
-    "select_day",
-    f"""WITH {M2_SQL},
-    bounds AS (
-      SELECT seq, CASE WHEN seq % 4 < 2 THEN ptimestamp ELSE -1 END AS btime,
-             CASE WHEN seq % 4 IN (0, 2) THEN ptimestamp + (seq % 5) * 6 * 3600000 ELSE -1 END
-             AS etime
-      FROM m2)
-    SELECT seq, CASE WHEN btime > 0 AND etime > 0
-                     THEN CASE WHEN btime // {DAY} = etime // {DAY} THEN btime ELSE {END} END
-                     WHEN btime > 0 THEN btime WHEN etime > 0 THEN etime ELSE {END} END // {DAY}
-           AS day
-    FROM bounds""",
-)
-def select_day(spark, sf_dir):
-    turn, pts = F.col("seq") % 4, F.col("ptimestamp")
-    btime = F.when(turn < 2, pts).otherwise(F.lit(-1))
-    etime = F.when(turn.isin(0, 2), pts + (F.col("seq") % 5) * 6 * 3600000).otherwise(F.lit(-1))
-    instant = times.select_day(btime, etime, F.lit(END))
-    day = (times.bucket(instant, F.lit(DAY)) / DAY).cast("bigint")
-    return m2(spark, sf_dir).select("seq", day.alias("day"))
-
-
 @query(
     "day_keys",
     f"""WITH {M2_SQL}

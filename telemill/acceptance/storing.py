@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from telemill.acceptance.inputs import M2_SQL, m2
-from telemill.acceptance.querying import BEGIN, DAY, END, SAMPLE
+from telemill.acceptance.querying import BEGIN, DAY, END, SAMPLE, SECOND
 from telemill.acceptance.registry import query
 from telemill.functions import values as V
 from telemill.plans import query as Q
@@ -218,3 +218,39 @@ def job_late_messages(spark, sf_dir):
     begin = BEGIN // DAY * DAY
     request = {"type": "rdd", "btime": begin, "etime": begin + DAY - 1}
     return _port_zero(Q.run_job(spark, request, main))
+
+
+HOUR = 3_600_000
+
+# Requests with exact days; the moment they are made is SECOND.
+REQUESTS = {
+    "one_day": {"btime": BEGIN + HOUR, "etime": BEGIN + 5 * HOUR},
+    "two_days": {"btime": BEGIN, "etime": END},
+    "from": {"btime": BEGIN + 9 * HOUR},
+    "to": {"etime": BEGIN + 9 * HOUR},
+    "open": {},
+}
+
+
+@query(
+    "select_day",
+    f"""WITH {M2_SQL},
+    chosen(request, day, first, last) AS (VALUES
+      ('one_day', {BEGIN}, {BEGIN + HOUR}, {BEGIN + 5 * HOUR}),
+      ('two_days', {SECOND}, {BEGIN}, {END}),
+      ('from', {BEGIN}, {BEGIN + 9 * HOUR}, {END + 10 * DAY}),
+      ('to', {BEGIN}, 0, {BEGIN + 9 * HOUR}),
+      ('open', {SECOND}, 0, {END + 10 * DAY}))
+    SELECT request, id, ptimestamp FROM m2, chosen
+    WHERE ptimestamp // {DAY} = day // {DAY} AND ptimestamp BETWEEN first AND last""",
+)
+def select_day(spark, sf_dir):
+    """The one day that each request reads: that of its bounds, or the present one."""
+    main, backup = stored2(spark, sf_dir)
+    rows = None
+    for name, bounds in REQUESTS.items():
+        request = {"type": "rdd", **bounds}
+        found = Q.run_job(spark, request, main, backup, now=SECOND, days="exact")
+        found = found.select(F.lit(name).alias("request"), "id", "ptimestamp")
+        rows = found if rows is None else rows.unionByName(found)
+    return rows

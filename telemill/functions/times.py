@@ -62,17 +62,3 @@ def hour_key(ms: Column, day_pattern: str = "yyyy-MM-dd") -> Column:
     """The UTC hour, as the day and `_HH`."""
     hour = F.floor(F.pmod(ms, F.lit(DAY_MS)) / F.lit(NAMED_INTERVALS["HOUR"]))
     return F.concat(day_key(ms, day_pattern), F.lit("_"), F.lpad(hour.cast("string"), 2, "0"))
-
-
-def select_day(btime: Column, etime: Column, now: Column) -> Column:
-    """The one instant whose day a request reads; a bound of 0 or less is off.
-
-    Two bounds on one UTC day give that day, on different days the day of `now`.
-    """
-    same_day = (btime - btime % DAY_MS) == (etime - etime % DAY_MS)
-    return (
-        F.when((btime > 0) & (etime > 0), F.when(same_day, btime).otherwise(now))
-        .when(btime > 0, btime)
-        .when(etime > 0, etime)
-        .otherwise(now)
-    )

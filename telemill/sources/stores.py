@@ -19,10 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemill.functions import times
+from telemill.operators.joins import lookup_join
 from telemill.schemas import MAIN_STORE_FIELDS, MESSAGE
 from telemill.sources.messages import decode, to_wire
 
 
+# Apps with a store of their own up to which the table of them is broadcast.
+BROADCAST_APPS = 100_000
+
+
 class Level(enum.Enum):
     """Which stores a batch goes to: (main, backup if main failed or is off, backup always)."""
 
@@ -46,9 +51,13 @@ class Level(enum.Enum):
 
 
 def route(messages: DataFrame, stores: DataFrame, default: str) -> DataFrame:
-    """Adds `store`: that of the app in `stores` (columns `app, store`), else the default."""
+    """Adds `store`: that of the app in `stores` (columns `app, store`), else the default.
+
+    A job counts the apps: up to `BROADCAST_APPS` they are broadcast, more are joined by app.
+    """
     known = stores.withColumnRenamed("store", "_store")
-    return messages.join(known, "app", "left").withColumn(
+    few = known.limit(BROADCAST_APPS + 1).count() <= BROADCAST_APPS
+    return lookup_join(messages, known, ["app"], few).withColumn(
         "store", F.coalesce("_store", F.lit(default))
     ).drop("_store")
 
