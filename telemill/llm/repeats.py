@@ -1,8 +1,8 @@
 """Repeated passages across documents by a depth-limited radix sort of suffixes.
 
 Two suffixes agree to a depth of `DEPTH` bytes exactly if their windows of that many bytes are equal,
-so the sort stops there and its groups of equal suffixes are the repeated windows. Sorting every suffix
-byte by byte would move some ten times the text. So digits are not bytes in a row but hashes that equal
+so the sort stops there and its groups of equal suffixes are the repeated windows. A pass over every
+suffix, one per byte, would move some thirty times the text. So digits are not bytes in a row but hashes that equal
 windows must share, from the most significant on, and a row stands for a run of suffixes:
 
 1. The first digit of a window is its smallest `SEED`-byte gram. Windows in a row share it.
