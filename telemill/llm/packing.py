@@ -24,8 +24,8 @@ from pyspark.sql.types import LongType
 from telemill.llm.common import extended, in_bytes, stored
 
 CAPACITY = 2048
-#: Pieces of one length that are ranked together; more groups are made where there are more.
-RANKED_TOGETHER = 50_000
+#: Pieces of one length that are ranked together; a length with more has more groups.
+RANKED_TOGETHER = 500
 #: Ends each document.
 END = 0
 # Fixed value: how the byte-level tokenizer cuts texts before it merges bytes.
@@ -197,8 +197,9 @@ def ranked(pieces: DataFrame, counts: np.ndarray, order: list[str]) -> DataFrame
     Pieces of a length are dealt into groups by a hash; a piece's rank is its row number in its group
     after the sizes of the groups before it.
     """
-    groups = max(1, -(-int(counts.max(initial=0)) // RANKED_TOGETHER))
-    grouped = pieces.withColumn("group", F.pmod(F.xxhash64(*order), F.lit(groups)))
+    groups = F.lit(np.maximum(1, -(-counts // RANKED_TOGETHER)).tolist())
+    own_groups = F.get(groups, F.col("length").cast("int"))
+    grouped = pieces.withColumn("group", F.pmod(F.xxhash64(*order), own_groups))
     before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
         grouped.groupBy("length", "group")
