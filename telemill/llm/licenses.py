@@ -1,28 +1,38 @@
 """Licence scans: texts against licence templates by the Dice coefficient of their word bigrams.
 
-A document's units are its whole text, its paragraphs and its lines. Units and templates are put into
-lower case and cut into words of letters and digits; a unit's bigrams are its distinct pairs of words
+A document's units are its whole text, its paragraphs and its lines, and passages that none of these
+covers. Units and templates are put into lower case and cut into words of letters and digits; a unit's bigrams are its distinct pairs of words
 in a row. With a template of b bigrams, a unit of a bigrams reaches the threshold t only if
 a / b lies between t / (2 - t) and (2 - t) / t, so units outside these bounds never meet a template.
 
 The bigrams of the templates, a parameter of checked size, are broadcast; what leaves a task has one
-row per unit and template with a common bigram. Everything is DataFrame functions.
+row per unit and template with a common bigram. Only passages are searched for in Python.
 
 A unit that reaches t has at least t / (2 - t) of a template's bigrams. So of any set of more than the
 rest of them it has one; the set taken holds the template's longest words. Texts without any such word
 are passed over unread.
+
+A passage starts anywhere with a bigram of the template and has from as many to half as many again
+words as the template, or the rest of the text. It counts unless it lies in a line, a paragraph or a
+text that reaches the threshold for the same licence. Of overlapping passages the best is taken, of
+equally good ones of a licence the longest.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import let
+from telemill.llm.common import in_bytes, let
 
 THRESHOLD = 0.8
 #: Words of all templates together, which bounds what is broadcast.
@@ -79,7 +89,63 @@ TEXTS = {
         OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
         DEALINGS IN THE SOFTWARE.""",
 }
-TEMPLATES = [*NOTICES.items(), *TEXTS.items()]
+GNU = TEXTS["GPL-3.0"]
+BSD = (
+    """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain
+        the above copyright notice, this list of conditions and the following disclaimer. 2.
+        Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution.""",
+    """3. Neither the name of the copyright holder nor the names of its contributors may be used to
+        endorse or promote products derived from this software without specific prior written
+        permission.""",
+    """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+        IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY
+        AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+        CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+        CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+        THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+        POSSIBILITY OF SUCH DAMAGE.""",
+)
+CREATIVE_COMMONS = {
+    "CC-BY-4.0": "Attribution",
+    "CC-BY-NC-4.0": "Attribution-NonCommercial",
+    "CC-BY-NC-ND-4.0": "Attribution-NonCommercial-NoDerivatives",
+    "CC-BY-NC-SA-4.0": "Attribution-NonCommercial-ShareAlike",
+    "CC-BY-ND-4.0": "Attribution-NoDerivatives",
+    "CC-BY-SA-4.0": "Attribution-ShareAlike",
+}
+#: Further wordings: other texts, notices by full names, SPDX lines.
+WORDINGS = [
+    ("AGPL-3.0", GNU.replace("GNU General", "GNU Affero General")),
+    ("BSD-2-Clause", f"{BSD[0]} {BSD[2]}"),
+    ("BSD-3-Clause", " ".join(BSD)),
+    ("GPL-2.0", GNU.replace("version 3", "version 2")),
+    ("LGPL-3.0", GNU.replace("GNU General", "GNU Lesser General")),
+    (
+        "MPL-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+        copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
+    ),
+    *(
+        (name, f"This work is licensed under a Creative Commons {kind} 4.0 International License.")
+        for name, kind in CREATIVE_COMMONS.items()
+    ),
+    *(
+        (name, f"{verb} under the {name.replace('-C', ' C')} License.")
+        for name in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT")
+        for verb in ("Licensed", "Distributed")
+    ),
+    *(
+        (name, f"SPDX-License-Identifier: {name}")
+        for name in sorted({*NOTICES, *CREATIVE_COMMONS})
+    ),
+]
+TEMPLATES = [*NOTICES.items(), *TEXTS.items(), *WORDINGS]
 
 STRINGS = "array<string>"
 #: What stands between two words.
@@ -139,6 +205,156 @@ def _bigrams(own: Column) -> Column:
     return F.array_distinct(pairs)
 
 
+@dataclass(frozen=True)
+class Template:
+    license: str
+    length: int
+    pairs: frozenset[tuple[str, str]]
+
+
+def _word_pairs(own: list[str]) -> list[tuple[str, str]]:
+    return list(zip(own, own[1:]))
+
+
+def _starts(at: list[int], pairs: list[tuple[str, str]], most: int, need: int) -> Iterator[int]:
+    """The positions of `at` with `need` different pairs at the positions up to `most` further on."""
+    inside: Counter[tuple[str, str]] = Counter()
+    end = 0
+    for start in at:
+        while end < len(at) and at[end] < start + most:
+            inside[pairs[at[end]]] += 1
+            end += 1
+        if len(inside) >= need:
+            yield start
+        inside[pairs[start]] -= 1
+        if not inside[pairs[start]]:
+            del inside[pairs[start]]
+
+
+def _best_end(
+    pairs: list[tuple[str, str]], start: int, template: Template, most: int
+) -> tuple[float, int]:
+    """The highest coefficient of a passage from a pair on, and the end of the first with it."""
+    last = min(start + most, len(pairs))
+    least = min(start + template.length, last)
+    seen: set[tuple[str, str]] = set()
+    common, best = 0, (0.0, start)
+    for i in range(start, last):
+        if pairs[i] not in seen:
+            seen.add(pairs[i])
+            common += pairs[i] in template.pairs
+        if i + 1 >= least:
+            dice = 2.0 * common / (len(seen) + len(template.pairs))
+            if dice > best[0]:
+                best = (dice, i + 1)
+    return best
+
+
+class Passages:
+    """Finds the passages of texts that reach the threshold and are in no other unit that does."""
+
+    def __init__(self, templates: list[tuple[str, str]], threshold: float):
+        self.threshold = threshold
+        self.templates = []
+        self.holders: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for license_, text in templates:
+            pairs = _word_pairs(words(text))
+            if pairs:
+                for pair in set(pairs):
+                    self.holders[pair].append(len(self.templates))
+                self.templates.append(Template(license_, len(pairs), frozenset(pairs)))
+
+    def of(self, text: str) -> list[tuple[str, float, str]]:
+        """License, coefficient and words of each passage."""
+        lowered = text.lower()
+        own = words(lowered)
+        pairs = _word_pairs(own)
+        hits: dict[int, list[int]] = defaultdict(list)
+        for i, pair in enumerate(pairs):
+            for k in self.holders.get(pair, ()):
+                hits[k].append(i)
+        # A text in which every template is met by some common pair only is done with here.
+        reaching = []
+        for k, at in hits.items():
+            template = self.templates[k]
+            least = self.threshold / (2 - self.threshold)
+            need = math.ceil(least * len(template.pairs) - 1e-9)
+            most = math.ceil(template.length / least)
+            if len(at) < need:
+                continue
+            for start in _starts(at, pairs, most, need):
+                dice, end = _best_end(pairs, start, template, most)
+                if dice >= self.threshold:
+                    reaching.append((-dice, template.license, start - end, start))
+        if not reaching:
+            return []
+        spans = [m.span() for m in re.finditer(r"[^\W_]+", lowered)]
+        breaks = [m.span() for m in re.finditer(r"\n[ \t]*\n", lowered)]
+        taken = bytearray(len(own))
+        cached: dict[tuple[int, int], frozenset[tuple[str, str]]] = {}
+        found = []
+        for less, license_, back, start in sorted(reaching):
+            end = start - back
+            if any(taken[start : end + 1]):
+                continue
+            taken[start : end + 1] = b"\1" * (end + 1 - start)
+            begin, stop = spans[start][0], spans[end][1]
+            units = _units_around(lowered, breaks, begin, stop)
+            for unit in units:
+                if unit not in cached:
+                    cached[unit] = frozenset(_word_pairs(words(lowered[slice(*unit)])))
+            if not any(self._reaches(cached[unit], license_) for unit in units):
+                found.append((license_, -less, " ".join(own[start : end + 1])))
+        return found
+
+    def _reaches(self, pairs: frozenset[tuple[str, str]], license_: str) -> bool:
+        return any(
+            2.0 * len(pairs & t.pairs) / (len(pairs) + len(t.pairs)) >= self.threshold
+            for t in self.templates
+            if t.license == license_
+        )
+
+
+def _units_around(
+    text: str, breaks: list[tuple[int, int]], begin: int, stop: int
+) -> list[tuple[int, int]]:
+    """The whole text, and the paragraph and the line that a passage lies in, if it lies in one."""
+    units = [(0, len(text))]
+    if not any(begin < end and at < stop for at, end in breaks):
+        units.append((
+            max((end for _, end in breaks if end <= begin), default=0),
+            min((at for at, _ in breaks if at >= stop), default=len(text)),
+        ))
+    if "\n" not in text[begin:stop]:
+        after = text.find("\n", stop)
+        units.append((text.rfind("\n", 0, begin) + 1, after if after >= 0 else len(text)))
+    return units
+
+
+def _passages(texts: DataFrame, id_type: str, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """id, unit, license and dice of the passages of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passages = Passages(templates, threshold)
+        for batch in batches:
+            for part in in_bytes(batch, "text"):
+                rows: list[int] = []
+                found: list[tuple[str, float, str]] = []
+                for row, text in enumerate(part.column("text").to_pylist()):
+                    own = passages.of(text)
+                    rows += [row] * len(own)
+                    found += own
+                columns = [
+                    part.column("id").take(pa.array(rows, pa.int32())),
+                    pa.array([xxhash.xxh64_intdigest(body) >> 1 for _, _, body in found], pa.int64()),
+                    pa.array([license_ for license_, _, _ in found], pa.string()),
+                    pa.array([dice for _, dice, _ in found], pa.float64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "unit", "license", "dice"])
+
+    return texts.mapInArrow(run, f"id {id_type}, unit bigint, license string, dice double")
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: list[tuple[str, str]] = TEMPLATES,
@@ -149,7 +365,7 @@ def scan_licenses(
     """One row per id of `docs`: id, license, dice and n_units.
 
     `license` is the name of the best template (of equally good ones the first by name), `dice` its
-    coefficient and `n_units` the number of different units that reach the threshold for any template;
+    coefficient and `n_units` the number of different units, passages among them, that reach the threshold for any template;
     without one they are null, null and 0. A null, empty or one-word text has none. Rows with the same
     id count as one document with the units of all. An empty table gives no rows. Other columns are
     not read.
@@ -176,9 +392,9 @@ def scan_licenses(
         _words(F.col("unit")),
         lambda w: F.when(F.size(w) - 1 >= fewest, _bigrams(w)).otherwise(F.array().cast(STRINGS)),
     )
+    held = ids.filter(F.col("text").isNotNull() & _holds_any(F.col("text"), telling))
     units = (
-        ids.filter(F.col("text").isNotNull() & _holds_any(F.col("text"), telling))
-        .select("id", F.explode(_units(F.col("text"))).alias("unit"))
+        held.select("id", F.explode(_units(F.col("text"))).alias("unit"))
         .filter(_holds_any(F.col("unit"), telling))
         # In a generator, a unit's bigrams are made once, whatever is asked of them below.
         .select("id", F.xxhash64("unit").alias("unit"), F.explode(F.array(own)).alias("pairs"))
@@ -196,7 +412,10 @@ def scan_licenses(
         .withColumn("dice", dice)
         .filter(F.col("dice") >= threshold)
     )
-    best = alike.groupBy("id").agg(
+    id_type = docs.schema[id_column].dataType.simpleString()
+    passages = _passages(held, id_type, templates, threshold)
+    reached = alike.select("id", "unit", "license", "dice").unionByName(passages)
+    best = reached.groupBy("id").agg(
         F.max("dice").alias("dice"),
         F.min(F.struct((-F.col("dice")).alias("less"), "license")).getField("license").alias("license"),
         F.countDistinct("unit").alias("n_units"),

@@ -215,3 +215,32 @@ def test_licences_of_odd_texts(spark):
         assert row["dice"] == (pytest.approx(dice) if dice else None)
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
     assert licenses.scan_licenses(docs, []).filter("license IS NULL").count() == len(texts)
+
+
+def test_licences_inside_larger_texts(spark):
+    """Texts in their usual layout and notices within a line, with other text around them."""
+    prose = " ".join(f"Some word{i} of a story{i} that goes{i} on." for i in range(200))
+    mit, isc = licenses.TEXTS["MIT"], licenses.TEXTS["ISC"]
+    laid_out = mit.replace("The above", "\n\nThe above").replace("THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    apache = licenses.TEXTS["Apache-2.0"].replace("You may obtain", "\n\nYou may obtain").replace(
+        "Unless", "\n\nUnless")
+    bsd = "\n\n".join(licenses.BSD)
+    expected = {
+        f"{prose}\n\n{laid_out}\n\n{prose}": ("MIT", 1.0, 1),
+        f"{prose}\n\n{apache}\n\n{prose}": ("Apache-2.0", 1.0, 1),
+        f"{prose}\n\n{bsd}\n\n{prose}": ("BSD-3-Clause", 1.0, 1),
+        f"{prose}{isc} {prose}": ("ISC", 1.0, 1),
+        f"{prose}{isc.replace('any purpose', 'any such odd purpose')} {prose}{mit}{prose}": ("MIT", 1.0, 2),
+        "Copyright (c) 2020 Jane Doe. Released under the MIT License.": ("MIT", 1.0, 1),
+        f"{prose}Distributed under the BSD 3-Clause License. {prose}": ("BSD-3-Clause", 1.0, 1),
+        f"# SPDX-License-Identifier: LGPL-3.0\n{prose}": ("LGPL-3.0", 1.0, 1),
+        f"{prose}This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+        f"International License. {prose}": ("CC-BY-SA-4.0", 1.0, 1),
+        f"Released under the MIT License.\n{prose} Licensed under CC BY 4.0. {prose}": ("CC-BY-4.0", 1.0, 2),
+        # In a line that reaches the threshold, there is no further unit.
+        f"{prose}\nReleased under the MIT License!\n{prose}": ("MIT", 1.0, 1),
+        f"{prose} released under the new license of the MIT {prose}": (None, None, 0),
+    }
+    docs = spark.createDataFrame(list(enumerate(expected)), "doc_id bigint, text string")
+    found = {row["doc_id"]: tuple(row)[1:] for row in licenses.scan_licenses(docs).collect()}
+    assert found == dict(enumerate(expected.values()))
