@@ -1,7 +1,8 @@
 """Main text of web pages by consensus of a host's pages.
 
-Every page's containers are scored by the text they hold; the best container's generalised path (tag
-and classes of each ancestor, digits generalised) is the page's vote. Spark counts votes per host, and
+Every page's containers are scored by the text they hold; the best one is widened to the article or
+main element around it, or to an outer container that adds text of its own kind. The generalised path of
+that (tag and classes of each ancestor, digits generalised) is the page's vote. Spark counts votes per host, and
 paths with a tenth of their host's votes win. Pages are then read again: a page's text is what lies in
 its elements at the winning path with most votes that it has, or in its own best container if it has
 none.
@@ -76,15 +77,24 @@ class Element:
     dropped: bool
     container: bool
 
+    @property
+    def kind(self) -> str:
+        return self.name if self.name in ("article", "body", "main") else ""
+
 
 @dataclass
 class Block:
     """A run of text between block elements, with the paths of the containers around it, nearest
-    first, and whether something around it is dropped."""
+    first, and for each whether it is an article, a main element or the body."""
 
     text: str
     linked: int
     paths: list[int] = field(default_factory=list)
+    kinds: list[str] = field(default_factory=list)
+
+    @property
+    def worth(self) -> int:
+        return max(0, len(self.text) - 2 * self.linked)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -101,8 +111,9 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(texts).split())
             texts.clear()
             if text:
-                paths = [e.path for e in reversed(stack) if e.container]
-                blocks.append(Block(text, linked, paths))
+                around = [e for e in reversed(stack) if e.container]
+                paths, kinds = [e.path for e in around], [e.kind for e in around]
+                blocks.append(Block(text, linked, paths, kinds))
             linked = 0
 
     def add(data: str) -> None:
@@ -181,15 +192,58 @@ def _element(name: str, more: str, parent: Element | None) -> Element:
 
 
 def best_path(blocks: list[Block]) -> int | None:
-    """The path of the container with the highest score. A block gives its length, less that of its
-    links twice, to the container around it, and half as much to each further one outwards."""
+    """The path of the container with the highest score, widened. A block gives its length, less that of
+    its links twice, to the container around it, and half as much to each further one outwards."""
     scores: dict[int, float] = {}
     for block in blocks:
-        worth = float(max(0, len(block.text) - 2 * block.linked))
+        worth = float(block.worth)
         for path in block.paths[:16]:
             scores[path] = scores.get(path, 0.0) + worth
             worth /= 2
-    return max(scores, key=lambda path: (scores[path], path), default=None)
+    best = max(scores, key=lambda path: (scores[path], path), default=None)
+    return None if best is None else _widened(blocks, best)
+
+
+def _widened(blocks: list[Block], best: int) -> int:
+    """The outermost container around the best that belongs to its text.
+
+    That is the outermost article around it, or else the main element. A container further out takes
+    its place if, of text that is mostly no links, it adds a tenth or more, or has some beside the inner
+    container that lies in no other (the body not). Beyond an article or main element only the text of
+    others of these adds.
+    """
+    holder = next(block for block in blocks if best in block.paths)
+    first = holder.paths.index(best)
+    chain, kinds = holder.paths[first:], holder.kinds[first:]
+    level = {path: i for i, path in enumerate(chain)}
+    #: What each level adds to the ones within: all text, links, worth, and worth in no other container.
+    length, linked, worth, direct = ([0] * len(chain) for _ in range(4))
+    marked = [0] * len(chain)
+    for block in blocks:
+        i = next((level[path] for path in block.paths if path in level), None)
+        if i is not None:
+            length[i] += len(block.text)
+            linked[i] += block.linked
+            worth[i] += block.worth
+            if block.paths[0] == chain[i]:
+                direct[i] += block.worth
+            if "article" in block.kinds or "main" in block.kinds:
+                marked[i] += block.worth
+
+    at = 0
+    for kind in ("main", "article"):
+        at = max((i for i, k in enumerate(kinds) if k == kind), default=at)
+    inside = "article" in kinds or "main" in kinds
+    held = sum(worth[: at + 1])
+    since = at + 1
+    for i in range(at + 1, len(chain)):
+        more = marked if inside else worth
+        added = sum(more[since : i + 1])
+        unlinked = 2 * sum(linked[since : i + 1]) <= sum(length[since : i + 1])
+        beside = kinds[i] != "body" and (direct[i] if not inside or kinds[i] == "main" else 0) > 0
+        if unlinked and (beside or (added > 0 and 10 * added >= held)):
+            at, held, since = i, held + sum(worth[since : i + 1]), i + 1
+    return chain[at]
 
 
 def text_at(blocks: list[Block], paths: list[int]) -> str:

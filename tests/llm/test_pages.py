@@ -244,3 +244,42 @@ def test_licences_inside_larger_texts(spark):
     docs = spark.createDataFrame(list(enumerate(expected)), "doc_id bigint, text string")
     found = {row["doc_id"]: tuple(row)[1:] for row in licenses.scan_licenses(docs).collect()}
     assert found == dict(enumerate(expected.values()))
+
+
+def own_text(page):
+    return html_text.text_at(html_text.blocks_of(page), []).split("\n")
+
+
+def test_nested_sections_belong_to_their_text():
+    def part(n, name="p"):
+        return f"<div class={name}><p>{'w' * n}</p></div>"
+
+    lead = f"<h1>Title</h1><p>{'l' * 100}</p>"
+    noise = "<div class=x><p>short note</p></div>"
+    sections = ["w" * n for n in (100, 300, 100)]
+    parts = "".join(part(n, name) for n, name in zip((100, 300, 100), ("a", "b", "c")))
+    for name in ("article", "main", "div class=post"):
+        end = name.split()[0]
+        page = f"<body><{name}>{lead}{part(400)}{part(400)}</{end}>{noise}</body>"
+        assert own_text(page) == ["Title", "l" * 100, "w" * 400, "w" * 400]
+        assert own_text(f"<body><{name}>{parts}</{end}>{noise}</body>") == sections
+    # A large cell of a table within an article.
+    table = f"<table><tr><td>{'t' * 900}<td>side</table>"
+    page = f"<body><article>{lead}{table}<p>end</article>{noise}"
+    assert own_text(page) == ["Title", "l" * 100, "t" * 900, "side", "end"]
+    # Sections of an article that differ, and articles that do.
+    page = "<body><main><article class=a>{}</article><article class=b>{}</article></main>{}".format(
+        part(300), part(200), part(250, "rest"))
+    assert own_text(page) == ["w" * 300, "w" * 200]
+    # Lists of links add nothing.
+    links = "<div class=y>" + "<p><a href=x>some other page</a></p>" * 30 + "</div>"
+    assert own_text(f"<body><div class=t><p>{'w' * 300}</p></div>{links}</body>") == ["w" * 300]
+
+
+def test_a_host_keeps_sections_of_articles(spark):
+    page = "<body><article><h1>T{0}</h1><div class=a><p>{0} lead</p></div><div class=b>{1}</div></article>"
+    rows = [(i, "http://h/", page.format(i, LONG * (i % 3 + 1))) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for row in html_text.main_text(pages).collect():
+        i = row["page_id"]
+        assert row["text"] == "\n".join([f"T{i}", f"{i} lead", (LONG * (i % 3 + 1)).strip()])
