@@ -76,6 +76,8 @@ class Element:
     path: int
     dropped: bool
     container: bool
+    #: The part named by a dropped word that it is in, if any.
+    part: int | None
 
     @property
     def kind(self) -> str:
@@ -91,15 +93,56 @@ class Block:
     linked: int
     paths: list[int] = field(default_factory=list)
     kinds: list[str] = field(default_factory=list)
+    part: int | None = None
 
     @property
     def worth(self) -> int:
         return max(0, len(self.text) - 2 * self.linked)
 
 
+@dataclass
+class Part:
+    """An element with a dropped word in a class or id, and what lies in it."""
+
+    outer: int | None
+    main: bool = False
+    article: bool = False
+    unlinked: int = 0
+
+
+def _kept(blocks: list[Block], parts: list[Part], marked: bool) -> list[Block]:
+    """The blocks that lie in no part to be dropped; all, if that leaves none.
+
+    A part with a main element stays, and one with three quarters of the page's unlinked text, or with
+    an article and half of that, unless an article or main element is outside of all parts (`marked`).
+    """
+    total = 0
+    for block in blocks:
+        unlinked = max(0, len(block.text) - block.linked)
+        total += unlinked
+        if block.part is not None:
+            parts[block.part].unlinked += unlinked
+    # Outer parts come before inner ones.
+    for part in reversed(parts):
+        if part.outer is not None:
+            outer = parts[part.outer]
+            outer.main |= part.main
+            outer.article |= part.article
+            outer.unlinked += part.unlinked
+    dropped: list[bool] = []
+    for part in parts:
+        most = 4 * part.unlinked >= 3 * total or (part.article and 2 * part.unlinked >= total)
+        stays = part.main or (most and not marked)
+        dropped.append(not stays or (part.outer is not None and dropped[part.outer]))
+    kept = [block for block in blocks if block.part is None or not dropped[block.part]]
+    return kept or blocks
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, without those inside dropped elements."""
     blocks: list[Block] = []
+    parts: list[Part] = []
+    marked = False
     stack: list[Element] = []
     texts: list[str] = []
     linked = links = 0
@@ -113,7 +156,8 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 around = [e for e in reversed(stack) if e.container]
                 paths, kinds = [e.path for e in around], [e.kind for e in around]
-                blocks.append(Block(text, linked, paths, kinds))
+                part = stack[-1].part if stack else None
+                blocks.append(Block(text, linked, paths, kinds, part))
             linked = 0
 
     def add(data: str) -> None:
@@ -150,10 +194,18 @@ def blocks_of(page: str) -> list[Block]:
                 del stack[depth:]
             continue
         _close_implied(stack, name)
-        stack.append(_element(name, token["more"], stack[-1] if stack else None))
+        element = _element(name, token["more"], stack[-1] if stack else None, parts)
+        stack.append(element)
+        if name in ("article", "main") and not element.dropped:
+            if element.part is None:
+                marked = True
+            elif name == "main":
+                parts[element.part].main = True
+            else:
+                parts[element.part].article = True
     add(page[at:])
     close_block()
-    return blocks
+    return _kept(blocks, parts, marked) if parts else blocks
 
 
 def _close_implied(stack: list[Element], name: str) -> None:
@@ -169,7 +221,7 @@ def _close_implied(stack: list[Element], name: str) -> None:
             return
 
 
-def _element(name: str, more: str, parent: Element | None) -> Element:
+def _element(name: str, more: str, parent: Element | None, parts: list[Part]) -> Element:
     classes, words, role = "", set(), ""
     if "=" in more:
         for key, value in ATTRIBUTE.findall(more):
@@ -182,13 +234,14 @@ def _element(name: str, more: str, parent: Element | None) -> Element:
                     words.update(WORD.findall(token))
             if key.lower() == "class":
                 classes = ".".join(sorted(set(re.sub(r"\d+", "0", value).split())))
-    dropped = name in DROPPED or role in DROPPED_ROLES
+    dropped = name in DROPPED or role in DROPPED_ROLES or (parent is not None and parent.dropped)
+    part = parent.part if parent else None
     # A class word drops a part of the page, not the page itself.
-    dropped |= bool(words & DROPPED_WORDS) and name not in ("html", "body", "article", "main")
+    if not dropped and words & DROPPED_WORDS and name not in ("html", "body", "article", "main"):
+        parts.append(Part(part))
+        part = len(parts) - 1
     path = xxhash.xxh64_intdigest(f"{parent.path if parent else ''}/{name}.{classes}") >> 1
-    return Element(
-        name, path, dropped or (parent is not None and parent.dropped), name in CONTAINERS
-    )
+    return Element(name, path, dropped, name in CONTAINERS, part)
 
 
 def best_path(blocks: list[Block]) -> int | None:

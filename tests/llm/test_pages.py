@@ -283,3 +283,24 @@ def test_a_host_keeps_sections_of_articles(spark):
     for row in html_text.main_text(pages).collect():
         i = row["page_id"]
         assert row["text"] == "\n".join([f"T{i}", f"{i} lead", (LONG * (i % 3 + 1)).strip()])
+
+
+def test_class_words_do_not_drop_the_page():
+    side = "<div class=sidebar>side</div>"
+    body = f"<p>{'w' * 300}</p>"
+    wrapped = [
+        f"<div class=content-sidebar-wrap><main>{body}</main>{side}</div><div>skip</div>",
+        f"<div id=page class=sidebar-right><div>{body}</div>{side}</div><p>skip</p>",
+        f"<div class='post comment-open'>{body}{side}</div>",
+        f"<div class=comment-open><article>{body}</article></div><div><p>{'o' * 150}</p></div>{side}",
+        f"<div class=sidebar><div class=widget>{body}</div></div>",
+    ]
+    for page in wrapped:
+        assert "w" * 300 in own_text(f"<body>{page}</body>")
+        assert "side" not in own_text(f"<body>{page}</body>")
+    # Long comments after a short article are comments.
+    answer = f"<article class=comment-body>{body * 9}</article>"
+    page = f"<body><article><p>short</p></article><div class=comments-area>{answer}</div></body>"
+    assert own_text(page) == ["short"]
+    # Each page is read in the same time, however deep its parts are.
+    assert own_text("<div class=ad>" * 20_000 + "deep") == ["deep"]
