@@ -60,11 +60,13 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
     |<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
     |<(?P<end>/?)(?P<name>[a-z][^\s/>]*)
-      (?P<more>(?>(?:[^>"']|"[^"]{0,4000}"|'[^']{0,4000}')*)>|[^>]*>)
+      (?P<more>(?>(?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*)>)
     |<[!?/][^>]*>""",
     re.X | re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+#: Read one after the other, so that nothing within a value is taken for an attribute.
+ATTRIBUTE = re.compile(r"""([^\s"'/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+READ = frozenset(["class", "id", "role"])
 WORD = re.compile(r"[a-z]+")
 #: Classes that tell what lies within or is missing, such as has-sidebar.
 NO_PART = re.compile(r"(has|no|with|without)[-_]")
@@ -225,14 +227,17 @@ def _element(name: str, more: str, parent: Element | None, parts: list[Part]) ->
     classes, words, role = "", set(), ""
     if "=" in more:
         for key, value in ATTRIBUTE.findall(more):
+            key = key.lower()
+            if key not in READ:
+                continue
             value = value.strip("\"'").lower()
-            if key.lower() == "role":
+            if key == "role":
                 role = value
                 continue
             for token in value.split():
                 if not NO_PART.match(token):
                     words.update(WORD.findall(token))
-            if key.lower() == "class":
+            if key == "class":
                 classes = ".".join(sorted(set(re.sub(r"\d+", "0", value).split())))
     dropped = name in DROPPED or role in DROPPED_ROLES or (parent is not None and parent.dropped)
     part = parent.part if parent else None

@@ -304,3 +304,17 @@ def test_class_words_do_not_drop_the_page():
     assert own_text(page) == ["short"]
     # Each page is read in the same time, however deep its parts are.
     assert own_text("<div class=ad>" * 20_000 + "deep") == ["deep"]
+
+
+def test_long_attributes():
+    markup = "<p>no</p> class='ad' > " * 5000
+    for quote, value in (('"', markup), ("'", markup.replace("'", '"'))):
+        page = f"<div data-x={quote}{value}{quote} class=ad>not this</div><div><p>{'w' * 300}</p></div>"
+        assert own_text(page) == ["w" * 300]
+        # What looks like a class within a value is none.
+        assert own_text(f"<div data-x = {quote}{value}{quote}>{'w' * 300}</div><nav>no") == ["w" * 300]
+    # A quote that is never closed, or that begins no value, ends with its tag.
+    assert own_text("<p title=\"open>one</p><p title=it's>two</p><p '>three</p>it's") == [
+        "one", "two", "three", "it's"]
+    assert own_text("<p title='open>one</p>" + '<p title="a>b">x</p>' * 3) == ["one", "x", "x", "x"]
+    assert own_text('<p a="' * 2001 + "end>last")[-1] == "last"
