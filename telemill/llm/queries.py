@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from telemill.acceptance.registry import with_shared_folder
 from telemill.llm import (
     exact_dedup,
+    filter_audit,
     html_text,
     language,
     licenses,
@@ -211,3 +212,54 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+marked AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels
+  GROUP BY doc_id),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 200)::INT
+         + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS fails
+  FROM d LEFT JOIN marked USING (doc_id)),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+         count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing GROUP BY part, fails),
+letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS own,
+         coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+sized AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE fails & (before | own) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE fails & before = 0 AND fails & own > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE fails & before > 0 AND fails & own > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE fails & before = 0 AND fails & own > 0), 0)::BIGINT
+           AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE fails & before = 0 AND fails & own > 0), 0)::BIGINT
+           AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM sized"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.text_failures(docs, labels))
