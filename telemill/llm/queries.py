@@ -15,6 +15,8 @@ from telemill.llm import (
     html_text,
     language,
     licenses,
+    merkle,
+    multi_index,
     ngram_join,
     packing,
     pieces,
@@ -214,6 +216,99 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# All pairs, where the index may miss some; those of the tables are well above the limit.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reached(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM parts"""
+
+
+@query("op11_embedding_near_dedup", OP11_SQL)
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# SQL has no crc32, so its bits are made one by one.
+CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+    lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, zero: xor(c >> 1, 3988292384::BIGINT * (c & 1)))))"""
+
+OP12_SQL = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, lang,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+         coalesce(strlen(text) || ':' || text, '-') AS b, n_chars
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || b) AS leaf,
+         sha256(a || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || b) AS altered
+  FROM l),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+  FROM leaves),
+tree(g, level, pos, node, n) AS (
+  SELECT g, 0, pos, leaf, n FROM placed
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY g, level, pos // 2, n),
+roots AS (SELECT g, node FROM tree WHERE n = 1),
+top(level, pos, node, n) AS (
+  SELECT 0, g, node, (SELECT count(*) FROM roots) FROM roots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (
+  SELECT doc_id, leaf, g, t.level, (pos_ >> t.level) & 1 AS bit, s.node AS sibling
+  FROM (SELECT *, pos AS pos_ FROM placed) AS p
+  JOIN (SELECT DISTINCT g, level FROM tree WHERE n > 1) AS t USING (g)
+  LEFT JOIN tree AS s ON s.g = p.g AND s.level = t.level AND s.pos = xor(pos_ >> t.level, 1)
+  UNION ALL
+  SELECT doc_id, leaf, p.g, 100 + t.level, (p.g >> t.level) & 1, s.node
+  FROM placed AS p, (SELECT DISTINCT level FROM top WHERE n > 1) AS t
+  LEFT JOIN top AS s ON s.level = t.level AND s.pos = xor(p.g >> t.level, 1)),
+proofs AS (
+  SELECT doc_id, leaf, list(coalesce(sibling, '') ORDER BY level) AS siblings,
+         list(bit ORDER BY level) AS bits
+  FROM steps GROUP BY doc_id, leaf),
+folding(doc_id, leaf, node, siblings, bits) AS (
+  SELECT doc_id, p.leaf, CASE WHEN {CRC32_SQL} % 7 = 0 THEN altered ELSE p.leaf END,
+         coalesce(siblings, []), coalesce(bits, [])
+  FROM placed AS p LEFT JOIN proofs USING (doc_id)
+  UNION ALL
+  SELECT doc_id, leaf,
+         sha256(CASE WHEN bits[1] = 1 THEN siblings[1] || node ELSE node || siblings[1] END),
+         siblings[2:], bits[2:]
+  FROM folding WHERE len(bits) > 0)
+SELECT p.doc_id, p.leaf, r.node AS subroot, t.node AS root,
+       sha256(coalesce(list_aggregate(o.siblings, 'string_agg', ''), '')) AS proof_sha256,
+       f.node AS folded_root, f.node = t.node AS verified
+FROM placed AS p JOIN roots AS r USING (g) JOIN top AS t ON t.n = 1
+LEFT JOIN proofs AS o ON o.doc_id = p.doc_id JOIN folding AS f ON f.doc_id = p.doc_id AND len(f.bits) = 0"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
