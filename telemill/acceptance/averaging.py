@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2, r1
+from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2, r1, table
 from telemill.acceptance.registry import query
 from telemill.functions import times
 from telemill.operators import averages as A
@@ -14,9 +14,9 @@ from telemill.operators.rules import RuleBook
 EVICTION = 1706644800000
 
 
-def readings2(spark, sf_dir, *keep):
-    book = RuleBook.of(r1(spark, sf_dir))
-    return A.readings(m2(spark, sf_dir), book, keep)
+def readings2(spark, sf_dir, *keep, intervals=None):
+    book = RuleBook.once(r1(spark, sf_dir))
+    return A.readings(m2(spark, sf_dir), book, keep, intervals=intervals)
 
 
 def delayed(rows):
@@ -77,7 +77,7 @@ def time_bucket(spark, sf_dir):
     FROM read2 WHERE "interval" = 3600000 GROUP BY did, bucket""",
 )
 def avg_tumbling(spark, sf_dir):
-    hours = readings2(spark, sf_dir).filter(F.col("interval") == times.NAMED_INTERVALS["HOUR"])
+    hours = readings2(spark, sf_dir, intervals=[times.NAMED_INTERVALS["HOUR"]])
     return rounded(A.tumbling(hours)).select("did", "bucket", "sum", "num")
 
 
@@ -88,7 +88,37 @@ def avg_tumbling(spark, sf_dir):
     FROM read2 GROUP BY did, pidx, avg, "interval", bucket""",
 )
 def avg_multi_granularity(spark, sf_dir):
-    return rounded(A.tumbling(readings2(spark, sf_dir)))
+    return rounded(A.rolled_up(m2(spark, sf_dir), RuleBook.once(r1(spark, sf_dir))))
+
+
+# Rules with intervals that nest, and one that only shares a divisor with them.
+ROLLED = ["MIN&HOUR&DAY", "HOUR&5400000", "90000&MIN", "DAY"]
+
+
+@query(
+    "avg_rollup",
+    f"""WITH {M2_SQL},
+    grains(turn, avg, "interval") AS (VALUES
+      (0, 'MIN', 60000::BIGINT), (0, 'HOUR', 3600000), (0, 'DAY', 86400000), (1, 'HOUR', 3600000),
+      (1, 'INTERVAL5400000', 5400000), (2, 'INTERVAL90000', 90000), (2, 'MIN', 60000),
+      (3, 'DAY', 86400000))
+    SELECT id AS did, avg, "interval", ptimestamp // "interval" * "interval" AS bucket,
+           round(sum(value * 2.0::DOUBLE), 4) AS sum, count(*) AS num
+    FROM m2 JOIN grains ON user_id % 4 = turn GROUP BY ALL""",
+)
+def avg_rollup(spark, sf_dir):
+    """All intervals from sums at the grain of each rule."""
+    user = F.col("user_id")
+    rules = table(spark, sf_dir, "events").select("user_id").distinct().select(
+        F.lit("all").alias("app"),
+        user.alias("id"),
+        F.concat(F.lit("dev"), user.cast("string")).alias("did"),
+        F.lit(-1).alias("pidx"),
+        F.lit("MUL:2").alias("cmd"),
+        F.get(F.array(*map(F.lit, ROLLED)), (user % 4).cast("int")).alias("avg"),
+        F.lit(1).alias("used"),
+    )
+    return rounded(A.rolled_up(m2(spark, sf_dir), RuleBook.once(rules))).drop("pidx")
 
 
 @query("avg_rollover", _rollover_sql("ptimestamp"))
@@ -99,7 +129,10 @@ def avg_rollover(spark, sf_dir):
 
 @query("avg_out_of_order", _rollover_sql("ptimestamp + (seq % 13) * 3600000"))
 def avg_out_of_order(spark, sf_dir):
-    runs = A.rollover(delayed(readings2(spark, sf_dir, "seq")), ["arrival", "seq"])
+    messages = delayed(m2(spark, sf_dir))
+    rows = A.readings(messages, RuleBook.once(r1(spark, sf_dir)), ("arrival", "seq"))
+    order = ["arrival", "seq"]
+    runs = A.rollover(rows, order, A.slice_cuts(messages, order))
     return rounded(A.avg_records(runs))
 
 
@@ -129,6 +162,6 @@ def avg_by_app(spark, sf_dir):
     """Rules and averages of two apps that have the same devices."""
     rules = r1(spark, sf_dir).drop("app")
     apps = F.explode(F.array(F.lit("click"), F.lit("view"))).alias("app")
-    book = RuleBook.of(rules.select("*", apps), ("app", "did"))
+    book = RuleBook.once(rules.select("*", apps), ("app", "did"))
     rows = A.readings(m2(spark, sf_dir), book)
     return rounded(A.tumbling(rows, A.key_of(book.key))).drop("pidx")

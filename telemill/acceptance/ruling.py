@@ -164,7 +164,7 @@ def parse_avg_spec(spark, sf_dir):
     LEFT JOIN r2 AS anyport ON anyport.did = m1.id AND anyport.pidx = -1""",
 )
 def lookup(spark, sf_dir):
-    book = R.RuleBook.of(r2(spark, sf_dir))
+    book = R.RuleBook.once(r2(spark, sf_dir))
     return rule_lookup(m1(spark, sf_dir), book).select(
         "seq", "pidx", F.col("rule.op").alias("op"), F.col("rule.arg").alias("arg"), "rule_port"
     )
@@ -183,43 +183,49 @@ def lookup(spark, sf_dir):
     LEFT JOIN r2 AS anyport ON anyport.did = m1.id AND anyport.pidx = -1""",
 )
 def cleaned_messages(spark, sf_dir):
-    book = R.RuleBook.of(r2(spark, sf_dir))
+    book = R.RuleBook.once(r2(spark, sf_dir))
     cleaned = clean_messages(m1(spark, sf_dir), book)
     return explode_ports(cleaned).select(
         "seq", "app", "id", "pidx", "valid", "unit", V.to_double(F.col("value")).alias("value")
     )
 
 
-# Every user has 5,000 ports with a rule of their own and one rule for the others.
-WIDE = 5000
+# One user in a hundred has rules of their own for 5,000 ports, beside one rule for the others.
+WIDE, WIDE_SHARE = 5000, 100
 
 
 @query(
     "cleaned_wide_device",
     f"""WITH {M2_SQL}
-    SELECT seq, value + (CASE WHEN user_id % 3 = 0 THEN 1 ELSE 7 END)::DOUBLE AS value FROM m2
-    WHERE user_id < 5""",
+    SELECT seq, value + (CASE WHEN user_id % {WIDE_SHARE} <> 0 THEN 3 WHEN user_id % 3 = 0 THEN 1
+                         ELSE 7 END)::DOUBLE AS value
+    FROM m2""",
 )
 def cleaned_wide_device(spark, sf_dir):
-    """The devices of five users; the port of their messages has a rule for two thirds of them."""
-    devices = table(spark, sf_dir, "events").filter("user_id < 5").select("user_id").distinct()
+    """Every message, of wide devices and of those with one rule for any port. The port of the wide
+    ones' messages has a rule of its own for a third of them."""
     user = F.col("user_id")
+    is_wide = user % WIDE_SHARE == 0
     ports = F.when(user % 3 == 0, F.sequence(F.lit(0), F.lit(WIDE))).otherwise(
         F.sequence(F.lit(1), F.lit(WIDE))
     )
-    every = F.concat(F.array(F.lit(R.ANY_PORT)), ports)
-    rules = devices.select("user_id", F.explode(every).alias("pidx")).select(
+    every = F.array(F.lit(R.ANY_PORT))
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    rules = users.select(
+        "user_id", F.explode(F.when(is_wide, F.concat(every, ports)).otherwise(every)).alias("pidx")
+    ).select(
         F.lit("all").alias("app"),
         (user * 10_000 + F.col("pidx") + 2).alias("id"),
         F.concat(F.lit("dev"), user.cast("string")).alias("did"),
         "pidx",
-        F.when(F.col("pidx") == R.ANY_PORT, F.lit("ADD:7")).otherwise(F.lit("ADD:1")).alias("cmd"),
+        F.when(F.col("pidx") != R.ANY_PORT, F.lit("ADD:1"))
+        .when(is_wide, F.lit("ADD:7"))
+        .otherwise(F.lit("ADD:3"))
+        .alias("cmd"),
         F.lit(None).cast("string").alias("avg"),
         F.lit(1).alias("used"),
     )
-    messages = m2(spark, sf_dir)
-    wanted = messages.join(rules.select(F.col("did").alias("id")).distinct(), "id", "left_semi")
-    cleaned = clean_messages(wanted, R.RuleBook.of(rules))
+    cleaned = clean_messages(m2(spark, sf_dir), R.RuleBook.once(rules))
     return explode_ports(cleaned).select("seq", V.to_double(F.col("value")).alias("value"))
 
 
@@ -246,7 +252,7 @@ def cleaned_by_formula(spark, sf_dir):
         F.lit(None).cast("string").alias("avg"),
         F.lit(1).alias("used"),
     )
-    cleaned = clean_messages(m2(spark, sf_dir), R.RuleBook.of(rules))
+    cleaned = clean_messages(m2(spark, sf_dir), R.RuleBook.once(rules))
     return explode_ports(cleaned).select("seq", V.to_double(F.col("value")).alias("value"))
 
 
@@ -273,7 +279,7 @@ def cleaned_wire_errors(spark, sf_dir):
         F.lit(None).cast("string").alias("avg"),
         F.lit(1).alias("used"),
     )
-    sent = to_wire(clean_messages(messages, R.RuleBook.of(rules)))
+    sent = to_wire(clean_messages(messages, R.RuleBook.once(rules)))
     back = accepted(decode(sent))
     port = F.get("values", F.lit(0))
     shown = device_value(back.withColumn("desc", F.col("seq").cast("string")), 0).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from telemill.functions import values as V
 from telemill.plans import query as Q
 from telemill.session import shared_folder
 from telemill.sources import stores
+from telemill.sources.ledger import Ledger
 
 STORED_DAY = "strftime(make_timestamp(ptimestamp * 1000), '%Y%m%d')"
 
@@ -254,3 +257,127 @@ def select_day(spark, sf_dir):
         found = found.select(F.lit(name).alias("request"), "id", "ptimestamp")
         rows = found if rows is None else rows.unionByName(found)
     return rows
+
+
+class HalfWritten(stores.MainStore):
+    """A main store that breaks down after it has written a part of a batch."""
+
+    def __call__(self, batch, batch_id):
+        super().__call__(batch.filter(F.col("seq") % 2 == 0), batch_id)
+        raise OSError("main store broke down")
+
+
+def kept(spark, name):
+    """A main store, a backup store and their ledger."""
+    main, backup, ledger = (shared_folder(spark, f"{name}-{part}") for part in ("main", "backup", "ledger"))
+    return stores.MainStore(main), stores.BackupStore(backup), Ledger(spark, ledger)
+
+
+def _both(spark, main, backup, ledger):
+    return _port_zero(
+        stores.union_stores(
+            stores.scan_main(spark, main.path, narrow=False, ledger=ledger),
+            stores.scan_backup(spark, backup.path, ledger=ledger),
+        )
+    )
+
+
+@query(
+    "store_ledger",
+    f"""WITH {M2_SQL} SELECT id, ptimestamp, dtype, "desc", value, valid FROM m2""",
+)
+def store_ledger(spark, sf_dir):
+    """Four batches: one in main, one that main held half of when it failed, one that is replayed
+    while main is down, and one in both stores. Every message counts once."""
+    main, backup, ledger = kept(spark, "ledger")
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.lit(BEGIN) + F.col("seq") % 7_200_000)
+    turns = [messages.filter(F.col("seq") % 4 == turn) for turn in range(4)]
+
+    def down(batch, batch_id):
+        raise OSError("main store is down")
+
+    def store(turn, writer, level=stores.Level.BOTH):
+        return stores.store_batch(turns[turn], f"b{turn}", writer, backup, level, ledger=ledger)
+
+    store(0, main)
+    assert store(1, HalfWritten(main.path)) == ["backup"]
+    store(2, main)
+    assert store(2, down) == ["main"]
+    assert store(3, main, stores.Level.BOTH_FORCE) == ["main", "backup"]
+    return _both(spark, main, backup, ledger)
+
+
+@query(
+    "store_compacted",
+    f"""WITH {M2_SQL}
+    SELECT stage, id, ptimestamp, dtype, "desc", value, valid
+    FROM m2, (VALUES ('before'), ('during'), ('after'), ('folded')) AS stages(stage)""",
+)
+def store_compacted(spark, sf_dir):
+    """A day of many batches in both stores, read before it is compacted, by a reader that began
+    before, after it, with a replay in between, and from a snapshot of the ledger."""
+    main, backup, ledger = kept(spark, "compacted")
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.lit(BEGIN) + F.col("seq") % 7_200_000)
+
+    def down(batch, batch_id):
+        raise OSError("main store is down")
+
+    def store(turn):
+        batch = messages.filter(F.col("seq") % 8 == turn)
+        writer = down if turn % 4 == 3 else main
+        stores.store_batch(batch, f"b{turn}", writer, backup, ledger=ledger)
+
+    for turn in range(8):
+        store(turn)
+    before = stored(spark, _both(spark, main, backup, ledger))
+    during = _both(spark, main, backup, ledger)
+    day = DAY_OF_BEGIN
+    small = stores.compact(spark, ledger, main, day) + stores.compact(spark, ledger, backup, day)
+    store(0)
+    store(3)
+    after = _both(spark, main, backup, ledger)
+    left = ledger.files().count()
+    assert left < small / 2, f"{left} files of {small}"
+    stages = [("before", before), ("during", stored(spark, during)), ("after", stored(spark, after))]
+    ledger.fold()
+    ledger.vacuum()
+    store(1)
+    stages.append(("folded", _both(spark, main, backup, ledger)))
+    rows = None
+    for name, found in stages:
+        named = found.withColumn("stage", F.lit(name))
+        rows = named if rows is None else rows.unionByName(named)
+    return rows
+
+
+def stored(spark, frame):
+    """What a reader finds at this moment."""
+    path = shared_folder(spark, "read")
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+# A device that all tables have; requests for it and an hour of each day's messages.
+DEVICE = "dev5"
+DAY_OF_BEGIN = datetime.fromtimestamp(BEGIN / 1000, tz=timezone.utc).strftime("%Y%m%d")
+
+
+@query(
+    "job_pruned",
+    f"""WITH {M2_SQL}
+    SELECT id, ptimestamp, dtype, "desc", value, valid, true AS few_files FROM m2
+    WHERE id = '{DEVICE}' AND ptimestamp BETWEEN {BEGIN} AND {BEGIN + 10 * DAY}""",
+)
+def job_pruned(spark, sf_dir):
+    """One device and a third of the time of a day's table, clustered into some twenty files."""
+    main, backup, ledger = kept(spark, "pruned")
+    messages = m2(spark, sf_dir).withColumn("stored_at", F.lit(BEGIN))
+    for turn in range(2):
+        batch = messages.filter(F.col("seq") % 2 == turn)
+        stores.store_batch(batch, f"b{turn}", main, backup, ledger=ledger)
+    stores.compact(spark, ledger, main, DAY_OF_BEGIN, max(1, messages.count() // 20))
+    request = {"type": "rdd", "id": DEVICE, "btime": BEGIN, "etime": BEGIN + 10 * DAY}
+    found = Q.run_job(spark, request, main.path, backup.path, now=BEGIN + DAY, ledger=ledger)
+    opened = ledger.choose("main", None, None, None, DEVICE, BEGIN, BEGIN + 10 * DAY)
+    few = 3 * len(opened) <= ledger.files().count()
+    return _port_zero(found).withColumn("few_files", F.lit(few))

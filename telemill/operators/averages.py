@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemill.functions import times
-from telemill.operators.clean import apply_rules
+from telemill.functions import values as V
+from telemill.operators.clean import apply_rules, found_rule, transform_value
 from telemill.operators.rules import RuleBook
 
 KEY = ("did", "pidx", "avg", "interval")
 
 
-# Readings of all keys together in a slice of arrival.
+# Messages in a slice of arrival, about.
 SLICE_ROWS = 1_000_000
 
 
@@ -23,13 +24,94 @@ def key_of(book_key: Sequence[str]) -> tuple[str, ...]:
     return (*book_key, "pidx", "avg", "interval")
 
 
-def readings(
-    messages: DataFrame, book: RuleBook, keep: Sequence[str] = (), strict: bool = False
+def _names(key: Sequence[str]) -> list[Column]:
+    return [F.col("id").alias("did") if c == "did" else F.col(c) for c in key]
+
+
+def _fed(
+    messages: DataFrame, book: RuleBook, keep: Sequence[str], intervals: Sequence[int] | None
 ) -> DataFrame:
-    """The values that feed averages, once per interval of their rule (see `readings_of`)."""
+    """One row per port value that feeds averages: the key, `pidx`, times, `keep`, `x`, `intervals`
+    (only those wanted) and `grain`.
+
+    Rules are looked up within the message, so that only a port's own rule goes with it. Ports without
+    intervals go before any value is transformed.
+    """
     wanted = ["id", "portnum", "dtimestamp", "ptimestamp", "values", "app", *keep]
     slim = messages.select(*[c for c in messages.columns if c in wanted])
-    return readings_of(apply_rules(slim, book, strict), keep, book.key)
+
+    def looked_up(port: Column, pidx: Column) -> Column:
+        rule = F.when(pidx < F.col("portnum"), F.coalesce(*found_rule(pidx)))
+        return F.struct(pidx.alias("pidx"), port["value"].alias("value"), rule.alias("rule"))
+
+    def feeds(item: Column) -> Column:
+        has_interval = F.coalesce(F.size(item["rule"]["intervals"]) > 0, F.lit(False))
+        if intervals is not None:
+            has_interval = has_interval & F.exists(
+                item["rule"]["intervals"], lambda entry: entry["ms"].isin(*intervals)
+            )
+        return has_interval & V.is_present(item["value"])
+
+    carried = [c for c in keep if c not in book.key]
+    ports = F.filter(F.transform("values", looked_up), feeds)
+    each = book.join(slim, "inner").select(
+        *_names(book.key), "dtimestamp", "ptimestamp", *carried, F.inline_outer(ports)
+    )
+    result, _ = transform_value(F.col("rule"), V.to_double(F.col("value")))
+    of_rule = F.col("rule.intervals")
+    if intervals is not None:
+        of_rule = F.filter(of_rule, lambda entry: entry["ms"].isin(*intervals))
+    return each.select(
+        *book.key, "pidx", "dtimestamp", "ptimestamp", *carried, result.alias("x"),
+        of_rule.alias("intervals"), F.col("rule.grain").alias("grain"),
+    ).filter(F.col("x").isNotNull())
+
+
+def readings(
+    messages: DataFrame,
+    book: RuleBook,
+    keep: Sequence[str] = (),
+    strict: bool = False,
+    intervals: Sequence[int] | None = None,
+) -> DataFrame:
+    """The values that feed averages, once per interval of their rule (see `readings_of`).
+
+    `intervals` names the lengths wanted, if not all; others are left out before any value is
+    transformed. With `strict` a failed action ends the job, whether or not it feeds an average.
+    """
+    if strict:
+        rows = readings_of(apply_rules(messages, book, True), keep, book.key)
+        return rows if intervals is None else rows.filter(F.col("interval").isin(*intervals))
+    fed = _fed(messages, book, keep, intervals)
+    others = [c for c in fed.columns if c not in ("intervals", "grain")]
+    each = fed.select(*others, F.inline("intervals")).withColumnRenamed("ms", "interval")
+    return each.withColumn("bucket", times.bucket(F.col("ptimestamp"), F.col("interval")))
+
+
+def rolled_up(
+    messages: DataFrame, book: RuleBook, intervals: Sequence[int] | None = None
+) -> DataFrame:
+    """Whole sums and counts of every bucket of every interval, as `tumbling` of `readings` gives.
+
+    A reading is summed once, in a bucket of its rule's grain, the longest time that divides all
+    intervals of the rule; only these partial sums are then given out to the intervals. Both sums
+    combine before they are shuffled, so a hot device sends a few rows from each task.
+    """
+    key = ("pidx", *book.key)
+    fed = _fed(messages, book, (), intervals)
+    partial = (
+        fed.withColumn("part", times.bucket(F.col("ptimestamp"), F.col("grain")))
+        .groupBy(*key, "intervals", "part")
+        .agg(F.sum("x").alias("sum"), F.count("x").alias("num"))
+    )
+    each = partial.select(*key, "part", "sum", "num", F.inline("intervals")).withColumnRenamed(
+        "ms", "interval"
+    )
+    return (
+        each.withColumn("bucket", times.bucket(F.col("part"), F.col("interval")))
+        .groupBy(*key_of(book.key), "bucket")
+        .agg(F.sum("sum").alias("sum"), F.sum("num").alias("num"))
+    )
 
 
 def readings_of(
@@ -42,9 +124,8 @@ def readings_of(
     action feeds nothing.
     """
     carried = [c for c in keep if c not in key]
-    names = [F.col("id").alias("did") if c == "did" else F.col(c) for c in key]
     each = ruled.select(
-        *names,
+        *_names(key),
         "dtimestamp",
         "ptimestamp",
         *carried,
@@ -104,10 +185,43 @@ def rollover_in_order(
     return closed.withColumn("dtimestamp", checked).drop("_first", "_last")
 
 
+def _at(arrival: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(arrival)])
+
+
+def slice_cuts(
+    messages: DataFrame, arrival: Sequence[str], key: str = "id", rows: int | None = None
+) -> DataFrame | None:
+    """Where the readings of hot devices are cut: `key` and `cuts`, an ascending array of `arrival`
+    tuples, for devices that reach over the end of a range; None if there is only one range.
+
+    Ranges of (device, arrival) with about `rows` messages each are cut at quantiles that Spark
+    samples, so a burst is cut as finely as any other time. Only these columns of the messages are
+    read; no rule is applied. `arrival` orders the messages of a device without ties.
+    """
+    rows = SLICE_ROWS if rows is None else rows
+    narrow = messages.select(F.col(key).alias("_key"), _at(arrival).alias("_at"))
+    ranges = -(-narrow.count() // rows)
+    if ranges <= 1:
+        return None
+    # A row per range and device at its begin; the first of each device needs no cut.
+    begins = (
+        narrow.repartitionByRange(ranges, "_key", "_at")
+        .groupBy("_key", F.spark_partition_id().alias("_range"))
+        .agg(F.min("_at").alias("_at"))
+    )
+    return (
+        begins.groupBy("_key")
+        .agg(F.sort_array(F.collect_list("_at")).alias("cuts"))
+        .filter(F.size("cuts") > 1)
+        .select(F.col("_key").alias(key), F.slice("cuts", 2, F.size("cuts")).alias("cuts"))
+    )
+
+
 def rollover(
     rows: DataFrame,
     arrival: Sequence[str],
-    slice_width: float | None = None,
+    cuts: DataFrame | None = None,
     carry: Sequence[str] = (),
     key: Sequence[str] = KEY,
 ) -> DataFrame:
@@ -115,40 +229,41 @@ def rollover(
 
     Gives every run of readings of one bucket in arrival order with `sum` and `num`, and with
     `dtimestamp`, `ptimestamp` and the `carry` columns of the reading that closed it; these are
-    null for the run still open at the end. `arrival` names the order columns. The first is a
-    number; it cuts the readings of a key into slices, so that a hot device is put in order slice by
-    slice. Only the first and last runs of slices meet per key. Without a `slice_width` in the unit
-    of `arrival`, a job measures the one that gives slices of about `SLICE_ROWS` readings.
+    null for the run still open at the end. `arrival` names the order columns. With the `cuts` of
+    the messages (`slice_cuts`, over the same columns) a hot device is put in order slice by slice,
+    and only the first and last runs of slices meet per key; without, device by device.
     """
     trigger = ("dtimestamp", "ptimestamp", *carry)
-    return _stitch(_slice_runs(rows, arrival, slice_width, trigger, key), trigger, key=key)
+    return _stitch(_slice_runs(rows, arrival, cuts, trigger, key), trigger, key=key)
 
 
-def measured_width(rows: DataFrame, arrival: str) -> float:
-    """How much of `arrival` holds about `SLICE_ROWS` readings, whatever its unit."""
-    order = F.col(arrival).cast("double")
-    n, first, last = rows.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
-    return max(1.0, (last - first + 1) * SLICE_ROWS / n) if n and first is not None else 1.0
+def _sliced(rows: DataFrame, arrival: Sequence[str], cuts: DataFrame | None) -> DataFrame:
+    """Adds `_slice`: how many cuts of its device a reading has behind it."""
+    if cuts is None:
+        return rows.withColumn("_slice", F.lit(0))
+    before = F.size(F.filter("cuts", lambda cut: cut <= _at(arrival)))
+    # Few devices are hot: at most one for each range.
+    return (
+        rows.join(F.broadcast(cuts.withColumnRenamed("id", "did")), "did", "left")
+        .withColumn("_slice", F.when(F.col("cuts").isNull(), 0).otherwise(before))
+        .drop("cuts")
+    )
 
 
 def _slice_runs(
     rows: DataFrame,
     arrival: Sequence[str],
-    slice_width: float | None,
+    cuts: DataFrame | None,
     own: Sequence[str],
     key: Sequence[str],
 ) -> DataFrame:
     """Runs of one bucket within slices of arrival, with the `own` columns of the first reading."""
-    if slice_width is None:
-        slice_width = measured_width(rows, arrival[0])
-    slices = F.floor(F.col(arrival[0]) / F.lit(slice_width))
+    sliced = _sliced(rows, arrival, cuts)
     in_slice = Window.partitionBy(*key, "_slice").orderBy(*arrival)
     previous = F.lag("bucket").over(in_slice)
-    marked = (
-        rows.withColumn("_slice", slices)
-        .withColumn("_starts", previous.isNull() | (previous != F.col("bucket")))
-        .withColumn("_run", F.sum(F.col("_starts").cast("int")).over(in_slice))
-    )
+    marked = sliced.withColumn(
+        "_starts", previous.isNull() | (previous != F.col("bucket"))
+    ).withColumn("_run", F.sum(F.col("_starts").cast("int")).over(in_slice))
     return marked.groupBy(*key, "_slice", "_run", "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
@@ -159,7 +274,7 @@ def _slice_runs(
 def partial_runs(
     rows: DataFrame,
     arrival: str,
-    slice_width: float | None = None,
+    cuts: DataFrame | None = None,
     carry: Sequence[str] = (),
     key: Sequence[str] = KEY,
 ) -> DataFrame:
@@ -170,7 +285,7 @@ def partial_runs(
     """
     own = ("dtimestamp", "ptimestamp", *carry)
     runs = _slice_runs(
-        rows.withColumn("arrival", F.col(arrival)), [arrival], slice_width, (*own, "arrival"), key
+        rows.withColumn("arrival", F.col(arrival)), [arrival], cuts, (*own, "arrival"), key
     )
     first = [F.col(f"_own_{c}").alias(c) for c in (*own, "arrival")]
     return runs.select(*key, "bucket", "sum", "num", *first)

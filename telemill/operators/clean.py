@@ -47,15 +47,20 @@ def transform_value(
     return checked, error
 
 
+def found_rule(pidx: Column) -> tuple[Column, Column]:
+    """The rule of a port and that of any port, of a message joined with the rules of its device."""
+    return RuleBook.port_rule(pidx), F.col("any_rule")
+
+
 def _with_rule(port: Column, pidx: Column) -> Column:
-    own = RuleBook.port_rule(pidx)
+    own, any_rule = found_rule(pidx)
     active = pidx < F.col("portnum")
-    found = F.coalesce(own, F.col("any_rule"))
+    found = F.coalesce(own, any_rule)
     return F.struct(
         port.alias("port"),
         F.when(active, found).alias("rule"),
         F.when(active & own.isNotNull(), pidx)
-        .when(active & F.col("any_rule").isNotNull(), F.lit(ANY_PORT))
+        .when(active & any_rule.isNotNull(), F.lit(ANY_PORT))
         .alias("rule_port"),
         V.to_double(port["value"]).alias("x"),
     )

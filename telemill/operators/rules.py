@@ -175,6 +175,26 @@ def clear_rules(rules: DataFrame) -> DataFrame:
     return rules.limit(0)
 
 
+def _gcd(a: Column, b: Column) -> Column:
+    """Of two bigints that are not negative; Euclid's steps for 63 bits are below 92."""
+    pair = F.struct(a.alias("a"), b.alias("b"))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(92)),
+        pair,
+        lambda p, _: F.when(p["b"] == 0, p).otherwise(
+            F.struct(p["b"].alias("a"), (p["a"] % F.nullif(p["b"], F.lit(0))).alias("b"))
+        ),
+        lambda p: p["a"],
+    )
+
+
+def grain_of(intervals: Column) -> Column:
+    """The longest time that divides all intervals of a rule; null if it has none."""
+    first = F.get(intervals, F.lit(0))["ms"]
+    shared = F.aggregate(intervals, first, lambda grain, entry: _gcd(grain, entry["ms"]))
+    return F.when(F.size(intervals) > 1, shared).otherwise(first)
+
+
 def folded_rules(effective: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """One row per device: `any_rule`, that of any port, `pages`, a map from `pidx div 64` to a map
     from port to rule, and `bytes`, their estimated size.
@@ -182,7 +202,11 @@ def folded_rules(effective: DataFrame, key: tuple[str, ...]) -> DataFrame:
     A device has one rule per port, so its row is no larger than a message with all its ports.
     """
     rule = F.struct(
-        "op", "arg", formulas.postfix_column(F.col("formula")).alias("postfix"), "intervals"
+        "op",
+        "arg",
+        formulas.postfix_column(F.col("formula")).alias("postfix"),
+        "intervals",
+        grain_of(F.col("intervals")).alias("grain"),
     )
     # Partitioned by device first, which serves both foldings.
     rows = effective.repartition(*key).select(*key, "pidx", rule.alias("rule"))
@@ -227,11 +251,28 @@ class RuleBook:
         total = devices.agg(F.sum("bytes").alias("bytes")).first().bytes or 0
         return RuleBook(devices.drop("bytes"), key, total <= BROADCAST_BYTES)
 
-    def join(self, messages: DataFrame) -> DataFrame:
+    @staticmethod
+    def once(rules: DataFrame, key: tuple[str, ...] = ("did",)) -> RuleBook:
+        """The book of a rule table that is read by one query only, without writing a snapshot.
+
+        The size of the lookup form is bounded by one pass over the rules as they are; they are folded
+        where the query joins them. The rule table must not change meanwhile (see `of`).
+        """
+        bound = (
+            F.lit(200)
+            + 24 * F.octet_length("cmd")
+            + 40 * F.coalesce(F.octet_length("avg"), F.lit(0))
+            + sum((F.coalesce(F.octet_length(k), F.lit(0)) for k in key), F.lit(0))
+        )
+        total = rules_after(rules).agg(F.sum(bound.cast("bigint"))).first()[0] or 0
+        devices = folded_rules(effective_rules(rules, key), key).drop("bytes")
+        return RuleBook(devices, key, total <= BROADCAST_BYTES)
+
+    def join(self, messages: DataFrame, how: str = "left") -> DataFrame:
         """Messages with `any_rule` and `pages` of their device, null where it has no rules."""
         names = {k: "id" for k in self.key if k == "did"}
         key = [names.get(k, k) for k in self.key]
-        return lookup_join(messages, self.devices.withColumnsRenamed(names), key, self.small)
+        return lookup_join(messages, self.devices.withColumnsRenamed(names), key, self.small, how)
 
     @staticmethod
     def port_rule(pidx: Column) -> Column:

@@ -16,6 +16,7 @@ from telemill.functions import times
 from telemill.functions import values as V
 from telemill.operators import filters
 from telemill.sources import stores
+from telemill.sources.ledger import Ledger
 from telemill.sources.messages import to_wire
 
 VIEW = "deviceValue"
@@ -113,8 +114,11 @@ def read_days(
     last: int,
     narrow: bool,
     apps: Sequence[str] | None = None,
+    ledger: Ledger | None = None,
+    **wanted: Any,
 ) -> DataFrame:
-    """Both stores over a range of day numbers; the day conditions prune folders."""
+    """Both stores over a range of day numbers; the day conditions prune folders, and with a ledger
+    the `device`, `first_ms` and `last_ms` that are `wanted` prune files."""
     def bounds(pattern: str) -> dict[str, str | None]:
         return {
             "first": None if first is None else _day_name(first, pattern),
@@ -124,10 +128,12 @@ def read_days(
     parts = []
     if main is not None:
         parts.append(
-            stores.scan_main(spark, main, apps=apps, narrow=narrow, **bounds("%Y%m%d"))
+            stores.scan_main(
+                spark, main, apps=apps, narrow=narrow, ledger=ledger, **bounds("%Y%m%d"), **wanted
+            )
         )
     if backup is not None:
-        table = stores.scan_backup(spark, backup, **bounds("%Y-%m-%d"))
+        table = stores.scan_backup(spark, backup, ledger=ledger, **bounds("%Y-%m-%d"), **wanted)
         parts.append(table if apps is None else table.filter(F.col("app").isin(*apps)))
     if not parts:
         raise ValueError("name a main store or a backup store")
@@ -144,18 +150,20 @@ def run_job(
     narrow: bool = False,
     apps: Sequence[str] | None = None,
     late_days: int = 1,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """A job request: `type: sql` with `query, port, dtime`, or a sample request with `btime, etime,
     interval, delta` and any other keys as properties.
 
     Messages are filed by the day they are written. A sample request over a range of days also reads
-    `late_days` further days for messages of the range that were written after it.
+    `late_days` further days for messages of the range that were written after it. With the ledger of
+    the stores it opens only files that may have messages of its device (`id`) and time range.
     """
     now = int(time.time() * 1000) if now is None else now
     rest = dict(request)
     if rest.pop("type", None) == "sql":
         day = int(rest.get("dtime", now)) // times.DAY_MS
-        messages = read_days(spark, main, backup, day, day, True, apps)
+        messages = read_days(spark, main, backup, day, day, True, apps, ledger)
         return run_sql(messages, rest["query"], int(rest.get("port", -1)))
     btime, etime = int(rest.pop("btime", -1)), int(rest.pop("etime", -1))
     interval = int(rest.pop("interval", -1))
@@ -163,7 +171,12 @@ def run_job(
     first, last = days_to_read(btime, etime, now, days)
     if days == "range":
         last += late_days
-    messages = read_days(spark, main, backup, first, last, narrow, apps)
+    wanted = {
+        "device": rest["id"] if isinstance(rest.get("id"), str) else None,
+        "first_ms": btime if btime > 0 else None,
+        "last_ms": etime if etime > 0 else None,
+    } if ledger is not None else {}
+    messages = read_days(spark, main, backup, first, last, narrow, apps, ledger, **wanted)
     return sample_messages(messages, btime, etime, interval, delta, rest)
 
 

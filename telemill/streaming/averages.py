@@ -203,7 +203,7 @@ def store_records(
                 sinks.forward(batch.select(F.to_json(F.struct(*fields)).alias("value")), batch_id)
             if sinks.main is not None or sinks.backup is not None:
                 stores.store_batch(
-                    batch, batch_id, sinks.main, sinks.backup, sinks.level, is_first()
+                    batch, batch_id, sinks.main, sinks.backup, sinks.level, is_first(), sinks.ledger
                 )
         finally:
             batch.unpersist()

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemill.operators.averages import key_of, partial_runs, readings_of
+from telemill.operators.averages import key_of, partial_runs, readings_of, slice_cuts
 from telemill.operators.clean import apply_rules, cleaned
 from telemill.operators.metrics import observed
 from telemill.operators.rules import RuleBook, RuleFeed
 from telemill.sources import stores
+from telemill.sources.ledger import Ledger
 from telemill.sources.messages import accepted, decode, quarantined, to_wire
 from telemill.sources.stores import Level
 
@@ -71,7 +72,11 @@ def topic(servers: str, name: str) -> Writer:
 
 @dataclass(frozen=True)
 class Sinks:
-    """Where a cleaning stream writes; an output without a writer is left out."""
+    """Where a cleaning stream writes; an output without a writer is left out.
+
+    `main` may be a `RoutedStore`, with stores of their own for some apps. With a `ledger` a batch
+    counts in the stores once it is committed there.
+    """
 
     forward: Writer | None = None
     main: Writer | None = None
@@ -79,6 +84,7 @@ class Sinks:
     level: Level = Level.BOTH
     readings: Writer | None = None
     quarantine: Writer | None = None
+    ledger: Ledger | None = None
 
 
 def first_of_run() -> Callable[[], bool]:
@@ -106,12 +112,15 @@ def process_batch(
         if sinks.forward is not None:
             sinks.forward(to_wire(clean), batch_id)
         if sinks.main is not None or sinks.backup is not None:
-            stores.store_batch(clean, batch_id, sinks.main, sinks.backup, sinks.level, replayed)
+            stores.store_batch(
+                clean, batch_id, sinks.main, sinks.backup, sinks.level, replayed, sinks.ledger
+            )
         if sinks.readings is not None:
             fed = readings_of(ruled, ("app", *keep), book.key)
             if arrival is not None:
                 carry = [] if "app" in book.key else ["app"]
-                fed = partial_runs(fed, arrival, carry=carry, key=key_of(book.key))
+                cuts = slice_cuts(messages, [arrival])
+                fed = partial_runs(fed, arrival, cuts, carry=carry, key=key_of(book.key))
             sinks.readings(fed, batch_id)
         if sinks.quarantine is not None:
             sinks.quarantine(quarantined(decoded), batch_id)

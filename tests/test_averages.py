@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemill.operators import averages as A
-from telemill.operators.rules import RuleBook
+from telemill.operators.clean import apply_rules
+from telemill.operators.rules import RuleBook, effective_rules, grain_of
 from tests.helpers import message, messages, rules
 
 SCHEMA = ("seq bigint, ptimestamp bigint, x double, did string, pidx int, avg string, "
@@ -17,6 +18,10 @@ def rows(spark, items, interval=60000, did="d"):
     return spark.createDataFrame(data, SCHEMA)
 
 
+def cuts(frame, width):
+    return A.slice_cuts(frame, ["seq"], "did", width)
+
+
 CASE = [(1, 0, 1), (2, 30000, 2), (3, 60000, 4), (4, 59999, 8), (5, 61000, 16)]
 
 
@@ -38,7 +43,7 @@ def closed(runs):
 
 @pytest.mark.parametrize("width", [1, 2, 3, 100])
 def test_rollover_case(spark, width):
-    runs = A.rollover(rows(spark, CASE), ["seq"], width).cache()
+    runs = A.rollover(rows(spark, CASE), ["seq"], cuts(rows(spark, CASE), width)).cache()
     assert closed(runs) == [(0, 3.0, 2, 60000), (0, 8.0, 1, 61000), (60000, 4.0, 1, 59999)]
     assert [tuple(r)[4:] for r in A.still_open(runs).collect()] == [(60000, 16.0, 1)]
     assert sorted((r.bucket, r["sum"], r.num) for r in A.tumbling(rows(spark, CASE)).collect()) == [
@@ -54,7 +59,7 @@ def test_rollover_of_a_hot_device(spark, seed):
         per_device[did] = items
         frame = rows(spark, items, 10, did)
         frames = frame if frames is None else frames.unionByName(frame)
-    runs = A.rollover(frames.repartition(5), ["seq"], 16).cache()
+    runs = A.rollover(frames.repartition(5), ["seq"], cuts(frames, 16)).cache()
     for did, items in per_device.items():
         expected, still = reference(items, 10)
         assert closed(runs.filter(F.col("did") == did)) == expected
@@ -76,7 +81,7 @@ def test_rollover_in_order(spark):
 
 def test_carried_columns_are_those_of_the_closing_reading(spark):
     frame = rows(spark, CASE).withColumn("app", F.concat(F.lit("a"), F.col("seq")))
-    records = A.avg_records(A.rollover(frame, ["seq"], 2, carry=["app"]), carry=["app"])
+    records = A.avg_records(A.rollover(frame, ["seq"], cuts(frame, 2), carry=["app"]), carry=["app"])
     assert sorted((r.app, r["sum"]) for r in records.collect()) == [("a3", 3.0), ("a4", 4.0), ("a5", 8.0)]
 
 
@@ -111,3 +116,50 @@ def test_rollover_in_order_over_many_slices(spark):
         assert tuple(A.still_open(runs).first())[4:] == still
         with pytest.raises(Exception, match="not in order"):
             A.rollover_in_order(rows(spark, CASE), "seq", width).collect()
+
+
+def test_a_burst_is_cut_like_any_other_time(spark):
+    """Almost all readings of a hot device arrive in one moment, and one of them far off."""
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") < 18_000, F.lit("hot")).otherwise(F.concat(F.lit("d"), F.col("id"))).alias("did"),
+        F.when(F.col("id") == 17_999, F.lit(10**15)).otherwise(F.lit(5)).alias("arrival"),
+        F.col("id").alias("seq"),
+    )
+    found = A.slice_cuts(frame, ["arrival", "seq"], "did", 1000)
+    assert [row.did for row in found.collect()] == ["hot"]
+    sizes = A._sliced(frame, ["arrival", "seq"], found).groupBy("did", "_slice").count()
+    assert max(row["count"] for row in sizes.collect()) <= 2000
+    assert A.slice_cuts(frame, ["arrival", "seq"], "did", 20_000) is None
+
+
+def grains(spark, *specs):
+    table = rules(spark, *[(i, f"d{i}", -1, "MUL:2", spec, 1) for i, spec in enumerate(specs)])
+    return {row.did: row.grain for row in effective_rules(table).withColumn(
+        "grain", grain_of(F.col("intervals"))).collect()}
+
+
+def test_grains(spark):
+    specs = ["MIN&HOUR&DAY", "90000&MIN", "7&11", "DAY", None, "9223372036854775807&9223372036854775806"]
+    assert grains(spark, *specs) == {
+        "d0": 60000, "d1": 30000, "d2": 1, "d3": 86400000, "d4": None, "d5": 1}
+
+
+def test_rolled_up_sums_are_those_of_the_readings(spark):
+    """Every reading goes into one partial sum, whatever the number of its intervals."""
+    random.seed(7)
+    book = RuleBook.once(rules(
+        spark, (1, "d0", -1, "MUL:2", "MIN&HOUR&DAY", 1), (2, "d1", 0, "ADD:1", "90000&MIN&7000", 1),
+        (3, "d2", -1, "RVS", "DAY", 1), (4, "d3", -1, "NEG", None, 1)))
+    sent = messages(spark, *[
+        message([{"value": random.randrange(4)}, {"value": "x"}, {}], id=f"d{random.randrange(5)}",
+                pts=random.randrange(-10**7, 10**8)) for _ in range(400)])
+    found = A.rolled_up(sent, book)
+    expected = A.tumbling(A.readings(sent, book))
+    values = lambda frame: sorted(
+        (r.did, r.pidx, r.avg, r.bucket, round(r["sum"], 6), r.num) for r in frame.collect())
+    assert values(found) == values(expected) == values(A.tumbling(A.readings_of(apply_rules(sent, book))))
+    some = A.rolled_up(sent, book, [60000])
+    assert values(some) == values(expected.filter("interval = 60000"))
+    # A shuffle of partial sums, and one of what they add up to; none of readings per interval.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline(intervals") < plan.index("keys=[pidx")

@@ -13,7 +13,7 @@ from telemill.sources import stores
 from telemill.sources.stores import BackupStore, MainStore
 from telemill.sources.messages import read_text_stream
 from tests.helpers import message, rules
-from tests.test_averages import CASE, reference, rows
+from tests.test_averages import CASE, cuts, reference, rows
 
 ONCE = {"availableNow": True}
 
@@ -77,7 +77,7 @@ def test_rollover_stream_equals_batch(spark, tmp_path, as_runs):
     frame = frame.unionByName(rows(spark, other, 30, "e").withColumn("app", F.lit("b")))
     folder = str(tmp_path / "in")
     if as_runs:
-        frame = A.partial_runs(frame, "seq", 3, carry=["app"])
+        frame = A.partial_runs(frame, "seq", cuts(frame, 3), carry=["app"])
         assert frame.count() < 16
     arrival = "arrival" if as_runs else "seq"
     write_slices(frame, folder, 4, arrival)
