@@ -91,11 +91,13 @@ def text_failures(
         ),
         "measured",
     )
-    copied = (
+    # Stored, so that both sides of the join below are plain shuffles, whose hot texts can be split.
+    copied = stored(
         measured.groupBy("digest")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
         .filter("first < last")
-        .drop("last")
+        .drop("last"),
+        "copied",
     )
     marked = labels.groupBy(F.col("doc_id").alias("id")).agg(
         F.bool_or(F.col("quality") == 1).alias("good"), F.bool_or(F.col("toxic") == 1).alias("toxic")
