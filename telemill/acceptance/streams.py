@@ -9,16 +9,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from telemill.acceptance.averaging import _rollover_sql, rounded
-from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2_of, r1, table
+from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2, m2_of, r1, table
 from telemill.acceptance.registry import query
 from telemill.functions import values as V
+from telemill.operators import averages as A
 from telemill.operators.clean import explode_ports
+from telemill.operators.rules import RuleBook
 from telemill.session import shared_folder
-from telemill.sources.messages import accepted, decode, to_wire
+from telemill.sources.messages import accepted, decode, to_wire, union_of_sources
 from telemill.sources.stores import MainStore
 from telemill.streaming import averages as SA
 from telemill.streaming.clean import Sinks, clean_stream, parquet_batches
+from telemill.streaming.late import BucketStore, late_stream
 from telemill.streaming.progress import ProgressLog, progress_rows
+from telemill.streaming.rule_changes import RuleChanges
 
 ONCE = {"availableNow": True}
 RECORDS = SA.RECORD.replace("num bigint", "num int")
@@ -41,7 +45,7 @@ TURN_SQL = f"seq * {TURNS} // (SELECT max(event_id) + 1 FROM events)"
 class Streamed:
     """The events table as messages, put into a folder part by part and cleaned by a stream."""
 
-    def __init__(self, spark, sf_dir, rules=None):
+    def __init__(self, spark, sf_dir, rules=None, turn=None):
         self.spark = spark
         self.folder = shared_folder(spark, "stream")
         self.inbox, self.cleaned, self.readings = (
@@ -50,13 +54,15 @@ class Streamed:
         self.rules = rules or (lambda: r1(spark, sf_dir))
         events = table(spark, sf_dir, "events")
         last = F.lit(events.agg(F.max("event_id")).first()[0])
-        self.parts = to_wire(m2_of(events)).withColumn("turn", turn_of(F.col("seq"), last))
+        messages = m2_of(events)
+        own = turn_of(F.col("seq"), last) if turn is None else turn(messages)
+        self.parts = to_wire(messages.withColumn("turn", own))
 
-    def turns(self):
+    def turns(self, first=0):
         """Cleans one part more each time."""
-        for turn in range(TURNS):
+        for turn in range(first, TURNS):
             part = self.parts.filter(F.col("turn") == turn).drop("turn")
-            part.coalesce(1).write.mode("append").parquet(self.inbox)
+            part.write.mode("append").parquet(self.inbox)
             running = clean_stream(
                 self.spark.readStream.schema(part.schema).parquet(self.inbox),
                 self.rules,
@@ -76,12 +82,14 @@ class Streamed:
             pass
         return self
 
-    def average(self, make, write):
+    def average(self, make, write, first=0):
         """Runs an average stream over the readings after each part, with one checkpoint."""
-        for _ in self.turns():
+        checkpoint = os.path.join(self.folder, "average-checkpoint")
+        for _ in self.turns(first):
             schema = self.spark.read.parquet(self.readings).schema
             rows = self.spark.readStream.schema(schema).parquet(self.readings)
-            write(make(rows), os.path.join(self.folder, "average-checkpoint")).awaitTermination()
+            write(make(rows), checkpoint).awaitTermination()
+        return checkpoint
 
 
 def run_to_table(spark, stream, folder_name):
@@ -210,6 +218,7 @@ def stream_progress(spark, sf_dir):
         Streamed(spark, sf_dir).run()
         deadline = time.time() + 60  # reports come in on a thread of their own
         while time.time() < deadline and _reports(spark, path) < TURNS:
+            log.flush()
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(log)
@@ -228,3 +237,204 @@ def _reports(spark, path):
         return progress_rows(spark, path).filter("num_records > 0").count()
     except AnalysisException:
         return 0
+
+
+# Rules as changes: all users' rules first, then, before the second part, a third is deleted and a
+# third edited; before the last part a part of the deleted ones comes back.
+CHANGED_SQL = f"""WITH {M2_SQL},
+turned AS (SELECT *, {TURN_SQL} AS turn FROM m2)
+SELECT seq, app, id, 0 AS pidx, valid,
+       CASE WHEN turn = 0 OR user_id % 3 = 0 THEN value + 1.0::DOUBLE
+            WHEN user_id % 3 = 1 AND (turn = 1 OR user_id % 2 = 0) THEN value
+            WHEN user_id % 3 = 1 THEN value + 3.0::DOUBLE
+            ELSE value * 2.0::DOUBLE END AS value
+FROM turned"""
+
+
+@query("stream_rule_changes", CHANGED_SQL)
+def stream_rule_changes(spark, sf_dir):
+    """The rules of each part, by a feed of changes that a new run goes on with each time."""
+    folder = shared_folder(spark, "rule-changes")
+    feed, versions = os.path.join(folder, "feed"), os.path.join(folder, "versions")
+    user = F.col("user_id")
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+
+    def send(wanted, turn, cmd, used=1):
+        users.filter(wanted).select(
+            F.concat(F.lit("dev"), user.cast("string")).alias("did"),
+            F.lit(0).alias("pidx"),
+            F.lit("all").alias("app"),
+            user.alias("id"),
+            F.lit(cmd).alias("cmd"),
+            F.lit(None).cast("string").alias("avg"),
+            F.lit(used).alias("used"),
+            (user + turn * 1_000_000_000).alias("seq"),
+        ).write.mode("append").parquet(feed)
+
+    def changes(after):
+        return spark.read.parquet(feed).filter(F.col("seq") > after)
+
+    send(F.lit(True), 1, "ADD:1")
+    streamed = Streamed(spark, sf_dir, RuleChanges(spark, changes, versions))
+    for turn in streamed.turns():
+        if turn == 0:
+            send(user % 3 == 1, 2, "ADD:1", 0)
+            send(user % 3 == 2, 2, "MUL:2")
+        elif turn == 1:
+            send((user % 3 == 1) & (user % 2 == 1), 3, "ADD:3")
+        streamed.rules = RuleChanges(spark, changes, versions, merge_after=2)
+    return values_of(spark, streamed.cleaned)
+
+
+OVERLAP_HOURS = 12
+
+
+def _overlapping(messages):
+    """Parts by a time of arrival up to 12 hours after a message's own, so that they overlap."""
+    first, last = messages.agg(F.min("ptimestamp"), F.max("ptimestamp")).first()
+    arrival = F.col("ptimestamp") + F.col("seq") % (OVERLAP_HOURS + 1) * 3_600_000
+    turn = F.floor((arrival - first) * TURNS / (last - first + 1))
+    return F.least(turn, F.lit(TURNS - 1))
+
+
+@query(
+    "stream_late_readings",
+    f"""WITH {READ2_SQL},
+    bounds AS (SELECT min(ptimestamp) AS first, max(ptimestamp) AS last FROM m2),
+    turned AS (
+      SELECT read2.*, least({TURNS - 1}, (ptimestamp + seq % {OVERLAP_HOURS + 1} * 3600000 - first)
+                            * {TURNS} // (last - first + 1)) AS turn
+      FROM read2, bounds),
+    marks AS (SELECT t AS turn, max(ptimestamp) AS mark FROM turned, range({TURNS}) AS turns(t)
+              WHERE turned.turn <= t GROUP BY t)
+    SELECT did, pidx, avg, "interval", bucket, round(sum(x), 4) AS sum, count(*) AS num,
+           CAST(count(*) FILTER (WHERE bucket + "interval" <= mark) AS BIGINT) AS late_num,
+           CASE WHEN bucket + "interval" <= (SELECT max(mark) FROM marks) THEN round(sum(x), 4) END
+             AS closed_sum
+    FROM turned LEFT JOIN marks ON marks.turn = turned.turn - 1
+    GROUP BY did, pidx, avg, "interval", bucket""",
+)
+def stream_late_readings(spark, sf_dir):
+    """Every bucket with its late readings counted, and the last record of those that are closed."""
+    store = BucketStore(spark, shared_folder(spark, "buckets"))
+    streamed = Streamed(spark, sf_dir, turn=_overlapping)
+    streamed.average(lambda rows: rows, lambda rows, c: late_stream(rows, store, c, trigger=ONCE))
+    closed = store.closed().select(*A.KEY, "bucket", F.col("sum").alias("closed_sum"))
+    return rounded(store.totals().join(closed, [*A.KEY, "bucket"], "left")).withColumn(
+        "closed_sum", F.round("closed_sum", 4)
+    )
+
+
+# How far the watermark stays behind, and when an open bucket is left behind by it: at the end of
+# the part before that of the reading that would close it, or at the end of all.
+EVICT_DELAY = 3_600_000
+EVICTED_SQL = f"""WITH {READ2_SQL},
+turned AS (SELECT *, {TURN_SQL} AS turn FROM read2),
+marks AS (SELECT t AS turn, max(ptimestamp) - {EVICT_DELAY} AS mark
+          FROM turned, range({TURNS}) AS turns(t) WHERE turned.turn <= t GROUP BY t),
+marked AS (
+  SELECT *, CASE WHEN lag(bucket) OVER w = bucket THEN 0 ELSE 1 END AS starts
+  FROM turned WINDOW w AS (PARTITION BY did, pidx, "interval" ORDER BY seq)),
+numbered AS (
+  SELECT *, sum(starts) OVER (PARTITION BY did, pidx, "interval" ORDER BY seq) AS run FROM marked),
+runs AS (
+  SELECT did, pidx, avg, "interval", run, bucket, sum(x) AS total, count(*) AS num,
+         arg_min(dtimestamp, seq) AS own_dts, arg_min(ptimestamp, seq) AS own_pts,
+         min(turn) AS first_turn, max(turn) AS last_turn
+  FROM numbered GROUP BY ALL),
+followed AS (
+  SELECT *, lead(own_dts) OVER w AS next_dts, lead(own_pts) OVER w AS next_pts,
+         coalesce(lead(first_turn) OVER w, {TURNS}) AS next_turn
+  FROM runs WINDOW w AS (PARTITION BY did, pidx, "interval" ORDER BY run)),
+ended AS (
+  SELECT followed.*, next_turn > last_turn AND bucket < mark - 2 * "interval" AS evicted
+  FROM followed LEFT JOIN marks ON marks.turn = next_turn - 1)
+SELECT m.emits, did AS id, pidx AS portid, avg,
+       CASE WHEN evicted THEN own_dts ELSE next_dts END AS dtimestamp,
+       CASE WHEN evicted THEN own_pts ELSE next_pts END AS ptimestamp,
+       round(total, 4) AS sum, CAST(num AS INTEGER) AS num
+FROM ended, (VALUES (true), (false)) AS m(emits)
+WHERE CASE WHEN evicted THEN m.emits ELSE next_pts IS NOT NULL END"""
+
+
+@query("stream_evict_idle", EVICTED_SQL)
+def stream_evict_idle(spark, sf_dir):
+    """Records with idle buckets dropped, and with them sent, by event time."""
+    SA.use_state_store(spark)
+    rows = None
+    for emits in (True, False):
+        def evicting(readings):
+            return SA.rollover_stream(
+                readings, evict="event", emit_on_evict=emits, delay=f"{EVICT_DELAY} milliseconds"
+            )
+
+        found = rounded(averaged(spark, sf_dir, evicting, RECORDS)).drop("app")
+        found = found.withColumn("emits", F.lit(emits))
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
+@query(
+    "stream_handover",
+    _rollover_sql("ptimestamp", "").replace(
+        "SELECT did AS id", "SELECT closer_pts IS NULL AS is_open, did AS id"
+    ),
+)
+def stream_handover(spark, sf_dir):
+    """The first part by a batch, the others by a stream that begins with what the batch left open."""
+    SA.use_state_store(spark)
+    path = shared_folder(spark, "handover")
+    streamed = Streamed(spark, sf_dir)
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    history = m2(spark, sf_dir).filter(turn_of(F.col("seq"), F.lit(last)) == 0)
+    book = RuleBook.of(r1(spark, sf_dir))
+    runs = A.rollover_in_order(A.readings(history, book, ["seq"]), "seq")
+    initial = SA.handed_over(A.still_open(runs))
+    checkpoint = streamed.average(
+        lambda rows: SA.rollover_stream(rows, initial=initial), to_parquet(path), first=1
+    )
+    records = A.avg_records(runs).unionByName(
+        spark.read.schema(RECORDS).parquet(path).drop("app")
+    ).withColumn("is_open", F.lit(False))
+    still = SA.open_buckets(spark, checkpoint).select(
+        F.lit(True).alias("is_open"), F.col("did").alias("id"), F.col("pidx").alias("portid"), "avg",
+        F.lit(None).cast("bigint").alias("dtimestamp"), F.lit(None).cast("bigint").alias("ptimestamp"),
+        "sum", F.col("num").cast("int").alias("num"),
+    )
+    return rounded(records.unionByName(still))
+
+
+@query(
+    "stream_two_sources",
+    f"""WITH {READ2_SQL}
+    SELECT did, pidx, avg, "interval", bucket, round(sum(x), 4) AS sum, count(x) AS num
+    FROM read2 GROUP BY did, pidx, avg, "interval", bucket
+    HAVING bucket + "interval" <= (
+      SELECT min(last) FROM (SELECT max(ptimestamp) AS last FROM m2 GROUP BY seq % 2))""",
+)
+def stream_two_sources(spark, sf_dir):
+    """Messages from two folders with rates of their own: one is read as a whole in the first
+    micro-batch, the other file by file, so that it ends up weeks behind."""
+    SA.use_state_store(spark)
+    folder = shared_folder(spark, "sources")
+    inboxes = [os.path.join(folder, f"inbox{n}") for n in range(2)]
+    out, checkpoint = os.path.join(folder, "rows"), os.path.join(folder, "checkpoint")
+    book = RuleBook.of(r1(spark, sf_dir))
+    events = table(spark, sf_dir, "events")
+    last = F.lit(events.agg(F.max("event_id")).first()[0])
+    wire = to_wire(m2_of(events))
+    # The first source comes in one file and at once, the other in nine, one by one.
+    part = F.floor(F.col("seq") * 9 / (last + 1))
+    wire.filter("seq % 2 = 0").write.parquet(inboxes[0])
+    for number in range(9):
+        of_part = wire.filter((F.col("seq") % 2 == 1) & (part == number))
+        of_part.write.mode("append").parquet(inboxes[1])
+    schema = wire.schema
+    streams = [
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", rate).parquet(inbox)
+        for inbox, rate in zip(inboxes, (100, 1))
+    ]
+    messages = union_of_sources(streams, offset="seq")
+    rows = A.readings(messages, book, ["event_time"])
+    to_parquet(out)(SA.window_stream(rows), checkpoint).awaitTermination()
+    return rounded(spark.read.schema(WINDOWS).parquet(out))

@@ -267,6 +267,7 @@ def _slice_runs(
     return marked.groupBy(*key, "_slice", "_run", "bucket").agg(
         F.sum("x").alias("sum"),
         F.count("x").alias("num"),
+        F.max("ptimestamp").alias("newest"),
         *[F.max(F.when(F.col("_starts"), F.col(c))).alias(f"_own_{c}") for c in own],
     )
 
@@ -280,15 +281,15 @@ def partial_runs(
 ) -> DataFrame:
     """Readings of a micro-batch summed as runs of one bucket, in place of single readings.
 
-    Each run has `sum`, `num`, and `arrival`, `dtimestamp`, `ptimestamp` and the `carry` columns of
-    its first reading. A hot device so sends few rows to the state that holds its open bucket.
+    Each run has `sum`, `num`, `newest`, its last `ptimestamp`, and `arrival`, `dtimestamp`, `ptimestamp`
+    and the `carry` columns of its first reading. A hot device so sends few rows to the state that holds its open bucket.
     """
     own = ("dtimestamp", "ptimestamp", *carry)
     runs = _slice_runs(
         rows.withColumn("arrival", F.col(arrival)), [arrival], cuts, (*own, "arrival"), key
     )
     first = [F.col(f"_own_{c}").alias(c) for c in (*own, "arrival")]
-    return runs.select(*key, "bucket", "sum", "num", *first)
+    return runs.select(*key, "bucket", "sum", "num", "newest", *first)
 
 
 def _stitch(

@@ -249,7 +249,7 @@ class RuleBook:
         folded.write.parquet(path)
         devices = spark.read.schema(folded.schema).parquet(path)
         total = devices.agg(F.sum("bytes").alias("bytes")).first().bytes or 0
-        return RuleBook(devices.drop("bytes"), key, total <= BROADCAST_BYTES)
+        return RuleBook(devices, key, total <= BROADCAST_BYTES)
 
     @staticmethod
     def once(rules: DataFrame, key: tuple[str, ...] = ("did",)) -> RuleBook:
@@ -265,14 +265,15 @@ class RuleBook:
             + sum((F.coalesce(F.octet_length(k), F.lit(0)) for k in key), F.lit(0))
         )
         total = rules_after(rules).agg(F.sum(bound.cast("bigint"))).first()[0] or 0
-        devices = folded_rules(effective_rules(rules, key), key).drop("bytes")
+        devices = folded_rules(effective_rules(rules, key), key)
         return RuleBook(devices, key, total <= BROADCAST_BYTES)
 
     def join(self, messages: DataFrame, how: str = "left") -> DataFrame:
         """Messages with `any_rule` and `pages` of their device, null where it has no rules."""
         names = {k: "id" for k in self.key if k == "did"}
         key = [names.get(k, k) for k in self.key]
-        return lookup_join(messages, self.devices.withColumnsRenamed(names), key, self.small, how)
+        devices = self.devices.drop("bytes").withColumnsRenamed(names)
+        return lookup_join(messages, devices, key, self.small, how)
 
     @staticmethod
     def port_rule(pidx: Column) -> Column:

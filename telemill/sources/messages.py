@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +47,44 @@ def topic_rows(records: DataFrame) -> DataFrame:
 
 
 def read_text_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """A folder that receives text files, one message per line, as a stream."""
+    """A folder that receives text files, one message per line, as a stream.
+
+    `maxFilesPerTrigger` or `maxBytesPerTrigger` is the rate of this source.
+    """
     return spark.readStream.options(**options).text(path)
 
 
+def union_of_sources(
+    sources: Sequence[DataFrame],
+    delay: str = "0 seconds",
+    policy: str = "min",
+    column: str = "value",
+    offset: str | None = None,
+) -> DataFrame:
+    """Accepted messages of several streams as one, with `source`, the number of the stream,
+    `event_time`, and, if `offset` names the column that counts the messages of a stream, `arrival`.
+
+    Each source keeps the rate it was opened with, and its own watermark, `delay` behind its newest
+    message. With the policy "min" the stream's watermark is that of the source furthest behind, so
+    a source that lags loses nothing; with "max" the source furthest ahead sets it. After a restart
+    the watermark stands still until every source has had a message. `arrival` orders
+    by (offset, source), so messages of a device that keep to one source stay in their order.
+    """
+    spark = sources[0].sparkSession
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+    whole = None
+    for number, stream in enumerate(sources):
+        messages = accepted(decode(stream, column)).withColumn("source", F.lit(number))
+        if offset is not None:
+            place = F.col(offset) * len(sources) + number
+            messages = messages.withColumn("arrival", place.cast("bigint"))
+        timed = messages.withColumn("event_time", F.timestamp_millis("ptimestamp")).withWatermark(
+            "event_time", delay
+        )
+        whole = timed if whole is None else whole.unionByName(timed)
+    return whole
+
+
 # Most messages have the expected types and are read by one typed parse. What that parse cannot
 # take as it is (text numbers, odd ports, broken JSON) leaves its text in `_odd` and is read again
 # as a variant.

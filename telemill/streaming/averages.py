@@ -34,17 +34,25 @@ def _as_runs(rows: DataFrame, arrival: str, key: Sequence[str]) -> DataFrame:
     if "num" not in rows.columns:
         rows = rows.withColumnRenamed("x", "sum").withColumn("num", F.lit(1).cast("bigint"))
     app = [] if "app" in key else ["app"]
+    newest = "newest" if "newest" in rows.columns else "ptimestamp"
     return rows.select(
         *app, *key, "bucket", "dtimestamp", "ptimestamp",
         F.col(arrival).cast("bigint").alias("arrival"), "sum", "num",
+        F.timestamp_millis(newest).alias("event_time"),
     )
 
 
+OPEN = "bucket bigint, sum double, num bigint, app string, dtimestamp bigint, ptimestamp bigint"
+
+
 class Rollover(StatefulProcessor):
-    """Holds the open bucket of one device, port and interval; `key` names the parts of its key."""
+    """Holds the open bucket of one device, port and interval; `key` names the parts of its key.
+
+    `evict` is none, "clock" (two intervals of processing time) or "event" (the watermark).
+    """
 
     def __init__(
-        self, evict: bool = False, emit_on_evict: bool = False, key: Sequence[str] = KEY
+        self, evict: str | None = None, emit_on_evict: bool = False, key: Sequence[str] = KEY
     ) -> None:
         self.evict = evict
         self.emit_on_evict = emit_on_evict
@@ -52,15 +60,21 @@ class Rollover(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState(
-            "open", "bucket bigint, sum double, num bigint, app string, dtimestamp bigint, ptimestamp bigint"
+        self.open = handle.getValueState("open", OPEN)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        held = (
+            initialState.bucket, initialState["sum"], initialState.num, initialState.app,
+            initialState.dtimestamp, initialState.ptimestamp,
         )
+        self.open.update(held)
+        if self.evict:
+            self._set_timer(dict(zip(self.names, key))["interval"], held[0], timerValues)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = dict(zip(self.names, key))
         held = tuple(self.open.get()) if self.open.exists() else None
-        if held is None and self.evict:
-            self._set_timer(named["interval"], timerValues)
+        begun = None if held is None else held[0]
         # A micro-batch has one row per run of a bucket, so the rows of a device are few.
         for row in sorted(rows, key=lambda row: row.arrival):
             app = named.get("app") or row.app
@@ -72,21 +86,32 @@ class Rollover(StatefulProcessor):
             held = (row.bucket, row["sum"], row.num, app, row.dtimestamp, row.ptimestamp)
         if held is not None:
             self.open.update(held)
+            if self.evict and held[0] != begun:
+                self._set_timer(named["interval"], held[0], timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.open.exists():
             return
         named = dict(zip(self.names, key))
         held = tuple(self.open.get())
-        if held[0] >= timerValues.getCurrentProcessingTimeInMs() - 2 * named["interval"]:
-            self._set_timer(named["interval"], timerValues)
+        if held[0] >= self._now(timerValues) - 2 * named["interval"]:
+            # A bucket that was opened later has a timer of its own, or gets one now.
+            if self.evict == "clock":
+                self._set_timer(named["interval"], held[0], timerValues)
             return
         self.open.clear()
         if self.emit_on_evict:
             yield self._record(named, held, *held[3:])
 
-    def _set_timer(self, interval: int, timer_values) -> None:
-        self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + 2 * interval)
+    def _now(self, timer_values) -> int:
+        if self.evict == "event":
+            return timer_values.getCurrentWatermarkInMs()
+        return timer_values.getCurrentProcessingTimeInMs()
+
+    def _set_timer(self, interval: int, bucket: int, timer_values) -> None:
+        """When the bucket will have been idle for two intervals, if nothing closes it before."""
+        since = bucket + 1 if self.evict == "event" else self._now(timer_values)
+        self.handle.registerTimer(since + 2 * interval)
 
     @staticmethod
     def _record(named: dict, held: tuple, app: str, dtimestamp: int, ptimestamp: int) -> Row:
@@ -134,47 +159,94 @@ class Bucket(StatefulProcessor):
 def rollover_stream(
     rows: DataFrame,
     arrival: str = "arrival",
-    evict: bool = False,
+    evict: bool | str = False,
     emit_on_evict: bool = False,
     key: Sequence[str] = KEY,
+    delay: str = "0 seconds",
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Average records of a stream of runs or readings, each sent when its bucket is closed.
 
     `rows` come from `partial_runs` or `readings` with the column `app`; `arrival` orders them, and
     `key` tells averages apart, as there (`key_of` the rule book's).
-    `evict` drops buckets idle for two intervals of wall-clock time, unsent unless
-    `emit_on_evict`. Needs `use_state_store`.
+
+    `evict="event"` drops a bucket, unsent unless `emit_on_evict`, when the watermark, `delay` behind
+    the newest reading, is more than two intervals past its begin. This depends on the readings
+    alone, so a run that is repeated evicts the same buckets; readings older than the watermark are
+    left out (`late_stream` keeps them). `evict="clock"`, or true, goes by the time of processing.
+
+    `initial` has the buckets that an earlier run or a batch left open (`handed_over`); the first
+    micro-batch goes on from them, and a restart, which has its own state, does not read them. Needs
+    `use_state_store`.
     """
+    kind = "clock" if evict is True else evict or None
+    runs = _as_runs(rows, arrival, key)
+    runs = runs.withWatermark("event_time", delay) if kind == "event" else runs.drop("event_time")
     return (
-        _as_runs(rows, arrival, key)
-        .groupBy(*key)
+        runs.groupBy(*key)
         .transformWithState(
-            statefulProcessor=Rollover(evict, emit_on_evict, key),
+            statefulProcessor=Rollover(kind, emit_on_evict, key),
             outputStructType=RECORD,
             outputMode="Append",
-            timeMode="ProcessingTime" if evict else "None",
+            timeMode={None: "None", "clock": "ProcessingTime", "event": "EventTime"}[kind],
+            initialState=None if initial is None else initial.groupBy(*key),
         )
         .withColumn("num", F.col("num").cast("int"))
     )
 
 
+def handed_over(open_buckets: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Open buckets, of `still_open` or of another stream's state, as the begin of a stream.
+
+    Where it is not known when a bucket was opened, or by which app, this stays null.
+    """
+    known = open_buckets.columns
+    return open_buckets.select(
+        *key, "bucket", "sum", F.col("num").cast("bigint").alias("num"),
+        *[
+            (F.col(c) if c in known else F.lit(None)).cast(kind).alias(c)
+            for c, kind in (("app", "string"), ("dtimestamp", "bigint"), ("ptimestamp", "bigint"))
+            if c not in key
+        ],
+    )
+
+
+def open_buckets(spark, checkpoint: str, key: Sequence[str] = KEY) -> DataFrame:
+    """The buckets that a rollover stream holds open, from the state in its checkpoint."""
+    state = (
+        spark.read.format("statestore").option("path", checkpoint)
+        .option("stateVarName", "open").load()
+    )
+    fields = [field.split()[0] for field in OPEN.split(", ")]
+    return state.select(
+        *[F.col(f"key.{c}").alias(c) for c in key],
+        *[F.col(f"value.{c}").alias(c) for c in fields if c not in key],
+    )
+
+
 def window_stream(
     rows: DataFrame, delay: str = "0 seconds", key: Sequence[str] = KEY
 ) -> DataFrame:
     """Complete buckets of all intervals by event time, each once the watermark has passed its end.
 
     `rows` come from `partial_runs` or `readings`. Readings later than `delay` behind the newest are
-    dropped by the watermark. Needs `use_state_store`.
+    dropped by the watermark (`late_stream` keeps them). Rows with a column `event_time` bring a
+    watermark of their own, as those of `union_of_sources` do. Needs `use_state_store`.
     """
     runs = rows if "num" in rows.columns else rows.withColumnRenamed("x", "sum").withColumn(
         "num", F.lit(1).cast("bigint")
     )
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*key, "bucket")) + ", sum double, num bigint"
+    if "event_time" in rows.columns:
+        timed = runs.select(*key, "bucket", "sum", "num", "event_time")
+    else:
+        newest = "newest" if "newest" in rows.columns else "ptimestamp"
+        timed = runs.select(
+            *key, "bucket", "sum", "num", F.timestamp_millis(newest).alias("event_time")
+        ).withWatermark("event_time", delay)
     return (
-        runs.select(*key, "bucket", "sum", "num", F.timestamp_millis("ptimestamp").alias("event_time"))
-        .withWatermark("event_time", delay)
-        .groupBy(*key, "bucket")
+        timed.groupBy(*key, "bucket")
         .transformWithState(
             statefulProcessor=Bucket(key),
             outputStructType=schema,

@@ -18,6 +18,7 @@ from telemill.sources import stores
 from telemill.sources.ledger import Ledger
 from telemill.sources.messages import accepted, decode, quarantined, to_wire
 from telemill.sources.stores import Level
+from telemill.streaming.rule_changes import RuleChanges
 
 # Fixed value: default length of a micro-batch.
 TRIGGER = "10 seconds"
@@ -131,7 +132,7 @@ def process_batch(
 
 def clean_stream(
     source: DataFrame,
-    rules: Callable[[], DataFrame],
+    rules: Callable[[], DataFrame] | RuleChanges,
     sinks: Sinks,
     checkpoint: str,
     name: str = "clean",
@@ -144,14 +145,15 @@ def clean_stream(
 ) -> StreamingQuery:
     """Starts the stream. `source` is any streaming DataFrame with message text in `column`; `rules`
     reads the rule table, which is looked at for each micro-batch, so that a change applies to all
-    later messages. `keep` names further source columns that identify a message and travel with it. With `arrival`,
+    later messages, or is a feed of changes, of which only new ones are read. `keep` names further source columns that identify a message and travel with it. With `arrival`,
     the numeric one of them that orders messages, readings are written as runs of one bucket.
 
     The progress of the query carries the message counters (see `telemill.streaming.progress`).
     """
     decoded = observed(stores.stamp(decode(source, column)), "messages")
 
-    is_first, feed = first_of_run(), RuleFeed(rules, key)
+    is_first = first_of_run()
+    feed = rules if isinstance(rules, RuleChanges) else RuleFeed(rules, key)
 
     def each(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}-{number}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,12 +18,16 @@ PROGRESS = (
 class ProgressLog(StreamingQueryListener):
     """Appends the report of every micro-batch to a table of JSON lines, so that none is forgotten.
 
-    Register it with `spark.streams.addListener`.
+    Reports are written in groups: when `group` of them have come in, when a query ends, and by
+    `flush`. Register it with `spark.streams.addListener`.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, group: int = 100) -> None:
         self._spark = spark
         self._path = path
+        self._group = group
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -36,13 +41,25 @@ class ProgressLog(StreamingQueryListener):
             report.get("name"), report["batchId"], report["numInputRows"], total - processing,
             processing, total, counted.get("valid_num"), counted.get("invalid_num"),
         )
-        self._spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self._path)
+        with self._lock:
+            self._rows.append(row)
+            is_full = len(self._rows) >= self._group
+        if is_full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        """Writes the reports that have come in."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            group = self._spark.createDataFrame(rows, PROGRESS)
+            group.coalesce(1).write.mode("append").json(self._path)
 
 
 def progress_rows(spark: SparkSession, path: str) -> DataFrame:
