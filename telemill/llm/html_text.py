@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -45,6 +46,7 @@ DROPPED_WORDS = frozenset(
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article body center div main section table tbody td tr".split())
 #: A start tag ends an open element of these, unless one of the others is between.
 CLOSES = {
@@ -56,20 +58,30 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
-    |<(?P<end>/?)(?P<name>[a-z][^\s/>]*)
-      (?P<more>(?>(?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*)>)
-    |<[!?/][^>]*>""",
-    re.X | re.S | re.I,
-)
+#: The begin of a tag, a comment or another markup declaration. Possessive, so that no try is repeated.
+OPENING = re.compile(r"<(?:(?P<end>/?)(?P<name>[a-z][^\s/>]*+)|(?P<other>!--|[!?/]))", re.I)
+#: What is between a tag's name and its end: quoted values may hold `>`.
+WITHIN = re.compile(r"""(?:[^>="']++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+""")
+RAW_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in ("script", "style")}
 #: Read one after the other, so that nothing within a value is taken for an attribute.
 ATTRIBUTE = re.compile(r"""([^\s"'/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 READ = frozenset(["class", "id", "role"])
-WORD = re.compile(r"[a-z]+")
+#: Words of a class, also of one like siteFooter.
+WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 #: Classes that tell what lies within or is missing, such as has-sidebar.
-NO_PART = re.compile(r"(has|no|with|without)[-_]")
+NO_PART = re.compile(r"([Hh]as|[Nn]o|[Ww]ith|[Ww]ithout)([-_]|(?=[A-Z]))")
+
+
+@dataclass(eq=False)
+class Container:
+    """An element that may hold the text, in the container around it, and what its kind is worth."""
+
+    path: int
+    kind: str
+    outer: Container | None
+    #: It is an article or a main element, or in one; and the former.
+    marked: bool
+    in_article: bool
 
 
 @dataclass
@@ -77,24 +89,19 @@ class Element:
     name: str
     path: int
     dropped: bool
-    container: bool
+    #: The nearest container, itself included.
+    holder: Container | None
     #: The part named by a dropped word that it is in, if any.
     part: int | None
 
-    @property
-    def kind(self) -> str:
-        return self.name if self.name in ("article", "body", "main") else ""
-
 
 @dataclass
 class Block:
-    """A run of text between block elements, with the paths of the containers around it, nearest
-    first, and for each whether it is an article, a main element or the body."""
+    """A run of text between block elements, and the container around it."""
 
     text: str
     linked: int
-    paths: list[int] = field(default_factory=list)
-    kinds: list[str] = field(default_factory=list)
+    holder: Container | None = None
     part: int | None = None
 
     @property
@@ -104,9 +111,12 @@ class Block:
 
 @dataclass
 class Part:
-    """An element with a dropped word in a class or id, and what lies in it."""
+    """An element with a dropped word in a class or id, or a header in a main element, and what lies in
+    it."""
 
     outer: int | None
+    is_header: bool = False
+    heading: bool = False
     main: bool = False
     article: bool = False
     unlinked: int = 0
@@ -117,6 +127,7 @@ def _kept(blocks: list[Block], parts: list[Part], marked: bool) -> list[Block]:
 
     A part with a main element stays, and one with three quarters of the page's unlinked text, or with
     an article and half of that, unless an article or main element is outside of all parts (`marked`).
+    A header in a main element stays if it has a heading.
     """
     total = 0
     for block in blocks:
@@ -134,21 +145,61 @@ def _kept(blocks: list[Block], parts: list[Part], marked: bool) -> list[Block]:
     dropped: list[bool] = []
     for part in parts:
         most = 4 * part.unlinked >= 3 * total or (part.article and 2 * part.unlinked >= total)
-        stays = part.main or (most and not marked)
+        stays = part.heading if part.is_header else part.main or (most and not marked)
         dropped.append(not stays or (part.outer is not None and dropped[part.outer]))
     kept = [block for block in blocks if block.part is None or not dropped[block.part]]
     return kept or blocks
 
 
+def _tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """The text before each tag, and the tag: its lower-case name, whether it ends an element, and what
+    is between name and end. The text at the end comes with an empty name. Scripts, styles, comments
+    and declarations are left out.
+
+    Each part of the page is read a bounded number of times: an end that is missing is missed once.
+    """
+    at = begin = 0
+    last = page.rfind(">")
+    quotes_hold = True
+    while (opening := OPENING.search(page, begin)) is not None and opening.start() < last:
+        begin = opening.end()
+        if opening["other"] == "!--":
+            end = page.find("-->", begin)
+            yield page[at : opening.start()], "", False, ""
+            at = begin = len(page) if end < 0 else end + 3
+            continue
+        end = -1
+        if quotes_hold and opening["name"]:
+            end = WITHIN.match(page, begin).end()
+            if end == len(page):
+                # All further ends lie within quotes that go wrong somewhere.
+                quotes_hold, end = False, -1
+        if end < 0:
+            end = page.find(">", begin)
+        name = (opening["name"] or "").lower()
+        raw = RAW_END.get(name) if not opening["end"] else None
+        if raw is None:
+            yield page[at : opening.start()], name, bool(opening["end"]), page[begin:end]
+            at = begin = end + 1
+        else:
+            yield page[at : opening.start()], "", False, ""
+            closing = raw.search(page, end + 1)
+            at = begin = len(page) if closing is None else closing.end()
+    # Without any tag end behind it, an opening is text.
+    yield page[at:], "", False, ""
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, without those inside dropped elements."""
     blocks: list[Block] = []
     parts: list[Part] = []
     marked = False
     stack: list[Element] = []
+    opened: Counter[str] = Counter()
     texts: list[str] = []
-    linked = links = 0
-    at = 0
+    linked = 0
+    #: How deep the open link is, if any: it ends with its element at the latest.
+    link: int | None = None
 
     def close_block() -> None:
         nonlocal linked
@@ -156,29 +207,31 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(texts).split())
             texts.clear()
             if text:
-                around = [e for e in reversed(stack) if e.container]
-                paths, kinds = [e.path for e in around], [e.kind for e in around]
-                part = stack[-1].part if stack else None
-                blocks.append(Block(text, linked, paths, kinds, part))
+                inner = stack[-1] if stack else None
+                blocks.append(
+                    Block(text, linked, inner and inner.holder, inner.part if inner else None)
+                )
             linked = 0
 
-    def add(data: str) -> None:
-        nonlocal linked
+    def drop_to(depth: int) -> None:
+        nonlocal link
+        for element in stack[depth:]:
+            opened[element.name] -= 1
+        del stack[depth:]
+        if link is not None and depth < link:
+            link = None
+
+    for data, name, ends, more in _tokens(page):
         if data and not (stack and stack[-1].dropped):
             data = html.unescape(data)
             texts.append(data)
-            if links:
+            if link is not None:
                 linked += len(data.strip())
-
-    for token in TOKEN.finditer(page):
-        add(page[at : token.start()])
-        at = token.end()
-        name = (token["name"] or "").lower()
         if not name:
             continue
         if name in INLINE:
             if name == "a":
-                links = max(0, links + (-1 if token["end"] else 1))
+                link = None if ends else len(stack)
             continue
         if name == "br" or name == "wbr" or name == "img":
             if name != "wbr":
@@ -187,17 +240,21 @@ def blocks_of(page: str) -> list[Block]:
         close_block()
         if name in VOID:
             continue
-        links = 0
-        if token["end"]:
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth].name != name:
-                depth -= 1
-            if depth >= 0:
-                del stack[depth:]
+        if ends:
+            if opened[name] > 0:
+                depth = len(stack) - 1
+                while stack[depth].name != name:
+                    depth -= 1
+                drop_to(depth)
             continue
-        _close_implied(stack, name)
-        element = _element(name, token["more"], stack[-1] if stack else None, parts)
+        implied = _implied(stack, opened, name)
+        if implied is not None:
+            drop_to(implied)
+        element = _element(name, more, stack[-1] if stack else None, parts)
         stack.append(element)
+        opened[name] += 1
+        if element.part is not None and name in HEADINGS:
+            parts[element.part].heading = True
         if name in ("article", "main") and not element.dropped:
             if element.part is None:
                 marked = True
@@ -205,22 +262,22 @@ def blocks_of(page: str) -> list[Block]:
                 parts[element.part].main = True
             else:
                 parts[element.part].article = True
-    add(page[at:])
     close_block()
     return _kept(blocks, parts, marked) if parts else blocks
 
 
-def _close_implied(stack: list[Element], name: str) -> None:
-    """Ends what a start tag of this name ends: an open paragraph, an item before an item."""
+def _implied(stack: list[Element], opened: Counter[str], name: str) -> int | None:
+    """From which depth on a start tag of this name ends elements: an open paragraph, an item before
+    an item; none if it ends nothing."""
     ended, limits = CLOSES.get(name, (frozenset(), frozenset()))
-    if stack and stack[-1].name == "p":
-        stack.pop()
-    for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth].name in limits:
-            return
-        if stack[depth].name in ended:
-            del stack[depth:]
-            return
+    last = len(stack) - (bool(stack) and stack[-1].name == "p")
+    if any(opened[item] > 0 for item in ended):
+        for depth in range(last - 1, -1, -1):
+            if stack[depth].name in limits:
+                break
+            if stack[depth].name in ended:
+                return depth
+    return last if last < len(stack) else None
 
 
 def _element(name: str, more: str, parent: Element | None, parts: list[Part]) -> Element:
@@ -230,39 +287,70 @@ def _element(name: str, more: str, parent: Element | None, parts: list[Part]) ->
             key = key.lower()
             if key not in READ:
                 continue
-            value = value.strip("\"'").lower()
+            value = value.strip("\"'")
             if key == "role":
-                role = value
+                role = value.lower()
                 continue
             for token in value.split():
                 if not NO_PART.match(token):
-                    words.update(WORD.findall(token))
+                    words.update(word.lower() for word in WORD.findall(token))
             if key == "class":
-                classes = ".".join(sorted(set(re.sub(r"\d+", "0", value).split())))
-    dropped = name in DROPPED or role in DROPPED_ROLES or (parent is not None and parent.dropped)
+                classes = ".".join(sorted(set(re.sub(r"\d+", "0", value.lower()).split())))
+    outer = parent.holder if parent else None
+    # The header of an article has its title and lead, and so may that of a main element.
+    of_text = outer is not None and outer.marked
+    in_article = outer is not None and outer.in_article
+    dropped = (
+        (name in DROPPED and not (name == "header" and of_text))
+        or role in DROPPED_ROLES
+        or (parent is not None and parent.dropped)
+    )
     part = parent.part if parent else None
+    named = words & (DROPPED_WORDS - {"header"} if of_text else DROPPED_WORDS)
     # A class word drops a part of the page, not the page itself.
-    if not dropped and words & DROPPED_WORDS and name not in ("html", "body", "article", "main"):
-        parts.append(Part(part))
+    is_header = name == "header" and of_text and not in_article
+    if not dropped and (is_header or (named and name not in ("html", "body", "article", "main"))):
+        parts.append(Part(part, is_header and not named))
         part = len(parts) - 1
     path = xxhash.xxh64_intdigest(f"{parent.path if parent else ''}/{name}.{classes}") >> 1
-    return Element(name, path, dropped, name in CONTAINERS, part)
+    if name in CONTAINERS:
+        kind = name if name in ("article", "body", "main") else ""
+        outer = Container(
+            path, kind, outer, of_text or kind in ("article", "main"), in_article or kind == "article"
+        )
+    return Element(name, path, dropped, outer, part)
+
+
+def _containers(blocks: list[Block]) -> list[Container]:
+    """All containers with text in them, outer ones before inner ones."""
+    found: dict[Container, None] = {}
+    for block in blocks:
+        chain, container = [], block.holder
+        while container is not None and container not in found:
+            chain.append(container)
+            container = container.outer
+        found.update(dict.fromkeys(reversed(chain)))
+    return list(found)
 
 
 def best_path(blocks: list[Block]) -> int | None:
     """The path of the container with the highest score, widened. A block gives its length, less that of
     its links twice, to the container around it, and half as much to each further one outwards."""
-    scores: dict[int, float] = {}
+    containers = _containers(blocks)
+    own = dict.fromkeys(containers, 0.0)
     for block in blocks:
-        worth = float(block.worth)
-        for path in block.paths[:16]:
-            scores[path] = scores.get(path, 0.0) + worth
-            worth /= 2
+        if block.holder is not None:
+            own[block.holder] += block.worth
+    scores: dict[int, float] = {}
+    for container in reversed(containers):
+        scores[container.path] = scores.get(container.path, 0.0) + own[container]
+        if container.outer is not None:
+            own[container.outer] += own[container] / 2
     best = max(scores, key=lambda path: (scores[path], path), default=None)
-    return None if best is None else _widened(blocks, best)
+    return None if best is None else _widened(blocks, containers, best)
 
 
-def _widened(blocks: list[Block], best: int) -> int:
+def _widened(blocks: list[Block], containers: list[Container], best: int) -> int:
     """The outermost container around the best that belongs to its text.
 
     That is the outermost article around it, or else the main element. A container further out takes
@@ -270,22 +358,29 @@ def _widened(blocks: list[Block], best: int) -> int:
     container that lies in no other (the body not). Beyond an article or main element only the text of
     others of these adds.
     """
-    holder = next(block for block in blocks if best in block.paths)
-    first = holder.paths.index(best)
-    chain, kinds = holder.paths[first:], holder.kinds[first:]
+    holder: Container | None = next(c for c in containers if c.path == best)
+    chain, kinds = [], []
+    while holder is not None:
+        chain.append(holder.path)
+        kinds.append(holder.kind)
+        holder = holder.outer
     level = {path: i for i, path in enumerate(chain)}
+    # The innermost of these around each container.
+    around: dict[Container | None, int | None] = {None: None}
+    for container in containers:
+        around[container] = level.get(container.path, around[container.outer])
     #: What each level adds to the ones within: all text, links, worth, and worth in no other container.
     length, linked, worth, direct = ([0] * len(chain) for _ in range(4))
     marked = [0] * len(chain)
     for block in blocks:
-        i = next((level[path] for path in block.paths if path in level), None)
+        i = around[block.holder]
         if i is not None:
             length[i] += len(block.text)
             linked[i] += block.linked
             worth[i] += block.worth
-            if block.paths[0] == chain[i]:
+            if block.holder.path == chain[i]:
                 direct[i] += block.worth
-            if "article" in block.kinds or "main" in block.kinds:
+            if block.holder.marked:
                 marked[i] += block.worth
 
     at = 0
@@ -293,23 +388,42 @@ def _widened(blocks: list[Block], best: int) -> int:
         at = max((i for i, k in enumerate(kinds) if k == kind), default=at)
     inside = "article" in kinds or "main" in kinds
     held = sum(worth[: at + 1])
-    since = at + 1
+    # Sums since the level that was last taken.
+    added = more_worth = more_linked = more_length = 0
     for i in range(at + 1, len(chain)):
-        more = marked if inside else worth
-        added = sum(more[since : i + 1])
-        unlinked = 2 * sum(linked[since : i + 1]) <= sum(length[since : i + 1])
+        added += (marked if inside else worth)[i]
+        more_worth, more_linked, more_length = (
+            more_worth + worth[i], more_linked + linked[i], more_length + length[i]
+        )
+        unlinked = 2 * more_linked <= more_length
         beside = kinds[i] != "body" and (direct[i] if not inside or kinds[i] == "main" else 0) > 0
         if unlinked and (beside or (added > 0 and 10 * added >= held)):
-            at, held, since = i, held + sum(worth[since : i + 1]), i + 1
+            at, held = i, held + more_worth
+            added = more_worth = more_linked = more_length = 0
     return chain[at]
 
 
 def text_at(blocks: list[Block], paths: list[int]) -> str:
     """The text at the first of `paths` that the page has, else in its best container, else all."""
-    for path in [*paths, best_path(blocks)]:
-        own = [block.text for block in blocks if path in block.paths]
-        if own:
-            return "\n".join(own)
+    containers = _containers(blocks)
+    there = {container.path for container in containers}
+    path = next((path for path in paths if path in there), None)
+    if path is None:
+        path = best_path(blocks)
+    if path is not None:
+        # The outermost element at the path around each container. A page may have several: lists of
+        # teasers in plain divs beside a story in one, of which those that are mostly links go.
+        root: dict[Container | None, Container | None] = {None: None}
+        for container in containers:
+            own = container if container.path == path else None
+            root[container] = root[container.outer] or own
+        links: Counter[Container] = Counter()
+        for block in blocks:
+            links[root[block.holder]] += 2 * block.linked - len(block.text)
+        links.pop(None, None)
+        some = any(n <= 0 for n in links.values())
+        kept = {own for own, n in links.items() if n <= 0 or not some}
+        blocks = [block for block in blocks if root[block.holder] in kept]
     return "\n".join(block.text for block in blocks)
 
 

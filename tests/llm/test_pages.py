@@ -1,7 +1,9 @@
 """URL rules, page text, languages and licences on odd inputs and against brute force."""
 
 import html
+import random
 import re
+import time
 import zlib
 
 import pyarrow.parquet as pq
@@ -318,3 +320,76 @@ def test_long_attributes():
         "one", "two", "three", "it's"]
     assert own_text("<p title='open>one</p>" + '<p title="a>b">x</p>' * 3) == ["one", "x", "x", "x"]
     assert own_text('<p a="' * 2001 + "end>last")[-1] == "last"
+
+
+@pytest.mark.parametrize("page", [
+    "<x" * 50_000, "<p a='" * 17_000, '<p a="' * 17_000 + ">", "<p a='>' " * 12_000, "<!" * 50_000,
+    "<!--" * 25_000, "<script>" * 12_000, "<script" * 14_000, "</script   " * 9_000, "<" * 100_000,
+    "<style></style" + " " * 90_000, "<p a=" + "=" * 90_000, "<div>x" * 16_000, "<li>x<div>" * 10_000,
+    "<div class='a'>" * 7_000 + "</p>" * 20_000, "<td>x" * 20_000, "&" * 100_000, "<a><div>" * 12_000,
+])
+def test_long_markup_is_read_in_little_time(page):
+    begin = time.perf_counter()
+    html_text.text_at(html_text.blocks_of(page), [1, 2])
+    assert time.perf_counter() - begin < 3
+
+
+def test_unfinished_tags_are_text_or_end_at_the_first_end():
+    assert own_text("<p>one</p><p>two <b") == ["one", "two <b"]
+    assert own_text("<p>one</p><p a='>'>two</p><p b='>three</p>") == ["one", "two", "three"]
+    assert own_text("<article><p>x < y</p><script>a</script><!-- b --><p>c</p></article>") == ["x < y", "c"]
+
+
+def test_names_in_camel_case():
+    text = "long enough to be the text of the page " * 5
+    for name in ("siteFooter", "mainNav", "cookieBanner", "adSlot", "commentList", "pageHEADER", "relatedNews"):
+        page = f"<body><div class='story'><p>{text}</p></div><div class='{name}'><p>not this</p></div></body>"
+        assert own_text(page) == [text.strip()], name
+    for name in ("hasSidebar", "noSidebar", "navy", "loadsOfText", "shared"):
+        assert own_text(f"<body><div class='{name}'><p>{text}</p></div></body>") == [text.strip()], name
+
+
+def test_links_around_blocks():
+    teaser = "<a href='x'><div class='t'><p>A teaser with a sentence of its own, about as long.</p></div></a>"
+    text = "The article tells what happened and why it matters to all of its readers. " * 3
+    page = f"<body><div class='story'><p>{text}</p></div><div class='more'>{teaser * 8}</div></body>"
+    assert own_text(page) == [text.strip()]
+    # A link that is never closed ends with the element around it.
+    page = f"<body><div class='nav2'><p><a href='x'>open</p></div><div class='story'><p>{text}</p></div></body>"
+    assert own_text(page) == [text.strip()]
+
+
+def test_headers_within_the_text_stay():
+    page = ("<body><header>site</header><main><header><h1>Title</h1><p>Lead</p></header>"
+            "<article><div class='entry-header'><h2>Part</h2></div><p>Body of the text.</p>"
+            "<footer>tags</footer></article></main><div class='page-header'>site</div></body>")
+    assert own_text(page) == ["Title", "Lead", "Part", "Body of the text."]
+
+
+def test_generated_pages_with_known_text():
+    """Articles in layouts of all kinds, with what is around them drawn at random."""
+    rng = random.Random(8)
+    sentence = lambda n: " ".join(rng.choice("the a river house old new runs over under stone".split()) for _ in range(n))
+    around = [
+        lambda: f"<nav><ul>{''.join(f'<li><a href=x>{sentence(2)}</a></li>' for _ in range(6))}</ul></nav>",
+        lambda: f"<header><a href=/>{sentence(3)}</a></header>", lambda: f"<footer>{sentence(12)}</footer>",
+        lambda: f"<aside>{sentence(30)}</aside>", lambda: f"<div class='sidebar-2'><p>{sentence(25)}</p></div>",
+        lambda: f"<div id=cookieNotice>{sentence(20)}</div>", lambda: f"<form>{sentence(5)}<input></form>",
+        lambda: f"<div class='comments'><div>{sentence(40)}</div><div>{sentence(30)}</div></div>",
+        lambda: f"<script>{sentence(50)}</script><style>{sentence(9)}</style><!-- {sentence(9)} -->",
+        lambda: "".join(f"<a href=x><div><h3>{sentence(4)}</h3><p>{sentence(9)}</p></div></a>" for _ in range(4)),
+    ]
+    for _ in range(150):
+        lines, body = [], []
+        for _ in range(rng.randint(3, 8)):
+            kind, line = rng.choice(["p", "p", "p", "h2", "li", "td", "blockquote", "div"]), sentence(rng.randint(8, 60))
+            lines.append(line)
+            inner = line.replace(" river ", " <b>river</b> ").replace(" old ", " <a href=y>old</a> ")
+            open_, close = {"li": ("<ul><li>", "</li></ul>"), "td": ("<table><tr><td>", "</table>")}.get(kind, (f"<{kind}>", f"</{kind}>"))
+            body.append(open_ + inner.replace(" new ", "  new\n") + close)
+        holder = rng.choice(["article", "main", "div class='story'", "div id=c1", "section"])
+        article = f"<{holder}>{''.join(body)}</{holder.split()[0]}>"
+        before, after = ("".join(rng.choice(around)() for _ in range(rng.randint(0, 4))) for _ in range(2))
+        wrap = rng.choice(["{}", "<div>{}</div>", "<div class='page'><div class=row>{}</div></div>"])
+        page = f"<html><head><title>t</title></head><body>{before}{wrap.format(article)}{after}</body></html>"
+        assert own_text(page) == lines, page
