@@ -11,7 +11,7 @@ Words are runs of characters other than space and \\t \\n \\v \\f \\r. A null te
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -106,31 +106,45 @@ def n_shouted(text: Column, words: Column) -> Column:
     return F.when(text.rlike(capitals), found).otherwise(0)
 
 
-def measures(text: Column) -> Column:
-    """A struct of the base measures of a text, and of what the rules need beside them."""
+def judged(text: Column, rules: Sequence[Rule]) -> Column:
+    """A struct of the base measures of a text, base_failed, and kept, the verdict of the rules.
+
+    What further rules measure beside the base is worked out in the cascade, where no rule before has
+    rejected the text.
+    """
 
     def of_parts(p: Column) -> Column:
         w, lines = p["words"], p["lines"]
-        return F.struct(
+        base = F.struct(
             F.size(w).cast("bigint").alias("n_words"),
             F.length(F.translate(text, WHITE, "")).cast("bigint").alias("word_chars"),
             n_symbols(text).cast("bigint").alias("n_symbols"),
             n_dup_lines(lines).cast("bigint").alias("n_dup_lines"),
             n_repeat_words(w).alias("n_repeat_words"),
-            F.size(lines).cast("bigint").alias("n_lines"),
-            n_shouted(text, w).cast("bigint").alias("n_shouted"),
         )
 
+        def verdict(m: Column) -> Column:
+            failed = [rule.by_parts(text, p, m) for rule in BASE_RULES]
+            more = [rule.by_parts(text, p, m) for rule in rules]
+            return F.struct(
+                m.alias("m"),
+                (failed[0] | failed[1]).alias("base_failed"),
+                cascade([*failed, *more]).alias("kept"),
+            )
+
+        return let(base, verdict)
+
     return let(F.struct(words_of(text).alias("words"), lines_of(text).alias("lines")), of_parts)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """`rejects` is a condition on the text alone; `by_measures` the same on `measures` columns."""
+    """`rejects` is a condition on the text alone; `by_parts` the same on the text, its words and lines,
+    and its base measures."""
 
     name: str
     rejects: Callable[[Column], Column]
-    by_measures: Callable[[], Column]
+    by_parts: Callable[[Column, Column, Column], Column]
 
 
 def _too_few(text: Column) -> Column:
@@ -161,21 +175,23 @@ def _shouting(text: Column) -> Column:
 #: Rejected are texts of under 20 words, and those where more than 30 % of the words lie in repeated
 #: windows.
 BASE_RULES = (
-    Rule("too_few_words", _too_few, lambda: F.col("n_words") < 20),
-    Rule("repeats", _repeats, lambda: 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+    Rule("too_few_words", _too_few, lambda text, p, m: m["n_words"] < 20),
+    Rule("repeats", _repeats, lambda text, p, m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
 )
 #: And those with a symbol for every four words, words of under 2 or over 15 characters on average,
 #: more than half of the lines repeated, or more than half of the words in capitals.
 MORE_RULES = (
-    Rule("symbols", _symbols, lambda: 4 * F.col("n_symbols") > F.col("n_words")),
+    Rule("symbols", _symbols, lambda text, p, m: 4 * m["n_symbols"] > m["n_words"]),
     Rule(
         "word_length",
         _word_length,
-        lambda: (F.col("word_chars") < 2 * F.col("n_words"))
-        | (F.col("word_chars") > 15 * F.col("n_words")),
+        lambda text, p, m: (m["word_chars"] < 2 * m["n_words"])
+        | (m["word_chars"] > 15 * m["n_words"]),
+    ),
+    Rule(
+        "repeated_lines", _lines, lambda text, p, m: 2 * m["n_dup_lines"] > F.size(p["lines"])
     ),
-    Rule("repeated_lines", _lines, lambda: 2 * F.col("n_dup_lines") > F.col("n_lines")),
-    Rule("shouting", _shouting, lambda: 2 * F.col("n_shouted") > F.col("n_words")),
+    Rule("shouting", _shouting, lambda text, p, m: 2 * n_shouted(text, p["words"]) > m["n_words"]),
 )
 
 
@@ -221,19 +237,7 @@ def quality_report(
     """One row per row of `docs`: id, measures, base_failed and kept. Nulls as in the filter."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     # The base rules come first here: their measures are results of their own.
-    rules = [*BASE_RULES, *ordered(docs, MORE_RULES, text_column)]
-    base_failed = BASE_RULES[0].by_measures() | BASE_RULES[1].by_measures()
-    return (
-        docs.select(F.col(id_column), measures(text).alias("m"))
-        .select(id_column, "m.*")
-        .select(
-            id_column,
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            base_failed.alias("base_failed"),
-            cascade([rule.by_measures() for rule in rules]).alias("kept"),
-        )
+    rules = ordered(docs, MORE_RULES, text_column)
+    return docs.select(F.col(id_column), judged(text, rules).alias("j")).select(
+        id_column, "j.m.*", "j.base_failed", "j.kept"
     )
