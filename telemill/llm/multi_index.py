@@ -348,6 +348,10 @@ class Groups:
     def __init__(self, size: int) -> None:
         self.parent = np.arange(size)
 
+    def roots(self) -> np.ndarray:
+        """The first member of the set of each."""
+        return self._roots(np.arange(len(self.parent)))
+
     def _roots(self, at: np.ndarray) -> np.ndarray:
         while True:
             up = self.parent[at]
@@ -364,7 +368,7 @@ class Groups:
 
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
         """A link for each member but the first of a set."""
-        roots = self._roots(np.arange(len(self.parent)))
+        roots = self.roots()
         rest = np.flatnonzero(roots != np.arange(len(roots)))
         return rest, roots[rest]
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from telemill.llm.common import in_bytes, stored
 from telemill.llm.components import components
+from telemill.llm.multi_index import Groups
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -36,6 +37,10 @@ RECALL = 0.9999
 SIGNATURE = 128
 #: N-grams of the classes of a block.
 BLOCK = 60_000
+#: Sets with an n-gram up to which it is counted pair by pair: a share of the sets, within bounds.
+LIGHT_SHARE, LIGHT_FROM, LIGHT_TO = 128, 8, 64
+#: Sets by sets of a matrix of common n-grams.
+STRIP, WIDTH = 256, 4096
 
 # Odd multipliers that mix 64-bit hashes.
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -135,45 +140,75 @@ def signatures(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def compared(sets: list[np.ndarray], split: int | None, threshold: float) -> np.ndarray:
-    """Whether two sets are alike, for all pairs of a block (`split` is None) or between the first
-    `split` sets and the rest. A matrix of all sets by all sets."""
+def _light_pairs(columns: np.ndarray, owners: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets as `one * count + two`, ascending, and how many n-grams they have in common, from
+    the owners of n-grams with few of them, in order of `columns`."""
+    if not len(columns):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    begins = np.flatnonzero(np.r_[True, np.diff(columns) != 0])
+    lengths = np.diff(np.r_[begins, len(columns)])
+    pairs = []
+    for length in np.unique(lengths).tolist():
+        # All n-grams with this many owners at once.
+        places = begins[lengths == length][:, None] + np.arange(length)
+        of_gram = np.sort(owners[places], axis=1)
+        one, two = np.triu_indices(length, 1)
+        pairs.append((of_gram[:, one] * count + of_gram[:, two]).ravel())
+    return np.unique(np.concatenate(pairs), return_counts=True)
+
+
+def linked_pairs(
+    sets: list[np.ndarray], split: int | None, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of sets that are alike, the lower one first, strip by strip: all pairs of a
+    block (`split` is None) or those between the first `split` sets and the rest.
+
+    N-grams of few sets are counted pair by pair, those of many as a matrix of `STRIP` sets by some
+    more, so that memory follows the n-grams of the block and not the square of its sets.
+    """
+    count = len(sets)
     sizes = np.array([len(own) for own in sets], dtype=np.int64)
-    values = np.concatenate(sets)
-    owners = np.repeat(np.arange(len(sets)), sizes)
-    _, columns, times = np.unique(values, return_inverse=True, return_counts=True)
-    # An n-gram that only one set has is common to no pair.
-    shared = times[columns] > 1
-    number = np.cumsum(times > 1) - 1
-    columns, owners = number[columns[shared]], owners[shared]
-    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    owners = np.repeat(np.arange(count), sizes)
+    _, columns, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(columns, kind="stable")
     columns, owners = columns[order], owners[order]
-    width = max(256, (1 << 21) // max(1, len(sets)))
-    total = int(columns[-1]) + 1 if len(columns) else 0
-    for begin in range(0, total, width):
-        a, b = np.searchsorted(columns, [begin, begin + width])
-        held = np.zeros((len(sets), width), dtype=np.float32)
-        held[owners[a:b], columns[a:b] - begin] = 1
-        common += held @ held.T
-    either = sizes[:, None] + sizes - common
-    alike = common >= threshold * either - 1e-6 * either
-    np.fill_diagonal(alike, False)
-    if split is not None:
-        alike[:split, :split] = False
-        alike[split:, split:] = False
-    return alike
-
-
-def _connected(alike: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The smallest class that each is connected with."""
-    labels = classes.copy()
-    while True:
-        heard = np.where(alike, labels, np.iinfo(np.int64).max).min(axis=1, initial=labels.max())
-        least = np.minimum(labels, heard)
-        if (least == labels).all():
-            return labels
-        labels = least
+    # An n-gram that only one set has is common to no pair.
+    of_column = times[columns]
+    few = min(LIGHT_TO, max(LIGHT_FROM, count // LIGHT_SHARE))
+    light = (of_column > 1) & (of_column <= few)
+    keys, counts = _light_pairs(columns[light], owners[light], count)
+
+    def alike(one: np.ndarray, two: np.ndarray, common: np.ndarray) -> np.ndarray:
+        either = sizes[one] + sizes[two] - common
+        found = common >= threshold * either - 1e-6 * either
+        if split is not None:
+            found &= (one < split) & (two >= split)
+        return found
+
+    many = of_column > few
+    if not many.any():
+        one, two = keys // count, keys % count
+        found = alike(one, two, counts)
+        yield one[found], two[found]
+        return
+    number = np.unique(columns[many], return_inverse=True)[1]
+    held = np.zeros((count, int(number.max()) + 1), dtype=bool)
+    held[owners[many], number] = True
+    for a in range(0, count if split is None else split, STRIP):
+        rows = np.arange(a, min(a + STRIP, count if split is None else split))
+        strip = held[rows].astype(np.float32)
+        for b in range(a if split is None else split, count, WIDTH):
+            others = np.arange(b, min(b + WIDTH, count))
+            common = strip @ held[others].astype(np.float32).T
+            begin, end = np.searchsorted(keys, [rows[0] * count, (rows[-1] + 1) * count])
+            one, two = keys[begin:end] // count, keys[begin:end] % count
+            here = (two >= others[0]) & (two <= others[-1])
+            common[one[here] - rows[0], two[here] - others[0]] += counts[begin:end][here]
+            # A pair is alike only if it shares this part of the larger set.
+            least = threshold * np.maximum(sizes[rows][:, None], sizes[others]) * (1 - 1e-5)
+            i, j = np.nonzero((common >= least) & (rows[:, None] < others))
+            found = alike(rows[i], others[j], common[i, j].astype(np.int64))
+            yield rows[i][found], others[j][found]
 
 
 def _verify(threshold: float):
@@ -184,15 +219,16 @@ def _verify(threshold: float):
         classes = np.array([row[1] for row in rows], dtype=np.int64)
         texts = pa.array([zstandard.decompress(row[2]).decode() for row in rows], pa.string())
         split = sum(row[0] == pair[1] for row in rows) if pair[1] != pair[2] else None
-        alike = compared(ngram_sets(texts), split, threshold)
-        labels, links = _connected(alike, classes), alike.sum(axis=1)
+        groups, links = Groups(len(rows)), np.zeros(len(rows), dtype=np.int64)
+        for one, two in linked_pairs(ngram_sets(texts), split, threshold):
+            links += np.bincount(one, minlength=len(rows)) + np.bincount(two, minlength=len(rows))
+            groups.join(one, two)
+        roots = groups.roots()
+        least = np.full(len(rows), np.iinfo(np.int64).max)
+        np.minimum.at(least, roots, classes)
         linked = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(classes[linked]),
-                pa.array(labels[linked]),
-                pa.array(links[linked].astype(np.int64)),
-            ],
+            [pa.array(classes[linked]), pa.array(least[roots[linked]]), pa.array(links[linked])],
             ["class", "hub", "links"],
         )
 

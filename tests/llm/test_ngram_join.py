@@ -1,5 +1,9 @@
 """The n-gram join against all pairs of documents."""
 
+import random
+import tracemalloc
+
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -83,6 +87,53 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert rows_of(ngram_join.ngram_join(frame.repartition(4))) == by_force(docs)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_linked_pairs(seed, monkeypatch):
+    """Light and heavy n-grams, in strips, within a block and between two."""
+    monkeypatch.setattr(ngram_join, "STRIP", 7)
+    monkeypatch.setattr(ngram_join, "WIDTH", 11)
+    monkeypatch.setattr(ngram_join, "LIGHT_FROM", [1, 3, 8][seed % 3])
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(rng.integers(2, 60)):
+        base = np.arange(rng.integers(1, 4) * 1000, 0, -1)[: rng.integers(1, 40)]
+        own = np.where(rng.random(len(base)) < 0.05, rng.integers(0, 10**6, len(base)), base)
+        sets.append(np.unique(own.astype(np.uint64)))
+    as_sets = [set(own.tolist()) for own in sets]
+    for split in (None, len(sets) // 2):
+        expected = {
+            (a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+            if (split is None or a < split <= b)
+            and len(as_sets[a] & as_sets[b]) >= 0.8 * len(as_sets[a] | as_sets[b])
+        }
+        found = [p for one, two in ngram_join.linked_pairs(sets, split, 0.8) for p in zip(one.tolist(), two.tolist())]
+        assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_many_short_texts_with_one_beginning():
+    """30,000 texts of six words in one block, all with their first five words in common."""
+    sets = [np.array(sorted([1, 10 + k]), dtype=np.uint64) for k in range(30_000)]
+    tracemalloc.start()
+    assert sum(len(one) for one, _ in ngram_join.linked_pairs(sets, None, 0.8)) == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+
+
+def test_recall_on_planted_pairs(spark):
+    """Pairs at or a little above the threshold."""
+    rng = random.Random(1)
+    docs = []
+    for k in range(0, 600, 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        docs += [(k, " ".join(words)), (k + 1, " ".join(words[:-1] + ["z"] + [f"y{i}" for i in range(rng.randint(6, 10))]))]
+    found = rows_of(ngram_join.ngram_join(spark.createDataFrame(docs, "doc_id bigint, text string")))
+    expected = by_force(docs)
+    linked = [i for i, row in expected.items() if row[3]]
+    assert len(linked) > 300
+    assert sum(found[i] == expected[i] for i in linked) >= 0.995 * len(linked)
+
+
 def test_odd_texts(spark):
     texts = [None, "", " \n ", "one", "one", "one two", "a b c d e", "a  b\tc\nd e", "a b c d e f",
              "x " * 20_000, "x x x x x", "é ü ñ ß ø å", BASE, BASE + " tail", BASE.replace(" ", "  ")]
