@@ -118,7 +118,12 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
+    """The rows of `docs` that stay, with all their columns.
+
+    Nulls and repeated rows as in `exact_dedup`: of each text one row stays. Of rows that have the id
+    and the text that stay and differ in other columns, any one does. An empty table stays empty.
+    Columns named `__place` or `__sha` are the operator's.
+    """
 
     def keyed(frame: DataFrame, sha: Column) -> DataFrame:
         # Columns named so that none of the table's can clash; null ids compare as equal.

@@ -446,7 +446,8 @@ def votes_of(pages: DataFrame, url_column: str = "url", html_column: str = "html
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
-    """host and paths: those with a tenth of the host's votes, at most ten, most votes first."""
+    """host and paths: those with a tenth of the host's votes, at most ten, most votes first, and of
+    paths with equal votes the one with the smaller number."""
     counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
     totals = votes.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     return (

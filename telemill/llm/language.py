@@ -32,39 +32,39 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of lower-case texts with a space on both sides and other white space as
-    spaces, end to end, and where each text ends."""
-    padded = [f" {text.lower()} " for text in texts]
-    points = np.frombuffer("".join(padded).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    points[(points >= 9) & (points <= 13)] = 32
-    return points, np.cumsum(np.fromiter(map(len, padded), np.int64, len(padded)))
-
-
 def features(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of all n-grams of the texts, with the text that each belongs to, a part at a time.
 
-    An n-gram lies within one text. A text is taken in stretches of `STRETCH` characters, each with a
-    space on both sides, which bounds memory for the longest texts.
+    A text is taken in lower case, with a space on both sides and other white space as spaces. An
+    n-gram lies within one text. Texts are read in stretches of `STRETCH` characters, which bounds
+    memory for the longest ones; a stretch begins with the characters before it that its first n-grams
+    need, so that a seam changes none.
     """
-    stretches, owners, held = [], [], 0
+    stretches, owners, carried, held = [], [], [], 0
     for owner, text in enumerate(texts):
-        for begin in range(0, max(1, len(text)), STRETCH):
-            stretches.append(text[begin : begin + STRETCH])
+        whole = f" {text.lower()} "
+        for begin in range(0, len(whole), STRETCH):
+            before = min(begin, max(ORDERS) - 1)
+            stretches.append(whole[begin - before : begin + STRETCH])
             owners.append(owner)
+            carried.append(before)
             held += len(stretches[-1])
             if held >= STRETCH:
-                yield from _of_stretches(stretches, np.array(owners), buckets)
-                stretches, owners, held = [], [], 0
+                yield from _of_stretches(stretches, np.array(owners), np.array(carried), buckets)
+                stretches, owners, carried, held = [], [], [], 0
     if stretches:
-        yield from _of_stretches(stretches, np.array(owners), buckets)
+        yield from _of_stretches(stretches, np.array(owners), np.array(carried), buckets)
 
 
 def _of_stretches(
-    stretches: list[str], owners: np.ndarray, buckets: int
+    stretches: list[str], owners: np.ndarray, carried: np.ndarray, buckets: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    points, ends = _code_points(stretches)
-    stretch = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    """N-grams that end behind the first `carried` characters of their stretch."""
+    points = np.frombuffer("".join(stretches).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    points[(points >= 9) & (points <= 13)] = 32
+    sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
+    stretch = np.repeat(np.arange(len(sizes)), sizes)
+    is_new = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= carried[stretch]
     rolled = points
     with np.errstate(over="ignore"):
         for order in range(1, max(ORDERS) + 1):
@@ -76,7 +76,7 @@ def _of_stretches(
             hashed ^= hashed >> np.uint64(29)
             hashed *= _STEP
             last = stretch[order - 1 :]
-            inside = last == stretch[: len(stretch) - order + 1]
+            inside = (last == stretch[: len(stretch) - order + 1]) & is_new[order - 1 :]
             yield (hashed >> np.uint64(40)).astype(np.int64)[inside] % buckets, owners[last[inside]]
 
 
@@ -155,7 +155,8 @@ def identify(
     """One row per row of `docs`: id, lang_pred and score (0 to 1).
 
     A null text, or one without a letter, is `und` with score 0, as is any text where the model has
-    no language. Equal texts give equal rows, an empty table none. Other columns are not read.
+    no language. Of languages that are as likely the first by name is taken. Equal texts give equal
+    rows, an empty table none. Other columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.priors))
     id_type = docs.schema[id_column].dataType.simpleString()

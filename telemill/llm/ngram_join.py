@@ -413,7 +413,9 @@ def drop_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each group of linked documents that
-    with the smallest id, and all documents without links. Null ids are one document's."""
+    with the smallest id, and all documents without links. Null ids are one document's. Rows that
+    repeat a row which stays, or its id, stay with it: drop exact copies first. An empty table stays
+    empty. A column named `__id` is the operator's."""
     kept = ngram_join(docs, id_column=id_column, text_column=text_column)
     kept = kept.filter(F.col(id_column) == F.col("class_id")).select(F.col("class_id").alias("__id"))
     own = F.coalesce(F.col(id_column).cast("bigint"), F.lit(-(2**63)))

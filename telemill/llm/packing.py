@@ -192,7 +192,8 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
 
 
 def ranked(pieces: DataFrame, counts: np.ndarray, order: list[str]) -> DataFrame:
-    """Adds `rank`, the place of a piece among those of its length, from 0.
+    """Adds `rank`, the place of a piece among those of its length, from 0. Columns named group, own,
+    n, before and rank are the operator's.
 
     Pieces of a length are dealt into groups by a hash; a piece's rank is its row number in its group
     after the sizes of the groups before it.

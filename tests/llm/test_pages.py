@@ -1,10 +1,12 @@
 """URL rules, page text, languages and licences on odd inputs and against brute force."""
 
 import html
+import math
 import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
@@ -186,7 +188,57 @@ def test_stretches_hold_all_ngrams(monkeypatch):
     monkeypatch.setattr(language, "STRETCH", 10)
     parts = list(language.features([text, "", "x"]))
     assert {int(o) for _, owners in parts for o in owners} == {0, 1, 2}
-    assert sum(len(found) for found, _ in parts) == 3 * (5 * 12 + 2 + 3) - 3 * 7
+    # A seam adds no n-gram and loses none.
+    assert sum(len(found) for found, _ in parts) == whole
+
+
+def grams_of(text):
+    """Buckets of a text's n-grams, one by one."""
+    points = [32 if 9 <= ord(c) <= 13 else ord(c) for c in f" {text.lower()} "]
+    for order in (1, 2, 3):
+        for k in range(len(points) - order + 1):
+            h = 0
+            for point in points[k : k + order]:
+                h = (h * 0x9E3779B97F4A7C15 + point) % 2**64
+            h = (h + order) * 0xBF58476D1CE4E5B9 % 2**64
+            h ^= h >> 29
+            yield (h * 0x9E3779B97F4A7C15 % 2**64 >> 40) % language.BUCKETS
+
+
+@pytest.mark.parametrize("stretch", [1 << 19, 7])
+def test_ngrams_one_by_one(monkeypatch, stretch):
+    monkeypatch.setattr(language, "STRETCH", stretch)
+    texts = ["", "a", "Straße İstanbul ΣΑΣ", "x\ty\nz", "one two three four", "é" * 30]
+    found = {i: [] for i in range(len(texts))}
+    for buckets, owners in language.features(texts):
+        for bucket, owner in zip(buckets.tolist(), owners.tolist()):
+            found[owner].append(bucket)
+    assert {i: sorted(own) for i, own in found.items()} == {
+        i: sorted(grams_of(text)) for i, text in enumerate(texts)}
+
+
+def test_language_by_force(spark):
+    """Predictions and scores from counts in plain dictionaries."""
+    docs = [d for d in pq.read_table(f"{DATA}/documents.parquet").to_pylist() if len(d["text"]) < 3000]
+    learned, asked = docs[::2], docs[1::2]
+    counts, n = {}, Counter(d["lang"] for d in learned)
+    for d in learned:
+        counts.setdefault(d["lang"], Counter()).update(grams_of(d["text"]))
+    totals = {lang: sum(own.values()) + language.BUCKETS for lang, own in counts.items()}
+    prior = {lang: math.log(n[lang] / len(learned)) for lang in counts}
+    schema = "doc_id bigint, text string, lang string"
+    frame = lambda rows: spark.createDataFrame([(d["doc_id"], d["text"], d["lang"]) for d in rows], schema)
+    rows = language.identify(frame(asked), language.train(frame(learned))).collect()
+    found = {row["doc_id"]: (row["lang_pred"], row["score"]) for row in rows}
+    for d in asked:
+        grams = list(grams_of(d["text"]))
+        sums = {lang: sum(math.log((own[g] + 1) / totals[lang]) for g in grams) for lang, own in counts.items()}
+        scaled = {lang: sums[lang] * min(1, 100 / len(grams)) + prior[lang] for lang in sums}
+        best = max(sorted(sums), key=lambda lang: sums[lang] + prior[lang])
+        top = max(scaled.values())
+        score = math.exp(scaled[best] - top) / sum(math.exp(x - top) for x in scaled.values())
+        assert found[d["doc_id"]][0] == best
+        assert found[d["doc_id"]][1] == pytest.approx(score, abs=1e-3)
 
 
 def dice_by_force(text):
