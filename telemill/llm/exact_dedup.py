@@ -1,27 +1,37 @@
 """Exact duplicates by an extendible-hash index on shared files.
 
-A text's key is a 64-bit hash. The directory starts as one bucket and doubles: a bucket that holds
-more than `capacity` texts is split on the next leading bit of the key, until it fits or the
-directory has `DIRECTORY_BITS` bits. A bucket is thus a range of keys. Owner tasks each process a
-range of keys and write it sorted by key; texts that collide on a key are chained. Bytes are
-compared where the entries are built: grouping by (key, text) puts texts together only if all
-their bytes agree, and sums copies before the shuffle, so that a text that makes up a third of all
-rows reaches its owner as one row per task.
-
-Everything is DataFrame functions. Shuffled are the texts once (one row per task and distinct
-text), then only keys and digests.
+A text's key is a 64-bit hash. Rows are counted per key, and the directory starts as one bucket and
+doubles: a bucket that holds more than `capacity` rows is split on the next leading bit of the key,
+as often as it takes, so a bucket is a range of keys. The directory has one row for each of at most
+2^16 cells of keys, the depth of the buckets in it, and is broadcast at any size of the input.
+
+The directory sends every text to the owner of its bucket. The owner compares bytes: texts of a
+bucket are put together only if key and all bytes agree, and texts that collide on a key are chained.
+Rows to be judged then look their text up by bucket, key and digest.
+
+A hot key, one that alone holds more rows than a bucket and than one of 2^16 equal shares of the
+table, would fill its owner. Its texts are summed in each task before they are sent, so that a text
+that makes up a third of all rows reaches its owner as one row per task. There are fewer than 2^16
+such keys.
+
+Everything is DataFrame functions. Shuffled are the texts once, else only keys and digests.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemill.llm.common import stored
 
-#: The directory has at most 2 ** 16 cells, so it can be broadcast at any size of the input.
-DIRECTORY_BITS = 16
-#: Texts per bucket before it is split. Only the size of buckets depends on it, no result.
+#: Bits of a cell of the directory. Buckets may be deeper or shallower than cells.
+CELL_BITS = 16
+#: Bits that one pass over the keys of overfull cells may add to their depth.
+BITS_A_PASS = 8
+KEY_BITS = 64
+#: Rows per bucket before it is split. Only the size of buckets depends on it, no result.
 CAPACITY = 100_000
 
 
@@ -29,58 +39,118 @@ def key_of(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _leading(key: Column, bits: Column) -> Column:
+    """The leading 1 to 64 bits of a key as a number; a shift by no bits leaves it as it is."""
+    return F.call_function("shiftrightunsigned", key, F.lit(KEY_BITS) - bits)
+
+
 def _cell(key: Column) -> Column:
-    return F.shiftrightunsigned(key, 64 - DIRECTORY_BITS).cast("int")
+    return _leading(key, F.lit(CELL_BITS)).cast("int")
+
+
+def keys_of(rows: DataFrame) -> DataFrame:
+    """How many of the rows (id, text) each key has: key, n."""
+    return rows.groupBy(key_of(F.col("text")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hot_keys(keys: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The keys with more rows than a bucket and than one of 2^16 shares: fewer than 2^16."""
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return keys.filter(F.col("n") > max(capacity, total >> CELL_BITS)).select("key")
 
 
-def entries_of(docs: DataFrame) -> DataFrame:
-    """One row per distinct text, from columns id and text: key, text_sha256, keep_id, group_size."""
+def _first_fit(levels: DataFrame, capacity: int) -> DataFrame:
+    """cell and the least depth at which all buckets that meet it fit, null without one.
+
+    `levels` has depth, bucket, cells, rows and keys. A bucket of one key cannot be split.
+    """
+    fits = (F.col("rows") <= capacity) | (F.col("keys") == 1)
     return (
-        docs.select("id", "text", key_of(F.col("text")).alias("key"))
-        .groupBy("key", "text")
-        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+        levels.select(F.explode("cells").alias("cell"), "depth", fits.alias("fits"))
+        .groupBy("cell", "depth")
+        .agg(F.bool_and("fits").alias("fits"))
+        .groupBy("cell")
+        .agg(F.min(F.when(F.col("fits"), F.col("depth"))).alias("depth"))
     )
 
 
-def directory_of(entries: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The directory after all doublings: cell, depth (bits the bucket uses) and bucket.
+def directory_of(keys: DataFrame, hot: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The directory after all doublings: cell, and the depth of its buckets in bits.
 
-    Buckets of every depth are counted from the cells; the bucket of a cell is the shallowest that
-    is not overfull. What still is at the last depth stays one larger bucket.
+    A hot key counts as one row, as its texts come summed. Depths up to that of the cells are found
+    from the sizes of the cells; cells that are overfull then are counted by more bits of their keys.
     """
-    cells = entries.groupBy(_cell(F.col("key")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    levels = cells.select(
-        "cell", "n", F.explode(F.sequence(F.lit(0), F.lit(DIRECTORY_BITS))).alias("depth")
-    ).withColumn("bucket", F.expr(f"shiftright(cell, {DIRECTORY_BITS} - depth)"))
-    counted = levels.groupBy("depth", "bucket").agg(
-        F.sum("n").alias("n"), F.collect_list("cell").alias("cells")
+    loads = keys.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "key", "left").select(
+        "key",
+        _cell(F.col("key")).alias("cell"),
+        F.when(F.col("hot"), F.lit(1)).otherwise(F.col("n")).alias("rows"),
     )
-    fits = (F.col("n") <= capacity) | (F.col("depth") == DIRECTORY_BITS)
-    return (
-        counted.filter(fits)
-        .select(F.explode("cells").alias("cell"), "depth", "bucket")
-        .groupBy("cell")
-        .agg(F.min(F.struct("depth", "bucket")).alias("at"))
-        .select("cell", "at.depth", "at.bucket")
+    sized = (F.sum("rows").alias("rows"), F.sum("keys").alias("keys"))
+    cells = loads.groupBy("cell").agg(F.sum("rows").alias("rows"), F.count("*").alias("keys"))
+    levels = (
+        cells.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(CELL_BITS))))
+        .withColumn("bucket", F.expr(f"shiftright(cell, {CELL_BITS} - depth)"))
+        .groupBy("depth", "bucket")
+        .agg(*sized, F.collect_list("cell").alias("cells"))
     )
+    found = [stored(_first_fit(levels, capacity), "exact-directory")]
+    depth = CELL_BITS
+    # Ends, as at 64 bits every bucket has one key.
+    while not (over := found[-1].filter("depth IS NULL").select("cell")).isEmpty():
+        deepest = min(KEY_BITS, depth + BITS_A_PASS)
+        levels = (
+            loads.join(F.broadcast(over), "cell", "left_semi")
+            .groupBy("cell", _leading(F.col("key"), F.lit(deepest)).alias("bits"))
+            .agg(F.sum("rows").alias("rows"), F.count("*").alias("keys"))
+            .withColumn("depth", F.explode(F.sequence(F.lit(depth + 1), F.lit(deepest))))
+            .withColumn("bucket", F.expr(f"shiftrightunsigned(bits, {deepest} - depth)"))
+            .groupBy("cell", "depth", "bucket")
+            .agg(*sized)
+            .withColumn("cells", F.array("cell"))
+        )
+        found.append(stored(_first_fit(levels, capacity), "exact-directory"))
+        depth = deepest
+    return reduce(DataFrame.unionByName, found).filter("depth IS NOT NULL")
 
 
-def index_of(entries: DataFrame, directory: DataFrame) -> DataFrame:
-    """The entries with depth, bucket and place in the chain of their key, in ranges of keys."""
-    chain = F.row_number().over(Window.partitionBy("key").orderBy("text_sha256"))
+def addressed(keyed: DataFrame, directory: DataFrame) -> DataFrame:
+    """Rows with a key, and depth and bucket (the leading bits of the key) from the directory."""
+    bucket = F.when(F.col("depth") == 0, F.lit(0)).otherwise(_leading(F.col("key"), F.col("depth")))
     return (
-        entries.withColumn("cell", _cell(F.col("key")))
+        keyed.withColumn("cell", _cell(F.col("key")))
         .join(F.broadcast(directory), "cell")
-        .repartitionByRange("key")
-        .withColumn("chain", chain)
+        .withColumn("bucket", bucket)
+        .drop("cell")
     )
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The index of all texts, as files in the shared folder."""
-    entries = stored(entries_of(docs), "exact-entries")
-    return stored(index_of(entries, directory_of(entries, capacity)), "exact-index")
+def entries_of(rows: DataFrame, hot: DataFrame, directory: DataFrame) -> DataFrame:
+    """The index, one row per distinct text: depth, bucket, key, chain (place among the texts with
+    its key, from 1), text_sha256, keep_id, group_size."""
+    sent = addressed(rows.withColumn("key", key_of(F.col("text"))), directory)
+    hot = F.broadcast(hot)
+    bucket = ["depth", "bucket"]
+
+    def compared(own: DataFrame) -> DataFrame:
+        chain = F.row_number().over(Window.partitionBy(*bucket, "key").orderBy("text_sha256"))
+        return (
+            own.groupBy(*bucket, "key", "text")
+            .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+            .select(*bucket, "key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+            .withColumn("chain", chain)
+        )
+
+    # Sent by bucket, texts need no further shuffle to be compared and chained.
+    owned = compared(sent.join(hot, "key", "left_anti").repartition(*bucket))
+    return owned.unionByName(compared(sent.join(hot, "key", "left_semi")))
+
+
+def build_index(rows: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """The index of the texts of rows (id, text), and its directory, both files in the shared folder."""
+    keys = stored(keys_of(rows), "exact-keys")
+    hot = hot_keys(keys, capacity)
+    directory = directory_of(keys, hot, capacity)
+    return stored(entries_of(rows, hot, directory), "exact-index"), directory
 
 
 def exact_dedup(
@@ -98,14 +168,15 @@ def exact_dedup(
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"))
-    index = build_index(rows, capacity).select("key", "text_sha256", "keep_id", "group_size")
-    probes = rows.select(
+    index, directory = build_index(rows, capacity)
+    keyed = rows.select(
         "id", key_of(F.col("text")).alias("key"), F.sha2("text", 256).alias("text_sha256")
     )
     # Rows with the same id and text are alike, so any order among them gives the same result.
     repeat = F.row_number().over(Window.partitionBy("id", "text_sha256").orderBy("key"))
     return (
-        probes.join(index.hint("merge"), ["key", "text_sha256"])
+        addressed(keyed, directory)
+        .join(index.drop("chain").hint("merge"), ["depth", "bucket", "key", "text_sha256"])
         .withColumn("repeat", repeat)
         .select(
             F.col("id").alias(id_column),

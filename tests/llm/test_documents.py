@@ -124,18 +124,38 @@ def test_one_text_in_most_rows(spark):
     assert tuple(row) == (2000, 2999, 2999, 2000, 1)
 
 
-def test_directory_doubles_until_buckets_fit(spark):
-    docs = spark.range(2000).select("id", F.col("id").cast("string").alias("text"))
-    entries = exact_dedup.entries_of(docs)
-    index = exact_dedup.index_of(entries, exact_dedup.directory_of(entries, 100)).collect()
-    assert len(index) == 2000
-    sizes = {}
-    for row in index:
-        # A bucket holds the keys that begin with its bits.
-        assert (row["key"] % 2**64) >> (64 - row["depth"]) == row["bucket"]
-        sizes[row["depth"], row["bucket"]] = sizes.get((row["depth"], row["bucket"]), 0) + 1
-    assert max(sizes.values()) <= 100 and len(sizes) >= 20
-    assert max(depth for depth, _ in sizes) < exact_dedup.DIRECTORY_BITS
+def test_directory_doubles_until_buckets_fit(spark, monkeypatch):
+    """Buckets shallower and deeper than the cells, over several passes; hot keys count once."""
+    rows = spark.range(2000).select("id", F.col("id").cast("string").alias("text"))
+    rows = rows.union(spark.range(900).select("id", F.lit("hot").alias("text")))
+    for bits, a_pass, capacity in ((16, 8, 100), (2, 2, 100), (2, 8, 1)):
+        monkeypatch.setattr(exact_dedup, "CELL_BITS", bits)
+        monkeypatch.setattr(exact_dedup, "BITS_A_PASS", a_pass)
+        index, directory = exact_dedup.build_index(rows, capacity)
+        index = index.collect()
+        assert len(index) == 2001
+        sizes = {}
+        for row in index:
+            # A bucket holds the keys that begin with its bits.
+            assert (row["key"] % 2**64) >> (64 - row["depth"]) == row["bucket"]
+            sizes[row["depth"], row["bucket"]] = sizes.get((row["depth"], row["bucket"]), 0) + 1
+        assert max(sizes.values()) <= capacity and len(sizes) >= 2000 // capacity
+        depths = {row["cell"]: row["depth"] for row in directory.collect()}
+        assert len(depths) <= 2**bits
+        assert all(depths[(row["key"] % 2**64) >> (64 - bits)] == row["depth"] for row in index)
+
+
+def test_texts_go_to_owners_of_buckets(spark):
+    """One shuffle of texts by bucket; only hot keys are summed before one by text."""
+    rows = frame_of(spark, ROWS).selectExpr("doc_id AS id", "coalesce(text, '') AS text")
+    keys = exact_dedup.keys_of(rows)
+    hot = exact_dedup.hot_keys(keys, 2)
+    assert hot.count() == 1
+    directory = exact_dedup.directory_of(keys, hot, 2)
+    plan = exact_dedup.entries_of(rows, hot, directory)._jdf.queryExecution().executedPlan().toString()
+    by = [re.sub(r"#\d+L?", "", one) for one in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert any(re.match(r"depth, bucket, \d", one) for one in by)
+    assert sum("text" in one for one in by) == 1
 
 
 def test_collisions_are_chained(spark, monkeypatch):
@@ -144,7 +164,7 @@ def test_collisions_are_chained(spark, monkeypatch):
     docs = frame_of(spark, ROWS)
     found = exact_dedup.exact_dedup(docs, capacity=1).collect()
     assert sorted(repr(tuple(row)) for row in found) == judged(ROWS)
-    entries = exact_dedup.entries_of(docs.selectExpr("doc_id AS id", "coalesce(text, '') AS text"))
-    index = exact_dedup.index_of(entries, exact_dedup.directory_of(entries, 1)).collect()
+    rows = docs.selectExpr("doc_id AS id", "coalesce(text, '') AS text")
+    index = exact_dedup.build_index(rows, 1)[0].collect()
     assert sorted(row["chain"] for row in index if row["key"] == 1) == list(
         range(1, 1 + sum(row["key"] == 1 for row in index)))
