@@ -29,10 +29,10 @@ from telemill.llm.common import stored
 #: Bits of a cell of the directory. Buckets may be deeper or shallower than cells.
 CELL_BITS = 16
 #: Bits that one pass over the keys of overfull cells may add to their depth.
-BITS_A_PASS = 8
+BITS_A_PASS = 4
 KEY_BITS = 64
 #: Rows per bucket before it is split. Only the size of buckets depends on it, no result.
-CAPACITY = 100_000
+CAPACITY = 2_000
 
 
 def key_of(text: Column) -> Column:
