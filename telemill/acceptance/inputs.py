@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Events in a task that makes or reads messages, about: their text takes far longer than the events,
+# so that the files of the events are too few tasks.
+TASK_ROWS = 25_000
+
+
+def tasks_of(rows: int) -> int:
+    """Among how many tasks so many events are dealt out."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def _ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemill.acceptance.inputs import (
     EDIT, M1_SQL, M2_SQL, R1_EDITED_SQL, R1_SQL, R2_SQL, m1, m2, m2_of, r1, r1_edited, r1_edits,
-    r2, table,
+    r2, table, tasks_of,
 )
 from telemill.acceptance.registry import query
 from telemill.functions import times
@@ -269,7 +269,8 @@ def cleaned_by_formula(spark, sf_dir):
 def cleaned_wire_errors(spark, sf_dir):
     """A division of small numbers, over the wire and back, and as the query view shows it."""
     events = table(spark, sf_dir, "events")
-    messages = m2_of(events, _small(F.col("value")))
+    dealt = events.repartition(tasks_of(events.count()), "event_id")
+    messages = m2_of(dealt, _small(F.col("value")))
     rules = events.select("user_id").distinct().select(
         F.lit("all").alias("app"),
         F.col("user_id").alias("id"),
@@ -282,17 +283,15 @@ def cleaned_wire_errors(spark, sf_dir):
     sent = to_wire(clean_messages(messages, R.RuleBook.once(rules)))
     back = accepted(decode(sent))
     port = F.get("values", F.lit(0))
-    shown = device_value(back.withColumn("desc", F.col("seq").cast("string")), 0).select(
-        F.col("desc").cast("bigint").alias("seq"),
-        F.col("value").alias("shown"),
-        F.col("valid").alias("shown_valid"),
-    )
-    return back.select(
+    # The view beside the messages it is made of, so that the text is read once.
+    return device_value(back, 0, keep=("seq", "values")).select(
         "seq",
         V.to_double(port["value"]).alias("value"),
         F.get_json_object(port["extra"], "$.action_error").alias("error"),
         F.get_json_object(port["extra"], "$.original").cast("double").alias("original"),
-    ).join(shown, "seq")
+        F.col("value").alias("shown"),
+        F.col("valid").alias("shown_valid"),
+    )
 
 
 # The actions one by one, on the value of every M2 message. DIV and RVS act on small whole

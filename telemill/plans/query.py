@@ -22,9 +22,9 @@ from telemill.sources.messages import to_wire
 VIEW = "deviceValue"
 
 
-def device_value(messages: DataFrame, port: int = -1) -> DataFrame:
+def device_value(messages: DataFrame, port: int = -1, keep: Sequence[str] = ()) -> DataFrame:
     """One row per message for one port. A missing port, value or flag gives 0.0 and false; a value
-    that its action could not give is null."""
+    that its action could not give is null. `keep` names further columns of the messages."""
     if port >= 0:
         entry = F.get("values", F.lit(port))
         present = V.is_present(entry["value"])
@@ -41,6 +41,7 @@ def device_value(messages: DataFrame, port: int = -1) -> DataFrame:
         "desc",
         value.alias("value"),
         valid.alias("valid"),
+        *keep,
     )
 
 
