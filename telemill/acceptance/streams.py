@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from telemill.acceptance.averaging import _rollover_sql, rounded
-from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2, m2_of, r1, table
+from telemill.acceptance.inputs import M2_SQL, READ2_SQL, m2, m2_of, r1, table, tasks_of
 from telemill.acceptance.registry import query
 from telemill.functions import values as V
 from telemill.operators import averages as A
@@ -53,9 +53,10 @@ class Streamed:
         )
         self.rules = rules or (lambda: r1(spark, sf_dir))
         events = table(spark, sf_dir, "events")
-        last = F.lit(events.agg(F.max("event_id")).first()[0])
-        messages = m2_of(events)
-        own = turn_of(F.col("seq"), last) if turn is None else turn(messages)
+        last, rows = events.agg(F.max("event_id"), F.count(F.lit(1))).first()
+        # Dealt out before the text is made. Only the rows of a part get there, as filters go below.
+        messages = m2_of(events.repartition(tasks_of(rows // TURNS), "event_id"))
+        own = turn_of(F.col("seq"), F.lit(last)) if turn is None else turn(m2_of(events))
         self.parts = to_wire(messages.withColumn("turn", own))
 
     def turns(self, first=0):
@@ -414,25 +415,30 @@ def stream_handover(spark, sf_dir):
 )
 def stream_two_sources(spark, sf_dir):
     """Messages from two folders with rates of their own: one is read as a whole in the first
-    micro-batch, the other file by file, so that it ends up weeks behind."""
+    micro-batch, the other part by part, so that it ends up weeks behind."""
     SA.use_state_store(spark)
     folder = shared_folder(spark, "sources")
     inboxes = [os.path.join(folder, f"inbox{n}") for n in range(2)]
     out, checkpoint = os.path.join(folder, "rows"), os.path.join(folder, "checkpoint")
     book = RuleBook.of(r1(spark, sf_dir))
     events = table(spark, sf_dir, "events")
-    last = F.lit(events.agg(F.max("event_id")).first()[0])
-    wire = to_wire(m2_of(events))
-    # The first source comes in one file and at once, the other in nine, one by one.
-    part = F.floor(F.col("seq") * 9 / (last + 1))
-    wire.filter("seq % 2 = 0").write.parquet(inboxes[0])
-    for number in range(9):
-        of_part = wire.filter((F.col("seq") % 2 == 1) & (part == number))
-        of_part.write.mode("append").parquet(inboxes[1])
-    schema = wire.schema
+    last, rows = events.agg(F.max("event_id"), F.count(F.lit(1))).first()
+    # The first source comes at once, the other in nine parts, one by one.
+    parts = 9
+    part = F.floor(F.col("seq") * parts / F.lit(last + 1))
+
+    def send(wanted, inbox, files):
+        wire = to_wire(m2_of(events.repartition(files, "event_id")))
+        wire.filter(wanted).write.mode("append").parquet(inbox)
+        return wire.schema
+
+    whole, each = tasks_of(rows // 2), tasks_of(rows // 2 // parts)
+    schema = send(F.col("seq") % 2 == 0, inboxes[0], whole)
+    for number in range(parts):
+        send((F.col("seq") % 2 == 1) & (part == number), inboxes[1], each)
     streams = [
         spark.readStream.schema(schema).option("maxFilesPerTrigger", rate).parquet(inbox)
-        for inbox, rate in zip(inboxes, (100, 1))
+        for inbox, rate in zip(inboxes, (whole, each))
     ]
     messages = union_of_sources(streams, offset="seq")
     rows = A.readings(messages, book, ["event_time"])
