@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -45,12 +46,89 @@ def _as_runs(rows: DataFrame, arrival: str, key: Sequence[str]) -> DataFrame:
 OPEN = "bucket bigint, sum double, num bigint, app string, dtimestamp bigint, ptimestamp bigint"
 
 
-class Rollover(StatefulProcessor):
-    """Holds the open bucket of one device, port and interval; `key` names the parts of its key.
+FIELDS = [field.split()[0] for field in OPEN.split(", ")]
+RUN = ["bucket", "sum", "num", "app", "dtimestamp", "ptimestamp", "arrival"]
+RECORD_NAMES = [field.split()[0] for field in RECORD.split(", ")]
+
+
+def _record(named: dict, held: tuple, app: str, dtimestamp: int, ptimestamp: int) -> tuple:
+    return app, named["did"], named["pidx"], named["avg"], dtimestamp, ptimestamp, held[1], held[2]
+
+
+def _closed(named: dict, held: tuple | None, runs: Iterable[tuple]) -> tuple[tuple, list[tuple]]:
+    """The open bucket of a key after more runs (`RUN`) of it, and the records of those they close."""
+    records = []
+    # A micro-batch has one row per run of a bucket, so the rows of a device are few.
+    for bucket, total, num, app, dtimestamp, ptimestamp, _ in sorted(runs, key=lambda run: run[-1]):
+        if held is not None and bucket == held[0]:
+            held = (bucket, held[1] + total, held[2] + num, *held[3:])
+            continue
+        if held is not None:
+            records.append(_record(named, held, app, dtimestamp, ptimestamp))
+        held = (bucket, total, num, app, dtimestamp, ptimestamp)
+    return held, records
+
 
-    `evict` is none, "clock" (two intervals of processing time) or "event" (the watermark).
+def _runs(frame: pd.DataFrame, named: dict) -> Iterator[tuple]:
+    """The rows of a frame as tuples of plain values; the app may be part of the key."""
+    whole = [
+        [named["app"]] * len(frame) if c == "app" and "app" in named else frame[c].tolist()
+        for c in RUN
+    ]
+    return zip(*whole)
+
+
+def _rollover(
+    names: Sequence[str], evict: str | None, emit_on_evict: bool
+) -> Callable[[tuple, Iterable[pd.DataFrame], object], Iterator[pd.DataFrame]]:
+    """Holds the open bucket of one device, port and interval; `names` are the parts of its key.
+
+    `evict` is none, "clock" (two intervals of processing time) or "event" (the watermark). The state
+    comes and goes with the rows of many keys at once.
     """
 
+    def step(key, frames, state) -> Iterator[pd.DataFrame]:
+        named = dict(zip(names, key))
+        *before, due = state.get if state.exists else (None, None)
+        held = tuple(before) if state.exists else None
+        if state.hasTimedOut:
+            records = []
+        else:
+            runs = [run for frame in frames for run in _runs(frame, named)]
+            held, records = _closed(named, held, runs)
+        idle = 2 * int(named["interval"])
+        if evict == "event":
+            now = state.getCurrentWatermarkMs()
+            is_idle = held[0] + idle < now
+        elif evict == "clock":
+            now = state.getCurrentProcessingTimeMs()
+            is_idle = state.hasTimedOut and held[0] + idle < now
+            # A bucket that was opened later has a time of its own, or gets one now.
+            if due is None or state.hasTimedOut or [held[0]] != before[:1]:
+                due = now + idle
+        else:
+            is_idle = False
+        if is_idle:
+            if state.exists:
+                state.remove()
+            if emit_on_evict:
+                records.append(_record(named, held, *held[3:]))
+        else:
+            state.update((*held, due))
+            # When the bucket will have been idle for two intervals, if nothing closes it before.
+            if evict == "event":
+                state.setTimeoutTimestamp(max(held[0] + idle, now, 1))
+            elif evict == "clock":
+                state.setTimeoutDuration(max(due - now, 1))
+        if records:
+            yield pd.DataFrame(records, columns=RECORD_NAMES)
+
+    return step
+
+
+class Rollover(StatefulProcessor):
+    """The same for a stream that begins with open buckets; its state is asked for key by key."""
+
     def __init__(
         self, evict: str | None = None, emit_on_evict: bool = False, key: Sequence[str] = KEY
     ) -> None:
@@ -63,37 +141,31 @@ class Rollover(StatefulProcessor):
         self.open = handle.getValueState("open", OPEN)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        held = (
-            initialState.bucket, initialState["sum"], initialState.num, initialState.app,
-            initialState.dtimestamp, initialState.ptimestamp,
-        )
+        named = dict(zip(self.names, key))
+        held = tuple(named[c] if c in named else initialState[c] for c in FIELDS)
         self.open.update(held)
         if self.evict:
-            self._set_timer(dict(zip(self.names, key))["interval"], held[0], timerValues)
+            self._set_timer(named["interval"], held[0], timerValues)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = dict(zip(self.names, key))
-        held = tuple(self.open.get()) if self.open.exists() else None
+        found = self.open.get()
+        held = None if found is None else tuple(found)
         begun = None if held is None else held[0]
-        # A micro-batch has one row per run of a bucket, so the rows of a device are few.
-        for row in sorted(rows, key=lambda row: row.arrival):
-            app = named.get("app") or row.app
-            if held is not None and row.bucket == held[0]:
-                held = (held[0], held[1] + row["sum"], held[2] + row.num, *held[3:])
-                continue
-            if held is not None:
-                yield self._record(named, held, app, row.dtimestamp, row.ptimestamp)
-            held = (row.bucket, row["sum"], row.num, app, row.dtimestamp, row.ptimestamp)
+        runs = [tuple(named[c] if c in named else row[c] for c in RUN) for row in rows]
+        held, records = _closed(named, held, runs)
         if held is not None:
             self.open.update(held)
             if self.evict and held[0] != begun:
                 self._set_timer(named["interval"], held[0], timerValues)
+        for record in records:
+            yield Row(**dict(zip(RECORD_NAMES, record)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.open.exists():
+        found = self.open.get()
+        if found is None:
             return
-        named = dict(zip(self.names, key))
-        held = tuple(self.open.get())
+        named, held = dict(zip(self.names, key)), tuple(found)
         if held[0] >= self._now(timerValues) - 2 * named["interval"]:
             # A bucket that was opened later has a timer of its own, or gets one now.
             if self.evict == "clock":
@@ -101,7 +173,7 @@ class Rollover(StatefulProcessor):
             return
         self.open.clear()
         if self.emit_on_evict:
-            yield self._record(named, held, *held[3:])
+            yield Row(**dict(zip(RECORD_NAMES, _record(named, held, *held[3:]))))
 
     def _now(self, timer_values) -> int:
         if self.evict == "event":
@@ -113,45 +185,6 @@ class Rollover(StatefulProcessor):
         since = bucket + 1 if self.evict == "event" else self._now(timer_values)
         self.handle.registerTimer(since + 2 * interval)
 
-    @staticmethod
-    def _record(named: dict, held: tuple, app: str, dtimestamp: int, ptimestamp: int) -> Row:
-        return Row(
-            app=app, id=named["did"], portid=named["pidx"], avg=named["avg"],
-            dtimestamp=dtimestamp, ptimestamp=ptimestamp, sum=held[1], num=held[2],
-        )
-
-    def close(self) -> None:
-        pass
-
-
-class Bucket(StatefulProcessor):
-    """Sums one bucket of one key and sends it when the watermark has passed its end."""
-
-    def __init__(self, key: Sequence[str]) -> None:
-        self.names = [*key, "bucket"]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.total = handle.getValueState("total", "sum double, num bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = dict(zip(self.names, key))
-        if self.total.exists():
-            total, count = self.total.get()
-        else:
-            total, count = 0.0, 0
-            self.handle.registerTimer(named["bucket"] + named["interval"])
-        for row in rows:
-            total, count = total + row["sum"], count + row.num
-        self.total.update((total, count))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.total.exists():
-            total, count = self.total.get()
-            self.total.clear()
-            yield Row(**dict(zip(self.names, key)), sum=total, num=count)
-
     def close(self) -> None:
         pass
 
@@ -182,17 +215,21 @@ def rollover_stream(
     kind = "clock" if evict is True else evict or None
     runs = _as_runs(rows, arrival, key)
     runs = runs.withWatermark("event_time", delay) if kind == "event" else runs.drop("event_time")
-    return (
-        runs.groupBy(*key)
-        .transformWithState(
+    if initial is None:
+        timeout = {None: "NoTimeout", "clock": "ProcessingTimeTimeout", "event": "EventTimeTimeout"}
+        records = runs.groupBy(*key).applyInPandasWithState(
+            _rollover(tuple(key), kind, emit_on_evict), RECORD, f"{OPEN}, due bigint", "append",
+            timeout[kind],
+        )
+    else:
+        records = runs.groupBy(*key).transformWithState(
             statefulProcessor=Rollover(kind, emit_on_evict, key),
             outputStructType=RECORD,
             outputMode="Append",
             timeMode={None: "None", "clock": "ProcessingTime", "event": "EventTime"}[kind],
-            initialState=None if initial is None else initial.groupBy(*key),
+            initialState=initial.groupBy(*key),
         )
-        .withColumn("num", F.col("num").cast("int"))
-    )
+    return records.withColumn("num", F.col("num").cast("int"))
 
 
 def handed_over(open_buckets: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -213,14 +250,17 @@ def handed_over(open_buckets: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 
 def open_buckets(spark, checkpoint: str, key: Sequence[str] = KEY) -> DataFrame:
     """The buckets that a rollover stream holds open, from the state in its checkpoint."""
-    state = (
-        spark.read.format("statestore").option("path", checkpoint)
-        .option("stateVarName", "open").load()
-    )
-    fields = [field.split()[0] for field in OPEN.split(", ")]
+    def read(kind, **options):
+        return spark.read.format(kind).options(path=checkpoint, **options).load()
+
+    operator = read("state-metadata").first().operatorName
+    if operator.startswith("transformWithState"):
+        state, held = read("statestore", stateVarName="open"), "value"
+    else:
+        state, held = read("statestore"), "value.groupState"
     return state.select(
         *[F.col(f"key.{c}").alias(c) for c in key],
-        *[F.col(f"value.{c}").alias(c) for c in fields if c not in key],
+        *[F.col(f"{held}.{c}").alias(c) for c in FIELDS if c not in key],
     )
 
 
@@ -229,30 +269,27 @@ def window_stream(
 ) -> DataFrame:
     """Complete buckets of all intervals by event time, each once the watermark has passed its end.
 
-    `rows` come from `partial_runs` or `readings`. Readings later than `delay` behind the newest are
-    dropped by the watermark (`late_stream` keeps them). Rows with a column `event_time` bring a
-    watermark of their own, as those of `union_of_sources` do. Needs `use_state_store`.
+    `rows` come from `partial_runs` or `readings`. A reading is dropped if the watermark, `delay`
+    behind the newest, had passed the end of its bucket before (`late_stream` keeps it). Rows with a
+    column `event_time` bring a watermark of their own, as those of `union_of_sources` do. Sums are
+    Spark's streaming aggregation; with `use_state_store` they may be larger than memory.
     """
     runs = rows if "num" in rows.columns else rows.withColumnRenamed("x", "sum").withColumn(
         "num", F.lit(1).cast("bigint")
     )
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*key, "bucket")) + ", sum double, num bigint"
-    if "event_time" in rows.columns:
-        timed = runs.select(*key, "bucket", "sum", "num", "event_time")
-    else:
+    if "event_time" not in rows.columns:
         newest = "newest" if "newest" in rows.columns else "ptimestamp"
-        timed = runs.select(
-            *key, "bucket", "sum", "num", F.timestamp_millis(newest).alias("event_time")
-        ).withWatermark("event_time", delay)
-    return (
-        timed.groupBy(*key, "bucket")
-        .transformWithState(
-            statefulProcessor=Bucket(key),
-            outputStructType=schema,
-            outputMode="Append",
-            timeMode="EventTime",
+        runs = runs.withColumn("event_time", F.timestamp_millis(newest)).withWatermark(
+            "event_time", delay
         )
+    # Buckets are closed by their ends, so what marks the event time as watched goes on to these.
+    watched = runs.schema["event_time"].metadata
+    ends = F.timestamp_millis(F.col("bucket") + F.col("interval")).alias("ends", metadata=watched)
+    return (
+        runs.select(*key, "bucket", ends, "sum", "num")
+        .groupBy(*key, "bucket", "ends")
+        .agg(F.sum("sum").alias("sum"), F.sum("num").alias("num"))
+        .drop("ends")
     )
 
 

@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from telemill.acceptance.inputs import tasks_of
 from telemill.operators import averages as A
 from telemill.operators.clean import clean_messages
 from telemill.streaming import averages as SA
@@ -210,6 +211,32 @@ def test_a_source_that_lags(spark, tmp_path, policy, complete):
         spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
 
 
+def test_a_late_reading_of_an_open_bucket_counts(spark, tmp_path):
+    """The watermark has passed the reading, but not the end of its bucket."""
+    SA.use_state_store(spark)
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "c"))
+    for times in ((60, 150), (110, 260), (120,)):
+        frame = rows(spark, [(i, t, 1) for i, t in enumerate(times)], 100)
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        stream = SA.window_stream(spark.readStream.schema(frame.schema).parquet(folder))
+        (stream.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint).trigger(**ONCE).start().awaitTermination())
+    found = spark.read.schema(stream.schema).parquet(out).collect()
+    assert sorted((r.bucket, r.num) for r in found) == [(0, 1), (100, 2)]
+
+
+def test_closed_buckets_of_a_key():
+    named = {"did": "d", "pidx": 0, "avg": "MIN", "interval": 10}
+    held = (0, 1.0, 1, "a", 3, 3)
+    runs = [(20, 4.0, 2, "b", 25, 25, 9), (0, 2.0, 1, "a", 4, 4, 5)]
+    assert SA._closed(named, held, runs) == (
+        (20, 4.0, 2, "b", 25, 25), [("b", "d", 0, "MIN", 25, 25, 3.0, 2)])
+
+
+def test_events_are_dealt_out_by_their_number():
+    assert [tasks_of(n) for n in (0, 1, 25_000, 25_001, 6_000_000)] == [1, 1, 1, 2, 240]
+
+
 def test_reports_are_written_in_groups(spark, tmp_path):
     log = ProgressLog(spark, str(tmp_path / "log"), group=2)
 
