@@ -36,8 +36,8 @@ NAMES = [field.split()[0] for field in ENTRY.split(", ")]
 BITS, HASHES = 32768, 3
 
 
-def _positions(device: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(F.lit(k), device), F.lit(BITS)) for k in range(HASHES)])
+def _positions(device: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(k), device), F.lit(BITS)) for k in range(HASHES)]
 
 
 def _may_hold(bitmap: Column, device: str) -> Column:
@@ -48,25 +48,35 @@ def _may_hold(bitmap: Column, device: str) -> Column:
         value = F.conv(F.hex(byte), 16, 10).cast("int")
         return (F.call_function("shiftright", value, (position % 8).cast("int")) % 2) == 1
 
-    return bitmap.isNull() | F.forall(_positions(F.lit(device)), is_set)
+    return bitmap.isNull() | F.forall(F.array(*_positions(F.lit(device))), is_set)
 
 
 def described(rows: DataFrame) -> DataFrame:
-    """One row per file of `rows` (day, id, ptimestamp, read from files): its row of an entry."""
-    of_file = rows.select("day", "id", "ptimestamp", F.col("_metadata.file_path").alias("file"))
-    ranges = of_file.groupBy("day", "file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("id").alias("first_id"),
-        F.max("id").alias("last_id"),
-        F.min("ptimestamp").alias("first_ms"),
-        F.max("ptimestamp").alias("last_ms"),
+    """One row per file of `rows` (day, id, ptimestamp, read from files): its row of an entry.
+
+    Files are read once, and a task sums what it reads of a file before the shuffle, so that this
+    has a few rows per file and task, however many devices there are.
+    """
+    known, bits = F.col("id").isNotNull(), [f"_bits{k}" for k in range(HASHES)]
+    of_file = rows.select(
+        "day", "id", "ptimestamp", F.col("_metadata.file_path").alias("file"),
+        *[F.when(known, bit).alias(name) for bit, name in zip(_positions(F.col("id")), bits)],
     )
-    bits = (
-        of_file.select("file", "id").filter(F.col("id").isNotNull()).distinct()
-        .select("file", F.explode(_positions(F.col("id"))).alias("bit"))
-        .groupBy("file").agg(F.bitmap_construct_agg("bit").alias("devices"))
+    ranges = {
+        "rows": F.count(F.lit(1)),
+        "first_id": F.min("id"),
+        "last_id": F.max("id"),
+        "first_ms": F.min("ptimestamp"),
+        "last_ms": F.max("ptimestamp"),
+    }
+    files = of_file.groupBy("day", "file").agg(
+        *[value.alias(name) for name, value in ranges.items()],
+        *[F.bitmap_construct_agg(name).alias(name) for name in bits],
     )
-    return ranges.join(bits, "file", "left")
+    # One row per hash, whose bitmaps are laid over each other.
+    hashes = files.select("day", "file", *ranges, F.explode(F.array(*bits)).alias("_bits"))
+    whole = hashes.groupBy("day", "file", *ranges).agg(F.bitmap_or_agg("_bits").alias("devices"))
+    return whole.withColumn("devices", F.when(F.col("first_id").isNotNull(), F.col("devices")))
 
 
 @dataclass(frozen=True)

@@ -257,11 +257,10 @@ BACKUP_LINES = "value string, day string, hour string, batch string"
 
 
 def _keys_of_lines(lines: DataFrame) -> DataFrame:
+    # By a generator: fields taken from the struct would each parse the line again.
     keys = F.from_json("value", "id string, ptimestamp bigint")
-    return lines.select(
-        F.regexp_replace("day", "-", "").alias("day"), keys["id"].alias("id"),
-        keys["ptimestamp"].alias("ptimestamp"), "_metadata",
-    )
+    day = F.regexp_replace("day", "-", "").alias("day")
+    return lines.select(day, F.inline_outer(F.array(keys)), "_metadata")
 
 
 def _open_days(

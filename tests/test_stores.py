@@ -205,3 +205,45 @@ def test_odd_names_of_apps(spark, place):
     place.store(batch_of(spark, range(2, 4)).withColumn("app", F.lit("a+b")), "2")
     assert place.ids() == named(range(4))
     assert sorted({row.app for row in place.read().collect()}) == ["a b%2F:ü", "a+b"]
+
+
+def _plan(frame, capsys):
+    capsys.readouterr()
+    frame.explain()
+    return capsys.readouterr().out
+
+
+def test_files_are_described_in_one_pass(spark, place, capsys):
+    place.store(batch_of(spark, range(40)), "1")
+    place.store(batch_of(spark, range(40, 60)), "2", down)
+    for found in (place.main.files(spark, "1"), place.backup.files(spark, "2")):
+        plan = _plan(found, capsys)
+        assert plan.count("FileScan") == 1 and "Join" not in plan
+        # Devices are summed before the shuffle, and not sent by it.
+        before_shuffle = plan[plan.rindex("Exchange"):]
+        assert "partial_bitmap_construct_agg" in before_shuffle and "keys=[file" not in before_shuffle
+        assert plan.count("from_json") <= 1
+
+
+def test_what_is_noted_of_files(spark, place):
+    """Ranges and bits as counted in Python, for messages without device or time, too."""
+    odd = [("a0", "d1", 5), ("a0", None, 7), ("a0", "d0", None), ("a0", "d1", 3), ("a1", None, None), ("a1", None, 9)]
+    batch = spark.createDataFrame(odd, "app string, id string, ptimestamp bigint")
+    place.main(batch.withColumn("stored_at", F.lit(0).cast("bigint")), "1")
+    notes = {row.file.split("app=")[1][:2]: row for row in place.main.files(spark, "1").collect()}
+    assert {app: tuple(row)[2:-1] for app, row in notes.items()} == {
+        "a0": (4, "d0", "d1", 3, 7), "a1": (2, None, None, 9, 9)}
+    assert notes["a1"].devices is None
+    hashes = spark.range(1).select(
+        *[F.pmod(F.xxhash64(F.lit(k), F.lit(d)), F.lit(32768)) for k in range(3) for d in ("d0", "d1")]).first()
+    bits = {8 * place_ + bit for place_, byte in enumerate(notes["a0"].devices) for bit in range(8)
+            if byte >> bit & 1}
+    assert bits == set(hashes)
+
+
+def test_lines_that_are_no_messages_are_noted(spark):
+    lines = spark.createDataFrame(
+        [('{"id":"d1","ptimestamp":4}', "2024-01-02"), ("broken", "2024-01-02"), ('{"id":7}', "2024-01-02")],
+        "value string, day string").withColumn("_metadata", F.lit(0))
+    assert sorted(map(tuple, stores._keys_of_lines(lines).collect()), key=str) == [
+        ("20240102", "7", None, 0), ("20240102", "d1", 4, 0), ("20240102", None, None, 0)]
