@@ -1,16 +1,19 @@
 """Exactness over both stores: the ledger, compaction, pruned scans, absent stores, routing."""
 
 import json
+from functools import partial
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from telemill.acceptance import QUERIES, SQL
 from telemill.plans import query as Q
 from telemill.sources import stores
 from telemill.sources.ledger import Ledger
 from telemill.sources.stores import BackupStore, Level, MainStore
 from tests.helpers import message, messages
+from tests.oracle import DATA, compare
 
 DAY = 86400000
 
@@ -247,3 +250,12 @@ def test_lines_that_are_no_messages_are_noted(spark):
         "value string, day string").withColumn("_metadata", F.lit(0))
     assert sorted(map(tuple, stores._keys_of_lines(lines).collect()), key=str) == [
         ("20240102", "7", None, 0), ("20240102", "d1", 4, 0), ("20240102", None, None, 0)]
+
+
+def test_a_large_day_may_stay_as_many_files(spark, monkeypatch):
+    """As with 36 million messages, whose batches are written as full files."""
+    events = spark.read.parquet(f"{DATA}/events.parquet").count()
+    file_rows = events // 30
+    monkeypatch.setattr(stores, "FILE_ROWS", file_rows)
+    monkeypatch.setattr(stores, "compact", partial(stores.compact, file_rows=file_rows))
+    assert compare(QUERIES["store_compacted"](spark, DATA), SQL["store_compacted"]) == 4 * events
