@@ -85,12 +85,19 @@ class Streamed:
 
     def average(self, make, write, first=0):
         """Runs an average stream over the readings after each part, with one checkpoint."""
-        checkpoint = os.path.join(self.folder, "average-checkpoint")
+        return self.averages([(make, write)], first)[0]
+
+    def averages(self, streams, first=0):
+        """Runs average streams over the same readings, each with a checkpoint of its own."""
+        checkpoints = [
+            os.path.join(self.folder, f"average-checkpoint-{n}") for n in range(len(streams))
+        ]
         for _ in self.turns(first):
             schema = self.spark.read.parquet(self.readings).schema
-            rows = self.spark.readStream.schema(schema).parquet(self.readings)
-            write(make(rows), checkpoint).awaitTermination()
-        return checkpoint
+            for (make, write), checkpoint in zip(streams, checkpoints):
+                rows = self.spark.readStream.schema(schema).parquet(self.readings)
+                write(make(rows), checkpoint).awaitTermination()
+        return checkpoints
 
 
 def run_to_table(spark, stream, folder_name):
@@ -362,17 +369,22 @@ WHERE CASE WHEN evicted THEN m.emits ELSE next_pts IS NOT NULL END"""
 def stream_evict_idle(spark, sf_dir):
     """Records with idle buckets dropped, and with them sent, by event time."""
     SA.use_state_store(spark)
-    rows = None
-    for emits in (True, False):
-        def evicting(readings):
-            return SA.rollover_stream(
-                readings, evict="event", emit_on_evict=emits, delay=f"{EVICT_DELAY} milliseconds"
-            )
 
-        found = rounded(averaged(spark, sf_dir, evicting, RECORDS)).drop("app")
-        found = found.withColumn("emits", F.lit(emits))
-        rows = found if rows is None else rows.unionByName(found)
-    return rows
+    def evicting(emits):
+        return lambda readings: SA.rollover_stream(
+            readings, evict="event", emit_on_evict=emits, delay=f"{EVICT_DELAY} milliseconds"
+        )
+
+    paths = {emits: shared_folder(spark, "averages") for emits in (True, False)}
+    # Both streams read the same readings, so the messages are cleaned once.
+    Streamed(spark, sf_dir).averages(
+        [(evicting(emits), to_parquet(path)) for emits, path in paths.items()]
+    )
+    sent, dropped = (
+        rounded(spark.read.schema(RECORDS).parquet(path)).drop("app").withColumn("emits", F.lit(emits))
+        for emits, path in paths.items()
+    )
+    return sent.unionByName(dropped)
 
 
 @query(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -44,87 +45,154 @@ def _as_runs(rows: DataFrame, arrival: str, key: Sequence[str]) -> DataFrame:
 
 OPEN = "bucket bigint, sum double, num bigint, app string, dtimestamp bigint, ptimestamp bigint"
 
+# Fixed value: open buckets are kept in so many shards of devices, each one value of the state.
+SHARDS = 4096
+# Records in a row that the state process sends, at most.
+SENT_ROWS = 10_000
+
+
+def _shard(key: Sequence[str]) -> Column:
+    return F.pmod(F.hash(*key), F.lit(SHARDS)).alias("shard")
+
+
+def _open_fields(key: Sequence[str]) -> dict[str, str]:
+    """What is kept of an open bucket besides its key."""
+    return {c: t for c, t in (field.split() for field in OPEN.split(", ")) if c not in key}
+
 
 class Rollover(StatefulProcessor):
-    """Holds the open bucket of one device, port and interval; `key` names the parts of its key.
+    """Holds the open buckets of a shard of devices, ports and intervals; `key` names the parts of
+    their key, `types` has the types of these.
+
+    Each call to the state has a price of its own, whatever it brings, so a shard is one value, with
+    an array for each column, and has one timer, that of the bucket which is due first.
 
     `evict` is none, "clock" (two intervals of processing time) or "event" (the watermark).
     """
 
     def __init__(
-        self, evict: str | None = None, emit_on_evict: bool = False, key: Sequence[str] = KEY
+        self, evict: str | None, emit_on_evict: bool, key: Sequence[str], types: Sequence[str]
     ) -> None:
         self.evict = evict
         self.emit_on_evict = emit_on_evict
         self.names = list(key)
+        self.interval = self.names.index("interval")
+        fields = {**dict(zip(key, types)), **_open_fields(key), "due": "bigint"}
+        self.fields = list(fields)
+        self.schema = ", ".join(f"{c} array<{t}>" for c, t in fields.items())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", OPEN)
+        self.open = handle.getValueState("open", self.schema)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        held = (
-            initialState.bucket, initialState["sum"], initialState.num, initialState.app,
-            initialState.dtimestamp, initialState.ptimestamp,
-        )
-        self.open.update(held)
+        rows = zip(*[initialState[c] for c in self.fields if c != "due"])
+        shard = self._by_key((*row, None) for row in rows)
         if self.evict:
-            self._set_timer(dict(zip(self.names, key))["interval"], held[0], timerValues)
+            for name, held in shard.items():
+                held["due"] = self._due(name, held, timerValues)
+        self._keep(shard, None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = dict(zip(self.names, key))
-        found = self.open.get()
-        held = None if found is None else tuple(found)
-        begun = None if held is None else held[0]
-        # A micro-batch has one row per run of a bucket, so the rows of a device are few.
-        for row in sorted(rows, key=lambda row: row.arrival):
-            app = named.get("app") or row.app
-            if held is not None and row.bucket == held[0]:
-                held = (held[0], held[1] + row["sum"], held[2] + row.num, *held[3:])
-                continue
-            if held is not None:
-                yield self._record(named, held, app, row.dtimestamp, row.ptimestamp)
-            held = (row.bucket, row["sum"], row.num, app, row.dtimestamp, row.ptimestamp)
-        if held is not None:
-            self.open.update(held)
-            if self.evict and held[0] != begun:
-                self._set_timer(named["interval"], held[0], timerValues)
+        shard = self._held()
+        first_due = _first_due(shard)
+        arrived: dict[tuple, list[dict]] = {}
+        for row in rows:
+            run = json.loads(row.run)
+            arrived.setdefault(tuple([run[c] for c in self.names]), []).append(run)
+        records = []
+        for name, runs in arrived.items():
+            held = shard.get(name)
+            begun = None if held is None else held["bucket"]
+            # A micro-batch has one row per run of a bucket, so the rows of a device are few.
+            for run in sorted(runs, key=lambda run: run["arrival"]):
+                if isinstance(run["sum"], str):  # as JSON has no infinity
+                    run["sum"] = float(run["sum"])
+                if held is not None and run["bucket"] == held["bucket"]:
+                    held["sum"] += run["sum"]
+                    held["num"] += run["num"]
+                    continue
+                if held is not None:
+                    records.append(self._record(name, held, run))
+                due = None if held is None else held["due"]
+                held = {**{c: run[c] for c in self.fields if c != "due"}, "due": due}
+            if self.evict and held["bucket"] != begun:
+                held["due"] = self._due(name, held, timerValues)
+            shard[name] = held
+        self._keep(shard, first_due)
+        yield from _in_rows(records)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        found = self.open.get()
-        if found is None:
+        shard, now = self._held(), self._now(timerValues)
+        is_due = [name for name, held in shard.items() if held["due"] <= now]
+        if not is_due:
+            # The buckets of that time were closed, or looked at for another timer.
             return
-        named, held = dict(zip(self.names, key)), tuple(found)
-        if held[0] >= self._now(timerValues) - 2 * named["interval"]:
-            # A bucket that was opened later has a timer of its own, or gets one now.
-            if self.evict == "clock":
-                self._set_timer(named["interval"], held[0], timerValues)
+        records = []
+        for name in is_due:
+            held = shard[name]
+            if held["bucket"] >= now - 2 * name[self.interval]:
+                held["due"] = self._due(name, held, timerValues)
+                continue
+            del shard[name]
+            if self.emit_on_evict:
+                records.append(self._record(name, held, held))
+        self._keep(shard, None)
+        yield from _in_rows(records)
+
+    def _by_key(self, rows: Iterable[tuple]) -> dict[tuple, dict]:
+        width = len(self.names)
+        return {row[:width]: dict(zip(self.fields, row)) for row in rows}
+
+    def _held(self) -> dict[tuple, dict]:
+        found = self.open.get()
+        return {} if found is None else self._by_key(zip(*found))
+
+    def _keep(self, shard: dict[tuple, dict], first_due: int | None) -> None:
+        """Keeps the shard, with a timer if another than the one at `first_due` is the first now."""
+        if not shard:
+            self.open.clear()
             return
-        self.open.clear()
-        if self.emit_on_evict:
-            yield self._record(named, held, *held[3:])
+        self.open.update(tuple([held[c] for held in shard.values()] for c in self.fields))
+        due = _first_due(shard)
+        if due is not None and due != first_due:
+            self.handle.registerTimer(due)
 
     def _now(self, timer_values) -> int:
         if self.evict == "event":
             return timer_values.getCurrentWatermarkInMs()
         return timer_values.getCurrentProcessingTimeInMs()
 
-    def _set_timer(self, interval: int, bucket: int, timer_values) -> None:
+    def _due(self, name: tuple, held: dict, timer_values) -> int:
         """When the bucket will have been idle for two intervals, if nothing closes it before."""
-        since = bucket + 1 if self.evict == "event" else self._now(timer_values)
-        self.handle.registerTimer(since + 2 * interval)
-
-    @staticmethod
-    def _record(named: dict, held: tuple, app: str, dtimestamp: int, ptimestamp: int) -> Row:
-        return Row(
-            app=app, id=named["did"], portid=named["pidx"], avg=named["avg"],
-            dtimestamp=dtimestamp, ptimestamp=ptimestamp, sum=held[1], num=held[2],
+        since = held["bucket"] + 1 if self.evict == "event" else self._now(timer_values)
+        return since + 2 * name[self.interval]
+
+    def _record(self, name: tuple, held: dict, closer: dict) -> tuple:
+        """What is sent of a bucket, in the order of RECORD; `closer` is the run that closes it."""
+        return (
+            closer["app"], held["did"], held["pidx"], held["avg"],
+            closer["dtimestamp"], closer["ptimestamp"], held["sum"], held["num"],
         )
 
     def close(self) -> None:
         pass
 
 
+def _first_due(shard: dict[tuple, dict]) -> int | None:
+    return min((held["due"] for held in shard.values() if held["due"] is not None), default=None)
+
+
+RECORD_NAMES = [field.split()[0] for field in RECORD.split(", ")]
+
+
+def _in_rows(records: list[tuple]) -> Iterator[Row]:
+    """Records as rows with an array for each column."""
+    for begin in range(0, len(records), SENT_ROWS):
+        columns = zip(*records[begin : begin + SENT_ROWS])
+        yield Row(**{c: list(values) for c, values in zip(RECORD_NAMES, columns)})
+
+
 def rollover_stream(
     rows: DataFrame,
     arrival: str = "arrival",
@@ -144,6 +212,8 @@ def rollover_stream(
     alone, so a run that is repeated evicts the same buckets; readings older than the watermark are
     left out (`late_stream` keeps them). `evict="clock"`, or true, goes by the time of processing.
 
+    The state holds `SHARDS` groups of keys, whose number a checkpoint keeps for good.
+
     `initial` has the buckets that an earlier run or a batch left open (`handed_over`); the first
     micro-batch goes on from them, and a restart, which has its own state, does not read them. Needs
     `use_state_store`.
@@ -151,19 +221,32 @@ def rollover_stream(
     kind = "clock" if evict is True else evict or None
     runs = _as_runs(rows, arrival, key)
     runs = runs.withWatermark("event_time", delay) if kind == "event" else runs.drop("event_time")
-    return (
-        runs.groupBy(*key)
-        .transformWithState(
-            statefulProcessor=Rollover(kind, emit_on_evict, key),
-            outputStructType=RECORD,
-            outputMode="Append",
-            timeMode={None: "None", "clock": "ProcessingTime", "event": "EventTime"}[kind],
-            initialState=None if initial is None else initial.groupBy(*key),
-        )
-        .withColumn("num", F.col("num").cast("int"))
+    types = [runs.schema[c].dataType.simpleString() for c in key]
+    # A run goes to Python as one text, which costs less there than a value for each column.
+    fields = [c for c in runs.columns if c != "event_time"]
+    run = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("run")
+    marked = ["event_time"] if kind == "event" else []
+    sent = runs.select(_shard(key), run, *marked).groupBy("shard").transformWithState(
+        statefulProcessor=Rollover(kind, emit_on_evict, key, types),
+        outputStructType=", ".join(
+            f"{c} array<{t}>" for c, t in (field.split() for field in RECORD.split(", "))
+        ),
+        outputMode="Append",
+        timeMode={None: "None", "clock": "ProcessingTime", "event": "EventTime"}[kind],
+        initialState=None if initial is None else _in_shards(initial, key).groupBy("shard"),
+    )
+    return sent.select(F.inline(F.arrays_zip(*RECORD_NAMES))).withColumn(
+        "num", F.col("num").cast("int")
     )
 
 
+def _in_shards(open_buckets: DataFrame, key: Sequence[str]) -> DataFrame:
+    """A row per shard, with an array for each column."""
+    fields = [*key, *_open_fields(key)]
+    shards = open_buckets.groupBy(_shard(key)).agg(F.collect_list(F.struct(*fields)).alias("open"))
+    return shards.select("shard", *[F.col(f"open.{c}").alias(c) for c in fields])
+
+
 def handed_over(open_buckets: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Open buckets, of `still_open` or of another stream's state, as the begin of a stream.
 
@@ -186,11 +269,9 @@ def open_buckets(spark, checkpoint: str, key: Sequence[str] = KEY) -> DataFrame:
         spark.read.format("statestore").option("path", checkpoint)
         .option("stateVarName", "open").load()
     )
-    fields = [field.split()[0] for field in OPEN.split(", ")]
-    return state.select(
-        *[F.col(f"key.{c}").alias(c) for c in key],
-        *[F.col(f"value.{c}").alias(c) for c in fields if c not in key],
-    )
+    fields = [*key, *_open_fields(key)]
+    shards = state.select(*[F.col(f"value.{c}").alias(c) for c in fields])
+    return shards.select(F.inline(F.arrays_zip(*fields)))
 
 
 def window_stream(

@@ -7,10 +7,12 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from telemill.acceptance import streams
 from telemill.acceptance.inputs import tasks_of
 from telemill.operators import averages as A
 from telemill.operators.clean import clean_messages
 from telemill.streaming import averages as SA
+from telemill.streaming.clean import clean_stream
 from telemill.streaming.late import BucketStore, late_stream
 from telemill.streaming.progress import ProgressLog, progress_rows
 from telemill.streaming.rule_changes import CHANGE, RuleChanges
@@ -178,6 +180,38 @@ def test_a_stream_goes_on_from_open_buckets(spark, tmp_path):
     assert run_rollover(spark, *other, frame, initial=more) == [("d", 2.0, 1, 400)]
 
 
+def test_devices_share_one_state_value(spark, tmp_path, monkeypatch):
+    """Devices of a shard in one value and with one timer, with the records of each for itself."""
+    SA.use_state_store(spark)
+    monkeypatch.setattr(SA, "SHARDS", 2)
+    args = [str(tmp_path / name) for name in ("in", "c", "out")]
+    more = {"evict": "event", "emit_on_evict": True}
+
+    def of(*items):
+        frames = [rows(spark, [(i, t, x)], 100 * (1 + n % 3), f"d{n}") for i, n, t, x in items]
+        frame = frames[0]
+        for other in frames[1:]:
+            frame = frame.unionByName(other)
+        return frame.withColumn("app", F.lit("a")).coalesce(1)
+
+    # Buckets of 100, 200 and 300 ms that begin at 0, 600 or 1200; the newest reading is at 1250.
+    first = [(n, n, 600 * (n // 5) + 10 * (n % 5) + 10, n) for n in range(15)]
+    expected = []
+    marks = {n: 600 * (n // 5) + 2 * 100 * (1 + n % 3) for n in range(15)}
+    expected += [(f"d{n}", float(x), 1, t) for _, n, t, x in first if marks[n] < 1250]
+    found = run_rollover(spark, *args, of(*first), **more)
+    assert found == sorted(expected) and 0 < len(found) < 15
+    state = spark.read.format("statestore").option("path", args[1]).option("stateVarName", "open").load()
+    assert state.count() == 2
+    still = {f"d{n}" for n in range(15) if marks[n] >= 1250}
+    assert {r.did for r in SA.open_buckets(spark, args[1]).collect()} == still
+    # Open buckets of two devices are closed, out of order within the file.
+    second = [(21, 14, 1850, 2), (20, 14, 1290, 1), (22, 13, 1500, 5)]
+    expected += [("d14", 15.0, 2, 1850), ("d13", 13.0, 1, 1500)]
+    later = run_rollover(spark, *args, of(*second), **more)
+    assert set(expected) <= set(later)
+
+
 @pytest.mark.parametrize("policy, complete", [("min", True), ("max", False)])
 def test_a_source_that_lags(spark, tmp_path, policy, complete):
     SA.use_state_store(spark)
@@ -225,6 +259,28 @@ def test_a_late_reading_of_an_open_bucket_counts(spark, tmp_path):
     assert sorted((r.bucket, r.num) for r in found) == [(0, 1), (100, 2)]
 
 
+def test_streams_of_one_query_share_the_cleaning(spark, tmp_path, monkeypatch):
+    started = []
+
+    def counted(*args, **more):
+        started.append(1)
+        return clean_stream(*args, **more)
+
+    monkeypatch.setattr(streams, "clean_stream", counted)
+    events = [
+        (i, f"2024-01-01 {i // 4:02d}:{i % 4}0:00", i % 2 + 1, "view", float(i), "{}") for i in range(60)
+    ]
+    spark.createDataFrame(
+        events, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    ).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    found = streams.stream_evict_idle(spark, str(tmp_path)).collect()
+    assert len(started) == streams.TURNS
+    # Each hour of user 1 is closed by the next; the last stays open, as does the day of user 2.
+    hours = [(r.emits, r.ptimestamp) for r in found if r.id == "dev1" and r.avg == "HOUR"]
+    begin = 1704067200000
+    assert sorted(hours) == sorted((e, begin + h * 3_600_000) for e in (True, False) for h in range(1, 15))
+
+
 def test_events_are_dealt_out_by_their_number():
     assert [tasks_of(n) for n in (0, 1, 25_000, 25_001, 6_000_000)] == [1, 1, 1, 2, 240]
 
