@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -86,19 +88,20 @@ class Rollover(StatefulProcessor):
         self.open = handle.getValueState("open", self.schema)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        rows = zip(*[initialState[c] for c in self.fields if c != "due"])
-        shard = self._by_key((*row, None) for row in rows)
-        if self.evict:
-            for name, held in shard.items():
-                held["due"] = self._due(name, held, timerValues)
+        shard = {}
+        for held in json.loads(initialState["open"].iloc[0]):  # one row, with the whole shard
+            name = tuple([held[c] for c in self.names])
+            held["sum"] = _number(held["sum"])
+            held["due"] = self._due(name, held, timerValues) if self.evict else None
+            shard[name] = held
         self._keep(shard, None)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         shard = self._held()
         first_due = _first_due(shard)
         arrived: dict[tuple, list[dict]] = {}
-        for row in rows:
-            run = json.loads(row.run)
+        for run in map(json.loads, chain.from_iterable(frame["run"] for frame in rows)):
+            run["sum"] = _number(run["sum"])
             arrived.setdefault(tuple([run[c] for c in self.names]), []).append(run)
         records = []
         for name, runs in arrived.items():
@@ -106,8 +109,6 @@ class Rollover(StatefulProcessor):
             begun = None if held is None else held["bucket"]
             # A micro-batch has one row per run of a bucket, so the rows of a device are few.
             for run in sorted(runs, key=lambda run: run["arrival"]):
-                if isinstance(run["sum"], str):  # as JSON has no infinity
-                    run["sum"] = float(run["sum"])
                 if held is not None and run["bucket"] == held["bucket"]:
                     held["sum"] += run["sum"]
                     held["num"] += run["num"]
@@ -120,9 +121,9 @@ class Rollover(StatefulProcessor):
                 held["due"] = self._due(name, held, timerValues)
             shard[name] = held
         self._keep(shard, first_due)
-        yield from _in_rows(records)
+        yield from _frames(records)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         shard, now = self._held(), self._now(timerValues)
         is_due = [name for name, held in shard.items() if held["due"] <= now]
         if not is_due:
@@ -138,15 +139,12 @@ class Rollover(StatefulProcessor):
             if self.emit_on_evict:
                 records.append(self._record(name, held, held))
         self._keep(shard, None)
-        yield from _in_rows(records)
-
-    def _by_key(self, rows: Iterable[tuple]) -> dict[tuple, dict]:
-        width = len(self.names)
-        return {row[:width]: dict(zip(self.fields, row)) for row in rows}
+        yield from _frames(records)
 
     def _held(self) -> dict[tuple, dict]:
-        found = self.open.get()
-        return {} if found is None else self._by_key(zip(*found))
+        found, width = self.open.get(), len(self.names)
+        rows = () if found is None else zip(*found)
+        return {row[:width]: dict(zip(self.fields, row)) for row in rows}
 
     def _keep(self, shard: dict[tuple, dict], first_due: int | None) -> None:
         """Keeps the shard, with a timer if another than the one at `first_due` is the first now."""
@@ -183,14 +181,21 @@ def _first_due(shard: dict[tuple, dict]) -> int | None:
     return min((held["due"] for held in shard.values() if held["due"] is not None), default=None)
 
 
-RECORD_NAMES = [field.split()[0] for field in RECORD.split(", ")]
+def _number(value: float | str | None) -> float | None:
+    """A sum as JSON has it, where infinity is a string."""
+    return float(value) if isinstance(value, str) else value
 
 
-def _in_rows(records: list[tuple]) -> Iterator[Row]:
-    """Records as rows with an array for each column."""
+# Sums go back as text: pandas would make a null of one that is no number.
+SENT = {c: "string" if c == "sum" else t for c, t in (f.split() for f in RECORD.split(", "))}
+
+
+def _frames(records: list[tuple]) -> Iterator[pd.DataFrame]:
+    """Records as rows with an array for each column, so that integers beside nulls stay whole."""
     for begin in range(0, len(records), SENT_ROWS):
-        columns = zip(*records[begin : begin + SENT_ROWS])
-        yield Row(**{c: list(values) for c, values in zip(RECORD_NAMES, columns)})
+        columns = dict(zip(SENT, map(list, zip(*records[begin : begin + SENT_ROWS]))))
+        columns["sum"] = [None if x is None else repr(x) for x in columns["sum"]]
+        yield pd.DataFrame({c: [values] for c, values in columns.items()})
 
 
 def rollover_stream(
@@ -212,7 +217,7 @@ def rollover_stream(
     alone, so a run that is repeated evicts the same buckets; readings older than the watermark are
     left out (`late_stream` keeps them). `evict="clock"`, or true, goes by the time of processing.
 
-    The state holds `SHARDS` groups of keys, whose number a checkpoint keeps for good.
+    The state is kept in `SHARDS` shards, a number that holds for the life of a checkpoint.
 
     `initial` has the buckets that an earlier run or a batch left open (`handed_over`); the first
     micro-batch goes on from them, and a restart, which has its own state, does not read them. Needs
@@ -224,27 +229,29 @@ def rollover_stream(
     types = [runs.schema[c].dataType.simpleString() for c in key]
     # A run goes to Python as one text, which costs less there than a value for each column.
     fields = [c for c in runs.columns if c != "event_time"]
-    run = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("run")
     marked = ["event_time"] if kind == "event" else []
-    sent = runs.select(_shard(key), run, *marked).groupBy("shard").transformWithState(
+    shards = runs.select(_shard(key), _text(F.struct(*fields)).alias("run"), *marked)
+    sent = shards.groupBy("shard").transformWithStateInPandas(
         statefulProcessor=Rollover(kind, emit_on_evict, key, types),
-        outputStructType=", ".join(
-            f"{c} array<{t}>" for c, t in (field.split() for field in RECORD.split(", "))
-        ),
+        outputStructType=", ".join(f"{c} array<{t}>" for c, t in SENT.items()),
         outputMode="Append",
         timeMode={None: "None", "clock": "ProcessingTime", "event": "EventTime"}[kind],
         initialState=None if initial is None else _in_shards(initial, key).groupBy("shard"),
     )
-    return sent.select(F.inline(F.arrays_zip(*RECORD_NAMES))).withColumn(
+    sums = F.col("sum").cast("array<double>")
+    return sent.withColumn("sum", sums).select(F.inline(F.arrays_zip(*SENT))).withColumn(
         "num", F.col("num").cast("int")
     )
 
 
+def _text(value: Column) -> Column:
+    return F.to_json(value, {"ignoreNullFields": "false"})
+
+
 def _in_shards(open_buckets: DataFrame, key: Sequence[str]) -> DataFrame:
-    """A row per shard, with an array for each column."""
-    fields = [*key, *_open_fields(key)]
-    shards = open_buckets.groupBy(_shard(key)).agg(F.collect_list(F.struct(*fields)).alias("open"))
-    return shards.select("shard", *[F.col(f"open.{c}").alias(c) for c in fields])
+    """A row per shard, with its open buckets as one text."""
+    held = F.struct(*key, *_open_fields(key))
+    return open_buckets.groupBy(_shard(key)).agg(_text(F.collect_list(held)).alias("open"))
 
 
 def handed_over(open_buckets: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
